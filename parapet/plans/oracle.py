@@ -70,3 +70,16 @@ FROM conversations u JOIN conversations a
   ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
 WHERE u.role = 'user' AND a.role = 'assistant'
 """)
+
+cte("tagged_left", """
+SELECT direction, idx,
+       CASE WHEN (SELECT count(DISTINCT direction) FROM zip_left) > 1
+            THEN '<' || split_part(direction, '__', 2) || '> ' || sl ELSE sl END AS sl,
+       tl
+FROM zip_left
+""", ("zip_left",))
+
+cte("corpus", """
+SELECT direction, idx, CAST(row_number() OVER (ORDER BY direction, idx) - 1 AS BIGINT) AS pair_id, sl, tl
+FROM tagged_left
+""", ("tagged_left",))

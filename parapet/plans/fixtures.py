@@ -43,3 +43,26 @@ def zip_pairs(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(conv_id, turn, pair_id, sl, tl): user turn and the assistant's reply."""
     return corpus.conversation_pairs(table(spark, sf_dir, "conversations"))
+
+
+def files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, content): two language files per conversation pair, named
+    ``c<conv>_<turn>_Matecat.<lang>`` (en, it), plus unrelated benchmark files."""
+    p = pairs(spark, sf_dir)
+    sides = F.explode(F.array(F.struct(F.lit("en").alias("lang"), F.col("sl").alias("content")),
+                              F.struct(F.lit("it").alias("lang"), F.col("tl").alias("content"))))
+    paired = p.select("conv_id", "turn", sides.alias("s")).select(
+        F.concat(F.lit("c"), F.col("conv_id"), F.lit("_"), F.col("turn"), F.lit("_Matecat."),
+                 F.col("s.lang")).alias("path"), F.col("s.content").alias("content"))
+    bench = table(spark, sf_dir, "benchmark").select(
+        F.concat(F.lit("bench_"), F.col("item_id"), F.lit(".txt")).alias("path"), F.col("text").alias("content"))
+    return paired.unionByName(bench)
+
+
+def hyp_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(lang, sid, hyp, ref): reference = the space-separated words of a
+    document; hypothesis = the same without every 7th word."""
+    docs = table(spark, sf_dir, "documents")
+    ref = F.split(F.col("text"), " ")
+    return docs.select("lang", F.col("doc_id").alias("sid"), ref.alias("ref")) \
+               .withColumn("hyp", F.filter("ref", lambda x, i: (i + 1) % 7 != 0))

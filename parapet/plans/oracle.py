@@ -83,3 +83,54 @@ cte("corpus", """
 SELECT direction, idx, CAST(row_number() OVER (ORDER BY direction, idx) - 1 AS BIGINT) AS pair_id, sl, tl
 FROM tagged_left
 """, ("tagged_left",))
+
+cte("files", """
+SELECT 'c' || conv_id || '_' || turn || '_Matecat.' || lang AS path, content
+FROM (SELECT conv_id, turn, 'en' AS lang, sl AS content FROM pairs
+      UNION ALL SELECT conv_id, turn, 'it', tl FROM pairs)
+UNION ALL
+SELECT 'bench_' || item_id || '.txt', text FROM benchmark
+""", ("pairs",))
+
+cte("hyp_ref", """
+SELECT lang, doc_id AS sid, list_filter(r, lambda x, i: i % 7 <> 0) AS hyp, r AS ref
+FROM (SELECT lang, doc_id, string_split(text, ' ') AS r FROM documents)
+""")
+
+
+def bleu_sql(src: str, group: str, max_n: int = 4) -> str:
+    """Corpus BLEU per ``group`` over ``src(group, sid, hyp, ref)``."""
+    sides = f"SELECT {group}, sid, 0 AS side, hyp AS toks FROM {src} UNION ALL " \
+            f"SELECT {group}, sid, 1 AS side, ref AS toks FROM {src}"
+    piv = ", ".join(f"CAST(sum(CASE WHEN n = {n} THEN correct ELSE 0 END) AS BIGINT) AS c{n}, "
+                    f"CAST(sum(CASE WHEN n = {n} THEN total ELSE 0 END) AS BIGINT) AS t{n}"
+                    for n in range(1, max_n + 1))
+    ps, zeros = [], []
+    for n in range(1, max_n + 1):
+        zeros.append(f"(CASE WHEN c{n} = 0 THEN 1 ELSE 0 END)")
+        k = " + ".join(zeros)
+        ps.append(f"(CASE WHEN t{n} = 0 THEN 0.0 WHEN c{n} = 0 THEN 100.0 / (pow(2.0, {k}) * t{n}) "
+                  f"ELSE 100.0 * c{n} / t{n} END)")
+    bp = "(CASE WHEN hyp_len >= ref_len THEN 1.0 WHEN hyp_len = 0 THEN 0.0 ELSE exp(1 - ref_len / hyp_len) END)"
+    anyzero = " OR ".join(f"{p} = 0" for p in ps)
+    score = (f"CASE WHEN c1 = 0 OR {anyzero} THEN 0.0 ELSE {bp} * exp(("
+             + " + ".join(f"ln({p})" for p in ps) + f") / {max_n}) END")
+    return f"""
+SELECT {group}, {score} AS bleu, {bp} AS bp,
+       {", ".join(f"round({p}, 6) AS p{n + 1}" for n, p in enumerate(ps))}, hyp_len, ref_len
+FROM (
+  SELECT l.{group}, CAST(l.hyp_len AS BIGINT) AS hyp_len, CAST(l.ref_len AS BIGINT) AS ref_len, s.* EXCLUDE ({group})
+  FROM (SELECT {group}, sum(len(hyp)) AS hyp_len, sum(len(ref)) AS ref_len FROM {src} GROUP BY {group}) l
+  LEFT JOIN (
+    SELECT {group}, {piv} FROM (
+      SELECT {group}, n, sum(least(hc, rc)) AS correct, sum(hc) AS total FROM (
+        SELECT {group}, sid, n, gram, sum(1 - side) AS hc, sum(side) AS rc FROM (
+          SELECT {group}, sid, side, n, array_to_string(toks[i:i + n - 1], chr(31)) AS gram
+          FROM ({sides}) s, range(1, {max_n + 1}) ns(n),
+               LATERAL (SELECT unnest(generate_series(1, len(s.toks) - ns.n + 1)) AS i)
+        ) GROUP BY {group}, sid, n, gram
+      ) GROUP BY {group}, n
+    ) GROUP BY {group}
+  ) s ON s.{group} = l.{group}
+)
+"""

@@ -28,4 +28,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     # importing the modules registers their queries
-    from parapet.plans import queries_corpus, queries_files_bleu, queries_split  # noqa: F401
+    from parapet.plans import queries_corpus, queries_ensemble, queries_files_bleu, queries_split  # noqa: F401

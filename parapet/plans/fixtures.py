@@ -66,3 +66,19 @@ def hyp_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref = F.split(F.col("text"), " ")
     return docs.select("lang", F.col("doc_id").alias("sid"), ref.alias("ref")) \
                .withColumn("hyp", F.filter("ref", lambda x, i: (i + 1) % 7 != 0))
+
+
+def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(sid, model, logits array<double>): four members score each sentence."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select((F.col("vec_id") / 4).cast("bigint").alias("sid"), (F.col("vec_id") % 4).alias("model"),
+                    F.transform("embedding", lambda x: x.cast("double")).alias("logits"))
+
+
+def step_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(sid, step, model, logits): five decoding steps of four members."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select((F.col("vec_id") / 20).cast("bigint").alias("sid"),
+                    ((F.col("vec_id") / 4).cast("bigint") % 5).alias("step"),
+                    (F.col("vec_id") % 4).alias("model"),
+                    F.transform("embedding", lambda x: x.cast("double")).alias("logits"))

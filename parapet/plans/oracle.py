@@ -134,3 +134,17 @@ FROM (
   ) s ON s.{group} = l.{group}
 )
 """
+
+cte("logits", """
+SELECT vec_id // 4 AS sid, vec_id % 4 AS model,
+       CAST(generate_subscripts(embedding, 1) - 1 AS BIGINT) AS token_id,
+       CAST(unnest(embedding) AS DOUBLE) AS logit
+FROM embeddings
+""")
+
+cte("step_logits", """
+SELECT vec_id // 20 AS sid, (vec_id // 4) % 5 AS step, vec_id % 4 AS model,
+       CAST(generate_subscripts(embedding, 1) - 1 AS BIGINT) AS token_id,
+       CAST(unnest(embedding) AS DOUBLE) AS logit
+FROM embeddings
+""")

@@ -82,3 +82,20 @@ def step_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
                     ((F.col("vec_id") / 4).cast("bigint") % 5).alias("step"),
                     (F.col("vec_id") % 4).alias("model"),
                     F.transform("embedding", lambda x: x.cast("double")).alias("logits"))
+
+
+MEMBER_SOURCES = ["src0", "src1", "src2", "src3"]
+
+
+def member_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(member, line): the lines each bigram member is counted on."""
+    return lines(spark, sf_dir).filter(F.col("source").isin(MEMBER_SOURCES)) \
+                               .select(F.col("source").alias("member"), "line")
+
+
+def decode_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(sid, token): the first word of each document's first line."""
+    from parapet.operators.decode import tokens
+    first = lines(spark, sf_dir).filter(F.col("line_no") == 0)
+    return first.select(F.col("doc_id").alias("sid"), tokens("line").getItem(0).alias("token")) \
+                .filter(F.col("token").isNotNull())

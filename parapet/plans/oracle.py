@@ -15,7 +15,7 @@ def cte(name: str, sql: str, deps: tuple[str, ...] = ()) -> None:
     DEPS[name] = deps
 
 
-def with_(*names: str) -> str:
+def with_(*names: str, recursive: bool = False) -> str:
     order: list[str] = []
 
     def visit(n: str) -> None:
@@ -26,7 +26,7 @@ def with_(*names: str) -> str:
 
     for n in names:
         visit(n)
-    return "WITH " + ",\n".join(f"{n} AS (\n{CTES[n]}\n)" for n in order) + "\n"
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(f"{n} AS (\n{CTES[n]}\n)" for n in order) + "\n"
 
 
 cte("lines", """
@@ -148,3 +148,37 @@ SELECT vec_id // 20 AS sid, (vec_id // 4) % 5 AS step, vec_id % 4 AS model,
        CAST(unnest(embedding) AS DOUBLE) AS logit
 FROM embeddings
 """)
+
+cte("bigram_counts", """
+SELECT member, prev, next, CAST(count(*) AS BIGINT) AS c FROM (
+  SELECT member, toks[i] AS prev, CASE WHEN i = len(toks) THEN '</s>' ELSE toks[i + 1] END AS next
+  FROM (SELECT source AS member, list_filter(string_split(line, ' '), lambda w: w <> '') AS toks
+        FROM lines WHERE source IN ('src0', 'src1', 'src2', 'src3')) t,
+       LATERAL (SELECT unnest(generate_series(1, len(t.toks))) AS i)
+) GROUP BY member, prev, next
+""", ("lines",))
+
+cte("best_next", """
+SELECT prev, next, p FROM (
+  SELECT *, row_number() OVER (PARTITION BY prev ORDER BY p DESC, next) AS r FROM (
+    SELECT prev, next, round(sum(p) / 4, 9) AS p FROM (
+      SELECT member, prev, next, c / sum(c) OVER (PARTITION BY member, prev) AS p FROM bigram_counts)
+    GROUP BY prev, next))
+WHERE r = 1
+""", ("bigram_counts",))
+
+cte("starts", """
+SELECT doc_id AS sid, list_filter(string_split(line, ' '), lambda w: w <> '')[1] AS token
+FROM lines WHERE line_no = 0 AND len(list_filter(string_split(line, ' '), lambda w: w <> '')) > 0
+""", ("lines",))
+
+cte("decode_walk", """
+SELECT sid, 0 AS step, token FROM starts
+UNION ALL
+SELECT d.sid, d.step + 1, b.next FROM decode_walk d JOIN best_next b ON b.prev = d.token
+WHERE d.step < 12 AND (d.step = 0 OR d.token <> '</s>')
+""", ("starts", "best_next"))
+
+cte("decoded", """
+SELECT sid, CAST(step AS BIGINT) AS step, token FROM decode_walk WHERE step >= 1
+""", ("decode_walk",))

@@ -99,3 +99,13 @@ def decode_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = lines(spark, sf_dir).filter(F.col("line_no") == 0)
     return first.select(F.col("doc_id").alias("sid"), tokens("line").getItem(0).alias("token")) \
                 .filter(F.col("token").isNotNull())
+
+
+def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run, epoch, value): each user's events in time order as one run's
+    evaluations; ``epoch`` is 1-based, numbered with the two-level scan over
+    hourly blocks so no single window holds a whole run."""
+    from parapet.operators.ordinal import ordinal
+    ev = table(spark, sf_dir, "events").select(F.col("user_id").alias("run"), "ts", "event_id", "value")
+    hour = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(3_600_000_000))
+    return ordinal(ev, ["run"], ["ts", "event_id"], hour, "epoch", base=1).select("run", "epoch", "value")

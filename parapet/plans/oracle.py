@@ -182,3 +182,9 @@ WHERE d.step < 12 AND (d.step = 0 OR d.token <> '</s>')
 cte("decoded", """
 SELECT sid, CAST(step AS BIGINT) AS step, token FROM decode_walk WHERE step >= 1
 """, ("decode_walk",))
+
+cte("metrics", """
+SELECT user_id AS run, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS epoch,
+       value
+FROM events
+""")

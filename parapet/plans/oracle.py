@@ -188,3 +188,40 @@ SELECT user_id AS run, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts,
        value
 FROM events
 """)
+
+# GPT-2 pre-tokens without look-ahead: a marker (chr(1)) splits the last
+# white-space character off every longer white-space run that precedes a
+# non-space, which is what ``\s+(?!\S)`` does; the marker is in no token.
+GPT2_SQL = ("regexp_extract_all(regexp_replace({x}, '(\\s+)(\\s)(\\S)', '\\1' || chr(1) || '\\2\\3', 'g'), "
+            "'''s|''t|''re|''ve|''m|''ll|''d| ?\\p{{L}}+| ?\\p{{N}}+| ?[^\\s\\p{{L}}\\p{{N}}\\x01]+|\\s+')")
+
+cte("gpt2_words", """
+SELECT word, CAST(count(*) AS BIGINT) AS cnt
+FROM (SELECT unnest(""" + GPT2_SQL.format(x="line") + """) AS word FROM lines)
+GROUP BY word
+""", ("lines",))
+
+cte("words", """
+SELECT word, CAST(count(*) AS BIGINT) AS cnt
+FROM (SELECT unnest(regexp_extract_all(text, '\\p{L}+|\\p{N}+|[^\\s\\p{L}\\p{N}]+')) AS word FROM documents)
+GROUP BY word
+""")
+
+cte("word_vocab", """
+SELECT CAST(row_number() OVER (ORDER BY cnt DESC, word) + 2 AS INTEGER) AS id, word FROM words
+""", ("words",))
+
+cte("pair_words", """
+SELECT pair_id, side, unnest(w) AS word, CAST(generate_subscripts(w, 1) AS BIGINT) AS pos FROM (
+  SELECT pair_id, 'sl' AS side, regexp_extract_all(sl, '\\p{L}+|\\p{N}+|[^\\s\\p{L}\\p{N}]+') AS w FROM pairs
+  UNION ALL
+  SELECT pair_id, 'tl', regexp_extract_all(tl, '\\p{L}+|\\p{N}+|[^\\s\\p{L}\\p{N}]+') FROM pairs)
+""", ("pairs",))
+
+cte("pair_ids", """
+SELECT p.pair_id, p.side, coalesce(x.ids, []) AS ids
+FROM (SELECT pair_id, 'sl' AS side FROM pairs UNION ALL SELECT pair_id, 'tl' FROM pairs) p
+LEFT JOIN (SELECT pair_id, side, list(v.id ORDER BY w.pos) AS ids
+           FROM pair_words w JOIN word_vocab v ON v.word = w.word GROUP BY pair_id, side) x
+  ON x.pair_id = p.pair_id AND x.side = p.side
+""", ("pairs", "pair_words", "word_vocab"))

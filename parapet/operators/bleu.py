@@ -48,7 +48,8 @@ def _grams(tokens: Column, side: int, max_n: int) -> Column:
     size = F.size(tokens)
 
     def of_order(n: int) -> Column:
-        starts = F.filter(F.sequence(F.lit(1), size), lambda i: i + (n - 1) <= size)
+        # sequence(1, 0) would count down: clamp, then keep starts that fit
+        starts = F.filter(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: i + (n - 1) <= size)
         return F.transform(starts, lambda i: F.struct(
             F.lit(side).alias("side"), F.lit(n).alias("n"),
             F.array_join(F.slice(tokens, i, n), SEP).alias("g")))

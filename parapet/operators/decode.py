@@ -62,10 +62,10 @@ def best_next(scores: DataFrame, n_members: int) -> DataFrame:
 
 
 def greedy_decode(starts: DataFrame, best: DataFrame, max_steps: int = MAX_STEPS,
-                  eos: str = EOS) -> DataFrame:
-    """(sid, step, token) for step 1.. until ``eos`` or ``max_steps``.
+                  eos: str = EOS, keys: Sequence[str] = ("sid",)) -> DataFrame:
+    """(keys..., step, token) for step 1.. until ``eos`` or ``max_steps``.
 
-    ``starts``: (sid, token). A path stops early when its token has no
+    ``starts``: (keys..., token). A path stops early when its token has no
     continuation. The frontier (one row per live distinct start) is written
     to the shared checkpoint folder each round, so lineage stays short and a
     lost executor recomputes at most one round."""
@@ -83,23 +83,23 @@ def greedy_decode(starts: DataFrame, best: DataFrame, max_steps: int = MAX_STEPS
             break
         steps.append(frontier.select("start", F.lit(k).cast("bigint").alias("step"), "token"))
     if not steps:
-        return starts.sparkSession.createDataFrame([], "sid bigint, step bigint, token string")
+        return starts.select(*keys, F.lit(0).cast("bigint").alias("step"), "token").limit(0)
     paths = steps[0]
     for s in steps[1:]:
         paths = paths.unionByName(s)
-    return starts.select("sid", F.col("token").alias("start")).join(paths, "start", "inner") \
-                 .select("sid", "step", "token")
+    return starts.select(*keys, F.col("token").alias("start")).join(paths, "start", "inner") \
+                 .select(*keys, "step", "token")
 
 
-def decoded_text(decoded: DataFrame, eos: str = EOS) -> DataFrame:
-    """(sid, hypothesis, n_steps, finished): tokens in step order, ``eos``
-    dropped, and whether the path reached ``eos``."""
-    g = decoded.groupBy("sid").agg(
+def decoded_text(decoded: DataFrame, eos: str = EOS, keys: Sequence[str] = ("sid",)) -> DataFrame:
+    """(keys..., hypothesis, n_steps, finished): tokens in step order,
+    ``eos`` dropped, and whether the path reached ``eos``."""
+    g = decoded.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("step", "token"))).alias("s"),
         F.max("step").alias("n_steps"),
         F.max(F.when(F.col("token") == eos, 1).otherwise(0)).alias("fin"))
     words = F.filter(F.transform("s", lambda x: x["token"]), lambda t: t != eos)
-    return g.select("sid", F.array_join(words, " ").alias("hypothesis"), "n_steps",
+    return g.select(*keys, F.array_join(words, " ").alias("hypothesis"), "n_steps",
                     (F.col("fin") == 1).alias("finished"))
 
 

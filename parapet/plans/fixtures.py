@@ -109,3 +109,32 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(F.col("user_id").alias("run"), "ts", "event_id", "value")
     hour = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(3_600_000_000))
     return ordinal(ev, ["run"], ["ts", "event_id"], hour, "epoch", base=1).select("run", "epoch", "value")
+
+
+HELD_OUT_REF = "src19"      # the dataset whose references are missing
+
+
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(split, direction, dataset, src, ref): the nested manifest map built
+    from the distinct (lang, source) of documents, then exploded (S4)."""
+    from parapet.sources.manifest import explode_manifest
+    d = table(spark, sf_dir, "documents").filter(F.col("lang") != SOURCE_LANG) \
+        .select("lang", "source").distinct()
+    leaf = F.struct(F.concat(F.col("source"), F.lit("/" + SOURCE_LANG)).alias("src"),
+                    F.when(F.col("source") == HELD_OUT_REF, F.lit(None).cast("string"))
+                     .otherwise(F.concat(F.col("source"), F.lit("/"), F.col("lang"))).alias("ref"))
+    per_dir = d.select(F.concat(F.lit(SOURCE_LANG + "__"), F.col("lang")).alias("direction"),
+                       F.struct(F.col("source"), leaf).alias("e")) \
+               .groupBy("direction").agg(F.map_from_entries(F.collect_list("e")).alias("sets"))
+    nested = per_dir.agg(F.create_map(F.lit("test"), F.map_from_entries(
+        F.collect_list(F.struct("direction", "sets")))).alias("m"))
+    return explode_manifest(nested, "m")
+
+
+def eval_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, line_no, line): one virtual file per (source, lang): that
+    source's documents in that language, concatenated in doc_id order."""
+    from parapet.operators import corpus as c
+    il = c.concat_files(lines(spark, sf_dir), by=["source", "lang"], file_col="doc_id", name="pos")
+    return il.select(F.concat(F.col("source"), F.lit("/"), F.col("lang")).alias("path"),
+                     F.col("pos").alias("line_no"), "line")

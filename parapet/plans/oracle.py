@@ -225,3 +225,52 @@ LEFT JOIN (SELECT pair_id, side, list(v.id ORDER BY w.pos) AS ids
            FROM pair_words w JOIN word_vocab v ON v.word = w.word GROUP BY pair_id, side) x
   ON x.pair_id = p.pair_id AND x.side = p.side
 """, ("pairs", "pair_words", "word_vocab"))
+
+cte("manifest", """
+SELECT 'test' AS split, 'en__' || lang AS direction, source AS dataset, source || '/en' AS src,
+       CASE WHEN source = 'src19' THEN NULL ELSE source || '/' || lang END AS ref
+FROM (SELECT DISTINCT lang, source FROM documents WHERE lang <> 'en')
+""")
+
+cte("eval_files", """
+SELECT source || '/' || lang AS path,
+       CAST(row_number() OVER (PARTITION BY source, lang ORDER BY doc_id, line_no) - 1 AS BIGINT) AS line_no, line
+FROM lines
+""", ("lines",))
+
+cte("eval_sets", """
+SELECT m.direction, m.dataset, s.line_no, s.line AS src,
+       CASE WHEN m.ref IS NULL THEN NULL ELSE coalesce(r.line, '') END AS ref
+FROM manifest m JOIN eval_files s ON s.path = m.src
+LEFT JOIN eval_files r ON r.path = m.ref AND r.line_no = s.line_no
+""", ("manifest", "eval_files"))
+
+cte("eval_walk", """
+SELECT token AS start, 0 AS step, token FROM (
+  SELECT DISTINCT list_filter(string_split(src, ' '), lambda w: w <> '')[1] AS token FROM eval_sets
+  WHERE len(list_filter(string_split(src, ' '), lambda w: w <> '')) > 0)
+UNION ALL
+SELECT d.start, d.step + 1, b.next FROM eval_walk d JOIN best_next b ON b.prev = d.token
+WHERE d.step < 12 AND (d.step = 0 OR d.token <> '</s>')
+""", ("eval_sets", "best_next"))
+
+cte("translations", """
+SELECT e.direction, e.dataset, e.line_no, e.src, e.ref,
+       coalesce(h.hypothesis, '') AS hypothesis, CAST(coalesce(h.n_steps, 0) AS BIGINT) AS n_steps,
+       coalesce(h.finished, false) AS finished
+FROM eval_sets e
+LEFT JOIN (
+  SELECT start,
+         array_to_string(list_filter([x.token FOR x IN list_sort(list({'step': step, 'token': token}))],
+                                     lambda t: t <> '</s>'), ' ') AS hypothesis,
+         max(step) AS n_steps, bool_or(token = '</s>') AS finished
+  FROM eval_walk WHERE step >= 1 GROUP BY start) h
+  ON h.start = list_filter(string_split(e.src, ' '), lambda w: w <> '')[1]
+""", ("eval_sets", "eval_walk"))
+
+cte("eval_hr", """
+SELECT direction || '/' || dataset AS evalset, line_no AS sid,
+       list_filter(string_split(hypothesis, ' '), lambda w: w <> '') AS hyp,
+       list_filter(string_split(ref, ' '), lambda w: w <> '') AS ref
+FROM translations WHERE ref IS NOT NULL
+""", ("translations",))

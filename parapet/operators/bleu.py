@@ -51,8 +51,8 @@ def _grams(tokens: Column, side: int, max_n: int) -> Column:
         # sequence(1, 0) would count down: clamp, then keep starts that fit
         starts = F.filter(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: i + (n - 1) <= size)
         return F.transform(starts, lambda i: F.struct(
-            F.lit(side).alias("side"), F.lit(n).alias("n"),
-            F.array_join(F.slice(tokens, i, n), SEP).alias("g")))
+            F.lit(side).alias("__side"), F.lit(n).alias("__n"),
+            F.array_join(F.slice(tokens, i, n), SEP).alias("__g")))
 
     return F.concat(*[of_order(n) for n in range(1, max_n + 1)])
 
@@ -65,11 +65,11 @@ def sentence_stats(df: DataFrame, group: Sequence[str], sid: Sequence[str], hyp:
     d = d.repartition(partitions, *keys) if partitions else d.repartition(*keys)
     lens = d.select(*keys, F.size("__h").alias("hyp_len"), F.size("__r").alias("ref_len"))
     g = d.select(*keys, F.explode(F.concat(_grams(F.col("__h"), 0, max_n), _grams(F.col("__r"), 1, max_n)))
-                 .alias("x")).select(*keys, "x.n", "x.g", "x.side")
-    counts = g.groupBy(*keys, "n", "g").agg(
-        F.sum(1 - F.col("side")).alias("hc"), F.sum(F.col("side")).alias("rc"))
-    per_n = counts.groupBy(*keys, "n").agg(
-        F.sum(F.least("hc", "rc")).alias("correct"), F.sum("hc").alias("total"))
+                 .alias("__x")).select(*keys, "__x.__n", "__x.__g", "__x.__side")
+    counts = g.groupBy(*keys, "__n", "__g").agg(
+        F.sum(1 - F.col("__side")).alias("__hc"), F.sum(F.col("__side")).alias("__rc"))
+    per_n = counts.groupBy(*keys, "__n").agg(
+        F.sum(F.least("__hc", "__rc")).alias("correct"), F.sum("__hc").alias("total"))
     return per_n, lens
 
 
@@ -77,7 +77,7 @@ def corpus_bleu(df: DataFrame, group: Sequence[str], sid: Sequence[str], hyp: Co
                 max_n: int = MAX_ORDER, partitions: int | None = None) -> DataFrame:
     """(group..., bleu, bp, hyp_len, ref_len, p1..p4) per group (A5)."""
     per_n, lens = sentence_stats(df, group, sid, hyp, ref, max_n, partitions)
-    agg = [F.sum(F.when(F.col("n") == n, F.col(c)).otherwise(0)).cast("bigint").alias(f"{c[0]}{n}")
+    agg = [F.sum(F.when(F.col("__n") == n, F.col(c)).otherwise(0)).cast("bigint").alias(f"{c[0]}{n}")
            for n in range(1, max_n + 1) for c in ("correct", "total")]
     stats = per_n.groupBy(*group).agg(*agg)
     length = lens.groupBy(*group).agg(F.sum("hyp_len").cast("bigint").alias("hyp_len"),

@@ -26,47 +26,88 @@ def lines_from_text(df: DataFrame, text_col: str = "text", keep: Sequence[str] =
 
 
 def concat_files(lines: DataFrame, by: Sequence[str], file_col: str, block: Column | None = None,
-                 name: str = "idx") -> DataFrame:
+                 name: str = "idx", totals: bool = False):
     """Concatenate the files of each ``by`` group in ``file_col`` order.
 
     ``name`` = lines of the earlier files of the group + ``line_no``. Offsets
     are computed on one row per file, so the scan never holds a whole group.
     ``block`` must be non-decreasing in ``file_col`` (default: a range of
-    integer file ids)."""
+    integer file ids). With ``totals`` also return (by..., total) lines."""
     if block is None:
         block = F.floor(F.col(file_col) / DEFAULT_FILES_PER_BLOCK)
     counts = lines.groupBy(*by, file_col).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = running_offset(counts, by, [file_col], block, F.col("__n"), "__file_off").drop("__n")
-    return (lines.join(offsets, on=[*by, file_col], how="inner")
-                 .withColumn(name, (F.col("__file_off") + F.col("line_no")).cast("bigint"))
-                 .drop("__file_off"))
+    offsets, sizes = running_offset(counts, by, [file_col], block, F.col("__n"), "__file_off", totals=True)
+    out = (lines.join(offsets.drop("__n"), on=[*by, file_col], how="inner")
+                .withColumn(name, (F.col("__file_off") + F.col("line_no")).cast("bigint"))
+                .drop("__file_off"))
+    return (out, sizes) if totals else out
 
 
 def zip_join(sl: DataFrame, tl: DataFrame, how: str = "inner", key: Sequence[str] = ("direction",),
-             pad: str = "") -> DataFrame:
+             pad: str = "", sizes: DataFrame | None = None) -> DataFrame:
     """Positional join of source and target lines.
 
     ``sl``: (*key, idx, sl); ``tl``: (*key, idx, tl). ``inner`` stops at the
     shorter side; ``left`` keeps every source line and pads a missing target
-    with ``pad``. If ``sl`` lacks the key columns it is shared by all keys of
-    ``tl`` (one join serves every direction for ``inner``)."""
+    with ``pad``. If ``sl`` lacks the key column it is shared by all keys of
+    ``tl``: one join on ``idx`` serves every direction, and for ``left`` the
+    padding rows are the source lines at or past each direction's length
+    (``sizes``: (key, n), computed from ``tl`` if not given) - no second
+    join, and no shuffle when both sides are partitioned by ``idx``."""
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     key = [k for k in key if k in tl.columns]
     shared = [k for k in key if k not in sl.columns]
+    if how == "left" and not shared:
+        out = sl.join(tl, on=key + ["idx"], how="left").withColumn("tl", F.coalesce(F.col("tl"), F.lit(pad)))
+        return out.select(*key, "idx", *[c for c in out.columns if c not in (*key, "idx")])
+    out = sl.join(tl, on=[k for k in key if k in sl.columns] + ["idx"], how="inner")
+    out = out.select(*key, "idx", *[c for c in out.columns if c not in (*key, "idx")])
     if how == "inner":
-        out = sl.join(tl, on=[k for k in key if k in sl.columns] + ["idx"], how="inner")
-    else:
-        if shared:
-            # every source line appears once per target key: replicate over
-            # the few distinct key values, then join on key + idx.
-            if len(shared) != 1:
-                raise ValueError("a shared source side supports one key column")
-            values = distinct_values(tl, shared[0])
-            sl = sl.withColumn(shared[0], F.explode(F.array(*[F.lit(v) for v in values])))
-        out = sl.join(tl, on=key + ["idx"], how="left") \
-                .withColumn("tl", F.coalesce(F.col("tl"), F.lit(pad)))
-    return out.select(*key, "idx", *[c for c in out.columns if c not in (*key, "idx")])
+        return out
+    if len(shared) != 1:
+        raise ValueError("a shared source side supports one key column")
+    k = shared[0]
+    if sizes is None:
+        sizes = tl.groupBy(k).agg((F.max("idx") + 1).alias("n"))
+    bounds = bounded_rows(sizes.select(k, "n"), 10_000)
+    pads = (sl.withColumn("__d", F.explode(F.array(*[F.struct(F.lit(r[0]).alias("k"), F.lit(r[1]).alias("n"))
+                                                      for r in bounds])))
+              .filter(F.col("idx") >= F.col("__d.n"))
+              .select(F.col("__d.k").alias(k), "idx", *[c for c in sl.columns if c != "idx"])
+              .withColumn("tl", F.lit(pad)))
+    return out.unionByName(pads.select(*out.columns))
+
+
+def zip_by_position(lines: DataFrame, src_lang: str, tgt_langs: Sequence[str], how: str = "inner",
+                    pad: str = "", lang: str = "lang") -> DataFrame:
+    """Zip one source language against several targets in one pass.
+
+    ``lines``: (lang, idx, line). Every position gathers its lines of all
+    languages in one ``groupBy(idx)`` (a group holds at most one line per
+    language), and one row per direction is emitted: (direction, idx, sl,
+    tl). One scan and one shuffle of the lines serve every direction; no
+    self-join. ``inner`` needs both lines; ``left`` pads a missing target."""
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
+    g = lines.groupBy("idx").agg(F.map_from_entries(F.collect_list(F.struct(F.col(lang), F.col("line")))).alias("__m"))
+    outs = F.array(*[F.struct(F.lit(f"{src_lang}{T.DIRECTION_SEP}{t}").alias("direction"),
+                              F.col("__m")[t].alias("tl")) for t in tgt_langs])
+    z = (g.filter(F.col("__m")[src_lang].isNotNull())
+          .select("idx", F.col("__m")[src_lang].alias("sl"), F.explode(outs).alias("__o"))
+          .select(F.col("__o.direction").alias("direction"), "idx", "sl", F.col("__o.tl").alias("tl")))
+    if how == "inner":
+        return z.filter(F.col("tl").isNotNull())
+    return z.withColumn("tl", F.coalesce("tl", F.lit(pad)))
+
+
+def bounded_rows(df: DataFrame, max_rows: int) -> list:
+    """Collect a small table (directions, languages), refusing more than
+    ``max_rows`` rows."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"expected at most {max_rows} rows, found more")
+    return sorted(tuple(r) for r in rows)
 
 
 def distinct_values(df: DataFrame, col: str, max_values: int = 10_000) -> list:
@@ -91,13 +132,16 @@ def tag_language(df: DataFrame, multi: bool | Column | None = None) -> DataFrame
                                 .otherwise(F.col("sl")))
 
 
-def union_directions(df: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+def union_directions(df: DataFrame, order: Sequence[str] | None = None,
+                     sizes: DataFrame | None = None) -> DataFrame:
     """Concatenate per-direction corpora in direction order.
 
     Adds ``pair_id``: the line's position in the concatenation (lines of
     earlier directions + ``idx``). Direction order defaults to the sorted
-    names; a list fixes it explicitly."""
-    counts = df.groupBy("direction").agg(F.max("idx").alias("__last"))
+    names; a list fixes it explicitly. ``sizes`` (direction, n) can be given
+    when known more cheaply than by counting ``df``."""
+    if sizes is None:
+        sizes = df.groupBy("direction").agg((F.max("idx") + 1).alias("n"))
     if order is None:
         rank = F.col("direction")
     else:
@@ -105,8 +149,7 @@ def union_directions(df: DataFrame, order: Sequence[str] | None = None) -> DataF
         rank = pos[F.col("direction")]
     w = Window.orderBy(rank).rowsBetween(Window.unboundedPreceding, -1)
     # one row per direction: the window over it is tiny by construction
-    starts = counts.select("direction", rank.alias("dir_idx"),
-                           F.coalesce(F.sum(F.col("__last") + 1).over(w), F.lit(0)).alias("__start"))
+    starts = sizes.select("direction", F.coalesce(F.sum(F.col("n")).over(w), F.lit(0)).alias("__start"))
     return (df.join(F.broadcast(starts), "direction")
               .withColumn("pair_id", (F.col("__start") + F.col("idx")).cast("bigint"))
               .drop("__start"))

@@ -18,12 +18,28 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def logsumexp(values) -> Column:
+    """``ln(sum(exp(v)))`` in one pass (running max and rescaled sum)."""
+    start = F.struct(F.lit(float("-inf")).alias("m"), F.lit(0.0).alias("s"))
+
+    def step(acc, v):
+        m = F.greatest(acc["m"], v)
+        return F.struct(m.alias("m"), (acc["s"] * F.exp(acc["m"] - m) + F.exp(v - m)).alias("s"))
+
+    return F.aggregate(_c(values), start, step, lambda acc: acc["m"] + F.log(acc["s"]))
+
+
+def _minus_each(values: Column, scalar: Column) -> Column:
+    # a per-row scalar used inside a lambda would be re-evaluated for every
+    # element; zipping it in as a repeated array evaluates it once per row
+    z = F.arrays_zip(values.alias("v"), F.array_repeat(scalar, F.size(values)).alias("k"))
+    return F.transform(z, lambda e: e["v"] - e["k"])
+
+
 def log_softmax(logits) -> Column:
-    """``z - max - ln(sum(exp(z - max)))`` over the array."""
+    """``z - logsumexp(z)`` over the array."""
     a = _c(logits)
-    mx = F.array_max(a)
-    lse = F.log(F.aggregate(a, F.lit(0.0).cast("double"), lambda s, z: s + F.exp(z - mx)))
-    return F.transform(a, lambda z: z - mx - lse)
+    return _minus_each(a, logsumexp(a))
 
 
 def vocab_limit(logits, k: int | None) -> Column:
@@ -64,14 +80,11 @@ def ensemble_average(df: DataFrame, keys: Sequence[str], logprobs: str, n_models
     members = F.col("__m")
 
     def at(i):
-        col_i = F.transform(members, lambda a: a[i])
-        mx = F.array_max(col_i)
-        total = F.aggregate(col_i, F.lit(0.0).cast("double"), lambda s, v: s + F.exp(v - mx))
-        return mx + F.log(total) - F.col("__lnm")
+        return logsumexp(F.transform(members, lambda a: a[i]))
 
     width = F.size(members[0])
-    avg = F.transform(F.sequence(F.lit(0), width - 1), at)
-    return g.select(*keys, avg.alias("avg_logprobs"))
+    total = F.transform(F.sequence(F.lit(0), width - 1), at)
+    return g.select(*keys, _minus_each(total, F.col("__lnm")).alias("avg_logprobs"))
 
 
 def ensemble_step(scores: DataFrame, keys: Sequence[str], step: str, model: str, logits: str,

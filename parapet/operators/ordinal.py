@@ -28,11 +28,16 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
 
 def running_offset(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
                    block: Column, weight: Column | None = None,
-                   name: str = "offset") -> DataFrame:
+                   name: str = "offset", totals: bool = False):
     """Add ``name`` = exclusive running sum of ``weight`` (default 1) within
     ``by``, in ``order``. ``order`` must be unique within ``by`` and
-    ``block`` must be non-decreasing along it."""
-    weight = F.lit(1).cast("bigint") if weight is None else weight.cast("bigint")
+    ``block`` must be non-decreasing along it. With ``totals`` also return
+    (by..., total) per group."""
+    weight = F.lit(1).cast("bigint") if weight is None else F.coalesce(weight.cast("bigint"), F.lit(0))
+    # a non-null block: no inferred null filter splits the plan in two
+    btype = block_type(df, block)
+    if not btype.startswith("struct"):
+        block = F.coalesce(block, F.lit(0).cast(btype))
     d = df.withColumn(_BLOCK, block).withColumn(_W, weight)
     keys = list(by) + [_BLOCK]
 
@@ -40,14 +45,22 @@ def running_offset(df: DataFrame, by: Sequence[str], order: Sequence[str | Colum
         Window.unboundedPreceding, -1)
     d = d.withColumn("__local", F.coalesce(F.sum(_W).over(in_block), F.lit(0)))
 
-    totals = d.groupBy(*keys).agg(F.sum(_W).alias("__tot"))
+    # block totals from the window's output: same partitioning, no new shuffle
+    per_block = d.groupBy(*keys).agg(F.sum(_W).alias("__tot"))
     across = Window.partitionBy(*by).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1) \
         if by else Window.orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(*keys, F.coalesce(F.sum("__tot").over(across), F.lit(0)).alias("__start"))
+    starts = per_block.select(*keys, F.coalesce(F.sum("__tot").over(across), F.lit(0)).alias("__start"))
 
-    return (d.join(starts, on=keys, how="inner")
-             .withColumn(name, (F.col("__start") + F.col("__local")).cast("bigint"))
-             .drop(_BLOCK, _W, "__local", "__start"))
+    out = (d.join(starts, on=keys, how="inner")
+            .withColumn(name, (F.col("__start") + F.col("__local")).cast("bigint"))
+            .drop(_BLOCK, _W, "__local", "__start"))
+    if not totals:
+        return out
+    return out, per_block.groupBy(*by).agg(F.sum("__tot").cast("bigint").alias("total"))
+
+
+def block_type(df: DataFrame, block: Column) -> str:
+    return df.select(block.alias("b")).schema["b"].dataType.simpleString()
 
 
 def ordinal(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],

@@ -6,7 +6,7 @@ with the tables. The matching DuckDB definitions live in ``oracle.py``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parapet.operators import corpus
@@ -24,20 +24,68 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.lines_from_text(docs, "text", keep=["doc_id", "lang", "source"])
 
 
+_INDEX: dict = {}
+
+
+def doc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(lang, doc_id, first, n): where each document's lines start in the
+    concatenation of its language, and how many it has. Thin (one row per
+    document) and materialised once in the shared checkpoint folder, so
+    every consumer reads the same numbering (SURVEY 7.4)."""
+    from parapet.operators.ordinal import running_offset
+    from parapet.session import cut_lineage
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _INDEX:
+        return _INDEX[key]
+    docs = table(spark, sf_dir, "documents")
+    n = F.length("text") - F.length(F.regexp_replace("text", "\n", "")) + 1
+    counts = docs.select("lang", "doc_id", n.cast("bigint").alias("n"))
+    block = F.floor(F.col("doc_id") / corpus.DEFAULT_FILES_PER_BLOCK)
+    _INDEX[key] = cut_lineage(running_offset(counts, ["lang"], ["doc_id"], block, F.col("n"), "first"))
+    return _INDEX[key]
+
+
 def indexed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lines`` plus ``idx``: position in the concatenation of the
-    language's documents in doc_id order."""
-    return corpus.concat_files(lines(spark, sf_dir), by=["lang"], file_col="doc_id")
-
-
-def zip_pairs(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
-    """(direction, idx, sl, tl): English lines against each other language."""
-    il = indexed_lines(spark, sf_dir)
-    sl = il.filter(F.col("lang") == SOURCE_LANG).select("idx", F.col("line").alias("sl"))
-    tl = il.filter(F.col("lang") != SOURCE_LANG).select(
-        F.concat(F.lit(SOURCE_LANG + "__"), F.col("lang")).alias("direction"), "idx",
-        F.col("line").alias("tl"))
-    return corpus.zip_join(sl, tl, how=how)
+    language's documents in doc_id order (U2)."""
+    idx = doc_index(spark, sf_dir).select("lang", "doc_id", "first")
+    return lines(spark, sf_dir).join(idx, ["lang", "doc_id"]) \
+        .withColumn("idx", (F.col("first") + F.col("line_no")).cast("bigint")).drop("first")
+
+
+def target_langs(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Languages paired with English (a scan of the ``lang`` column only)."""
+    docs = table(spark, sf_dir, "documents").filter(F.col("lang") != SOURCE_LANG)
+    return corpus.distinct_values(docs, "lang")
+
+
+def zip_pairs(spark: SparkSession, sf_dir: str, how: str = "inner", with_sizes: bool = False):
+    """(direction, idx, sl, tl): English lines against each other language.
+    With ``with_sizes`` also (direction, n): pairs per direction, from the
+    per-language line totals of the index (inner: the shorter side; left:
+    English)."""
+    tgts = target_langs(spark, sf_dir)
+    il = indexed_lines(spark, sf_dir).select("lang", "idx", "line")
+    z = corpus.zip_by_position(il, SOURCE_LANG, tgts, how)
+    if not with_sizes:
+        return z
+    totals = doc_index(spark, sf_dir).groupBy("lang").agg(F.sum("n").alias("total"))
+    # one row per language: a window over the whole (tiny) table brings the
+    # English total to every row
+    n_en = F.max(F.when(F.col("lang") == SOURCE_LANG, F.col("total"))).over(Window.partitionBy())
+    other = totals.withColumn("n_en", n_en).filter(F.col("lang") != SOURCE_LANG)
+    n = F.least("n_en", "total") if how == "inner" else F.col("n_en")
+    sizes = other.select(F.concat(F.lit(SOURCE_LANG + "__"), F.col("lang")).alias("direction"), n.alias("n"))
+    return z, sizes
+
+
+def prepared(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFrame:
+    """Zip -> tag -> union: (direction, idx, pair_id, sl, tl), the corpus the
+    split draws from. The tag decision and the direction sizes come from
+    cheap side tables, so the zip itself is computed once."""
+    z, sizes = zip_pairs(spark, sf_dir, how, with_sizes=True)
+    tagged = corpus.tag_language(z, multi=len(target_langs(spark, sf_dir)) > 1)
+    return corpus.union_directions(tagged, sizes=sizes)
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

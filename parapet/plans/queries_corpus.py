@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from parapet.functions import text as T
-from parapet.operators import corpus
 from parapet.plans import fixtures as fx
 from parapet.plans.catalog import query
 from parapet.plans.oracle import with_
@@ -20,8 +18,7 @@ GROUP BY direction
 """)
 def corpus_by_direction(spark, sf_dir):
     """Slice 0: lines -> concat -> zip -> tag -> union -> per-direction totals."""
-    z = fx.zip_pairs(spark, sf_dir, "inner")
-    u = corpus.union_directions(corpus.tag_language(z))
+    u = fx.prepared(spark, sf_dir, "inner")
     return u.groupBy("direction").agg(
         F.count(F.lit(1)).alias("n_pairs"),
         F.sum(F.length("sl")).cast("bigint").alias("sl_chars"),

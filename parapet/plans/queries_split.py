@@ -67,8 +67,7 @@ SELECT direction, idx, CAST(row_number() OVER (ORDER BY direction, idx) - 1 AS B
 FROM tagged
 """)
 def union_directions(spark, sf):
-    u = corpus.union_directions(corpus.tag_language(fx.zip_pairs(spark, sf, "inner")))
-    return u.select("direction", "idx", "pair_id", "sl", "tl")
+    return fx.prepared(spark, sf, "inner").select("direction", "idx", "pair_id", "sl", "tl")
 
 
 @query("parse_direction", with_("zip") + """
@@ -164,7 +163,7 @@ def line_at(spark, sf):
 
 def _prepared(spark, sf):
     """Left-padded zip, tagged, union of directions: the corpus to split."""
-    return corpus.union_directions(corpus.tag_language(fx.zip_pairs(spark, sf, "left")))
+    return fx.prepared(spark, sf, "left")
 
 
 @query("split_sets", with_("corpus") + f"""

@@ -19,7 +19,7 @@ BATCH = 32
 
 def _train_lines(spark, sf):
     """Both sides of the train split of the prepared corpus."""
-    c = corpus.union_directions(corpus.tag_language(fx.zip_pairs(spark, sf, "left")))
+    c = fx.prepared(spark, sf, "left")
     tr = sampling.train_valid_split(c, N_VALID, SEED, ["pair_id"]).filter(F.col("split") == "train")
     return tr.select(F.col("sl").alias("line")).unionByName(tr.select(F.col("tl").alias("line")))
 

@@ -105,17 +105,19 @@ def decoded_text(decoded: DataFrame, eos: str = EOS, keys: Sequence[str] = ("sid
 
 # ---- opaque scorers -------------------------------------------------------
 
-Scorer = Callable[[list[str], list[list[int]]], np.ndarray]
+Scorer = Callable[..., np.ndarray]
 
 
 def greedy_decode_batch(df: DataFrame, members: Sequence[Scorer], eos_id: int,
-                        max_steps: int = MAX_STEPS, vocab: int | None = None) -> DataFrame:
+                        max_steps: int = MAX_STEPS, vocab: int | None = None,
+                        context: str | None = None) -> DataFrame:
     """Greedy ensemble decoding with opaque scorers.
 
-    ``df``: (sid bigint, src string). Each member maps (sources, prefixes)
-    to next-token logits ``[batch, vocab]``; members are averaged in
-    probability space (log-sum-exp - ln M) and the arg-max is appended until
-    ``eos_id`` or ``max_steps``. Runs per Arrow batch on the executors."""
+    ``df``: (sid bigint, src string[, context]). Each member maps (sources,
+    prefixes[, contexts]) to next-token logits ``[batch, vocab]``; members
+    are averaged in probability space (log-sum-exp - ln M) and the arg-max
+    is appended until ``eos_id`` or ``max_steps``. Runs per Arrow batch on
+    the executors: the loop never leaves the batch's task."""
     members = list(members)
     if not members:
         raise ValueError("no ensemble member is available")
@@ -124,6 +126,7 @@ def greedy_decode_batch(df: DataFrame, members: Sequence[Scorer], eos_id: int,
     def run(batches):
         for pdf in batches:
             srcs = pdf["src"].tolist()
+            ctxs = pdf[context].tolist() if context else None
             prefixes: list[list[int]] = [[] for _ in srcs]
             live = np.ones(len(srcs), dtype=bool)
             for _ in range(max_steps):
@@ -133,8 +136,9 @@ def greedy_decode_batch(df: DataFrame, members: Sequence[Scorer], eos_id: int,
                 sub_src = [srcs[i] for i in idx]
                 sub_pre = [prefixes[i] for i in idx]
                 stack = []
+                extra = ([[ctxs[i] for i in idx]] if context else [])
                 for member in members:
-                    z = np.asarray(member(sub_src, sub_pre), dtype=np.float64)
+                    z = np.asarray(member(sub_src, sub_pre, *extra), dtype=np.float64)
                     if vocab is not None:
                         z = z[:, :vocab]
                     mx = z.max(axis=1, keepdims=True)
@@ -149,4 +153,5 @@ def greedy_decode_batch(df: DataFrame, members: Sequence[Scorer], eos_id: int,
                         live[i] = False
             yield pd.DataFrame({"sid": pdf["sid"].to_numpy(), "ids": prefixes})
 
-    return df.select("sid", "src").mapInPandas(run, "sid bigint, ids array<bigint>")
+    cols = ["sid", "src"] + ([context] if context else [])
+    return df.select(*cols).mapInPandas(run, "sid bigint, ids array<bigint>")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from parapet.operators import ensemble as ens
+from parapet.operators import decode, ensemble as ens
 from parapet.plans import fixtures as fx
 from parapet.plans.catalog import query
 from parapet.plans.oracle import with_
@@ -112,3 +112,50 @@ def ensemble_step(spark, sf):
     m = members.filter("available").select(F.count(F.lit(1))).scalar()
     out = ens.ensemble_step(sl, ["sid"], "step", "model", "logits", m)
     return out.select("sid", "token_id", F.round("logprob", 6).alias("logprob"))
+
+
+OPAQUE_EOS = 0
+OPAQUE_STEPS = 5
+
+
+def _member(m: int):
+    """An opaque scorer: member ``m`` returns, for each sentence, its own
+    logits for the step equal to the prefix length (read from the row's
+    context)."""
+    def score(srcs, prefixes, ctxs):
+        out = []
+        for prefix, ctx in zip(prefixes, ctxs):
+            step = len(prefix) % OPAQUE_STEPS
+            out.append(next(e["logits"] for e in ctx if e["model"] == m and e["step"] == step))
+        return out
+    return score
+
+
+@query("opaque_decode", with_("step_logits") + f""", lp AS (
+  SELECT sid, step, model, token_id, logit - mx - ln(se) AS lp FROM (
+    SELECT *, sum(exp(logit - mx)) OVER (PARTITION BY sid, step, model) AS se FROM (
+      SELECT *, max(logit) OVER (PARTITION BY sid, step, model) AS mx FROM step_logits))
+), avg AS (
+  SELECT sid, step, token_id, mx + ln(sum(exp(lp - mx))) - ln(4) AS a FROM (
+    SELECT *, max(lp) OVER (PARTITION BY sid, step, token_id) AS mx FROM lp)
+  GROUP BY sid, step, token_id, mx
+), best AS (
+  SELECT sid, step, token_id FROM (
+    SELECT *, row_number() OVER (PARTITION BY sid, step ORDER BY a DESC, token_id) AS r FROM avg) WHERE r = 1
+), cut AS (
+  SELECT *, coalesce(min(CASE WHEN token_id = {OPAQUE_EOS} THEN step END) OVER (PARTITION BY sid), {OPAQUE_STEPS})
+         AS stop FROM best
+)
+SELECT sid, CAST(count(*) AS BIGINT) AS n_ids, array_to_string(list(token_id ORDER BY step), ' ') AS ids
+FROM cut WHERE step <= stop GROUP BY sid
+""")
+def opaque_decode(spark, sf):
+    """E1/E4 with opaque scorers (X3): greedy ensemble decoding inside
+    ``mapInPandas``; each sentence carries its members' outputs as context."""
+    sl = fx.step_logits(spark, sf)
+    members = ens.available_members(sl, DECLARED).filter("available").select("model").collect()
+    scorers = [_member(int(r[0])) for r in sorted(members, key=lambda r: int(r[0]))]
+    ctx = sl.groupBy("sid").agg(F.collect_list(F.struct("model", "step", "logits")).alias("ctx")) \
+            .select("sid", F.col("sid").cast("string").alias("src"), "ctx")
+    out = decode.greedy_decode_batch(ctx, scorers, OPAQUE_EOS, OPAQUE_STEPS, context="ctx")
+    return out.select("sid", F.size("ids").cast("bigint").alias("n_ids"), F.array_join("ids", " ").alias("ids"))

@@ -30,6 +30,10 @@ def get_session(master: str | None = None, app: str = "parapet",
     settings = dict(DEFAULT_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # local mode runs every task in the driver JVM: give it the heap a
+        # small executor fleet would have (clusters size executors themselves)
+        settings["spark.driver.memory"] = os.environ.get("PARAPET_DRIVER_MEMORY", "12g")
     settings.update(conf or {})
     for k, v in settings.items():
         builder = builder.config(k, v)

@@ -8,11 +8,12 @@ the driver and accepts several merges at once when that provably equals
 merging one at a time:
 
 * the top pair is always next;
-* a following pair (c, d) is next too while c and d occur in no accepted
-  pair, it creates a new symbol, and its count is strictly greater than any
-  pair a merge in the batch can create: such a pair (x, ab) or (ab, y) is
-  bounded by the count of a pair ending in a or starting with b (pairs
-  outside the top K are bounded by the K-th count).
+* a following pair (c, d) is next too while its count is unchanged by the
+  accepted merges (an occurrence of (c, d) overlaps one of (a, b) only when
+  c == b or d == a), it creates a new symbol, and its count is strictly
+  greater than any pair a merge in the batch can create: such a pair
+  (x, ab) or (ab, y) is bounded by the count of a pair ending in a or
+  starting with b (pairs outside the top K are bounded by the K-th count).
 
 Ties are broken as the public byte-level trainer does: larger count first,
 then smaller (left id, right id), ids being specials, then the 256 byte
@@ -121,13 +122,15 @@ def select_batch(top: list[tuple[int, int, int]], complete: bool, model: BpeMode
     known = {tb: i for i, tb in enumerate(model.token_bytes)}
     floor_ = 0 if complete else top[-1][2]
     accepted: list[tuple[int, int]] = []
-    lefts, rights, used = set(), set(), set()
+    lefts, rights = set(), set()
     for a, b, c in top:
         if len(accepted) >= room or c <= 0:
             break
         product = model.token_bytes[a] + model.token_bytes[b]
         if accepted:
-            if a in used or b in used or product in known:
+            # an occurrence of (a, b) overlaps one of an accepted (x, y) only
+            # when a == y or b == x; otherwise its count is unchanged
+            if product in known or any(a == y or b == x for x, y in accepted):
                 break
             bound = floor_
             for x, y, cc in top:
@@ -137,7 +140,6 @@ def select_batch(top: list[tuple[int, int, int]], complete: bool, model: BpeMode
             if c <= bound:
                 break
         accepted.append((a, b))
-        used.update((a, b))
         lefts.add(a)
         rights.add(b)
         if product in known:

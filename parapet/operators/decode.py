@@ -27,6 +27,7 @@ from parapet.session import cut_lineage
 EOS = "</s>"
 MAX_STEPS = 12
 DIGITS = 9        # probabilities are rounded before ranking: engines agree on ties
+CHECKPOINT_EVERY = 4
 
 
 def tokens(line) -> Column:
@@ -61,33 +62,63 @@ def best_next(scores: DataFrame, n_members: int) -> DataFrame:
     return best.select("prev", F.col("b.next").alias("next"), (-F.col("b.np")).alias("p"))
 
 
+def compose_paths(pa: DataFrame, pb: DataFrame, len_a: int, eos: str = EOS) -> DataFrame:
+    """Paths of up to ``len_a + len_b`` tokens from every context: a path
+    of ``pa`` that is complete (``len_a`` tokens, not ended by ``eos``)
+    continues with the ``pb`` path of its last token. Tables: (prev, path)."""
+    last = F.element_at("path", -1)
+    go_on = (F.size("path") == len_a) & (last != eos)
+    a = pa.withColumn("__last", F.when(go_on, last))
+    b = pb.select(F.col("prev").alias("__last"), F.col("path").alias("__more"))
+    j = a.join(b, "__last", "left")
+    return j.select("prev", F.concat("path", F.coalesce("__more", F.array().cast("array<string>"))).alias("path"))
+
+
 def greedy_decode(starts: DataFrame, best: DataFrame, max_steps: int = MAX_STEPS,
-                  eos: str = EOS, keys: Sequence[str] = ("sid",)) -> DataFrame:
+                  eos: str = EOS, keys: Sequence[str] = ("sid",), stride: int = 4) -> DataFrame:
     """(keys..., step, token) for step 1.. until ``eos`` or ``max_steps``.
 
     ``starts``: (keys..., token). A path stops early when its token has no
-    continuation. The frontier (one row per live distinct start) is written
-    to the shared checkpoint folder each round, so lineage stays short and a
-    lost executor recomputes at most one round."""
-    # the transition table is read every round: materialise it once
-    best = cut_lineage(best.select("prev", "next"))
+    continuation. The transition table is composed with itself into paths
+    of ``stride`` tokens (two joins over the context table for a stride of
+    4), so the walk over the distinct start tokens takes max_steps / stride
+    rounds; the frontier is persisted each round and the result written to
+    the shared checkpoint folder."""
+    # the transition table is read by every composition: materialise it once
+    p1 = cut_lineage(best.select("prev", F.array("next").alias("path")))
+    paths, length = p1, 1
+    while length * 2 <= stride:
+        paths = cut_lineage(compose_paths(paths, paths, length, eos))
+        length *= 2
     uniq = starts.select(F.col("token").alias("start")).distinct()
     frontier = uniq.select("start", F.col("start").alias("token"))
-    steps = []
-    for k in range(1, max_steps + 1):
-        frontier = (frontier.filter(F.col("token") != eos)
-                            .join(best, F.col("token") == best["prev"], "inner")
-                            .select("start", F.col("next").alias("token")))
-        frontier = cut_lineage(frontier)
-        if frontier.isEmpty():
+    steps, cached = [], []
+    base = 0
+    while base < max_steps:
+        take = min(length, max_steps - base)
+        nxt = (frontier.filter(F.col("token") != eos)
+                       .join(paths, F.col("token") == paths["prev"], "inner")
+                       .select("start", F.slice("path", 1, take).alias("path")))
+        nxt = nxt.persist()
+        cached.append(nxt)
+        if nxt.count() == 0:
             break
-        steps.append(frontier.select("start", F.lit(k).cast("bigint").alias("step"), "token"))
+        steps.append(nxt.select("start", F.posexplode("path").alias("i", "token"))
+                        .select("start", (F.col("i") + base + 1).cast("bigint").alias("step"), "token"))
+        # only complete strides continue: a shorter path ended (eos or no context)
+        frontier = nxt.filter(F.size("path") == take).select("start", F.element_at("path", -1).alias("token"))
+        base += take
     if not steps:
+        for c in cached:
+            c.unpersist()
         return starts.select(*keys, F.lit(0).cast("bigint").alias("step"), "token").limit(0)
-    paths = steps[0]
-    for s in steps[1:]:
-        paths = paths.unionByName(s)
-    return starts.select(*keys, F.col("token").alias("start")).join(paths, "start", "inner") \
+    walked = steps[0]
+    for s_ in steps[1:]:
+        walked = walked.unionByName(s_)
+    walked = cut_lineage(walked)
+    for c in cached:
+        c.unpersist()
+    return starts.select(*keys, F.col("token").alias("start")).join(walked, "start", "inner") \
                  .select(*keys, "step", "token")
 
 

@@ -30,20 +30,24 @@ def _order(h: Column, keys: Sequence[str]) -> Column:
     return F.struct(h.alias("h"), *[F.col(k) for k in keys])
 
 
-def sample_cutoff(df: DataFrame, n: int, seed: int | str, keys: Sequence[str]):
+def sample_cutoff(df: DataFrame, n: int, seed: int | str, keys: Sequence[str], with_total: bool = False):
     """The n-th smallest ``(hash, *keys)`` as a tuple, or None if ``df`` has
-    at most ``n`` rows (then every row is in the sample)."""
+    at most ``n`` rows (then every row is in the sample). With
+    ``with_total`` return (cutoff, row count): the count comes from the
+    same pass."""
     if n <= 0:
         raise ValueError("n must be positive")
     d = df.select(hash_key(seed, keys).alias("__h"), *keys)
-    need, depth = n, 0
+    need, depth, rows = n, 0, None
     while True:
         digits = PREFIX_DIGITS * (depth + 1)
         blk = F.substring("__h", 1, digits)
         counts = sorted((r[0], r[1]) for r in d.groupBy(blk.alias("b")).count().collect())
         total = sum(c for _, c in counts)
-        if depth == 0 and total <= n:
-            return None
+        if depth == 0:
+            rows = total
+            if total <= n:
+                return (None, rows) if with_total else None
         if total < need:
             raise AssertionError("rows changed while sampling")
         acc = 0
@@ -54,8 +58,8 @@ def sample_cutoff(df: DataFrame, n: int, seed: int | str, keys: Sequence[str]):
         need -= acc
         d = d.filter(blk == b)
         if c <= SMALL_ENOUGH or digits >= 32:
-            last = d.orderBy("__h", *keys).limit(need).collect()[-1]
-            return tuple(last)
+            last = tuple(d.orderBy("__h", *keys).limit(need).collect()[-1])
+            return (last, rows) if with_total else last
         depth += 1
 
 
@@ -87,9 +91,9 @@ def train_valid_split(df: DataFrame, n_valid: int, seed: int | str, keys: Sequen
 
     Validation = the exact sample of ``n_valid`` rows; train = the rest. With
     ``check_size`` the corpus must hold more than twice ``n_valid`` lines."""
+    cutoff, total = sample_cutoff(df, n_valid, seed, keys, with_total=True)
     if check_size:
-        require(_count_more_than(df, 2 * n_valid), "Not enough training lines provided")
-    cutoff = sample_cutoff(df, n_valid, seed, keys)
+        require(total > 2 * n_valid, "Not enough training lines provided")
     return df.withColumn("split", F.when(in_sample(df, cutoff, seed, keys), F.lit("valid"))
                                    .otherwise(F.lit("train")))
 

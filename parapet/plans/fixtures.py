@@ -79,6 +79,14 @@ def zip_pairs(spark: SparkSession, sf_dir: str, how: str = "inner", with_sizes:
     return z, sizes
 
 
+def prepared_table(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFrame:
+    """``prepared``, written once per application as Parquet: multi-pass
+    consumers (the exact split) then read only the columns they need."""
+    from parapet.sources.cache import materialise_once
+    key = [spark.sparkContext.applicationId, sf_dir, how]
+    return materialise_once(spark, "prepared-corpus", key, lambda: prepared(spark, sf_dir, how))
+
+
 def prepared(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFrame:
     """Zip -> tag -> union: (direction, idx, pair_id, sl, tl), the corpus the
     split draws from. The tag decision and the direction sizes come from

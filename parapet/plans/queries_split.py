@@ -163,7 +163,7 @@ def line_at(spark, sf):
 
 def _prepared(spark, sf):
     """Left-padded zip, tagged, union of directions: the corpus to split."""
-    return fx.prepared(spark, sf, "left")
+    return fx.prepared_table(spark, sf, "left")
 
 
 @query("split_sets", with_("corpus") + f"""

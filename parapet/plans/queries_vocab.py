@@ -19,7 +19,7 @@ BATCH = 32
 
 def _train_lines(spark, sf):
     """Both sides of the train split of the prepared corpus."""
-    c = fx.prepared(spark, sf, "left")
+    c = fx.prepared_table(spark, sf, "left")
     tr = sampling.train_valid_split(c, N_VALID, SEED, ["pair_id"]).filter(F.col("split") == "train")
     return tr.select(F.col("sl").alias("line")).unionByName(tr.select(F.col("tl").alias("line")))
 
@@ -35,7 +35,8 @@ def trained_model(spark, sf, vocab_size: int = VOCAB_SIZE) -> bpe.BpeModel:
     """Train once per input and parameters; later calls load the artefact."""
     docs = fx.table(spark, sf, "documents")
     specials = _specials(spark, sf)
-    key = [input_fingerprint(docs), vocab_size, specials, SEED, N_VALID, bpe.TOP_K]
+    key = [spark.sparkContext.applicationId, input_fingerprint(docs), vocab_size, specials, SEED, N_VALID,
+           bpe.TOP_K]
 
     def build_merges():
         m = bpe.train_bpe(bpe.word_counts(_train_lines(spark, sf), "line"), vocab_size, specials)

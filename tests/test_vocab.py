@@ -61,11 +61,17 @@ def test_encode_equals_library_and_round_trips(spark, trained):
         assert back[(r["doc_id"], r["line_no"])] == r["line"]
 
 
-def test_select_batch_never_accepts_shared_symbols():
+def test_select_batch_stops_at_overlapping_pairs():
     m = bpe.new_model([])
     top = [(1, 2, 50), (3, 4, 40), (2, 5, 39), (6, 7, 10)]
-    # (3,4) is free and beats every neighbour of (1,2); (2,5) shares symbol 2
+    # (3,4) is free and beats every neighbour of (1,2); (2,5) can overlap (1,2)
     assert bpe.select_batch(top, True, m, 10) == [(1, 2), (3, 4)]
+    # (1,5) shares the left symbol only: no occurrence can overlap (1,2);
+    # (6,7) has no neighbour of an accepted pair in a complete list
+    top = [(1, 2, 50), (1, 5, 40), (6, 7, 10)]
+    assert bpe.select_batch(top, True, m, 10) == [(1, 2), (1, 5), (6, 7)]
+    # from a truncated list, a count tied with the last one is never safe
+    assert bpe.select_batch(top, False, m, 10) == [(1, 2), (1, 5)]
     # a neighbour of an accepted pair with a larger count blocks the next one
     top = [(1, 2, 50), (9, 1, 45), (3, 4, 40)]
     assert bpe.select_batch(top, True, m, 10) == [(1, 2)]

@@ -1,9 +1,10 @@
 """Byte-level BPE vocabulary training as an iterative DataFrame job (A3, A4).
 
 State is the table of distinct pre-tokens with their counts and current
-segmentation, a space-padded string of symbol ids (``" 72 101 "``), so a
-merge is one ``regexp_replace`` and pair counting is an ``explode`` plus a
-partial/final hash aggregation. Each round brings only the top-K pairs to
+segmentation, a space-padded string of symbols (``" 72 101+108 "``; a
+symbol is its ``+``-joined byte ids, so equal text is the same token), so
+a whole batch of merges is two ``regexp_replace`` passes and pair counting
+is an ``explode`` plus a partial/final hash aggregation. Each round brings only the top-K pairs to
 the driver and accepts several merges at once when that provably equals
 merging one at a time:
 
@@ -24,6 +25,9 @@ The state is checkpointed to the shared folder every few rounds.
 from __future__ import annotations
 
 from collections.abc import Sequence
+import logging
+import re
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +36,8 @@ from pyspark.sql import functions as F
 from parapet.functions.text import GPT2_PATTERN, pretokenize
 from parapet.session import cut_lineage
 
+log = logging.getLogger(__name__)
+
 TOP_K = 1000
 CHECKPOINT_EVERY = 4
 
@@ -72,16 +78,29 @@ def initial_symbols(words: DataFrame, n_special: int) -> DataFrame:
 
 
 def pair_counts(state: DataFrame) -> DataFrame:
-    """(a, b, c): weighted counts of adjacent symbol pairs."""
+    """(a, b, c): weighted counts of adjacent symbols (as written in ``syms``)."""
     s = F.split(F.trim(F.col("syms")), " ")
     n = F.size(s)
     z = F.arrays_zip(F.slice(s, 1, n - 1).alias("a"), F.slice(s, 2, n - 1).alias("b"))
     return (state.filter(F.size(s) > 1)
                  .select("cnt", F.explode(z).alias("p"))
-                 .groupBy(F.col("p.a").cast("int").alias("a"), F.col("p.b").cast("int").alias("b"))
+                 .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
                  .agg(F.sum("cnt").alias("c")))
 
 
+def merge_batch(syms: Column, pairs: Sequence[tuple[str, str]]) -> Column:
+    """Apply a batch of merges in two regex passes, whatever its size.
+
+    A symbol is written as its ``+``-joined byte ids, so merging (A, B)
+    turns ``A B`` into ``A+B``. Pass one marks every occurrence of a batch
+    pair (left to right, non-overlapping); pass two joins each marked pair.
+    Pairs of one batch never overlap each other, so this equals merging
+    them one after another."""
+    alts = "|".join(f"{re.escape(a)} {re.escape(b)}" for a, b in pairs)
+    marked = F.regexp_replace(syms, f"(?<= )(?:{alts})(?= )", "\u0001$0")
+    return F.regexp_replace(marked, "\u0001([^ ]+) ", "$1+")
+
+
 @dataclass
 class BpeModel:
     specials: list[str]
@@ -154,24 +173,33 @@ def train_bpe(words: DataFrame, vocab_size: int, specials: Sequence[str], top_k:
     """Learn merges until the vocabulary holds ``vocab_size`` entries or no
     pair is left (A4). ``words``: (word, cnt)."""
     model = new_model(specials)
+    spark = words.sparkSession
+    # symbol text <-> id; base symbols are written as their id
+    sym_id = {str(i): i for i in range(len(specials), len(model.token_bytes))}
+    id_sym = {i: t for t, i in sym_id.items()}
     # spread the distinct words over the cluster: every round scans them all
     init = initial_symbols(words, len(specials)).filter(F.size(F.split(F.trim("syms"), " ")) > 1)
-    spark = words.sparkSession
     n_parts = partitions or spark.sparkContext.defaultParallelism
     state = cut_lineage(init.repartition(n_parts, "word"))
     state.persist()
     prev, since = None, 0
     while model.vocab_size < vocab_size and (max_rounds is None or model.rounds < max_rounds):
-        rows = pair_counts(state).orderBy(F.col("c").desc(), "a", "b").limit(top_k).collect()
+        t0 = time.time()
+        # order ties by symbol ids: join the (vocabulary-sized) id table
+        ids = spark.createDataFrame(list(sym_id.items()), "s string, i int")
+        pc = pair_counts(state)
+        ranked = (pc.join(F.broadcast(ids.withColumnRenamed("s", "a").withColumnRenamed("i", "ia")), "a")
+                    .join(F.broadcast(ids.withColumnRenamed("s", "b").withColumnRenamed("i", "ib")), "b"))
+        rows = ranked.orderBy(F.col("c").desc(), "ia", "ib").limit(top_k).select("ia", "ib", "c").collect()
+        log.debug("bpe round %d: pair counts %.2fs", model.rounds, time.time() - t0)
         if prev is not None:          # ``state`` is cached now; its parent can go
             prev.unpersist()
             prev = None
-        top = [(r["a"], r["b"], r["c"]) for r in rows]
+        top = [(r["ia"], r["ib"], r["c"]) for r in rows]
         batch = select_batch(top, len(top) < top_k, model, vocab_size - model.vocab_size)
         if not batch:
             break
         index = {tb: i for i, tb in enumerate(model.token_bytes)}
-        syms = F.col("syms")
         for a, b in batch:
             product = model.token_bytes[a] + model.token_bytes[b]
             new_id = index.get(product)
@@ -179,9 +207,12 @@ def train_bpe(words: DataFrame, vocab_size: int, specials: Sequence[str], top_k:
                 new_id = len(model.token_bytes)
                 model.token_bytes.append(product)
                 index[product] = new_id
+                text = id_sym[a] + "+" + id_sym[b]
+                sym_id[text] = new_id
+                id_sym[new_id] = text
             model.merges.append((a, b, new_id))
-            syms = F.regexp_replace(syms, f"(?<= ){a} {b}(?= )", str(new_id))
         model.rounds += 1
+        syms = merge_batch(F.col("syms"), [(id_sym[a], id_sym[b]) for a, b in batch])
         # words that became one symbol have no pairs left: drop them
         nxt = state.withColumn("syms", syms).filter(F.size(F.split(F.trim("syms"), " ")) > 1)
         since += 1

@@ -194,3 +194,17 @@ def eval_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     il = c.concat_files(lines(spark, sf_dir), by=["source", "lang"], file_col="doc_id", name="pos")
     return il.select(F.concat(F.col("source"), F.lit("/"), F.col("lang")).alias("path"),
                      F.col("pos").alias("line_no"), "line")
+
+
+def scorer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(prev, next, p): the ensemble's best continuation per context - a
+    model artefact, materialised once per application and input."""
+    from parapet.operators import decode
+    from parapet.sources.cache import materialise_once
+
+    def build():
+        counts = decode.bigram_counts(member_lines(spark, sf_dir), "member", "line")
+        return decode.best_next(decode.bigram_scores(counts), len(MEMBER_SOURCES))
+
+    key = [spark.sparkContext.applicationId, sf_dir, MEMBER_SOURCES]
+    return materialise_once(spark, "bigram-best-next", key, build)

@@ -28,9 +28,7 @@ def best_next(spark, sf):
 
 @query("greedy_decode", with_("decoded", recursive=True) + "SELECT * FROM decoded")
 def greedy_decode(spark, sf):
-    counts = decode.bigram_counts(fx.member_lines(spark, sf), "member", "line")
-    best = decode.best_next(decode.bigram_scores(counts), len(fx.MEMBER_SOURCES))
-    return decode.greedy_decode(fx.decode_starts(spark, sf), best, decode.MAX_STEPS)
+    return decode.greedy_decode(fx.decode_starts(spark, sf), fx.scorer_table(spark, sf), decode.MAX_STEPS)
 
 
 @query("decoded_text", with_("decoded", recursive=True) + """

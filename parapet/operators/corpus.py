@@ -148,9 +148,10 @@ def union_directions(df: DataFrame, order: Sequence[str] | None = None,
         pos = F.create_map(*[x for i, d in enumerate(order) for x in (F.lit(d), F.lit(i))])
         rank = pos[F.col("direction")]
     w = Window.orderBy(rank).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per direction: the window over it is tiny by construction
+    # one row per direction: the window over it is tiny by construction, and
+    # AQE broadcasts it from its runtime size
     starts = sizes.select("direction", F.coalesce(F.sum(F.col("n")).over(w), F.lit(0)).alias("__start"))
-    return (df.join(F.broadcast(starts), "direction")
+    return (df.join(starts, "direction")
               .withColumn("pair_id", (F.col("__start") + F.col("idx")).cast("bigint"))
               .drop("__start"))
 

@@ -231,3 +231,19 @@ def batch_rows_drop_last(spark, sf):
     il = sampling.drop_last(fx.indexed_lines(spark, sf), "idx", BATCH, by=["lang"])
     return il.groupBy("lang", sampling.batch_ids(F.col("idx"), BATCH).alias("batch_id")).agg(
         F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("split_by_ids", with_("pairs") + f"""
+SELECT CASE WHEN pair_id IN (SELECT pair_id FROM pairs
+                             ORDER BY md5('{SEED}:' || CAST(pair_id AS VARCHAR)), pair_id LIMIT {N_SAMPLE})
+            THEN 'valid' ELSE 'train' END AS split, pair_id
+FROM pairs
+""")
+def split_by_ids(spark, sf):
+    """J3 in its join form: a given id table (here the exact sample) splits
+    the pairs by a left-semi and a left-anti join."""
+    p = fx.pairs(spark, sf)
+    ids = sampling.sample_exact(p, N_SAMPLE, SEED, ["pair_id"]).select("pair_id")
+    train, valid = sampling.split_by_ids(p, ids, ["pair_id"])
+    return train.select(F.lit("train").alias("split"), "pair_id") \
+                .unionByName(valid.select(F.lit("valid").alias("split"), "pair_id"))

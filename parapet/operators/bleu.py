@@ -20,11 +20,6 @@ from pyspark.sql import functions as F
 MAX_ORDER = 4
 
 
-def split_space(text) -> Column:
-    """Tokens separated by single spaces."""
-    return F.split(F.col(text) if isinstance(text, str) else text, " ")
-
-
 def tokenize_13a(text) -> Column:
     """The public ``13a`` (mteval-v13a) tokenisation as a regex chain."""
     # fixed values: the mteval-v13a rules, in order

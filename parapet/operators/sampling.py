@@ -98,10 +98,6 @@ def train_valid_split(df: DataFrame, n_valid: int, seed: int | str, keys: Sequen
                                    .otherwise(F.lit("train")))
 
 
-def _count_more_than(df: DataFrame, m: int) -> bool:
-    return df.limit(m + 1).count() > m
-
-
 def split_by_ids(df: DataFrame, ids: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(train, valid) for an externally given id table: anti / semi join.
     AQE broadcasts ``ids`` when it is small and shuffles it otherwise."""

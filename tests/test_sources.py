@@ -163,3 +163,20 @@ def test_materialise_once_reuses_and_rebuilds(spark, tmp):
     c = materialise_once(spark, "thing", ["k2"], build, root=tmp)
     assert a.count() == b.count() == c.count() == 5
     assert len(calls) == 2
+
+
+def test_zip_two_line_files(spark, tmp):
+    from parapet.operators.corpus import zip_join
+    _write(f"{tmp}/dataset.sl", b"s0\ns1\ns2\n")
+    _write(f"{tmp}/dataset.tl", b"t0\r\nt1")
+    sl = read_lines(spark, f"{tmp}/dataset.sl").select(F.lit("en__it").alias("direction"),
+                                                       F.col("line_no").alias("idx"), F.col("line").alias("sl"))
+    tl = read_lines(spark, f"{tmp}/dataset.tl").select(F.lit("en__it").alias("direction"),
+                                                       F.col("line_no").alias("idx"), F.col("line").alias("tl"))
+    inner = sorted(tuple(r) for r in zip_join(sl, tl, "inner").collect())
+    left = sorted(tuple(r) for r in zip_join(sl, tl, "left").collect())
+    assert inner == [("en__it", 0, "s0", "t0"), ("en__it", 1, "s1", "t1")]
+    assert left == inner + [("en__it", 2, "s2", "")]
+    shared = sl.drop("direction")
+    padded = sorted(tuple(r) for r in zip_join(shared, tl, "left").collect())
+    assert padded == left

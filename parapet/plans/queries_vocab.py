@@ -123,8 +123,14 @@ def word_vocab(spark, sf):
     return ft.word_vocab(bpe.word_counts(fx.table(spark, sf, "documents"), "text", T.WORD_PATTERN))
 
 
+def _word_vocab_table(spark, sf):
+    """The word vocabulary as an artefact: built once per application and input."""
+    key = [spark.sparkContext.applicationId, sf, "word-vocab"]
+    return materialise_once(spark, "word-vocab", key, lambda: word_vocab(spark, sf))
+
+
 def _word_pairs(spark, sf):
-    vocab = word_vocab(spark, sf)
+    vocab = _word_vocab_table(spark, sf)
     p = fx.pairs(spark, sf).select("pair_id", T.to_translation("sl", "tl").alias("translation"))
     flat = p.select("pair_id", F.col("translation.sl").alias("sl"), F.col("translation.tl").alias("tl"))
     src = ft.word_ids(flat, ["pair_id"], "sl", vocab).withColumnRenamed("ids", "src_ids")

@@ -117,9 +117,12 @@ WORD_SPECIALS = [T.BOS, T.EOS, T.PAD]
 
 def word_vocab(words: DataFrame) -> DataFrame:
     """(id, word): specials first, then words by count desc, word. Ids come
-    from the two-level scan (blocks by count and first letters)."""
+    from the two-level scan (blocks by count and first letters, whose totals
+    are scanned per count)."""
     block = F.struct((-F.col("cnt")).alias("nc"), F.substring("word", 1, 2).alias("p"))
-    ranked = running_offset(words, [], [(-F.col("cnt")), F.col("word")], block, None, "__o")
+    # block totals are summed per count first, so no step is one task over all blocks
+    ranked = running_offset(words, [], [(-F.col("cnt")), F.col("word")], block, None, "__o",
+                            coarse=lambda b: b.getField("nc"))
     return ranked.select((F.col("__o") + len(WORD_SPECIALS)).cast("int").alias("id"), "word")
 
 

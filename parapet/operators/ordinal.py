@@ -13,7 +13,7 @@ across blocks only one row per block is scanned, and that table is small.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,16 +28,22 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
 
 def running_offset(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
                    block: Column, weight: Column | None = None,
-                   name: str = "offset", totals: bool = False):
+                   name: str = "offset", totals: bool = False,
+                   coarse: Callable[[Column], Column] | None = None):
     """Add ``name`` = exclusive running sum of ``weight`` (default 1) within
     ``by``, in ``order``. ``order`` must be unique within ``by`` and
     ``block`` must be non-decreasing along it. With ``totals`` also return
-    (by..., total) per group."""
+    (by..., total) per group.
+
+    ``coarse`` maps a block to a coarser non-decreasing block: the prefix
+    sum over the block totals is then itself a two-level scan, so no step
+    scans more rows than there are coarse blocks (for orders without a
+    grouping key, where the block table would otherwise be one task)."""
     weight = F.lit(1).cast("bigint") if weight is None else F.coalesce(weight.cast("bigint"), F.lit(0))
-    # a non-null block: no inferred null filter splits the plan in two
     btype = block_type(df, block)
     if not btype.startswith("struct"):
         block = F.coalesce(block, F.lit(0).cast(btype))
+    # a non-null block: no inferred null filter splits the plan in two
     d = df.withColumn(_BLOCK, block).withColumn(_W, weight)
     keys = list(by) + [_BLOCK]
 
@@ -47,9 +53,14 @@ def running_offset(df: DataFrame, by: Sequence[str], order: Sequence[str | Colum
 
     # block totals from the window's output: same partitioning, no new shuffle
     per_block = d.groupBy(*keys).agg(F.sum(_W).alias("__tot"))
-    across = Window.partitionBy(*by).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1) \
-        if by else Window.orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_block.select(*keys, F.coalesce(F.sum("__tot").over(across), F.lit(0)).alias("__start"))
+    if coarse is None:
+        across = Window.partitionBy(*by).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1) \
+            if by else Window.orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+        starts = per_block.select(*keys, F.coalesce(F.sum("__tot").over(across), F.lit(0)).alias("__start"))
+    else:
+        pb = per_block.withColumnRenamed(_BLOCK, "__fine")
+        starts = running_offset(pb, by, ["__fine"], coarse(F.col("__fine")), F.col("__tot"), "__bstart") \
+            .select(*by, F.col("__fine").alias(_BLOCK), F.col("__bstart").alias("__start"))
 
     out = (d.join(starts, on=keys, how="inner")
             .withColumn(name, (F.col("__start") + F.col("__local")).cast("bigint"))

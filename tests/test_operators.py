@@ -190,3 +190,15 @@ def test_best_checkpoints(spark):
     assert {e for e, r in out.items() if r["in_top_k"]} == {7, 4, 5, 2, 3}
     assert {e for e, r in out.items() if r["in_last_k"]} == {6, 7, 8}
     assert [e for e, r in out.items() if r["is_best"]] == [7]
+
+
+def test_running_offset_with_coarse_blocks(spark):
+    rnd = random.Random(9)
+    rows = [(f"w{i:04d}", rnd.choice([1, 1, 1, 2, 3, 5, 8])) for i in range(800)]
+    df = spark.createDataFrame(rows, "word string, cnt long").repartition(6)
+    block = F.struct((-F.col("cnt")).alias("nc"), F.substring("word", 1, 3).alias("p"))
+    out = running_offset(df, [], [-F.col("cnt"), F.col("word")], block, None, "o",
+                         coarse=lambda b: b.getField("nc")).collect()
+    got = {r["word"]: r["o"] for r in out}
+    want = {w: i for i, (w, c) in enumerate(sorted(rows, key=lambda x: (-x[1], x[0])))}
+    assert got == want

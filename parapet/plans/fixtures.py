@@ -103,12 +103,12 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(path, content): two language files per conversation pair, named
-    ``c<conv>_<turn>_Matecat.<lang>`` (en, it), plus unrelated benchmark files."""
+    ``c<conv>_<turn>_Aligned.<lang>`` (en, it), plus unrelated benchmark files."""
     p = pairs(spark, sf_dir)
     sides = F.explode(F.array(F.struct(F.lit("en").alias("lang"), F.col("sl").alias("content")),
                               F.struct(F.lit("it").alias("lang"), F.col("tl").alias("content"))))
     paired = p.select("conv_id", "turn", sides.alias("s")).select(
-        F.concat(F.lit("c"), F.col("conv_id"), F.lit("_"), F.col("turn"), F.lit("_Matecat."),
+        F.concat(F.lit("c"), F.col("conv_id"), F.lit("_"), F.col("turn"), F.lit("_Aligned."),
                  F.col("s.lang")).alias("path"), F.col("s.content").alias("content"))
     bench = table(spark, sf_dir, "benchmark").select(
         F.concat(F.lit("bench_"), F.col("item_id"), F.lit(".txt")).alias("path"), F.col("text").alias("content"))

@@ -85,7 +85,7 @@ FROM tagged_left
 """, ("tagged_left",))
 
 cte("files", """
-SELECT 'c' || conv_id || '_' || turn || '_Matecat.' || lang AS path, content
+SELECT 'c' || conv_id || '_' || turn || '_Aligned.' || lang AS path, content
 FROM (SELECT conv_id, turn, 'en' AS lang, sl AS content FROM pairs
       UNION ALL SELECT conv_id, turn, 'it', tl FROM pairs)
 UNION ALL

@@ -16,28 +16,28 @@ OUT = "/sample"
 
 
 @query("path_filter", with_("files") + """
-SELECT path FROM files WHERE path LIKE '%Matecat%' AND regexp_extract(path, '\\.([^.]*)$', 1) = 'en'
+SELECT path FROM files WHERE path LIKE '%Aligned%' AND regexp_extract(path, '\\.([^.]*)$', 1) = 'en'
 """)
 def path_filter(spark, sf):
-    return files.filter_paths(fx.files(spark, sf), glob="*Matecat*", ext="en").select("path")
+    return files.filter_paths(fx.files(spark, sf), glob="*Aligned*", ext="en").select("path")
 
 
 @query("distinct_langs", with_("files") + """
-SELECT DISTINCT regexp_extract(path, '\\.([^.]*)$', 1) AS lang FROM files WHERE path LIKE '%Matecat%'
+SELECT DISTINCT regexp_extract(path, '\\.([^.]*)$', 1) AS lang FROM files WHERE path LIKE '%Aligned%'
 """)
 def distinct_langs(spark, sf):
-    return files.distinct_langs(files.filter_paths(fx.files(spark, sf), glob="*Matecat*"))
+    return files.distinct_langs(files.filter_paths(fx.files(spark, sf), glob="*Aligned*"))
 
 
 @query("stem_join", with_("files") + """
 SELECT l.stem, l.path AS l_path, r.path AS r_path
 FROM (SELECT path, regexp_extract(path, '^(.*)\\.[^./]*$', 1) AS stem FROM files
-      WHERE path LIKE '%Matecat%' AND path LIKE '%.en') l
+      WHERE path LIKE '%Aligned%' AND path LIKE '%.en') l
 JOIN (SELECT path, regexp_extract(path, '^(.*)\\.[^./]*$', 1) AS stem FROM files
-      WHERE path LIKE '%Matecat%' AND path LIKE '%.it') r USING (stem)
+      WHERE path LIKE '%Aligned%' AND path LIKE '%.it') r USING (stem)
 """)
 def stem_join(spark, sf):
-    m = files.filter_paths(fx.files(spark, sf), glob="*Matecat*")
+    m = files.filter_paths(fx.files(spark, sf), glob="*Aligned*")
     return files.stem_join(m, "en", "it")
 
 
@@ -48,13 +48,13 @@ SELECT stem, l_path, r_path,
 FROM (
   SELECT l.stem, l.path AS l_path, r.path AS r_path
   FROM (SELECT path, regexp_extract(path, '^(.*)\\.[^./]*$', 1) AS stem FROM files
-        WHERE path LIKE '%Matecat%' AND path LIKE '%.en') l
+        WHERE path LIKE '%Aligned%' AND path LIKE '%.en') l
   JOIN (SELECT path, regexp_extract(path, '^(.*)\\.[^./]*$', 1) AS stem FROM files
-        WHERE path LIKE '%Matecat%' AND path LIKE '%.it') r USING (stem)
+        WHERE path LIKE '%Aligned%' AND path LIKE '%.it') r USING (stem)
   ORDER BY md5('{SEED}:' || l.path), l.path LIMIT {N_FILES})
 """)
 def sample_files(spark, sf):
-    m = files.filter_paths(fx.files(spark, sf), glob="*Matecat*")
+    m = files.filter_paths(fx.files(spark, sf), glob="*Aligned*")
     return files.sample_file_pairs(m, N_FILES, SEED, OUT)
 
 

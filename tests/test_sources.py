@@ -83,21 +83,21 @@ def test_manifest_from_yaml_resolves_anchors(spark, tmp):
     _write(f"{tmp}/datasets.yaml", b"""
 test:
   en__it:
-    flores200:
-      src: &flores_en flores/eng.devtest
-      ref: flores/ita.devtest
+    setA:
+      src: &set_a_en seta/eng.txt
+      ref: seta/ita.txt
   en__de:
-    flores200:
-      src: *flores_en
-    ntrex:
-      src: ntrex/src.eng.txt
-      ref: ntrex/ref.deu.txt
+    setA:
+      src: *set_a_en
+    setB:
+      src: setb/src.eng.txt
+      ref: setb/ref.deu.txt
 """)
     rows = manifest_from_yaml(spark, f"{tmp}/datasets.yaml", root="/data").collect()
     got = sorted(tuple(r) for r in rows)
-    assert got == [("test", "en__de", "flores200", "/data/flores/eng.devtest", None),
-                   ("test", "en__de", "ntrex", "/data/ntrex/src.eng.txt", "/data/ntrex/ref.deu.txt"),
-                   ("test", "en__it", "flores200", "/data/flores/eng.devtest", "/data/flores/ita.devtest")]
+    assert got == [("test", "en__de", "setA", "/data/seta/eng.txt", None),
+                   ("test", "en__de", "setB", "/data/setb/src.eng.txt", "/data/setb/ref.deu.txt"),
+                   ("test", "en__it", "setA", "/data/seta/eng.txt", "/data/seta/ita.txt")]
 
 
 def test_write_parallel_round_trip_aligned(spark, tmp):
@@ -122,13 +122,13 @@ def test_write_parallel_round_trip_aligned(spark, tmp):
 
 def test_write_eval_layout(spark, tmp):
     df = spark.createDataFrame(
-        [("en__de", "flores", 0, "s0", "r0", "h0"), ("en__de", "flores", 1, "s1", "r1", "h1"),
-         ("en__it", "ntrex", 0, "s", None, "h")],
+        [("en__de", "setA", 0, "s0", "r0", "h0"), ("en__de", "setA", 1, "s1", "r1", "h1"),
+         ("en__it", "setB", 0, "s", None, "h")],
         "direction string, dataset string, line_no bigint, source string, reference string, hypothesis string")
     sinks.write_eval(df, f"{tmp}/ev")
-    src = read_lines(spark, f"{tmp}/ev/source/direction=en__de/dataset=flores").orderBy("line_no").collect()
+    src = read_lines(spark, f"{tmp}/ev/source/direction=en__de/dataset=setA").orderBy("line_no").collect()
     assert [r["line"] for r in src] == ["s0", "s1"]
-    hyp = read_lines(spark, f"{tmp}/ev/hypothesis/direction=en__it/dataset=ntrex").collect()
+    hyp = read_lines(spark, f"{tmp}/ev/hypothesis/direction=en__it/dataset=setB").collect()
     assert [r["line"] for r in hyp] == ["h"]
 
 
@@ -137,13 +137,13 @@ def test_sample_copy_files(spark, tmp):
     names = []
     for i in range(30):
         for lang in ("en", "it"):
-            _write(f"{tmp}/in/c{i}_Matecat.{lang}", f"{lang} {i} line1\n{lang} {i} line2\n".encode())
-            names.append(f"{tmp}/in/c{i}_Matecat.{lang}")
+            _write(f"{tmp}/in/c{i}_Aligned.{lang}", f"{lang} {i} line1\n{lang} {i} line2\n".encode())
+            names.append(f"{tmp}/in/c{i}_Aligned.{lang}")
     _write(f"{tmp}/in/other.txt", b"zzz\n")
     listing = spark.read.format("binaryFile").load(f"{tmp}/in").select(F.col("path"))
-    matecat = fl.filter_paths(listing, glob="*Matecat*")
-    assert matecat.count() == 60
-    pairs = fl.sample_file_pairs(matecat, 5, 42, f"{tmp}/out")
+    aligned = fl.filter_paths(listing, glob="*Aligned*")
+    assert aligned.count() == 60
+    pairs = fl.sample_file_pairs(aligned, 5, 42, f"{tmp}/out")
     assert pairs.count() == 5
     sinks.copy_files(spark, pairs, f"{tmp}/gold")
     out = read_lines(spark, f"{tmp}/gold").collect()

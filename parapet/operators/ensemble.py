@@ -8,12 +8,16 @@ member rows of a (sentence, step) - a group bounded by the ensemble size.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+log = logging.getLogger(__name__)
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -70,6 +74,22 @@ def available_members(scores: DataFrame, declared: Sequence[str], model: str = "
     return out.withColumn("available", F.col("n_rows") > 0)
 
 
+def require_members(members: DataFrame, model: str = "model", max_members: int = 10_000) -> list[str]:
+    """Names of the available members (E2): members without scores are
+    logged as skipped; an ensemble with no member fails. The member table
+    is a configuration-sized list (checked)."""
+    rows = members.select(model, "available").limit(max_members + 1).collect()
+    if len(rows) > max_members:
+        raise ValueError("member table larger than a configuration list")
+    skipped = sorted(r[0] for r in rows if not r[1])
+    if skipped:
+        log.warning("skipping ensemble members without scores: %s", ", ".join(skipped))
+    ok = sorted(r[0] for r in rows if r[1])
+    if not ok:
+        raise RuntimeError("no ensemble member is available")
+    return ok
+
+
 def ensemble_average(df: DataFrame, keys: Sequence[str], logprobs: str, n_models: int | Column) -> DataFrame:
     """Log of the arithmetic mean of the members' probabilities (A7):
     elementwise ``logsumexp over members - ln M``. ``M`` is the number of

@@ -108,9 +108,9 @@ WHERE r = 1
 """)
 def ensemble_step(spark, sf):
     sl = fx.step_logits(spark, sf)
-    members = ens.available_members(sl, DECLARED)
-    m = members.filter("available").select(F.count(F.lit(1))).scalar()
-    out = ens.ensemble_step(sl, ["sid"], "step", "model", "logits", m)
+    available = ens.require_members(ens.available_members(sl, DECLARED))
+    out = ens.ensemble_step(sl.filter(F.col("model").cast("string").isin(available)),
+                            ["sid"], "step", "model", "logits", len(available))
     return out.select("sid", "token_id", F.round("logprob", 6).alias("logprob"))
 
 
@@ -153,8 +153,8 @@ def opaque_decode(spark, sf):
     """E1/E4 with opaque scorers (X3): greedy ensemble decoding inside
     ``mapInPandas``; each sentence carries its members' outputs as context."""
     sl = fx.step_logits(spark, sf)
-    members = ens.available_members(sl, DECLARED).filter("available").select("model").collect()
-    scorers = [_member(int(r[0])) for r in sorted(members, key=lambda r: int(r[0]))]
+    available = ens.require_members(ens.available_members(sl, DECLARED))
+    scorers = [_member(int(m)) for m in sorted(available, key=int)]
     ctx = sl.groupBy("sid").agg(F.collect_list(F.struct("model", "step", "logits")).alias("ctx")) \
             .select("sid", F.col("sid").cast("string").alias("src"), "ctx")
     out = decode.greedy_decode_batch(ctx, scorers, OPAQUE_EOS, OPAQUE_STEPS, context="ctx")

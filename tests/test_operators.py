@@ -202,3 +202,10 @@ def test_running_offset_with_coarse_blocks(spark):
     got = {r["word"]: r["o"] for r in out}
     want = {w: i for i, (w, c) in enumerate(sorted(rows, key=lambda x: (-x[1], x[0])))}
     assert got == want
+
+
+def test_require_members_skips_and_fails(spark):
+    scores = spark.createDataFrame([(0, "a"), (1, "a"), (2, "b")], "sid int, model string")
+    assert ens.require_members(ens.available_members(scores, ["a", "b", "c"])) == ["a", "b"]
+    with pytest.raises(RuntimeError):
+        ens.require_members(ens.available_members(scores.limit(0), ["a"]))

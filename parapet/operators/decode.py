@@ -74,22 +74,32 @@ def compose_paths(pa: DataFrame, pb: DataFrame, len_a: int, eos: str = EOS) -> D
     return j.select("prev", F.concat("path", F.coalesce("__more", F.array().cast("array<string>"))).alias("path"))
 
 
+def stride_paths(best: DataFrame, stride: int = 4, eos: str = EOS) -> tuple[DataFrame, int]:
+    """(prev, path) with paths of up to ``stride`` tokens (a power of two
+    not above ``stride``) from every context, and that length. ``best`` may
+    already be such a table: (prev, path) with its length as ``stride``."""
+    if "path" in best.columns:
+        return best, stride
+    # the transition table is read by every composition: materialise it once
+    paths, length = cut_lineage(best.select("prev", F.array("next").alias("path"))), 1
+    while length * 2 <= stride:
+        paths = cut_lineage(compose_paths(paths, paths, length, eos))
+        length *= 2
+    return paths, length
+
+
 def greedy_decode(starts: DataFrame, best: DataFrame, max_steps: int = MAX_STEPS,
                   eos: str = EOS, keys: Sequence[str] = ("sid",), stride: int = 4) -> DataFrame:
     """(keys..., step, token) for step 1.. until ``eos`` or ``max_steps``.
 
-    ``starts``: (keys..., token). A path stops early when its token has no
+    ``starts``: (keys..., token). ``best``: (prev, next), or paths from
+    :func:`stride_paths`. A path stops early when its token has no
     continuation. The transition table is composed with itself into paths
     of ``stride`` tokens (two joins over the context table for a stride of
     4), so the walk over the distinct start tokens takes max_steps / stride
     rounds; the frontier is persisted each round and the result written to
     the shared checkpoint folder."""
-    # the transition table is read by every composition: materialise it once
-    p1 = cut_lineage(best.select("prev", F.array("next").alias("path")))
-    paths, length = p1, 1
-    while length * 2 <= stride:
-        paths = cut_lineage(compose_paths(paths, paths, length, eos))
-        length *= 2
+    paths, length = stride_paths(best, stride, eos)
     uniq = starts.select(F.col("token").alias("start")).distinct()
     frontier = uniq.select("start", F.col("start").alias("token"))
     steps, cached = [], []

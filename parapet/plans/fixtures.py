@@ -208,3 +208,16 @@ def scorer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     key = [spark.sparkContext.applicationId, sf_dir, MEMBER_SOURCES]
     return materialise_once(spark, "bigram-best-next", key, build)
+
+
+def scorer_paths(spark: SparkSession, sf_dir: str, stride: int = 4) -> DataFrame:
+    """(prev, path): the scorer's best 4-token continuations per context,
+    composed once per application and input (part of the scorer artefact)."""
+    from parapet.operators import decode
+    from parapet.sources.cache import materialise_once
+
+    def build():
+        return decode.stride_paths(scorer_table(spark, sf_dir).select("prev", "next"), stride)[0]
+
+    key = [spark.sparkContext.applicationId, sf_dir, MEMBER_SOURCES, "paths", stride]
+    return materialise_once(spark, "bigram-paths", key, build)

@@ -28,7 +28,7 @@ def best_next(spark, sf):
 
 @query("greedy_decode", with_("decoded", recursive=True) + "SELECT * FROM decoded")
 def greedy_decode(spark, sf):
-    return decode.greedy_decode(fx.decode_starts(spark, sf), fx.scorer_table(spark, sf), decode.MAX_STEPS)
+    return decode.greedy_decode(fx.decode_starts(spark, sf), fx.scorer_paths(spark, sf), decode.MAX_STEPS)
 
 
 @query("decoded_text", with_("decoded", recursive=True) + """

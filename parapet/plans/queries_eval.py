@@ -40,7 +40,7 @@ def _translations(spark, sf):
     """E5: decode every source line of every eval set with the n-gram
     ensemble; lines without words get an empty hypothesis."""
     e = read_eval_sets(fx.manifest(spark, sf), fx.eval_files(spark, sf))
-    best = fx.scorer_table(spark, sf)
+    best = fx.scorer_paths(spark, sf)
     starts = e.select(*KEYS, decode.tokens("src").getItem(0).alias("token")).filter(F.col("token").isNotNull())
     dec = decode.greedy_decode(starts, best, decode.MAX_STEPS, keys=KEYS)
     text = decode.decoded_text(dec, keys=KEYS)

@@ -58,7 +58,8 @@ def sample_cutoff(df: DataFrame, n: int, seed: int | str, keys: Sequence[str], w
         need -= acc
         d = d.filter(blk == b)
         if c <= SMALL_ENOUGH or digits >= 32:
-            last = tuple(d.orderBy("__h", *keys).limit(need).collect()[-1])
+            # only the need-th row of the block reaches the driver
+            last = tuple(d.orderBy("__h", *keys).offset(need - 1).limit(1).collect()[0])
             return (last, rows) if with_total else last
         depth += 1
 

@@ -101,18 +101,23 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.conversation_pairs(table(spark, sf_dir, "conversations"))
 
 
-def files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(path, content): two language files per conversation pair, named
-    ``c<conv>_<turn>_Aligned.<lang>`` (en, it), plus unrelated benchmark files."""
+def files(spark: SparkSession, sf_dir: str, with_content: bool = True) -> DataFrame:
+    """(path[, content]): two language files per conversation pair, named
+    ``c<conv>_<turn>_Aligned.<lang>`` (en, it), plus unrelated benchmark
+    files. Without content it is a listing only, and no text is read."""
     p = pairs(spark, sf_dir)
+    name = lambda lang: F.concat(F.lit("c"), F.col("conv_id"), F.lit("_"), F.col("turn"),
+                                 F.lit("_Aligned."), lang)
+    bench = table(spark, sf_dir, "benchmark")
+    bench_path = F.concat(F.lit("bench_"), F.col("item_id"), F.lit(".txt")).alias("path")
+    if not with_content:
+        listing = p.select("conv_id", "turn", F.explode(F.array(F.lit("en"), F.lit("it"))).alias("lang"))
+        return listing.select(name(F.col("lang")).alias("path")).unionByName(bench.select(bench_path))
     sides = F.explode(F.array(F.struct(F.lit("en").alias("lang"), F.col("sl").alias("content")),
                               F.struct(F.lit("it").alias("lang"), F.col("tl").alias("content"))))
     paired = p.select("conv_id", "turn", sides.alias("s")).select(
-        F.concat(F.lit("c"), F.col("conv_id"), F.lit("_"), F.col("turn"), F.lit("_Aligned."),
-                 F.col("s.lang")).alias("path"), F.col("s.content").alias("content"))
-    bench = table(spark, sf_dir, "benchmark").select(
-        F.concat(F.lit("bench_"), F.col("item_id"), F.lit(".txt")).alias("path"), F.col("text").alias("content"))
-    return paired.unionByName(bench)
+        name(F.col("s.lang")).alias("path"), F.col("s.content").alias("content"))
+    return paired.unionByName(bench.select(bench_path, F.col("text").alias("content")))
 
 
 def hyp_ref(spark: SparkSession, sf_dir: str) -> DataFrame:

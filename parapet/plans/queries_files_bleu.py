@@ -19,14 +19,14 @@ OUT = "/sample"
 SELECT path FROM files WHERE path LIKE '%Aligned%' AND regexp_extract(path, '\\.([^.]*)$', 1) = 'en'
 """)
 def path_filter(spark, sf):
-    return files.filter_paths(fx.files(spark, sf), glob="*Aligned*", ext="en").select("path")
+    return files.filter_paths(fx.files(spark, sf, with_content=False), glob="*Aligned*", ext="en").select("path")
 
 
 @query("distinct_langs", with_("files") + """
 SELECT DISTINCT regexp_extract(path, '\\.([^.]*)$', 1) AS lang FROM files WHERE path LIKE '%Aligned%'
 """)
 def distinct_langs(spark, sf):
-    return files.distinct_langs(files.filter_paths(fx.files(spark, sf), glob="*Aligned*"))
+    return files.distinct_langs(files.filter_paths(fx.files(spark, sf, with_content=False), glob="*Aligned*"))
 
 
 @query("stem_join", with_("files") + """
@@ -37,7 +37,7 @@ JOIN (SELECT path, regexp_extract(path, '^(.*)\\.[^./]*$', 1) AS stem FROM files
       WHERE path LIKE '%Aligned%' AND path LIKE '%.it') r USING (stem)
 """)
 def stem_join(spark, sf):
-    m = files.filter_paths(fx.files(spark, sf), glob="*Aligned*")
+    m = files.filter_paths(fx.files(spark, sf, with_content=False), glob="*Aligned*")
     return files.stem_join(m, "en", "it")
 
 
@@ -54,7 +54,7 @@ FROM (
   ORDER BY md5('{SEED}:' || l.path), l.path LIMIT {N_FILES})
 """)
 def sample_files(spark, sf):
-    m = files.filter_paths(fx.files(spark, sf), glob="*Aligned*")
+    m = files.filter_paths(fx.files(spark, sf, with_content=False), glob="*Aligned*")
     return files.sample_file_pairs(m, N_FILES, SEED, OUT)
 
 

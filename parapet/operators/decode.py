@@ -27,7 +27,6 @@ from parapet.session import cut_lineage
 EOS = "</s>"
 MAX_STEPS = 12
 DIGITS = 9        # probabilities are rounded before ranking: engines agree on ties
-CHECKPOINT_EVERY = 4
 
 
 def tokens(line) -> Column:

@@ -1,8 +1,8 @@
 """Byte-level BPE vocabulary training as an iterative DataFrame job (A3, A4).
 
 State is the table of distinct pre-tokens with their counts and current
-segmentation, a space-padded string of symbols (``" 72 101+108 "``; a
-symbol is its ``+``-joined byte ids, so equal text is the same token), so
+segmentation, a space-padded string of symbols (``" 48 65+6C "``; a
+symbol is its ``+``-joined hex bytes, so equal text is the same token), so
 a whole batch of merges is two ``regexp_replace`` passes and pair counting
 is an ``explode`` plus a partial/final hash aggregation. Each round brings only the top-K pairs to
 the driver and accepts several merges at once when that provably equals
@@ -53,28 +53,17 @@ def byte_order() -> list[int]:
     return [b for b in range(256) if _printable(b)] + [b for b in range(256) if not _printable(b)]
 
 
-def byte_rank(b: Column) -> Column:
-    """Position of byte ``b`` in :func:`byte_order`, as a column expression."""
-    shown = 188  # number of printable bytes
-    return (F.when((b >= 33) & (b <= 126), b - 33)
-             .when((b >= 161) & (b <= 172), b - 161 + 94)
-             .when((b >= 174) & (b <= 255), b - 174 + 106)
-             .when(b <= 32, b + shown)
-             .when((b >= 127) & (b <= 160), b - 127 + shown + 33)
-             .otherwise(F.lit(shown + 67)))
-
-
 def word_counts(df: DataFrame, text: str, pattern: str = GPT2_PATTERN) -> DataFrame:
     """(word, cnt): pre-token frequencies (A3); partial + final hash-agg."""
     return df.select(F.explode(pretokenize(F.col(text), pattern)).alias("word")) \
              .groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def initial_symbols(words: DataFrame, n_special: int) -> DataFrame:
-    """(word, cnt, syms): each UTF-8 byte as its base symbol id."""
-    hexbytes = F.regexp_extract_all(F.hex(F.encode("word", "UTF-8")), F.lit("(..)"), 1)
-    ids = F.transform(hexbytes, lambda h: byte_rank(F.conv(h, 16, 10).cast("int")) + n_special)
-    return words.select("word", "cnt", F.concat(F.lit(" "), F.array_join(ids, " "), F.lit(" ")).alias("syms"))
+def initial_symbols(words: DataFrame) -> DataFrame:
+    """(word, cnt, syms): each UTF-8 byte as a symbol, written in hex
+    (``" 68 69 "``); ids are attached only when pairs are ranked."""
+    spaced = F.regexp_replace(F.hex(F.encode("word", "UTF-8")), "(..)", "$1 ")
+    return words.select("word", "cnt", F.concat(F.lit(" "), spaced).alias("syms"))
 
 
 def pair_counts(state: DataFrame) -> DataFrame:
@@ -91,7 +80,7 @@ def pair_counts(state: DataFrame) -> DataFrame:
 def merge_batch(syms: Column, pairs: Sequence[tuple[str, str]]) -> Column:
     """Apply a batch of merges in two regex passes, whatever its size.
 
-    A symbol is written as its ``+``-joined byte ids, so merging (A, B)
+    A symbol is written as its ``+``-joined hex bytes, so merging (A, B)
     turns ``A B`` into ``A+B``. Pass one marks every occurrence of a batch
     pair (left to right, non-overlapping); pass two joins each marked pair.
     Pairs of one batch never overlap each other, so this equals merging
@@ -174,14 +163,17 @@ def train_bpe(words: DataFrame, vocab_size: int, specials: Sequence[str], top_k:
     pair is left (A4). ``words``: (word, cnt)."""
     model = new_model(specials)
     spark = words.sparkSession
-    # symbol text <-> id; base symbols are written as their id
-    sym_id = {str(i): i for i in range(len(specials), len(model.token_bytes))}
+    # symbol text <-> id; a base symbol is written as its byte in hex
+    sym_id = {f"{b:02X}": len(specials) + i for i, b in enumerate(byte_order())}
     id_sym = {i: t for t, i in sym_id.items()}
-    # spread the distinct words over the cluster: every round scans them all
-    init = initial_symbols(words, len(specials)).filter(F.size(F.split(F.trim("syms"), " ")) > 1)
+    # spread the distinct words over the cluster first (an explicit count, so
+    # AQE keeps it): the byte mapping and every round then run in parallel
     n_parts = partitions or spark.sparkContext.defaultParallelism
-    state = cut_lineage(init.repartition(n_parts, "word"))
+    init = initial_symbols(words.repartition(n_parts, "word")).filter(F.size(F.split(F.trim("syms"), " ")) > 1)
+    t0 = time.time()
+    state = cut_lineage(init)
     state.persist()
+    log.debug("bpe initial state %.2fs", time.time() - t0)
     prev, since = None, 0
     while model.vocab_size < vocab_size and (max_rounds is None or model.rounds < max_rounds):
         t0 = time.time()
@@ -196,7 +188,9 @@ def train_bpe(words: DataFrame, vocab_size: int, specials: Sequence[str], top_k:
             prev.unpersist()
             prev = None
         top = [(r["ia"], r["ib"], r["c"]) for r in rows]
+        t0 = time.time()
         batch = select_batch(top, len(top) < top_k, model, vocab_size - model.vocab_size)
+        log.debug("bpe round %d: %d merges selected in %.2fs", model.rounds, len(batch), time.time() - t0)
         if not batch:
             break
         index = {tb: i for i, tb in enumerate(model.token_bytes)}
@@ -217,7 +211,9 @@ def train_bpe(words: DataFrame, vocab_size: int, specials: Sequence[str], top_k:
         nxt = state.withColumn("syms", syms).filter(F.size(F.split(F.trim("syms"), " ")) > 1)
         since += 1
         if since >= checkpoint_every:
+            t0 = time.time()
             nxt, since = cut_lineage(nxt), 0
+            log.debug("bpe checkpoint %.2fs", time.time() - t0)
         nxt.persist()
         prev, state = state, nxt
     if prev is not None:

@@ -74,10 +74,8 @@ GROUP BY 1, 2
 def bpe_pair_counts(spark, sf):
     """First-round pair counts of the trainer, shown as byte pairs."""
     words = bpe.word_counts(fx.lines(spark, sf), "line")
-    pc = bpe.pair_counts(bpe.initial_symbols(words, 0))
-    to_hex = F.create_map(*[x for i, b in enumerate(bpe.byte_order()) for x in (F.lit(i), F.lit(f"{b:02X}"))])
-    return pc.select(to_hex[F.col("a")].alias("left_hex"), to_hex[F.col("b")].alias("right_hex"),
-                     F.col("c").cast("bigint"))
+    pc = bpe.pair_counts(bpe.initial_symbols(words))
+    return pc.select(F.col("a").alias("left_hex"), F.col("b").alias("right_hex"), F.col("c").cast("bigint"))
 
 
 @query("bpe_merges")

@@ -64,6 +64,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
+    """Reliable checkpoint into the shared folder (survives executor loss).
+
+    The input is persisted first: writing a reliable checkpoint is a second
+    job over the data, which would otherwise compute it all again."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist()
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()

@@ -75,3 +75,13 @@ def test_select_batch_stops_at_overlapping_pairs():
     # a neighbour of an accepted pair with a larger count blocks the next one
     top = [(1, 2, 50), (9, 1, 45), (3, 4, 40)]
     assert bpe.select_batch(top, True, m, 10) == [(1, 2)]
+
+
+def test_encode_salts_hot_words_exactly(spark, trained, monkeypatch):
+    model, tok, lines = trained
+    monkeypatch.setattr(ft, "HOT_MIN", 5)            # make the frequent words hot at this size
+    sample = lines.filter(F.col("doc_id") < 40).select("doc_id", "line_no", "line")
+    enc = ft.encode(sample, ["doc_id", "line_no"], "line", model, salts=7)
+    got = {(r["doc_id"], r["line_no"]): list(r["ids"]) for r in enc.collect()}
+    for r in sample.collect():
+        assert got[(r["doc_id"], r["line_no"])] == tok.encode(r["line"]).ids

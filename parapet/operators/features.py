@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parapet.functions import text as T
+from parapet.operators import skew
 from parapet.operators.bpe import BpeModel, byte_order, encode_word
 from parapet.operators.ordinal import running_offset
 from parapet.session import cut_lineage
@@ -43,38 +44,20 @@ def encode_words(words: DataFrame, model: BpeModel) -> DataFrame:
     return words.mapInPandas(run, "word string, ids array<int>")
 
 
-HOT_FRACTION = 1e-5   # a word with at least this share of all tokens is hot ...
-HOT_MIN = 1000        # ... and at least this many occurrences (fewer rows need no salting)
-SALTS = 64            # partitions a hot word's token rows are spread over
-
-
 def encode(df: DataFrame, keys: Sequence[str], text: str, model: BpeModel,
-           pattern: str = T.GPT2_PATTERN, name: str = "ids", salts: int = SALTS) -> DataFrame:
+           pattern: str = T.GPT2_PATTERN, name: str = "ids", salts: int | None = None) -> DataFrame:
     """(keys..., ids): BPE ids of ``text`` (F2). Texts without pre-tokens
     get an empty array.
 
-    Distinct words are encoded once, with their frequencies. Words holding
-    at least ``HOT_FRACTION`` of all tokens (and ``HOT_MIN`` occurrences)
-    are hot: there are at most 1 / HOT_FRACTION of them, so their set is
-    broadcast to tag the token
-    rows, and each hot word's rows are spread over ``salts`` join keys (its
-    dictionary row is replicated to each) - one word holding a third of the
-    corpus no longer lands in one task. Every token row still meets exactly
-    one dictionary row."""
+    Distinct words are encoded once, with their frequencies, and joined
+    back with hot words salted (``operators.skew``): one word holding a
+    third of the corpus does not land in one task."""
     pos = _positions(df, keys, text, pattern)
     freq = pos.groupBy("word").agg(F.count(F.lit(1)).alias("__n"))
-    enc = cut_lineage(encode_words(freq, model).join(freq, "word"))
-    total = enc.agg(F.sum("__n")).first()[0] or 0
-    threshold = max(HOT_MIN, int(total * HOT_FRACTION))
-    hot = enc.filter(F.col("__n") >= threshold).select("word", F.lit(True).alias("__hot"))
-    # bounded by construction: at most total / threshold words
-    dictionary = enc.select("word", "ids", F.explode(
-        F.when(F.col("__n") >= threshold, F.sequence(F.lit(0), F.lit(salts - 1)))
-         .otherwise(F.array(F.lit(0)))).alias("__salt"))
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*keys, "pos"), F.lit(salts))).otherwise(F.lit(0))
-    tagged = pos.join(F.broadcast(hot), "word", "left").withColumn("__salt", salt.cast("int"))
-    parts = tagged.join(dictionary.withColumn("__salt", F.col("__salt").cast("int")), ["word", "__salt"]) \
-        .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("__s"))
+    enc = cut_lineage(encode_words(freq.select("word"), model).join(freq, "word"))
+    joined = skew.salted_join(pos, enc.select("word", "ids"), "word", freq=enc.select("word", "__n"),
+                              salts=salts)
+    parts = joined.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("__s"))
     ids = F.flatten(F.transform("__s", lambda x: x["ids"]))
     got = parts.select(*keys, ids.alias(name))
     return df.select(*keys).join(got, list(keys), "left") \
@@ -154,7 +137,7 @@ def word_ids(df: DataFrame, keys: Sequence[str], text: str, vocab: DataFrame,
              pattern: str = T.WORD_PATTERN) -> DataFrame:
     """(keys..., ids): words of ``text`` mapped through ``vocab``."""
     pos = df.select(*keys, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(pattern), 0)).alias("pos", "word"))
-    parts = pos.join(vocab, "word").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("__s"))
+    parts = skew.salted_join(pos, vocab, "word").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("__s"))
     got = parts.select(*keys, F.transform("__s", lambda x: x["id"]).alias("ids"))
     return df.select(*keys).join(got, list(keys), "left") \
              .withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))

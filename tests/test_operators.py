@@ -209,3 +209,16 @@ def test_require_members_skips_and_fails(spark):
     assert ens.require_members(ens.available_members(scores, ["a", "b", "c"])) == ["a", "b"]
     with pytest.raises(RuntimeError):
         ens.require_members(ens.available_members(scores.limit(0), ["a"]))
+
+
+def test_salted_join_equals_plain_join(spark):
+    from parapet.operators import skew
+    rnd = random.Random(4)
+    facts = spark.createDataFrame([(i, "hot" if i % 3 else f"k{rnd.randint(0, 50)}") for i in range(3000)],
+                                  "i long, k string")
+    dim = spark.createDataFrame([("hot", 1)] + [(f"k{j}", j) for j in range(40)], "k string, v int")
+    want = sorted(tuple(r) for r in facts.join(dim, "k").select("i", "k", "v").collect())
+    got_df = skew.salted_join(facts, dim, "k", salts=5, hot_min=100)
+    assert sorted(tuple(r) for r in got_df.select("i", "k", "v").collect()) == want
+    freq = facts.groupBy("k").agg(F.count(F.lit(1)).alias("__n"))
+    assert skew.hot_keys(freq, "k", hot_min=100) == ["hot"]

@@ -79,7 +79,8 @@ def test_select_batch_stops_at_overlapping_pairs():
 
 def test_encode_salts_hot_words_exactly(spark, trained, monkeypatch):
     model, tok, lines = trained
-    monkeypatch.setattr(ft, "HOT_MIN", 5)            # make the frequent words hot at this size
+    from parapet.operators import skew
+    monkeypatch.setattr(skew, "HOT_MIN", 5)          # make the frequent words hot at this size
     sample = lines.filter(F.col("doc_id") < 40).select("doc_id", "line_no", "line")
     enc = ft.encode(sample, ["doc_id", "line_no"], "line", model, salts=7)
     got = {(r["doc_id"], r["line_no"]): list(r["ids"]) for r in enc.collect()}

@@ -123,21 +123,24 @@ WORD_SPECIALS = [T.BOS, T.EOS, T.PAD]
 
 
 def word_vocab(words: DataFrame) -> DataFrame:
-    """(id, word): specials first, then words by count desc, word. Ids come
+    """(id, word, cnt): specials first, then words by count desc, word. Ids come
     from the two-level scan (blocks by count and first letters, whose totals
     are scanned per count)."""
     block = F.struct((-F.col("cnt")).alias("nc"), F.substring("word", 1, 2).alias("p"))
     # block totals are summed per count first, so no step is one task over all blocks
     ranked = running_offset(words, [], [(-F.col("cnt")), F.col("word")], block, None, "__o",
                             coarse=lambda b: b.getField("nc"))
-    return ranked.select((F.col("__o") + len(WORD_SPECIALS)).cast("int").alias("id"), "word")
+    return ranked.select((F.col("__o") + len(WORD_SPECIALS)).cast("int").alias("id"), "word", "cnt")
 
 
 def word_ids(df: DataFrame, keys: Sequence[str], text: str, vocab: DataFrame,
              pattern: str = T.WORD_PATTERN) -> DataFrame:
     """(keys..., ids): words of ``text`` mapped through ``vocab``."""
     pos = df.select(*keys, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(pattern), 0)).alias("pos", "word"))
-    parts = skew.salted_join(pos, vocab, "word").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("__s"))
+    # hotness from the vocabulary's own counts when it has them: no extra
+    # pass over the texts (salting any key set is exact)
+    freq = vocab.select("word", F.col("cnt").alias("__n")) if "cnt" in vocab.columns else None
+    parts = skew.salted_join(pos, vocab.select("word", "id"), "word", freq=freq).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("__s"))
     got = parts.select(*keys, F.transform("__s", lambda x: x["id"]).alias("ids"))
     return df.select(*keys).join(got, list(keys), "left") \
              .withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))

@@ -118,13 +118,15 @@ def decode_roundtrip(spark, sf):
 
 @query("word_vocab", with_("word_vocab") + "SELECT * FROM word_vocab")
 def word_vocab(spark, sf):
-    return ft.word_vocab(bpe.word_counts(fx.table(spark, sf, "documents"), "text", T.WORD_PATTERN))
+    return ft.word_vocab(bpe.word_counts(fx.table(spark, sf, "documents"), "text", T.WORD_PATTERN)) \
+             .select("id", "word")
 
 
 def _word_vocab_table(spark, sf):
     """The word vocabulary as an artefact: built once per application and input."""
     key = [spark.sparkContext.applicationId, sf, "word-vocab"]
-    return materialise_once(spark, "word-vocab", key, lambda: word_vocab(spark, sf))
+    build = lambda: ft.word_vocab(bpe.word_counts(fx.table(spark, sf, "documents"), "text", T.WORD_PATTERN))
+    return materialise_once(spark, "word-vocab-counted", key, build)
 
 
 def _word_pairs(spark, sf):

@@ -18,6 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input with fewer splits than task slots (a file of one row
+    group) before regex-heavy per-row work that ends in an aggregation on
+    another key. At scale inputs have plenty of splits: nothing changes."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, line_no, line): documents split on newlines."""
     docs = table(spark, sf_dir, "documents")
@@ -150,8 +158,8 @@ MEMBER_SOURCES = ["src0", "src1", "src2", "src3"]
 
 def member_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(member, line): the lines each bigram member is counted on."""
-    return lines(spark, sf_dir).filter(F.col("source").isin(MEMBER_SOURCES)) \
-                               .select(F.col("source").alias("member"), "line")
+    return spread(lines(spark, sf_dir).filter(F.col("source").isin(MEMBER_SOURCES))
+                  .select(F.col("source").alias("member"), "line"))
 
 
 def decode_starts(spark: SparkSession, sf_dir: str) -> DataFrame:

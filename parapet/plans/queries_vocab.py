@@ -57,12 +57,12 @@ def trained_model(spark, sf, vocab_size: int = VOCAB_SIZE) -> bpe.BpeModel:
 
 @query("pretokenize", with_("gpt2_words") + "SELECT * FROM gpt2_words")
 def pretokenize(spark, sf):
-    return bpe.word_counts(fx.lines(spark, sf), "line")
+    return bpe.word_counts(fx.spread(fx.lines(spark, sf)), "line")
 
 
 @query("word_counts", with_("words") + "SELECT * FROM words")
 def word_counts(spark, sf):
-    return bpe.word_counts(fx.table(spark, sf, "documents"), "text", T.WORD_PATTERN)
+    return bpe.word_counts(fx.spread(fx.table(spark, sf, "documents").select("text")), "text", T.WORD_PATTERN)
 
 
 @query("bpe_pair_counts", with_("gpt2_words") + """
@@ -73,7 +73,7 @@ GROUP BY 1, 2
 """)
 def bpe_pair_counts(spark, sf):
     """First-round pair counts of the trainer, shown as byte pairs."""
-    words = bpe.word_counts(fx.lines(spark, sf), "line")
+    words = bpe.word_counts(fx.spread(fx.lines(spark, sf)), "line")
     pc = bpe.pair_counts(bpe.initial_symbols(words))
     return pc.select(F.col("a").alias("left_hex"), F.col("b").alias("right_hex"), F.col("c").cast("bigint"))
 

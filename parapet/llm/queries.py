@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parapet.llm import best_fit_packing, sentencepiece_codec, token_attribution
+from parapet.llm import best_fit_packing, bits, document_fingerprints, sentencepiece_codec, simhash_dedup, token_attribution
 from parapet.llm.catalog import query
+from parapet.llm.shared import write_shared
 
 TOKENIZERS = None       # folder of the public vocabularies; None: the installed package's
 
@@ -34,3 +36,25 @@ def op9(spark, sf_dir):
 @query("op10_best_fit_packing")
 def op10(spark, sf_dir):
     return best_fit_packing.pack(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
+@query("op5_simhash_dedup")
+def op5(spark, sf_dir):
+    return simhash_dedup.classes(documents(spark, sf_dir)).select(
+        F.col("id").alias("doc_id"), bits.as_hex(F.col("fp")).alias("fingerprint"),
+        F.col("component").alias("component_id"))
+
+
+@query("op8_document_fingerprints")
+def op8(spark, sf_dir):
+    out = write_shared(document_fingerprints.compare_edited(documents(spark, sf_dir)), "fingerprints")
+    # searched: every document whose id is divisible by 20, against all
+    index = out.groupBy("fp").agg(F.count(F.lit(1)).alias("__n"))
+    asked = out.filter("doc_id % 20 = 0").select(F.col("fp").alias("query"))
+    found = document_fingerprints.within(asked, index.select("fp")).join(index, "fp")
+    n_within = found.groupBy(F.col("query").alias("fp")).agg(F.sum("__n").alias("n_within"))
+    searched = out.withColumn("__asked", F.coalesce(F.col("doc_id") % 20 == 0, F.lit(False)))
+    rows = searched.filter("__asked").join(n_within, "fp", "left").unionByName(
+        searched.filter("not __asked"), allowMissingColumns=True)
+    return rows.select("doc_id", "n_chars", "edited_sha256", bits.as_hex(F.col("fp")).alias("fingerprint"),
+                       bits.as_hex(F.col("edited_fp")).alias("edited_fingerprint"), "near_edited", "near_next", "n_within")

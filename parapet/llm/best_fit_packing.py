@@ -92,8 +92,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from parapet.llm.byte_bpe import load
+        from parapet.llm.units import slices
         tok = load(tokenizer_path)
-        for rb in batches:
+        for rb in slices(batches):
             ids, offs = tok.encode_column(rb.column(1))
             n = np.diff(offs) + 1
             begin = np.cumsum(n) - n

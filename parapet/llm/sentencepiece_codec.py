@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from parapet.llm.shared import type_of
-from parapet.llm.units import UnitEncoder, flat
+from parapet.llm.units import UnitEncoder, flat, slices
 
 MARK = "▁"      # the library's visible space (fixed value of the format)
 
@@ -229,7 +229,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = load(model_path)
-        for rb in batches:
+        for rb in slices(batches):
             ids, offs, begin, end = codec.encode_column(rb.column(1))
             length = np.diff(flat(rb.column(1))[1])
             out = [[], [], []]
@@ -267,7 +267,7 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = load(model_path)
         head, tail = codec.sp.bos_id(), codec.sp.eos_id()
-        for rb in batches:
+        for rb in slices(batches):
             ids, offs, begin, end = codec.encode_column(rb.column(1))
             n, id_sha, text_sha, covered = [], [], [], []
             for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):

@@ -64,9 +64,9 @@ def attribute(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from parapet.llm.byte_bpe import load
-        from parapet.llm.units import flat
+        from parapet.llm.units import flat, slices
         tok = load(tokenizer_path)
-        for rb in batches:
+        for rb in slices(batches):
             data, offsets = flat(rb.column(1))
             ids, token_offsets = tok.encode_column(rb.column(1))
             width = tok.widths[ids]

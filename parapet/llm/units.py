@@ -13,13 +13,14 @@ batch) whatever the length of a document.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 
-WINDOW = 16 << 20           # bytes of text cut and encoded at a time
-CACHE_ENTRIES = 300_000     # distinct units a worker remembers; then it starts afresh
+WINDOW = 4 << 20            # bytes of text cut and encoded at a time
+ASKED = 8192                # units given to the library at a time
+CACHE_ENTRIES = 150_000     # distinct units a worker remembers in each of two generations
 CACHE_UNIT_BYTES = 64       # longer units are encoded each time
 
 
@@ -41,6 +42,18 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[o[0]:o[-1]], o - o[0]
 
 
+def slices(batches: Iterable[pa.RecordBatch], column: int = 1) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``WINDOW`` bytes of text (or one row)."""
+    for rb in batches:
+        at = np.cumsum(np.diff(flat(rb.column(column))[1]))
+        lo = 0
+        while lo < rb.num_rows:
+            hi = int(np.searchsorted(at, (at[lo - 1] if lo else 0) + WINDOW, "right"))
+            hi = min(rb.num_rows, max(hi, lo + 1))
+            yield rb.slice(lo, hi - lo)
+            lo = hi
+
+
 def table(values: Sequence[int]) -> np.ndarray:
     out = np.zeros(256, bool)
     out[list(values)] = True
@@ -54,19 +67,31 @@ class UnitEncoder:
     def __init__(self, cuts: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray],
                  encode_many: Callable[[list[bytes]], list[Sequence[int]]]):
         self.cuts, self.encode_many = cuts, encode_many
-        self.seen: dict[bytes, bytes] = {}
+        self.seen: dict[bytes, bytes] = {}      # units of late
+        self.before: dict[bytes, bytes] = {}    # and of the generation before
+
+    def _keep(self, unit: bytes, ids: bytes) -> None:
+        if len(unit) <= CACHE_UNIT_BYTES:
+            if len(self.seen) >= CACHE_ENTRIES:
+                self.before, self.seen = self.seen, {}
+            self.seen[unit] = ids
 
     def _ids_of(self, units: list[bytes]) -> list[bytes]:
-        seen = self.seen
-        got = [seen.get(u) for u in units]
-        new = [i for i, g in enumerate(got) if g is None]
-        if new:
-            if len(seen) + len(new) > CACHE_ENTRIES:
-                seen.clear()
-            for i, ids in zip(new, self.encode_many([units[i] for i in new])):
+        got = list(map(self.seen.get, units))
+        missing = [i for i, g in enumerate(got) if g is None]
+        new = []
+        for i in missing:
+            ids = self.before.get(units[i])
+            if ids is None:
+                new.append(i)
+            else:
+                got[i] = ids
+                self._keep(units[i], ids)
+        for k in range(0, len(new), ASKED):
+            some = new[k:k + ASKED]
+            for i, ids in zip(some, self.encode_many([units[i] for i in some])):
                 got[i] = np.asarray(ids, np.uint32).tobytes()
-                if len(units[i]) <= CACHE_UNIT_BYTES and len(seen) < CACHE_ENTRIES:
-                    seen[units[i]] = got[i]
+                self._keep(units[i], got[i])
         return got
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

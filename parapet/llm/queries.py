@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parapet.llm import best_fit_packing, bits, document_fingerprints, sentencepiece_codec, simhash_dedup, token_attribution
+from parapet.llm import best_fit_packing, bits, document_fingerprints, language_id, license_scan, quality_classifier, quality_rules, sentencepiece_codec, simhash_dedup, token_attribution, warc
 from parapet.llm.catalog import query
 from parapet.llm.shared import write_shared
 
@@ -58,3 +58,79 @@ def op8(spark, sf_dir):
         searched.filter("not __asked"), allowMissingColumns=True)
     return rows.select("doc_id", "n_chars", "edited_sha256", bits.as_hex(F.col("fp")).alias("fingerprint"),
                        bits.as_hex(F.col("edited_fp")).alias("edited_fingerprint"), "near_edited", "near_next", "n_within")
+
+
+# The same counts and rules over lists in DuckDB.
+_OP1_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+a AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM d),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS p, w FROM a WHERE len(w) >= 3),
+h AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, w[p], w[p + 1], w[p + 2]) AS n FROM g),
+r AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS q FROM h WHERE n > 1) GROUP BY 1),
+s AS (SELECT a.doc_id, t, l, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
+             length(regexp_replace(t, '[^\\p{{L}}]', '', 'g')) AS letters,
+             length(regexp_replace(t, '[^\\p{{Lu}}]', '', 'g')) AS uppers
+      FROM a LEFT JOIN r USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR n_symbols > n_words * {symbols} OR n_dup_lines > len(l) * {dup}
+            OR uppers / greatest(letters, 1) > {upper} OR letters / greatest(word_chars, 1) < {letters}) AS kept
+FROM b
+""".format(symbols=quality_rules.MAX_SYMBOLS_PER_WORD, dup=quality_rules.MAX_DUP_LINE_SHARE,
+           upper=quality_rules.MAX_UPPER_SHARE, letters=quality_rules.MIN_LETTER_SHARE)
+
+
+@query("op1_quality_rules", _OP1_SQL)
+def op1(spark, sf_dir):
+    return quality_rules.judge(documents(spark, sf_dir))
+
+
+@query("op2_language_id")
+def op2(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = language_id.train(docs.filter(language_id.fold("doc_id", 5) != 0))
+    return language_id.predict(docs, model).select(
+        "doc_id", F.coalesce(language_id.fold("doc_id", 5) == 0, F.lit(True)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_license_scan")
+def op6(spark, sf_dir):
+    found = license_scan.scan(documents(spark, sf_dir))
+    exact = F.filter("matches", lambda m: m["kind"] == "exact")
+    starts = F.transform(exact, lambda m: m["first_word"])
+
+    def labels(matches):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["label"]))), ",")
+    return found.select(
+        "doc_id", "n_words", F.size(exact).cast("bigint").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), labels(exact).alias("base_labels"), labels(F.col("matches")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["similarity"])), F.lit(0.0)).alias("score"))
+
+
+@query("op7_quality_classifier")
+def op7(spark, sf_dir):
+    docs, fold = documents(spark, sf_dir).select("doc_id", "text"), language_id.fold("doc_id", 4)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    model = quality_classifier.train(docs, labels.filter(fold != 2))
+    return quality_classifier.score(docs, model).select(
+        "doc_id", F.coalesce(fold == 2, F.lit(True)).alias("held_out"), "score", "predicted")
+
+
+@query("op4_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM q)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < top THEN top END AS refers_to
+FROM m""")
+def op4(spark, sf_dir):
+    manifest = warc.archive(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    found = warc.summary(warc.read_chunks(spark, manifest, with_bytes=False))
+    return found.select(warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest",
+                        "record_type", warc.page_of(F.col("refers_to")).alias("refers_to"))

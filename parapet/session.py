@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +40,29 @@ def get_session(master: str | None = None, app: str = "parapet",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    return ship_package(spark)
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send the package's modules to the executors, once per application.
+
+    Python workers import functions by module name; on a cluster, or from
+    another working folder, only shipped files are on their path. Spark
+    serves the archive itself, so the driver's copy may be machine-local."""
+    sc = spark.sparkContext
+    if getattr(sc, "_parapet_shipped", False):
+        return spark
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="parapet-code-")
+    archive = os.path.join(folder, "parapet_code.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(base, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(here)))
+    sc.addPyFile(archive)
+    sc._parapet_shipped = True
     return spark
 
 

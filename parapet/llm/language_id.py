@@ -202,35 +202,50 @@ class Scorer:
         return p / p.sum(axis=1, keepdims=True)
 
 
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-            carry: tuple[str, ...] = ()) -> DataFrame:
-    """(id, carried columns, lang_pred, score) of every row."""
-    keep = [id_col, *carry]
-    schema = ", ".join(f"`{c}` {type_of(docs, c)}" for c in keep) + ", lang_pred string, score double"
+def _classify(model: Model, score: Scorer | None, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(language, score) of each text of a column."""
+    import pyarrow.compute as pc
+    lettered = pc.fill_null(pc.match_substring_regex(column, r"\p{L}"), False).to_numpy(zero_copy_only=False)
+    data, offsets = flat(column)
+    total = np.zeros((len(column), max(1, len(model.languages))))
+    if score is not None:
+        start, size, doc = windows(data, offsets)
+        for lo in range(0, len(start), 4096):       # the windows' bytes stay small
+            at = slice(lo, lo + 4096)
+            np.add.at(total, doc[at], score(pad(data, start[at], size[at])) * size[at, None])
+    known = lettered.astype(bool) & (score is not None)
+    best = total.argmax(axis=1)
+    share = total[np.arange(len(best)), best] / np.maximum(np.diff(offsets), 1)
+    names = np.array([*model.languages, UNKNOWN], object)[np.where(known, best, len(model.languages))]
+    return names, np.where(known, np.clip(share, 0, 1), 0.0)
+
+
+def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, lang_pred, score) of every row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = Scorer(model) if model.languages else None
+        for rb in slices(batches):
+            names, share = _classify(model, score, rb.column(1))
+            yield pa.RecordBatch.from_arrays([rb.column(0), pa.array(names.tolist(), pa.string()), pa.array(share)],
+                                             [id_col, "lang_pred", "score"])
+
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {type_of(docs, id_col)}, lang_pred string, score double")
+
+
+def keep_known(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is known with at
+    least ``min_score``. A model without languages keeps every row."""
+    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute as pc
         score = Scorer(model) if model.languages else None
-        for rb in slices(batches, 0):
-            column = rb.column(0)
-            lettered = pc.fill_null(pc.match_substring_regex(column, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-            data, offsets = flat(column)
-            total = np.zeros((rb.num_rows, max(1, len(model.languages))))
+        for rb in slices(batches, at):
             if score is not None:
-                start, size, doc = windows(data, offsets)
-                for lo in range(0, len(start), 4096):       # the windows' bytes stay small
-                    at = slice(lo, lo + 4096)
-                    p = score(pad(data, start[at], size[at])) * size[at, None]
-                    np.add.at(total, doc[at], p)
-            known = lettered.astype(bool) & (score is not None)
-            best = total.argmax(axis=1)
-            share = total[np.arange(len(best)), best] / np.maximum(np.diff(offsets), 1)
-            names = np.array([*model.languages, UNKNOWN], object)[np.where(known, best, len(model.languages))]
-            yield pa.RecordBatch.from_arrays(
-                [*rb.columns[1:], pa.array(names.tolist(), pa.string()),
-                 pa.array(np.where(known, np.clip(share, 0, 1), 0.0))], [*keep, "lang_pred", "score"])
+                names, share = _classify(model, score, rb.column(at))
+                rb = rb.filter(pa.array((names != UNKNOWN) & (share >= min_score)))
+            yield rb
 
-    return docs.select(text_col, *keep).mapInArrow(run, schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def fold(id_col: str, n: int) -> Column:

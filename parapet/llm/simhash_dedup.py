@@ -189,5 +189,6 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keyed = docs.withColumn("__key", text_key(text_col))
     kept = keyed.alias("d").join(first.alias("f"), F.col(f"d.{id_col}").eqNullSafe(F.col("f.__id"))
                                  & (F.col("d.__key") == F.col("f.__key"))).select("d.*")
-    one = Window.partitionBy("__key", id_col).orderBy(*[c for c in docs.columns if c != text_col])
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+    one = Window.partitionBy("__key", id_col).orderBy(F.to_json(F.struct(*others)) if others else F.lit(0))
     return kept.withColumn("__rn", F.row_number().over(one)).filter("__rn = 1").select(*docs.columns)

@@ -97,7 +97,7 @@ def write(records: DataFrame, folder: str) -> DataFrame:
                 if out is None:
                     fs.create_dir(base, recursive=True)
                     name, count, size = f"{uuid.uuid4().hex}.warc.gz", 0, 0
-                    out = fs.open_output_stream(f"{base}/{name}")
+                    out = fs.open_output_stream(f"{base}/{name}", compression=None)    # members are packed here
                 key, url, digest, refers = (rb.column(k)[row].as_py() for k in (0, 1, 4, 5))
                 payload = memoryview(rb.column(2)[row].as_buffer())
                 http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}".encode() + _END
@@ -138,20 +138,23 @@ class Stream:
     them unpacked at a time."""
 
     def __init__(self, raw):
-        self.raw, self.unzip, self.packed = raw, None, b""
+        self.raw, self.unzip, self.packed, self.full = raw, None, b"", False
         self.ready = bytearray()
 
     def more(self) -> bool:
         while True:
-            if not self.packed:
+            fresh = self.unzip is None or self.unzip.eof
+            # after a full piece the unpacker may hold more without further input
+            if not self.packed and (fresh or not self.full):
                 self.packed = self.raw.read(CHUNK)
                 if not self.packed:
-                    if self.unzip is not None and not self.unzip.eof:
+                    if not fresh:
                         raise EOFError("the archive ends in a record")
                     return False
-            if self.unzip is None or self.unzip.eof:
+            if fresh:
                 self.unzip = zlib.decompressobj(31)
             got = self.unzip.decompress(self.packed, CHUNK)
+            self.full = len(got) == CHUNK
             self.packed = self.unzip.unused_data if self.unzip.eof else self.unzip.unconsumed_tail
             if got:
                 self.ready += got
@@ -177,9 +180,10 @@ class Stream:
             while len(self.ready) < want:
                 if not self.more():
                     raise EOFError("the archive ends in a record")
-            yield bytes(self.ready[:want])
+            got = bytes(self.ready[:want])
             del self.ready[:want]
             n -= want
+            yield got
 
 
 def _fields(head: bytes) -> dict[str, str]:

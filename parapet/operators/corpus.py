@@ -158,7 +158,8 @@ def union_directions(df: DataFrame, order: Sequence[str] | None = None,
 
 def conversation_pairs(turns: DataFrame) -> DataFrame:
     """Each ``user`` turn with the following turn when it is the
-    ``assistant``'s: (conv_id, turn, pair_id, sl, tl).
+    ``assistant``'s: (conv_id, turn, pair_id, sl, tl), ``pair_id`` being
+    ``<conv_id>_<turn>``, which no other pair can have.
 
     A self equi-join on (conv_id, turn + 1): the join key includes the turn,
     so one long conversation does not land in one task."""
@@ -166,5 +167,5 @@ def conversation_pairs(turns: DataFrame) -> DataFrame:
     a = turns.filter(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("tl"))
     return (u.join(a, ["conv_id", "turn"], "inner")
-             .withColumn("pair_id", (F.col("conv_id") * 1000 + F.col("turn")).cast("bigint"))
+             .withColumn("pair_id", F.concat_ws("_", "conv_id", "turn"))
              .select("conv_id", "turn", "pair_id", "sl", "tl"))

@@ -3,11 +3,13 @@
 A table scorer is a bigram model per ensemble member: ``p_m(next | prev) =
 c / sum(c)``. Averaging the members' probabilities (A7, with a member that
 lacks the context contributing no mass) and taking the arg-max (W5) gives
-one best continuation per context. Because the state of a bigram decoder is
-its last token, that table is computed once; decoding then advances every
-live path one step per round with one join. Sentences sharing a start token
-share a path, so only distinct starts are decoded and the result is joined
-back to the sentences at the end.
+one best continuation per context. The state of a bigram decoder is its last
+token, so that table is a function from token to token, and a path ends at
+``</s>``, at a token without continuation, or where it would come back to a
+token it has visited (it would go round for ever). Whole paths come from
+composing the table with itself: paths double in each round, so a limit of
+512 tokens takes nine joins over the contexts, whatever the sentences are.
+Sentences are then joined once to the path of their first token.
 
 Opaque scorers (any Python callable over a batch) decode inside
 ``mapInPandas``: each executor runs the loop for its own batch of sentences.
@@ -19,13 +21,15 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parapet.functions.text import MAX_LENGTH
+from parapet.operators.skew import salted_join
 from parapet.session import cut_lineage
 
 EOS = "</s>"
-MAX_STEPS = 12
+MAX_STEPS = MAX_LENGTH      # the model's length limit
 DIGITS = 9        # probabilities are rounded before ranking: engines agree on ties
 
 
@@ -49,8 +53,10 @@ def bigram_counts(df: DataFrame, member: str, line: str) -> DataFrame:
 
 def bigram_scores(counts: DataFrame) -> DataFrame:
     """E1 for table scorers: (member, prev, next, p) with p = c / sum(c)."""
-    w = Window.partitionBy("member", "prev")
-    return counts.select("member", "prev", "next", (F.col("c") / F.sum("c").over(w)).alias("p"))
+    # sums and a join, not a window: all successors of a frequent token need
+    # not meet in one task, and the join's skewed side can be split
+    total = counts.groupBy("member", "prev").agg(F.sum("c").alias("__n"))
+    return counts.join(total, ["member", "prev"]).select("member", "prev", "next", (F.col("c") / F.col("__n")).alias("p"))
 
 
 def best_next(scores: DataFrame, n_members: int) -> DataFrame:
@@ -61,86 +67,58 @@ def best_next(scores: DataFrame, n_members: int) -> DataFrame:
     return best.select("prev", F.col("b.next").alias("next"), (-F.col("b.np")).alias("p"))
 
 
-def compose_paths(pa: DataFrame, pb: DataFrame, len_a: int, eos: str = EOS) -> DataFrame:
-    """Paths of up to ``len_a + len_b`` tokens from every context: a path
-    of ``pa`` that is complete (``len_a`` tokens, not ended by ``eos``)
-    continues with the ``pb`` path of its last token. Tables: (prev, path)."""
-    last = F.element_at("path", -1)
-    go_on = (F.size("path") == len_a) & (last != eos)
-    a = pa.withColumn("__last", F.when(go_on, last))
-    b = pb.select(F.col("prev").alias("__last"), F.col("path").alias("__more"))
-    j = a.join(b, "__last", "left")
-    return j.select("prev", F.concat("path", F.coalesce("__more", F.array().cast("array<string>"))).alias("path"))
-
-
-def stride_paths(best: DataFrame, stride: int = 4, eos: str = EOS) -> tuple[DataFrame, int]:
-    """(prev, path) with paths of up to ``stride`` tokens (a power of two
-    not above ``stride``) from every context, and that length. ``best`` may
-    already be such a table: (prev, path) with its length as ``stride``."""
-    if "path" in best.columns:
-        return best, stride
-    # the transition table is read by every composition: materialise it once
-    paths, length = cut_lineage(best.select("prev", F.array("next").alias("path"))), 1
-    while length * 2 <= stride:
-        paths = cut_lineage(compose_paths(paths, paths, length, eos))
-        length *= 2
-    return paths, length
-
-
-def greedy_decode(starts: DataFrame, best: DataFrame, max_steps: int = MAX_STEPS,
-                  eos: str = EOS, keys: Sequence[str] = ("sid",), stride: int = 4) -> DataFrame:
-    """(keys..., step, token) for step 1.. until ``eos`` or ``max_steps``.
-
-    ``starts``: (keys..., token). ``best``: (prev, next), or paths from
-    :func:`stride_paths`. A path stops early when its token has no
-    continuation. The transition table is composed with itself into paths
-    of ``stride`` tokens (two joins over the context table for a stride of
-    4), so the walk over the distinct start tokens takes max_steps / stride
-    rounds; the frontier is persisted each round and the result written to
-    the shared checkpoint folder."""
-    paths, length = stride_paths(best, stride, eos)
-    uniq = starts.select(F.col("token").alias("start")).distinct()
-    frontier = uniq.select("start", F.col("start").alias("token"))
-    steps, cached = [], []
-    base = 0
-    while base < max_steps:
-        take = min(length, max_steps - base)
-        nxt = (frontier.filter(F.col("token") != eos)
-                       .join(paths, F.col("token") == paths["prev"], "inner")
-                       .select("start", F.slice("path", 1, take).alias("path")))
-        nxt = nxt.persist()
-        cached.append(nxt)
-        if nxt.count() == 0:
-            break
-        steps.append(nxt.select("start", F.posexplode("path").alias("i", "token"))
-                        .select("start", (F.col("i") + base + 1).cast("bigint").alias("step"), "token"))
-        # only complete strides continue: a shorter path ended (eos or no context)
-        frontier = nxt.filter(F.size("path") == take).select("start", F.element_at("path", -1).alias("token"))
-        base += take
-    if not steps:
-        for c in cached:
-            c.unpersist()
-        return starts.select(*keys, F.lit(0).cast("bigint").alias("step"), "token").limit(0)
-    walked = steps[0]
-    for s_ in steps[1:]:
-        walked = walked.unionByName(s_)
-    walked = cut_lineage(walked)
-    for c in cached:
-        c.unpersist()
-    return starts.select(*keys, F.col("token").alias("start")).join(walked, "start", "inner") \
-                 .select(*keys, "step", "token")
+def greedy_paths(best: DataFrame, max_steps: int = MAX_STEPS, eos: str = EOS) -> DataFrame:
+    """(prev, path, stop) for every context of ``best`` (prev, next): the
+    tokens after ``prev``, and why they end: ``eos``, ``dead_end`` (no
+    continuation), ``repeat`` (the next token has been visited) or
+    ``length`` (``max_steps``).
+
+    Once a path repeats a token it only revisits tokens, so dropping repeats
+    of a composed path leaves exactly its part before the first repeat."""
+    live, ended, size = F.lit(None).cast("string"), [], 1
+    first = F.when(F.col("next") == eos, "eos").when(F.col("next") == F.col("prev"), "repeat").otherwise(live)
+    own = F.when(F.col("next") == F.col("prev"), F.array().cast("array<string>")).otherwise(F.array("next"))
+    paths = cut_lineage(best.select("prev", own.alias("path"), first.alias("stop")))
+    while size < max_steps and paths.filter("stop is null").take(1):
+        more = paths.select(F.col("prev").alias("last"), F.col("path").alias("more"), F.col("stop").alias("then"))
+        going = paths.filter("stop is null").withColumn("last", F.element_at("path", -1))
+        # many contexts lead to the same token: frequent ones are salted
+        joined = salted_join(going, more, "last", how="left")
+        long = F.concat(F.array("prev"), "path", F.coalesce("more", F.array().cast("array<string>")))
+        unique = F.array_distinct(long)
+        stop = F.when(F.size(unique) < F.size(long), "repeat") \
+                .when(F.col("more").isNull(), "dead_end").otherwise(F.col("then"))
+        grown = joined.select("prev", F.slice(unique, 2, F.size(unique)).alias("path"), stop.alias("stop"))
+        paths = cut_lineage(paths.filter("stop is not null").unionByName(grown))
+        size *= 2
+    cut = F.size("path") > max_steps
+    return paths.select("prev", F.slice("path", 1, max_steps).alias("path"),
+                        F.when(cut | F.col("stop").isNull(), "length").otherwise(F.col("stop")).alias("stop"))
+
+
+def greedy_decode(starts: DataFrame, paths: DataFrame, keys: Sequence[str] = ("sid",)) -> DataFrame:
+    """(keys..., path, stop), one row per row of ``starts`` (keys..., token)
+    (E4). ``paths``: from :func:`greedy_paths`. A start without a context
+    stops at once (``dead_end``), one without a token is ``empty``."""
+    table = paths.select(F.col("prev").alias("token"), "path", "stop")
+    # lines share first words: frequent ones are salted
+    known = salted_join(starts.filter("token is not null"), table, "token", how="left")
+    none = starts.filter("token is null").select(*keys, F.lit(None).cast("array<string>").alias("path"),
+                                                 F.lit("empty").alias("stop"))
+    return known.select(*keys, "path", F.coalesce("stop", F.lit("dead_end")).alias("stop")).unionByName(none) \
+                .withColumn("path", F.coalesce("path", F.array().cast("array<string>")))
+
+
+def decoded_steps(decoded: DataFrame, keys: Sequence[str] = ("sid",)) -> DataFrame:
+    """(keys..., step, token): the tokens of :func:`greedy_decode` from step 1."""
+    return decoded.select(*keys, F.posexplode("path").alias("i", "token")) \
+                  .select(*keys, (F.col("i") + 1).cast("bigint").alias("step"), "token")
 
 
 def decoded_text(decoded: DataFrame, eos: str = EOS, keys: Sequence[str] = ("sid",)) -> DataFrame:
-    """(keys..., hypothesis, n_steps, finished): tokens in step order,
-    ``eos`` dropped, and whether the path reached ``eos``."""
-    g = decoded.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("step", "token"))).alias("s"),
-        F.max("step").alias("n_steps"),
-        F.max(F.when(F.col("token") == eos, 1).otherwise(0)).alias("fin"))
-    words = F.filter(F.transform("s", lambda x: x["token"]), lambda t: t != eos)
-    return g.select(*keys, F.array_join(words, " ").alias("hypothesis"), "n_steps",
-                    (F.col("fin") == 1).alias("finished"))
+    """(keys..., hypothesis, n_steps, stop): tokens in step order without ``eos``."""
+    return decoded.select(*keys, F.array_join(F.array_remove("path", eos), " ").alias("hypothesis"),
+                          F.size("path").cast("bigint").alias("n_steps"), "stop")
 
 
 # ---- opaque scorers -------------------------------------------------------
@@ -149,15 +127,16 @@ Scorer = Callable[..., np.ndarray]
 
 
 def greedy_decode_batch(df: DataFrame, members: Sequence[Scorer], eos_id: int,
-                        max_steps: int = MAX_STEPS, vocab: int | None = None,
-                        context: str | None = None) -> DataFrame:
+                        max_steps: int = MAX_STEPS, vocab: int | None = None, context: str | None = None,
+                        digits: int | None = None, keys: Sequence[str] = ("sid",)) -> DataFrame:
     """Greedy ensemble decoding with opaque scorers.
 
-    ``df``: (sid bigint, src string[, context]). Each member maps (sources,
+    ``df``: (keys..., src string[, context]); returns (keys..., ids). Each member maps (sources,
     prefixes[, contexts]) to next-token logits ``[batch, vocab]``; members
     are averaged in probability space (log-sum-exp - ln M) and the arg-max
-    is appended until ``eos_id`` or ``max_steps``. Runs per Arrow batch on
-    the executors: the loop never leaves the batch's task."""
+    is appended until ``eos_id`` or ``max_steps``; with ``digits`` averages
+    are rounded first, so ties go to the lowest id on every engine. Runs per
+    Arrow batch on the executors: the loop never leaves the batch's task."""
     members = list(members)
     if not members:
         raise ValueError("no ensemble member is available")
@@ -186,12 +165,13 @@ def greedy_decode_batch(df: DataFrame, members: Sequence[Scorer], eos_id: int,
                 lp = np.stack(stack)
                 top = lp.max(axis=0)
                 avg = top + np.log(np.exp(lp - top).sum(axis=0)) - np.log(m)
-                choice = avg.argmax(axis=1)
+                choice = (avg if digits is None else avg.round(digits)).argmax(axis=1)
                 for j, i in enumerate(idx):
                     prefixes[i].append(int(choice[j]))
                     if choice[j] == eos_id:
                         live[i] = False
-            yield pd.DataFrame({"sid": pdf["sid"].to_numpy(), "ids": prefixes})
+            yield pd.DataFrame({**{k: pdf[k] for k in keys}, "ids": prefixes})
 
-    cols = ["sid", "src"] + ([context] if context else [])
-    return df.select(*cols).mapInPandas(run, "sid bigint, ids array<bigint>")
+    cols = [*keys, "src"] + ([context] if context else [])
+    kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    return df.select(*cols).mapInPandas(run, f"{kinds}, ids array<bigint>")

@@ -65,21 +65,26 @@ def encode(df: DataFrame, keys: Sequence[str], text: str, model: BpeModel,
 
 
 def decode(df: DataFrame, keys: Sequence[str], ids: str, vocab: DataFrame,
-           skip_special: bool = True, name: str = "text") -> DataFrame:
+           skip_special: bool = True, name: str = "text", unknown: str = "fail") -> DataFrame:
     """(keys..., text): ids back to text (F6, J5). ``vocab``: (id, token_hex,
-    is_special), broadcast: its size is the configured vocabulary size."""
+    is_special), broadcast: its size is the configured vocabulary size. An id
+    the vocabulary lacks fails, or with ``unknown="null"`` makes the text null."""
     n = vocab.limit(MAX_VOCAB_BROADCAST + 1).count()
     if n > MAX_VOCAB_BROADCAST:
         raise ValueError("vocabulary too large to broadcast")
-    v = vocab.select("id", "token_hex", "is_special")
-    if skip_special:
-        v = v.filter(~F.col("is_special"))
+    v = vocab.select("id", "token_hex", "is_special", F.lit(True).alias("__in"))
     exploded = df.select(*keys, F.posexplode(ids).alias("pos", "id"))
-    joined = exploded.join(F.broadcast(v), "id")
-    parts = joined.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "token_hex"))).alias("__s"))
+    joined = exploded.join(F.broadcast(v), "id", "left")
+    token = F.when(F.col("is_special") & F.lit(skip_special), F.lit("")).otherwise(F.col("token_hex"))
+    token = F.when(F.col("__in"), token)
+    joined = joined.withColumn("token_hex", _known(token, F.col("id"), unknown))
+    parts = joined.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "token_hex"))).alias("__s"),
+                                      F.bool_or(F.col("token_hex").isNull()).alias("__lost"))
     hexes = F.array_join(F.transform("__s", lambda x: x["token_hex"]), "")
-    got = parts.select(*keys, F.decode(F.unhex(hexes), "UTF-8").alias(name))
-    return df.select(*keys).join(got, list(keys), "left").withColumn(name, F.coalesce(F.col(name), F.lit("")))
+    got = parts.select(*keys, F.when(~F.col("__lost"), F.decode(F.unhex(hexes), "UTF-8")).alias(name),
+                       F.lit(True).alias("__some"))
+    return df.select(*keys).join(got, list(keys), "left") \
+             .withColumn(name, F.when(F.col("__some"), F.col(name)).otherwise(F.lit(""))).drop("__some")
 
 
 def model_features(df: DataFrame, src_ids: str, tgt_ids: str, bos: int, eos: int, pad: int,
@@ -105,16 +110,30 @@ def select_features(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def pad_batch(df: DataFrame, batch: str, pad: int, label_pad: int = T.IGNORE_INDEX) -> DataFrame:
-    """Pad each row to the longest ``input_ids`` of its batch (W3): ids with
-    ``pad``, labels with ``label_pad``, attention mask with 0. The window is
-    bounded by the batch size."""
+    """Pad each row to its batch (W3): ids with ``pad`` and the attention
+    mask with 0 to the longest ``input_ids``, labels with ``label_pad`` to
+    the longest ``labels``. The window is bounded by the batch size."""
     w = Window.partitionBy(batch)
-    longest = F.max(F.greatest(F.size("input_ids"), F.size("labels"))).over(w)
-    return (df.withColumn("__len", longest)
-              .withColumn("attention_mask", T.attention_mask("input_ids", F.col("__len")))
-              .withColumn("input_ids", T.pad_to("input_ids", F.col("__len"), pad))
-              .withColumn("labels", T.pad_to("labels", F.col("__len"), label_pad))
-              .drop("__len"))
+    return (df.withColumn("__in", F.max(F.size("input_ids")).over(w))
+              .withColumn("__lab", F.max(F.size("labels")).over(w))
+              .withColumn("attention_mask", T.attention_mask("input_ids", F.col("__in")))
+              .withColumn("input_ids", T.pad_to("input_ids", F.col("__in"), pad))
+              .withColumn("labels", T.pad_to("labels", F.col("__lab"), label_pad))
+              .drop("__in", "__lab"))
+
+
+UNKNOWN = ("fail", "null")
+
+
+def _known(value: Column, what: Column, unknown: str) -> Column:
+    """The looked-up value; an entry the vocabulary lacks fails the job or
+    stays null in its place, and is never dropped."""
+    if unknown not in UNKNOWN:
+        raise ValueError(f"unknown must be one of {UNKNOWN}")
+    if unknown == "null":
+        return value
+    return F.when(value.isNull(), F.raise_error(F.concat(F.lit("not in the vocabulary: "), what.cast("string")))) \
+            .otherwise(value)
 
 
 # ---- a word-level vocabulary (SQL-checkable stand-in for J5 and F3-F6) ------
@@ -134,13 +153,14 @@ def word_vocab(words: DataFrame) -> DataFrame:
 
 
 def word_ids(df: DataFrame, keys: Sequence[str], text: str, vocab: DataFrame,
-             pattern: str = T.WORD_PATTERN) -> DataFrame:
-    """(keys..., ids): words of ``text`` mapped through ``vocab``."""
+             pattern: str = T.WORD_PATTERN, unknown: str = "fail") -> DataFrame:
+    """(keys..., ids): words of ``text`` mapped through ``vocab`` (J5). A word
+    the vocabulary lacks fails, or with ``unknown="null"`` has a null id.
+    Hot words are those of the texts being mapped."""
     pos = df.select(*keys, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(pattern), 0)).alias("pos", "word"))
-    # hotness from the vocabulary's own counts when it has them: no extra
-    # pass over the texts (salting any key set is exact)
-    freq = vocab.select("word", F.col("cnt").alias("__n")) if "cnt" in vocab.columns else None
-    parts = skew.salted_join(pos, vocab.select("word", "id"), "word", freq=freq).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("__s"))
+    joined = skew.salted_join(pos, vocab.select("word", "id"), "word", how="left")
+    parts = joined.withColumn("id", _known(F.col("id"), F.col("word"), unknown)) \
+        .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("__s"))
     got = parts.select(*keys, F.transform("__s", lambda x: x["id"]).alias("ids"))
     return df.select(*keys).join(got, list(keys), "left") \
              .withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))

@@ -18,21 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread an input with fewer splits than task slots (a file of one row
-    group) before regex-heavy per-row work that ends in an aggregation on
-    another key. At scale inputs have plenty of splits: nothing changes."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
-
-
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, line_no, line): documents split on newlines."""
     docs = table(spark, sf_dir, "documents")
     return corpus.lines_from_text(docs, "text", keep=["doc_id", "lang", "source"])
 
 
-_INDEX: dict = {}
+def documents_key(spark: SparkSession, sf_dir: str) -> str:
+    """Fingerprint of the documents table's files: artefacts follow their input."""
+    from parapet.sources.cache import input_fingerprint
+    return input_fingerprint(table(spark, sf_dir, "documents"))
 
 
 def doc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,16 +36,16 @@ def doc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     document) and materialised once in the shared checkpoint folder, so
     every consumer reads the same numbering (SURVEY 7.4)."""
     from parapet.operators.ordinal import running_offset
-    from parapet.session import cut_lineage
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _INDEX:
-        return _INDEX[key]
-    docs = table(spark, sf_dir, "documents")
-    n = F.length("text") - F.length(F.regexp_replace("text", "\n", "")) + 1
-    counts = docs.select("lang", "doc_id", n.cast("bigint").alias("n"))
-    block = F.floor(F.col("doc_id") / corpus.DEFAULT_FILES_PER_BLOCK)
-    _INDEX[key] = cut_lineage(running_offset(counts, ["lang"], ["doc_id"], block, F.col("n"), "first"))
-    return _INDEX[key]
+    from parapet.sources.cache import materialise_once
+
+    def build():
+        docs = table(spark, sf_dir, "documents")
+        n = F.length("text") - F.length(F.regexp_replace("text", "\n", "")) + 1
+        counts = docs.select("lang", "doc_id", n.cast("bigint").alias("n"))
+        block = F.floor(F.col("doc_id") / corpus.DEFAULT_FILES_PER_BLOCK)
+        return running_offset(counts, ["lang"], ["doc_id"], block, F.col("n"), "first")
+
+    return materialise_once(spark, "document-index", [documents_key(spark, sf_dir)], build)
 
 
 def indexed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,10 +83,10 @@ def zip_pairs(spark: SparkSession, sf_dir: str, how: str = "inner", with_sizes:
 
 
 def prepared_table(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFrame:
-    """``prepared``, written once per application as Parquet: multi-pass
-    consumers (the exact split) then read only the columns they need."""
+    """``prepared``, written once per input as Parquet: multi-pass consumers
+    (the exact split) then read only the columns they need."""
     from parapet.sources.cache import materialise_once
-    key = [spark.sparkContext.applicationId, sf_dir, how]
+    key = [documents_key(spark, sf_dir), how]
     return materialise_once(spark, "prepared-corpus", key, lambda: prepared(spark, sf_dir, how))
 
 
@@ -153,21 +148,21 @@ def step_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.transform("embedding", lambda x: x.cast("double")).alias("logits"))
 
 
-MEMBER_SOURCES = ["src0", "src1", "src2", "src3"]
+N_MEMBERS = 4
 
 
 def member_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(member, line): the lines each bigram member is counted on."""
-    return spread(lines(spark, sf_dir).filter(F.col("source").isin(MEMBER_SOURCES))
-                  .select(F.col("source").alias("member"), "line"))
+    """(member, line): every line; a source's number modulo ``N_MEMBERS``
+    says which bigram member is counted on it."""
+    number = F.regexp_extract("source", "([0-9]+)$", 1).cast("bigint") % N_MEMBERS
+    return lines(spark, sf_dir).select(F.concat(F.lit("m"), number).alias("member"), "line")
 
 
 def decode_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(sid, token): the first word of each document's first line."""
+    """(sid, line_no, token): the first word of every line, null without one."""
     from parapet.operators.decode import tokens
-    first = lines(spark, sf_dir).filter(F.col("line_no") == 0)
-    return first.select(F.col("doc_id").alias("sid"), tokens("line").getItem(0).alias("token")) \
-                .filter(F.col("token").isNotNull())
+    return lines(spark, sf_dir).select(F.col("doc_id").alias("sid"), "line_no",
+                                       F.get(tokens("line"), F.lit(0)).alias("token"))
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,26 +206,22 @@ def eval_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scorer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(prev, next, p): the ensemble's best continuation per context - a
-    model artefact, materialised once per application and input."""
+    model artefact, materialised once per input."""
     from parapet.operators import decode
     from parapet.sources.cache import materialise_once
 
     def build():
         counts = decode.bigram_counts(member_lines(spark, sf_dir), "member", "line")
-        return decode.best_next(decode.bigram_scores(counts), len(MEMBER_SOURCES))
+        return decode.best_next(decode.bigram_scores(counts), N_MEMBERS)
 
-    key = [spark.sparkContext.applicationId, sf_dir, MEMBER_SOURCES]
-    return materialise_once(spark, "bigram-best-next", key, build)
+    return materialise_once(spark, "bigram-best-next", [documents_key(spark, sf_dir), N_MEMBERS], build)
 
 
-def scorer_paths(spark: SparkSession, sf_dir: str, stride: int = 4) -> DataFrame:
-    """(prev, path): the scorer's best 4-token continuations per context,
-    composed once per application and input (part of the scorer artefact)."""
+def scorer_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(prev, path, stop): the scorer's greedy path from every context,
+    materialised once per input (part of the scorer artefact)."""
     from parapet.operators import decode
     from parapet.sources.cache import materialise_once
-
-    def build():
-        return decode.stride_paths(scorer_table(spark, sf_dir).select("prev", "next"), stride)[0]
-
-    key = [spark.sparkContext.applicationId, sf_dir, MEMBER_SOURCES, "paths", stride]
-    return materialise_once(spark, "bigram-paths", key, build)
+    key = [documents_key(spark, sf_dir), N_MEMBERS, "paths", decode.MAX_STEPS]
+    return materialise_once(spark, "bigram-paths", key,
+                            lambda: decode.greedy_paths(scorer_table(spark, sf_dir).select("prev", "next")))

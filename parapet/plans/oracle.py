@@ -64,7 +64,7 @@ FROM zip
 """, ("zip",))
 
 cte("pairs", """
-SELECT u.conv_id, u.turn, CAST(u.conv_id * 1000 + u.turn AS BIGINT) AS pair_id,
+SELECT u.conv_id, u.turn, u.conv_id || '_' || u.turn AS pair_id,
        u.text AS sl, a.text AS tl
 FROM conversations u JOIN conversations a
   ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
@@ -152,8 +152,8 @@ FROM embeddings
 cte("bigram_counts", """
 SELECT member, prev, next, CAST(count(*) AS BIGINT) AS c FROM (
   SELECT member, toks[i] AS prev, CASE WHEN i = len(toks) THEN '</s>' ELSE toks[i + 1] END AS next
-  FROM (SELECT source AS member, list_filter(string_split(line, ' '), lambda w: w <> '') AS toks
-        FROM lines WHERE source IN ('src0', 'src1', 'src2', 'src3')) t,
+  FROM (SELECT 'm' || CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) % 4 AS member,
+               list_filter(string_split(line, ' '), lambda w: w <> '') AS toks FROM lines) t,
        LATERAL (SELECT unnest(generate_series(1, len(t.toks))) AS i)
 ) GROUP BY member, prev, next
 """, ("lines",))
@@ -168,20 +168,26 @@ WHERE r = 1
 """, ("bigram_counts",))
 
 cte("starts", """
-SELECT doc_id AS sid, list_filter(string_split(line, ' '), lambda w: w <> '')[1] AS token
-FROM lines WHERE line_no = 0 AND len(list_filter(string_split(line, ' '), lambda w: w <> '')) > 0
+SELECT doc_id AS sid, line_no, list_filter(string_split(line, ' '), lambda w: w <> '')[1] AS token FROM lines
 """, ("lines",))
 
+# the greedy path after each context, walked token by token; ``seen`` starts with the context
 cte("decode_walk", """
-SELECT sid, 0 AS step, token FROM starts
+SELECT prev AS start, prev AS token, 0 AS step, [prev] AS seen FROM best_next
 UNION ALL
-SELECT d.sid, d.step + 1, b.next FROM decode_walk d JOIN best_next b ON b.prev = d.token
-WHERE d.step < 12 AND (d.step = 0 OR d.token <> '</s>')
-""", ("starts", "best_next"))
-
-cte("decoded", """
-SELECT sid, CAST(step AS BIGINT) AS step, token FROM decode_walk WHERE step >= 1
-""", ("decode_walk",))
+SELECT d.start, b.next, d.step + 1, list_append(d.seen, b.next)
+FROM decode_walk d JOIN best_next b ON b.prev = d.token
+WHERE d.step < 512 AND (d.step = 0 OR d.token <> '</s>') AND NOT list_contains(d.seen, b.next)
+""", ("best_next",))
+
+cte("paths", """
+SELECT w.start, w.seen[2:] AS path,
+       CASE WHEN w.token = '</s>' THEN 'eos' WHEN w.step = 512 THEN 'length'
+            WHEN b.prev IS NULL THEN 'dead_end' ELSE 'repeat' END AS stop
+FROM (SELECT start, max(step) AS step, arg_max(token, step) AS token, arg_max(seen, step) AS seen
+      FROM decode_walk GROUP BY start) w
+LEFT JOIN best_next b ON b.prev = w.token
+""", ("decode_walk", "best_next"))
 
 cte("metrics", """
 SELECT user_id AS run, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS epoch,
@@ -222,7 +228,7 @@ cte("pair_ids", """
 SELECT p.pair_id, p.side, coalesce(x.ids, []) AS ids
 FROM (SELECT pair_id, 'sl' AS side FROM pairs UNION ALL SELECT pair_id, 'tl' FROM pairs) p
 LEFT JOIN (SELECT pair_id, side, list(v.id ORDER BY w.pos) AS ids
-           FROM pair_words w JOIN word_vocab v ON v.word = w.word GROUP BY pair_id, side) x
+           FROM pair_words w LEFT JOIN word_vocab v ON v.word = w.word GROUP BY pair_id, side) x
   ON x.pair_id = p.pair_id AND x.side = p.side
 """, ("pairs", "pair_words", "word_vocab"))
 
@@ -245,28 +251,15 @@ FROM manifest m JOIN eval_files s ON s.path = m.src
 LEFT JOIN eval_files r ON r.path = m.ref AND r.line_no = s.line_no
 """, ("manifest", "eval_files"))
 
-cte("eval_walk", """
-SELECT token AS start, 0 AS step, token FROM (
-  SELECT DISTINCT list_filter(string_split(src, ' '), lambda w: w <> '')[1] AS token FROM eval_sets
-  WHERE len(list_filter(string_split(src, ' '), lambda w: w <> '')) > 0)
-UNION ALL
-SELECT d.start, d.step + 1, b.next FROM eval_walk d JOIN best_next b ON b.prev = d.token
-WHERE d.step < 12 AND (d.step = 0 OR d.token <> '</s>')
-""", ("eval_sets", "best_next"))
-
 cte("translations", """
 SELECT e.direction, e.dataset, e.line_no, e.src, e.ref,
-       coalesce(h.hypothesis, '') AS hypothesis, CAST(coalesce(h.n_steps, 0) AS BIGINT) AS n_steps,
-       coalesce(h.finished, false) AS finished
+       coalesce(array_to_string(list_filter(p.path, lambda t: t <> '</s>'), ' '), '') AS hypothesis,
+       CAST(coalesce(len(p.path), 0) AS BIGINT) AS n_steps,
+       CASE WHEN len(list_filter(string_split(e.src, ' '), lambda w: w <> '')) = 0 THEN 'empty'
+            ELSE coalesce(p.stop, 'dead_end') END AS stop
 FROM eval_sets e
-LEFT JOIN (
-  SELECT start,
-         array_to_string(list_filter([x.token FOR x IN list_sort(list({'step': step, 'token': token}))],
-                                     lambda t: t <> '</s>'), ' ') AS hypothesis,
-         max(step) AS n_steps, bool_or(token = '</s>') AS finished
-  FROM eval_walk WHERE step >= 1 GROUP BY start) h
-  ON h.start = list_filter(string_split(e.src, ' '), lambda w: w <> '')[1]
-""", ("eval_sets", "eval_walk"))
+LEFT JOIN paths p ON p.start = list_filter(string_split(e.src, ' '), lambda w: w <> '')[1]
+""", ("eval_sets", "paths"))
 
 cte("eval_hr", """
 SELECT direction || '/' || dataset AS evalset, line_no AS sid,

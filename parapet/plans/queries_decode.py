@@ -23,19 +23,29 @@ def bigram_scores(spark, sf):
 @query("best_next", with_("best_next") + "SELECT * FROM best_next")
 def best_next(spark, sf):
     counts = decode.bigram_counts(fx.member_lines(spark, sf), "member", "line")
-    return decode.best_next(decode.bigram_scores(counts), len(fx.MEMBER_SOURCES))
+    return decode.best_next(decode.bigram_scores(counts), fx.N_MEMBERS)
 
 
-@query("greedy_decode", with_("decoded", recursive=True) + "SELECT * FROM decoded")
+KEYS = ["sid", "line_no"]
+
+
+def _decoded(spark, sf):
+    return decode.greedy_decode(fx.decode_starts(spark, sf), fx.scorer_paths(spark, sf), KEYS)
+
+
+@query("greedy_decode", with_("starts", "paths", recursive=True) + """
+SELECT s.sid, s.line_no, CAST(generate_subscripts(p.path, 1) AS BIGINT) AS step, unnest(p.path) AS token
+FROM starts s JOIN paths p ON p.start = s.token
+""")
 def greedy_decode(spark, sf):
-    return decode.greedy_decode(fx.decode_starts(spark, sf), fx.scorer_paths(spark, sf), decode.MAX_STEPS)
+    return decode.decoded_steps(_decoded(spark, sf), KEYS)
 
 
-@query("decoded_text", with_("decoded", recursive=True) + """
-SELECT sid, array_to_string(list_filter([x.token FOR x IN list_sort(list({'step': step, 'token': token}))],
-                                        lambda t: t <> '</s>'), ' ') AS hypothesis,
-       max(step) AS n_steps, bool_or(token = '</s>') AS finished
-FROM decoded GROUP BY sid
+@query("decoded_text", with_("starts", "paths", recursive=True) + """
+SELECT s.sid, s.line_no, coalesce(array_to_string(list_filter(p.path, lambda t: t <> '</s>'), ' '), '') AS hypothesis,
+       CAST(coalesce(len(p.path), 0) AS BIGINT) AS n_steps,
+       CASE WHEN s.token IS NULL THEN 'empty' ELSE coalesce(p.stop, 'dead_end') END AS stop
+FROM starts s LEFT JOIN paths p ON p.start = s.token
 """)
 def decoded_text(spark, sf):
-    return decode.decoded_text(greedy_decode(spark, sf))
+    return decode.decoded_text(_decoded(spark, sf), keys=KEYS)

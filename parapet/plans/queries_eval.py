@@ -38,23 +38,18 @@ def optional_reference(spark, sf):
 
 def _translations(spark, sf):
     """E5: decode every source line of every eval set with the n-gram
-    ensemble; lines without words get an empty hypothesis."""
+    ensemble, one row per line; lines without words get an empty hypothesis."""
     e = read_eval_sets(fx.manifest(spark, sf), fx.eval_files(spark, sf))
-    best = fx.scorer_paths(spark, sf)
-    starts = e.select(*KEYS, decode.tokens("src").getItem(0).alias("token")).filter(F.col("token").isNotNull())
-    dec = decode.greedy_decode(starts, best, decode.MAX_STEPS, keys=KEYS)
-    text = decode.decoded_text(dec, keys=KEYS)
-    return e.join(text, KEYS, "left").select(
-        *KEYS, "src", "ref", F.coalesce("hypothesis", F.lit("")).alias("hypothesis"),
-        F.coalesce("n_steps", F.lit(0)).cast("bigint").alias("n_steps"),
-        F.coalesce("finished", F.lit(False)).alias("finished"))
+    starts = e.select(*KEYS, "src", "ref", F.get(decode.tokens("src"), F.lit(0)).alias("token"))
+    kept = [*KEYS, "src", "ref"]
+    return decode.decoded_text(decode.greedy_decode(starts, fx.scorer_paths(spark, sf), kept), keys=kept)
 
 
 @query("translate_eval_sets", with_("translations", recursive=True) + """
-SELECT direction, dataset, line_no, hypothesis, n_steps, finished FROM translations
+SELECT direction, dataset, line_no, hypothesis, n_steps, stop FROM translations
 """)
 def translate_eval_sets(spark, sf):
-    return _translations(spark, sf).select(*KEYS, "hypothesis", "n_steps", "finished")
+    return _translations(spark, sf).select(*KEYS, "hypothesis", "n_steps", "stop")
 
 
 @query("eval_report", with_("eval_hr", recursive=True) + bleu_sql("eval_hr", "evalset"))

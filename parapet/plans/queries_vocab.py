@@ -35,7 +35,7 @@ def trained_model(spark, sf, vocab_size: int = VOCAB_SIZE) -> bpe.BpeModel:
     """Train once per input and parameters; later calls load the artefact."""
     docs = fx.table(spark, sf, "documents")
     specials = _specials(spark, sf)
-    key = [spark.sparkContext.applicationId, input_fingerprint(docs), vocab_size, specials, SEED, N_VALID,
+    key = [input_fingerprint(docs), vocab_size, specials, SEED, N_VALID,
            bpe.TOP_K]
 
     def build_merges():
@@ -57,12 +57,12 @@ def trained_model(spark, sf, vocab_size: int = VOCAB_SIZE) -> bpe.BpeModel:
 
 @query("pretokenize", with_("gpt2_words") + "SELECT * FROM gpt2_words")
 def pretokenize(spark, sf):
-    return bpe.word_counts(fx.spread(fx.lines(spark, sf)), "line")
+    return bpe.word_counts(fx.lines(spark, sf), "line")
 
 
 @query("word_counts", with_("words") + "SELECT * FROM words")
 def word_counts(spark, sf):
-    return bpe.word_counts(fx.spread(fx.table(spark, sf, "documents").select("text")), "text", T.WORD_PATTERN)
+    return bpe.word_counts(fx.table(spark, sf, "documents").select("text"), "text", T.WORD_PATTERN)
 
 
 @query("bpe_pair_counts", with_("gpt2_words") + """
@@ -73,7 +73,7 @@ GROUP BY 1, 2
 """)
 def bpe_pair_counts(spark, sf):
     """First-round pair counts of the trainer, shown as byte pairs."""
-    words = bpe.word_counts(fx.spread(fx.lines(spark, sf)), "line")
+    words = bpe.word_counts(fx.lines(spark, sf), "line")
     pc = bpe.pair_counts(bpe.initial_symbols(words))
     return pc.select(F.col("a").alias("left_hex"), F.col("b").alias("right_hex"), F.col("c").cast("bigint"))
 
@@ -123,8 +123,8 @@ def word_vocab(spark, sf):
 
 
 def _word_vocab_table(spark, sf):
-    """The word vocabulary as an artefact: built once per application and input."""
-    key = [spark.sparkContext.applicationId, sf, "word-vocab"]
+    """The word vocabulary as an artefact: built once per input."""
+    key = [fx.documents_key(spark, sf)]
     build = lambda: ft.word_vocab(bpe.word_counts(fx.table(spark, sf, "documents"), "text", T.WORD_PATTERN))
     return materialise_once(spark, "word-vocab-counted", key, build)
 
@@ -133,8 +133,8 @@ def _word_pairs(spark, sf):
     vocab = _word_vocab_table(spark, sf)
     p = fx.pairs(spark, sf).select("pair_id", T.to_translation("sl", "tl").alias("translation"))
     flat = p.select("pair_id", F.col("translation.sl").alias("sl"), F.col("translation.tl").alias("tl"))
-    src = ft.word_ids(flat, ["pair_id"], "sl", vocab).withColumnRenamed("ids", "src_ids")
-    tgt = ft.word_ids(flat, ["pair_id"], "tl", vocab).withColumnRenamed("ids", "tgt_ids")
+    src = ft.word_ids(flat, ["pair_id"], "sl", vocab, unknown="null").withColumnRenamed("ids", "src_ids")
+    tgt = ft.word_ids(flat, ["pair_id"], "tl", vocab, unknown="null").withColumnRenamed("ids", "tgt_ids")
     return src.join(tgt, "pair_id")
 
 
@@ -171,12 +171,12 @@ b AS (
   FROM f
 ),
 p AS (
-  SELECT *, max(greatest(len(input_ids), len(labels))) OVER (PARTITION BY batch_id) AS l FROM b
+  SELECT *, max(len(input_ids)) OVER (PARTITION BY batch_id) AS l, max(len(labels)) OVER (PARTITION BY batch_id) AS m FROM b
 )
-SELECT pair_id, batch_id, CAST(l AS BIGINT) AS padded_len,
+SELECT pair_id, batch_id, CAST(l AS BIGINT) AS input_len, CAST(m AS BIGINT) AS labels_len,
        md5(array_to_string(list_resize(input_ids, l, 2), ' ')) AS input_md5,
-       md5(array_to_string(list_resize(labels, l, -100), ' ')) AS labels_md5,
-       md5(array_to_string(list_transform(list_resize(labels, l, -100),
+       md5(array_to_string(list_resize(labels, m, -100), ' ')) AS labels_md5,
+       md5(array_to_string(list_transform(list_resize(labels, m, -100),
                                           lambda x: CASE WHEN x = -100 THEN 2 ELSE x END), ' ')) AS restored_md5
 FROM p
 """)
@@ -185,7 +185,8 @@ def pad_batch(spark, sf):
     f = sampling.shuffle_positions(f, SEED, ["pair_id"])
     f = f.withColumn("batch_id", sampling.batch_ids(F.col("pos"), BATCH))
     padded = ft.pad_batch(f, "batch_id", 2)
-    return padded.select("pair_id", "batch_id", F.size("input_ids").cast("bigint").alias("padded_len"),
+    return padded.select("pair_id", "batch_id", F.size("input_ids").cast("bigint").alias("input_len"),
+                         F.size("labels").cast("bigint").alias("labels_len"),
                          ft.ids_digest(F.col("input_ids")).alias("input_md5"),
                          ft.ids_digest(F.col("labels")).alias("labels_md5"),
                          ft.ids_digest(T.replace_sentinel("labels", 2)).alias("restored_md5"))

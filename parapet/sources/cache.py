@@ -1,14 +1,21 @@
 """Materialise an artefact once.
 
 The artefact lives under the shared checkpoint folder at
-``<root>/<name>-<key>`` where the key hashes the parameters and a listing
-of the input files (path, size, modification time) - so a changed input or
-parameter builds a new artefact instead of reusing a stale one.
+``<root>/<name>-<key>``, where the key hashes the parameters and a
+fingerprint of the input files (path, size, modification time): a changed
+input or parameter builds a new artefact instead of reusing a stale one, and
+another application over the same input finds it.
+
+A build is written to a fresh folder and named by a small pointer written
+after it; without the pointer and the writer's own success marker nothing is
+read. Two builders of one key at a time write the same content twice, and
+either pointer is right.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -24,31 +31,50 @@ def artefact_root(spark: SparkSession) -> str:
 
 
 def input_fingerprint(df: DataFrame) -> str:
-    """md5 over (path, length, modificationTime) of the files behind ``df``;
-    the listing is read without file contents."""
-    paths = sorted(df.inputFiles())
+    """Digest of (path, length, modification time) of the files behind
+    ``df``, computed by Spark from its own listing: per-file hashes are summed
+    and counted, and one row reaches the driver. No file content is read."""
+    paths = df.inputFiles()
     if not paths:
         return "no-files"
-    meta = (df.sparkSession.read.format("binaryFile").load(paths)
-              .select("path", "length", "modificationTime").orderBy("path").collect())
-    h = hashlib.md5()
-    for r in meta:
-        h.update(f"{r['path']}|{r['length']}|{r['modificationTime']}\n".encode())
-    return h.hexdigest()
+    one = F.xxhash64("path", "length", "modificationTime")
+    meta = df.sparkSession.read.format("binaryFile").load(paths).agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(one).alias("x"), F.sum(F.pmod(one, F.lit(1 << 31))).alias("s"),
+        F.sum("length").alias("bytes"), F.max("modificationTime").alias("last")).first()
+    return hashlib.md5("|".join(map(str, meta)).encode()).hexdigest()
 
 
 def key_of(parts: Sequence[object]) -> str:
     return hashlib.md5("\x1f".join(map(str, parts)).encode()).hexdigest()[:16]
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def published(spark: SparkSession, path: str) -> DataFrame | None:
+    """The finished artefact at ``path``, or None."""
+    if not _exists(spark, f"{path}/current/_SUCCESS"):
+        return None
+    try:
+        names = [r["value"] for r in spark.read.text(f"{path}/current").limit(2).collect()]
+    except AnalysisException:
+        return None
+    if len(names) != 1 or not _exists(spark, f"{path}/{names[0]}/_SUCCESS"):
+        return None
+    return spark.read.parquet(f"{path}/{names[0]}")
+
+
 def materialise_once(spark: SparkSession, name: str, key_parts: Sequence[object],
                      build: Callable[[], DataFrame], root: str | None = None) -> DataFrame:
-    """Read ``name`` for this key if it was written before, else build it,
-    write it as Parquet and read it back."""
+    """Read ``name`` for this key if it was finished before, else build it,
+    write it as Parquet, publish it and read it back."""
     path = f"{(root or artefact_root(spark)).rstrip('/')}/{name}-{key_of(key_parts)}"
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        pass
-    build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    found = published(spark, path)
+    if found is not None:
+        return found
+    fresh = f"build-{uuid.uuid4().hex}"
+    build().write.parquet(f"{path}/{fresh}")
+    spark.createDataFrame([(fresh,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/current")
+    return spark.read.parquet(f"{path}/{fresh}")

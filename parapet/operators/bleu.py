@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parapet.operators.sizing import partitions_for
+
 MAX_ORDER = 4
 
 
@@ -66,8 +68,7 @@ def sentence_stats(df: DataFrame, group: Sequence[str], sid: Sequence[str], hyp:
     d = df.select(*keys, hyp.alias("__h"), ref.alias("__r"))
     # an explicit count: AQE would size this shuffle by the tokens, but the
     # n-grams generated after it are several times larger
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    d = d.repartition(n, *keys)
+    d = d.repartition(partitions or partitions_for(df), *keys)
     lens = d.select(*keys, F.size("__h").alias("hyp_len"), F.size("__r").alias("ref_len"))
     sets = d.select(*keys, F.explode(_gram_sets(F.col("__h"), F.col("__r"), max_n)).alias("__p")) \
             .select(*keys, "__p.__n", "__p.__side", "__p.__gs")

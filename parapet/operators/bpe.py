@@ -40,6 +40,7 @@ log = logging.getLogger(__name__)
 
 TOP_K = 1000
 CHECKPOINT_EVERY = 4
+WORDS_PER_PARTITION = 200_000
 
 
 def _printable(b: int) -> bool:
@@ -168,7 +169,7 @@ def train_bpe(words: DataFrame, vocab_size: int, specials: Sequence[str], top_k:
     id_sym = {i: t for t, i in sym_id.items()}
     # spread the distinct words over the cluster first (an explicit count, so
     # AQE keeps it): the byte mapping and every round then run in parallel
-    n_parts = partitions or spark.sparkContext.defaultParallelism
+    n_parts = partitions or max(spark.sparkContext.defaultParallelism, -(-words.count() // WORDS_PER_PARTITION))
     init = initial_symbols(words.repartition(n_parts, "word")).filter(F.size(F.split(F.trim("syms"), " ")) > 1)
     t0 = time.time()
     state = cut_lineage(init)

@@ -9,6 +9,7 @@ vocabulary and rebuilds the UTF-8 bytes in the JVM.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import pandas as pd
@@ -24,21 +25,38 @@ from parapet.session import cut_lineage
 MAX_VOCAB_BROADCAST = 1_000_000   # vocabularies are configured sizes (32,000 in the reference)
 
 
-def _positions(df: DataFrame, keys: Sequence[str], text: str, pattern: str) -> DataFrame:
-    return df.select(*keys, F.posexplode(T.pretokenize(F.col(text), pattern)).alias("pos", "word"))
+def pretokens(text: Column, specials: Sequence[str], pattern: str = T.GPT2_PATTERN) -> Column:
+    """Pre-tokens of a text in which the strings of special tokens stand for
+    themselves: the text is cut at them first, as the public tokenizers do,
+    and only the stretches between are matched with ``pattern``."""
+    if not specials:
+        return T.pretokenize(text, pattern)
+    # longer strings first: one may begin another
+    either = "|".join(re.escape(x) for x in sorted(specials, key=len, reverse=True))
+    stretches = F.regexp_extract_all(text, F.lit(f"(?s)(?:{either})|(?:(?!{either}).)+"), F.lit(0))
+    cut = F.flatten(F.transform(stretches, lambda x: F.when(x.isin(list(specials)), F.array(x))
+                                .otherwise(T.pretokenize(x, pattern))))
+    return F.when(F.rlike(text, F.lit(either)), cut).otherwise(T.pretokenize(text, pattern))
+
+
+def _positions(df: DataFrame, keys: Sequence[str], text: str, pattern: str, specials: Sequence[str]) -> DataFrame:
+    return df.select(*keys, F.posexplode(pretokens(F.col(text), specials, pattern)).alias("pos", "word"))
 
 
 def encode_words(words: DataFrame, model: BpeModel) -> DataFrame:
-    """(word, ids array<int>) for distinct words: BPE per word on executors."""
+    """(word, ids array<int>) for distinct words: BPE per word on executors;
+    a special token's string is its own id."""
     spark = words.sparkSession
     n_special = len(model.specials)
     base = {b: n_special + i for i, b in enumerate(byte_order())}
-    bc = spark.sparkContext.broadcast((model.ranks(), base))
+    special = {t: i for i, t in enumerate(model.specials)}
+    bc = spark.sparkContext.broadcast((model.ranks(), base, special))
 
     def run(batches):
-        ranks, base_ids = bc.value
+        ranks, base_ids, special_ids = bc.value
         for pdf in batches:
-            out = [encode_word([base_ids[b] for b in w.encode("utf-8")], ranks) for w in pdf["word"]]
+            out = [[special_ids[w]] if w in special_ids else
+                   encode_word([base_ids[b] for b in w.encode("utf-8")], ranks) for w in pdf["word"]]
             yield pd.DataFrame({"word": pdf["word"], "ids": out})
 
     return words.mapInPandas(run, "word string, ids array<int>")
@@ -52,7 +70,7 @@ def encode(df: DataFrame, keys: Sequence[str], text: str, model: BpeModel,
     Distinct words are encoded once, with their frequencies, and joined
     back with hot words salted (``operators.skew``): one word holding a
     third of the corpus does not land in one task."""
-    pos = _positions(df, keys, text, pattern)
+    pos = _positions(df, keys, text, pattern, model.specials)
     freq = pos.groupBy("word").agg(F.count(F.lit(1)).alias("__n"))
     enc = cut_lineage(encode_words(freq.select("word"), model).join(freq, "word"))
     joined = skew.salted_join(pos, enc.select("word", "ids"), "word", freq=enc.select("word", "__n"),

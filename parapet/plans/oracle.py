@@ -98,6 +98,24 @@ FROM (SELECT lang, doc_id, string_split(text, ' ') AS r FROM documents)
 """)
 
 
+def tokens_13a_sql(x: str) -> str:
+    """The public 13a rules on an expression, as a list of tokens."""
+    # fixed values: the mteval-v13a rules, in order
+    rules = [("<skipped>", ""), ("-\n", ""), ("\n", " "), ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")]
+    later = [("([\\{-\\~\\[-\\` -\\&\\(-\\+\\:-\\@\\/])", " \\1 "), ("([^0-9])([\\.,])", "\\1 \\2 "),
+             ("([\\.,])([^0-9])", " \\1 \\2"), ("([0-9])(-)", "\\1 \\2 "), ("\\s+", " ")]
+    for a, b in rules:
+        x = f"replace({x}, '{a}', '{b}')"
+    x = f"' ' || {x} || ' '"
+    for a, b in later:
+        x = f"regexp_replace({x}, '{a}', '{b}', 'g')"
+    return f"list_filter(string_split(trim({x}), ' '), lambda w: w <> '')"
+
+
+cte("hyp_ref_13a", "SELECT lang, sid, " + tokens_13a_sql("array_to_string(hyp, ' ')") + " AS hyp, "
+    + tokens_13a_sql("array_to_string(ref, ' ')") + " AS ref FROM hyp_ref", ("hyp_ref",))
+
+
 def bleu_sql(src: str, group: str, max_n: int = 4) -> str:
     """Corpus BLEU per ``group`` over ``src(group, sid, hyp, ref)``."""
     sides = f"SELECT {group}, sid, 0 AS side, hyp AS toks FROM {src} UNION ALL " \

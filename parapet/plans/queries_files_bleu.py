@@ -74,3 +74,10 @@ def strip_text(spark, sf):
 def corpus_bleu(spark, sf):
     hr = fx.hyp_ref(spark, sf)
     return bleu.corpus_bleu(hr, ["lang"], ["sid"], F.col("hyp"), F.col("ref"))
+
+
+@query("corpus_bleu_13a", with_("hyp_ref_13a") + bleu_sql("hyp_ref_13a", "lang"))
+def corpus_bleu_13a(spark, sf):
+    """BLEU with the default 13a tokens, from the sentences' texts."""
+    hr = fx.hyp_ref(spark, sf).select("lang", "sid", F.array_join("hyp", " ").alias("hyp"), F.array_join("ref", " ").alias("ref"))
+    return bleu.corpus_bleu(hr, ["lang"], ["sid"], bleu.tokenize_13a("hyp"), bleu.tokenize_13a("ref"))

@@ -9,7 +9,7 @@ from parapet.functions import text as T
 from parapet.operators import bpe, corpus, features as ft, sampling
 from parapet.plans import fixtures as fx
 from parapet.plans.catalog import query
-from parapet.plans.oracle import with_
+from parapet.plans.oracle import GPT2_SQL, with_
 from parapet.sources.cache import input_fingerprint, materialise_once
 
 VOCAB_SIZE = 300        # a small vocabulary: the reference's 32,000 is a long job (rounds dominate)
@@ -44,12 +44,12 @@ def trained_model(spark, sf, vocab_size: int = VOCAB_SIZE) -> bpe.BpeModel:
 
     merges = materialise_once(spark, "bpe-merges", key, build_merges).orderBy("rank").collect()
     model = bpe.new_model(specials)
+    id_of = {tb: i for i, tb in enumerate(model.token_bytes) if tb}
     for r in merges:
-        a = model.token_bytes.index(bytes.fromhex(r["left_hex"]))
-        b = model.token_bytes.index(bytes.fromhex(r["right_hex"]))
-        product = model.token_bytes[a] + model.token_bytes[b]
+        a, b = id_of[bytes.fromhex(r["left_hex"])], id_of[bytes.fromhex(r["right_hex"])]
         if r["id"] == len(model.token_bytes):
-            model.token_bytes.append(product)
+            model.token_bytes.append(model.token_bytes[a] + model.token_bytes[b])
+            id_of[model.token_bytes[-1]] = r["id"]
         model.merges.append((a, b, r["id"]))
         model.rounds = r["rounds"]
     return model
@@ -83,6 +83,51 @@ def bpe_merges(spark, sf):
     return trained_model(spark, sf).merges_df(spark)
 
 
+FIRST_MERGES = 8
+
+
+def _first_merges_sql(k: int) -> str:
+    """The first ``k`` merges over the distinct words, one after another: each
+    step counts adjacent symbols, takes the best pair and rewrites the words."""
+    order = "[" + ", ".join(f"'{b:02X}'" for b in bpe.byte_order()) + "]"
+    rank = lambda c, r: f"coalesce(nullif(list_position({order}, {c}), 0), 256 + list_position(m{r}.made, {c}))"
+    parts = [f"""
+w0 AS (SELECT cnt, regexp_extract_all(hex(encode(word)), '..') AS s FROM train_words),
+m0 AS (SELECT CAST([] AS VARCHAR[]) AS made, CAST([] AS VARCHAR[]) AS lefts, CAST([] AS VARCHAR[]) AS rights)"""]
+    for i in range(k):
+        # the merged pair becomes one element: words are joined, rewritten and split again
+        parts.append(f"""
+p{i} AS (
+  SELECT a, b, sum(cnt) AS c FROM (
+    SELECT cnt, unnest(s[1:len(s) - 1]) AS a, unnest(s[2:]) AS b FROM w{i} WHERE len(s) > 1) GROUP BY a, b),
+t{i} AS (SELECT a, b FROM p{i}, m{i} ORDER BY c DESC, {rank('a', i)}, {rank('b', i)} LIMIT 1),
+m{i + 1} AS (SELECT list_append(made, a || b) AS made, list_append(lefts, a) AS lefts, list_append(rights, b) AS rights
+             FROM m{i}, t{i}),
+w{i + 1} AS (
+  SELECT cnt, string_split(trim(regexp_replace(
+           replace(' ' || array_to_string(s, '  ') || ' ', ' ' || a || '  ' || b || ' ', ' ' || a || b || ' '),
+           ' +', ' ', 'g')), ' ') AS s
+  FROM w{i}, t{i})""")
+    return ",".join(parts) + f"""
+SELECT CAST(generate_subscripts(lefts, 1) - 1 AS INTEGER) AS rank, unnest(lefts) AS left_hex, unnest(rights) AS right_hex
+FROM m{k}
+"""
+
+
+_TRAIN_WORDS_SQL = """, train_words AS (
+  SELECT word, CAST(count(*) AS BIGINT) AS cnt FROM (SELECT unnest({words}) AS word FROM (
+    SELECT unnest([sl, tl]) AS line FROM corpus
+    WHERE pair_id NOT IN (SELECT pair_id FROM corpus ORDER BY md5('{seed}:' || CAST(pair_id AS VARCHAR)), pair_id LIMIT {n})))
+  GROUP BY word),""".format(words=GPT2_SQL.format(x="line"), seed=SEED, n=N_VALID)
+
+
+@query("bpe_first_merges", with_("corpus") + _TRAIN_WORDS_SQL + _first_merges_sql(FIRST_MERGES))
+def bpe_first_merges(spark, sf):
+    """The head of the trained merge list, which SQL can follow step by step."""
+    return trained_model(spark, sf).merges_df(spark).filter(F.col("rank") < FIRST_MERGES) \
+        .select("rank", "left_hex", "right_hex")
+
+
 @query("bpe_vocab")
 def bpe_vocab(spark, sf):
     return trained_model(spark, sf).vocab_df(spark)
@@ -108,6 +153,59 @@ def encode_pairs(spark, sf):
                     ft.ids_digest(F.col("labels")).alias("labels_md5"))
 
 
+def _prepared_sides(spark, sf):
+    """(split, pair_id, side, direction, text): both sides of the prepared,
+    tagged corpus as one column, train and validation."""
+    both = sampling.train_valid_split(fx.prepared_table(spark, sf, "left"), N_VALID, SEED, ["pair_id"])
+    side = F.explode(F.array(F.struct(F.lit("sl").alias("side"), F.col("sl").alias("text")),
+                             F.struct(F.lit("tl").alias("side"), F.col("tl").alias("text"))))
+    return both.select("split", "pair_id", "direction", side.alias("e")).select(
+        "split", "pair_id", "direction", "e.side", "e.text")
+
+
+def _encoded_corpus(spark, sf):
+    """The prepared corpus in ids, encoded once per input: one job for both
+    sides and both splits."""
+    model = trained_model(spark, sf)
+    keys = ["split", "pair_id", "direction", "side"]
+    key = [fx.documents_key(spark, sf), VOCAB_SIZE, SEED, N_VALID, bpe.TOP_K]
+    return model, keys, materialise_once(spark, "encoded-corpus", key, lambda: ft.encode(
+        _prepared_sides(spark, sf), keys, "text", model))
+
+
+@query("encode_corpus", with_("corpus") + f"""
+SELECT CASE WHEN pair_id IN (SELECT pair_id FROM corpus ORDER BY md5('{SEED}:' || CAST(pair_id AS VARCHAR)), pair_id
+                             LIMIT {N_VALID}) THEN 'valid' ELSE 'train' END AS split,
+       pair_id, side, CAST(0 AS BIGINT) AS n_unknown,
+       CASE WHEN side = 'sl' THEN '<' || split_part(direction, '__', 2) || '>' END AS tag,
+       CAST(CASE WHEN side = 'sl' THEN 1 ELSE 0 END AS BIGINT) AS n_special,
+       CAST(strlen(text) - CASE WHEN side = 'sl' THEN length(split_part(direction, '__', 2)) + 2 ELSE 0 END AS BIGINT) AS n_bytes
+FROM (SELECT pair_id, direction, unnest(['sl', 'tl']) AS side, unnest([sl, tl]) AS text FROM corpus)
+""")
+def encode_corpus(spark, sf):
+    """What must hold of every encoded line: a source line starts with its
+    tag's own id, all other ids are of text, and their bytes are the text's."""
+    model, keys, enc = _encoded_corpus(spark, sf)
+    n = len(model.specials)
+    width = F.create_map(*[F.lit(x) for i, tb in enumerate(model.token_bytes) for x in (i, len(tb))])
+    special = F.create_map(*[F.lit(x) for i, t in enumerate(model.specials) for x in (i, t)])
+    known = F.filter("ids", lambda i: (i >= 0) & (i < len(model.token_bytes)))
+    return enc.select("split", "pair_id", "side", (F.size("ids") - F.size(known)).cast("bigint").alias("n_unknown"),
+                      special[F.get("ids", F.lit(0))].alias("tag"),
+                      F.size(F.filter("ids", lambda i: i < n)).cast("bigint").alias("n_special"),
+                      F.aggregate("ids", F.lit(0).cast("bigint"), lambda s, i: s + width[i]).alias("n_bytes"))
+
+
+@query("decode_corpus", with_("corpus") + """
+SELECT pair_id, side, CASE WHEN side = 'sl' THEN substr(text, length(split_part(direction, '__', 2)) + 3) ELSE text END AS text
+FROM (SELECT pair_id, direction, unnest(['sl', 'tl']) AS side, unnest([sl, tl]) AS text FROM corpus)
+""")
+def decode_corpus(spark, sf):
+    """decode(encode(x)) = x for every line of the prepared corpus, without its tag."""
+    model, keys, enc = _encoded_corpus(spark, sf)
+    return ft.decode(enc.select("pair_id", "side", "ids"), ["pair_id", "side"], "ids", model.vocab_df(spark))
+
+
 @query("decode_roundtrip", with_("pairs") + "SELECT pair_id, sl AS text FROM pairs")
 def decode_roundtrip(spark, sf):
     """decode(encode(x)) = x: BPE over bytes loses nothing."""

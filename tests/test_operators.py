@@ -125,20 +125,75 @@ def test_argmax_ties_go_to_lowest_id(spark):
     assert df.select(ens.argmax("a")).first()[0] == 1
 
 
-def test_greedy_decode_matches_loop(spark):
-    best = {"a": "b", "b": "c", "c": "a", "x": "</s>", "y": "z"}
-    starts = [(1, "a"), (2, "x"), (3, "y"), (4, "q"), (5, "a")]
+def walk(best, start, limit):
+    """Greedy path by a plain loop: (tokens, why it ends)."""
+    path, seen, tok = [], {start}, start
+    while True:
+        if tok not in best:
+            return path, "dead_end"
+        if len(path) == limit:
+            return path, "length"
+        tok = best[tok]
+        if tok in seen:
+            return path, "repeat"
+        path.append(tok)
+        seen.add(tok)
+        if tok == "</s>":
+            return path, "eos"
+
+
+@pytest.mark.parametrize("limit", [512, 5])
+def test_greedy_decode_matches_loop(spark, limit):
+    best = {"a": "b", "b": "c", "c": "a", "x": "</s>", "y": "z", "self": "self", "into": "b"}
+    best |= {f"n{i}": f"n{i + 1}" for i in range(600)} | {f"e{i}": f"e{i + 1}" for i in range(100)} | {"e100": "</s>"}
+    starts = [(i, t) for i, t in enumerate(["a", "x", "y", "q", "a", "n0", "n300", "e3", "e98", "self", "into", None])]
     bdf = spark.createDataFrame(list(best.items()), "prev string, next string")
     sdf = spark.createDataFrame(starts, "sid long, token string")
-    got = sorted(tuple(r) for r in decode.greedy_decode(sdf, bdf, 5).collect())
-    want = []
+    out = decode.greedy_decode(sdf, decode.greedy_paths(bdf, limit))
+    got = {r["sid"]: (list(r["path"]), r["stop"]) for r in out.collect()}
+    assert len(got) == len(starts)
     for sid, tok in starts:
-        for step in range(1, 6):
-            if tok == "</s>" or tok not in best:
-                break
-            tok = best[tok]
-            want.append((sid, step, tok))
-    assert got == sorted(want)
+        path, why = ([], "empty") if tok is None else walk(best, tok, limit)
+        assert got[sid][0] == path, tok
+        # at the limit itself the path may also have come to its end
+        assert got[sid][1] == why or len(path) == limit, tok
+    text = {r["sid"]: (r["hypothesis"], r["n_steps"]) for r in decode.decoded_text(out).collect()}
+    assert text[1] == ("", 1) and text[11] == ("", 0) and text[3] == ("", 0)
+
+
+def test_pairs_of_long_conversations_have_keys_of_their_own(spark):
+    from parapet.operators.corpus import conversation_pairs
+    turns = [(c, t, "user" if t % 2 == 0 else "assistant", f"{c}-{t}") for c in (1, 2) for t in range(1010)]
+    pairs = conversation_pairs(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()
+    assert len(pairs) == len({r["pair_id"] for r in pairs}) == 1010
+
+
+def test_pad_batch_has_two_widths_and_unknown_ids_stay(spark):
+    from parapet.operators import features as ft
+    df = spark.createDataFrame([(0, [5, 6], [1, 2, 3, 4]), (0, [7], [1])], "b int, input_ids array<int>, labels array<int>")
+    rows = sorted((list(r["input_ids"]), list(r["attention_mask"]), list(r["labels"])) for r in ft.pad_batch(df, "b", 0).collect())
+    assert rows == [([5, 6], [1, 1], [1, 2, 3, 4]), ([7, 0], [1, 0], [1, -100, -100, -100])]
+    vocab = spark.createDataFrame([("the", 5)], "word string, id int")
+    text = spark.createDataFrame([(1, "the zzunknownzz the")], "k int, t string")
+    assert ft.word_ids(text, ["k"], "t", vocab, unknown="null").first()["ids"] == [5, None, 5]
+    with pytest.raises(Exception, match="not in the vocabulary"):
+        ft.word_ids(text, ["k"], "t", vocab).collect()
+    tokens = spark.createDataFrame([(0, "", True), (1, "6869", False)], "id int, token_hex string, is_special boolean")
+    ids = spark.createDataFrame([(1, [0, 1, 9]), (2, [0, 1]), (3, [])], "k int, ids array<int>")
+    got = {r["k"]: r["text"] for r in ft.decode(ids, ["k"], "ids", tokens, unknown="null").collect()}
+    assert got == {1: None, 2: "hi", 3: ""}
+    with pytest.raises(Exception, match="not in the vocabulary"):
+        ft.decode(ids, ["k"], "ids", tokens).collect()
+
+
+def test_partition_count_follows_the_bytes_read(spark, tmp_path):
+    from parapet.operators.sizing import partitions_for
+    spark.range(200_000).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert partitions_for(df) == least
+    assert partitions_for(df.join(df.withColumnRenamed("id", "j")), 1 << 14) > least
+    assert partitions_for(spark.createDataFrame([(1,)], "a int")) == least
 
 
 def test_opaque_scorer_decoding(spark):

@@ -1,6 +1,7 @@
 """Sources and sinks against temporary files."""
 
 import io
+import glob
 import os
 import tarfile
 
@@ -165,6 +166,31 @@ def test_materialise_once_reuses_and_rebuilds(spark, tmp):
     assert len(calls) == 2
 
 
+def test_artefact_follows_its_input(spark, tmp):
+    from parapet.plans import fixtures as fx
+    rows = [(i, f"w{i} x\ny", "en" if i % 2 else "de", f"src{i % 5}", 5) for i in range(40)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    write = lambda r: spark.createDataFrame(r, schema).coalesce(1).write.mode("overwrite").parquet(f"{tmp}/sf/documents.parquet")
+    write(rows[:20])
+    first = fx.prepared_table(spark, f"{tmp}/sf").count()
+    write(rows)
+    assert fx.prepared_table(spark, f"{tmp}/sf").count() == 2 * first
+    assert fx.doc_index(spark, f"{tmp}/sf").count() == 40
+
+
+def test_half_written_artefacts_are_not_read(spark, tmp):
+    from parapet.sources.cache import key_of, published
+    path = f"{tmp}/thing-{key_of(['k'])}"
+    spark.range(3).write.parquet(f"{path}/build-x")             # written, never published
+    assert published(spark, path) is None
+    assert materialise_once(spark, "thing", ["k"], lambda: spark.range(7), root=tmp).count() == 7
+    good = materialise_once(spark, "thing", ["k"], lambda: spark.range(9), root=tmp)
+    assert good.count() == 7
+    os.remove(glob.glob(f"{path}/build-*/_SUCCESS")[0])
+    os.remove(f"{path}/current/_SUCCESS")
+    assert published(spark, path) is None
+
+
 def test_zip_two_line_files(spark, tmp):
     from parapet.operators.corpus import zip_join
     _write(f"{tmp}/dataset.sl", b"s0\ns1\ns2\n")

@@ -12,7 +12,7 @@ from parapet.plans import fixtures as fx
 
 tokenizers = pytest.importorskip("tokenizers")
 
-SPECIALS = ["<s>", "</s>", "<pad>"]
+SPECIALS = ["<de>", "<fr>", "<s>", "</s>", "<pad>"]
 VOCAB = 330
 
 
@@ -61,6 +61,16 @@ def test_encode_equals_library_and_round_trips(spark, trained):
         assert back[(r["doc_id"], r["line_no"])] == r["line"]
 
 
+def test_special_strings_in_texts_are_their_own_ids(spark, trained):
+    model, tok, _ = trained
+    tok.add_special_tokens(SPECIALS)
+    texts = ["<de> hello world", "<de>", " <de> x", "a <fr><de>b </s>", "<dex> <d e>", "x<pad>", "", "<s>a</s> \n<de>\n b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    got = {r["k"]: list(r["ids"]) for r in ft.encode(df, ["k"], "t", model).collect()}
+    for k, t in enumerate(texts):
+        assert got[k] == tok.encode(t).ids, t
+
+
 def test_select_batch_stops_at_overlapping_pairs():
     m = bpe.new_model([])
     top = [(1, 2, 50), (3, 4, 40), (2, 5, 39), (6, 7, 10)]

@@ -9,14 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parapet.functions import text as T
 from parapet.operators.ordinal import running_offset
+from parapet.operators.sizing import bounded_rows, lookup
 
 # Files (documents) per block in the two-level offset scan.
 DEFAULT_FILES_PER_BLOCK = 4096
+MAX_DIRECTIONS = 10_000
 
 
 def lines_from_text(df: DataFrame, text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
@@ -101,15 +103,6 @@ def zip_by_position(lines: DataFrame, src_lang: str, tgt_langs: Sequence[str], h
     return z.withColumn("tl", F.coalesce("tl", F.lit(pad)))
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> list:
-    """Collect a small table (directions, languages), refusing more than
-    ``max_rows`` rows."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"expected at most {max_rows} rows, found more")
-    return sorted(tuple(r) for r in rows)
-
-
 def distinct_values(df: DataFrame, col: str, max_values: int = 10_000) -> list:
     """Sorted distinct values of a low-cardinality column (directions,
     languages), refusing to bring more than ``max_values`` to the driver."""
@@ -142,18 +135,15 @@ def union_directions(df: DataFrame, order: Sequence[str] | None = None,
     when known more cheaply than by counting ``df``."""
     if sizes is None:
         sizes = df.groupBy("direction").agg((F.max("idx") + 1).alias("n"))
-    if order is None:
-        rank = F.col("direction")
-    else:
-        pos = F.create_map(*[x for i, d in enumerate(order) for x in (F.lit(d), F.lit(i))])
-        rank = pos[F.col("direction")]
-    w = Window.orderBy(rank).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per direction: the window over it is tiny by construction, and
-    # AQE broadcasts it from its runtime size
-    starts = sizes.select("direction", F.coalesce(F.sum(F.col("n")).over(w), F.lit(0)).alias("__start"))
-    return (df.join(starts, "direction")
-              .withColumn("pair_id", (F.col("__start") + F.col("idx")).cast("bigint"))
-              .drop("__start"))
+    rows = bounded_rows(sizes.select("direction", "n"), MAX_DIRECTIONS)
+    if order is not None:
+        rows = sorted((r for r in rows if r[0] in order), key=lambda r: order.index(r[0]))
+    starts, total = {}, 0
+    for direction, n in rows:
+        starts[direction], total = total, total + n
+    # a literal per direction: corpus rows are never shuffled on three or four values
+    start = lookup(starts)(F.col("direction"))
+    return df.filter(F.col("direction").isin(list(starts))).withColumn("pair_id", (start + F.col("idx")).cast("bigint"))
 
 
 def conversation_pairs(turns: DataFrame) -> DataFrame:

@@ -81,9 +81,9 @@ def best_checkpoints(df: DataFrame, run: str, epoch: str, value: str, top_k: int
     t = df.withColumn("__r", F.row_number().over(top)).filter(F.col("__r") <= top_k) \
           .select(run, epoch, value, (F.col("__r") == 1).alias("is_best"), F.lit(True).alias("in_top_k"))
     l_ = df.withColumn("__r", F.row_number().over(last)).filter(F.col("__r") <= last_k) \
-           .select(run, epoch, value, F.lit(True).alias("in_last_k"))
-    out = t.join(l_, [run, epoch, value], "full_outer")
-    return out.select(run, epoch, value,
+           .select(run, epoch, F.col(value).alias("__last"), F.lit(True).alias("in_last_k"))
+    out = t.join(l_, [run, epoch], "full_outer")        # a null value would match no other
+    return out.select(run, epoch, F.coalesce(value, "__last").alias(value),
                       F.coalesce("in_top_k", F.lit(False)).alias("in_top_k"),
                       F.coalesce("in_last_k", F.lit(False)).alias("in_last_k"),
                       F.coalesce("is_best", F.lit(False)).alias("is_best"))

@@ -16,9 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parapet.operators.ordinal import hash_prefix_block, ordinal
+from parapet.operators.sizing import bounded_rows, lookup
 
 PREFIX_DIGITS = 4            # 16**4 = 65,536 blocks per refinement
-SMALL_ENOUGH = 50_000        # rows fetched at once when the cutoff block is small
+SMALL_ENOUGH = 50_000        # blocks up to this size are not refined further; the answer is the same either way
+MAX_GROUPS = 10_000          # languages or directions that batches are cut in
 
 
 def hash_key(seed: int | str, keys: Sequence[str]) -> Column:
@@ -123,9 +125,12 @@ def drop_last(df: DataFrame, position: str, batch_size: int, by: Sequence[str] =
     """Remove the final incomplete batch of each ``by`` group (W1 ``drop_last``).
 
     Only the last batch of a group can be short, so one count per group
-    (a small table) decides: keep positions below ``(count div n) * n``."""
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__cnt"))
-    keep = F.floor(F.col("__cnt") / batch_size) * batch_size
-    if by:
-        return df.join(counts, on=list(by)).filter(F.col(position) < keep).drop("__cnt")
-    return df.filter(F.col(position) < counts.select(keep).scalar())
+    decides: keep positions below ``(count div n) * n``. Groups are few (their
+    number is checked) and their counts become literals: no row moves."""
+    if not by:
+        n = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+        return df.filter(F.col(position) < n // batch_size * batch_size)
+    key = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in by])
+    counts = df.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    full = {k: n // batch_size * batch_size for k, n in bounded_rows(counts, MAX_GROUPS)}
+    return df.filter(F.col(position) < lookup(full)(key))

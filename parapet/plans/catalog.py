@@ -28,4 +28,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     # importing the modules registers their queries
-    from parapet.plans import queries_corpus, queries_decode, queries_ensemble, queries_eval, queries_files_bleu, queries_metrics, queries_split, queries_vocab  # noqa: F401
+    from parapet.plans import queries_corpus, queries_decode, queries_ensemble, queries_eval, queries_files_bleu, queries_metrics, queries_sources, queries_split, queries_vocab  # noqa: F401

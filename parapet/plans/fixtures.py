@@ -6,10 +6,11 @@ with the tables. The matching DuckDB definitions live in ``oracle.py``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parapet.operators import corpus
+from parapet.operators.sizing import bounded_rows
 
 SOURCE_LANG = "en"
 
@@ -31,29 +32,38 @@ def documents_key(spark: SparkSession, sf_dir: str) -> str:
 
 
 def doc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(lang, doc_id, first, n): where each document's lines start in the
-    concatenation of its language, and how many it has. Thin (one row per
-    document) and materialised once in the shared checkpoint folder, so
-    every consumer reads the same numbering (SURVEY 7.4)."""
+    """(lang, source, doc_id, n, first, file_first): lines of each document,
+    and where they start in the concatenation of its language and of its
+    (source, language) file. Thin (one row per document) and materialised
+    once per input in the shared checkpoint folder (SURVEY 7.4)."""
     from parapet.operators.ordinal import running_offset
     from parapet.sources.cache import materialise_once
 
     def build():
         docs = table(spark, sf_dir, "documents")
         n = F.length("text") - F.length(F.regexp_replace("text", "\n", "")) + 1
-        counts = docs.select("lang", "doc_id", n.cast("bigint").alias("n"))
+        counts = docs.select("lang", "source", "doc_id", n.cast("bigint").alias("n"))
         block = F.floor(F.col("doc_id") / corpus.DEFAULT_FILES_PER_BLOCK)
-        return running_offset(counts, ["lang"], ["doc_id"], block, F.col("n"), "first")
+        by_lang = running_offset(counts, ["lang"], ["doc_id"], block, F.col("n"), "first")
+        return running_offset(by_lang, ["source", "lang"], ["doc_id"], block, F.col("n"), "file_first")
 
     return materialise_once(spark, "document-index", [documents_key(spark, sf_dir)], build)
 
 
 def indexed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lines`` plus ``idx``: position in the concatenation of the
-    language's documents in doc_id order (U2)."""
-    idx = doc_index(spark, sf_dir).select("lang", "doc_id", "first")
-    return lines(spark, sf_dir).join(idx, ["lang", "doc_id"]) \
-        .withColumn("idx", (F.col("first") + F.col("line_no")).cast("bigint")).drop("first")
+    """``lines`` plus ``idx``, the position in the concatenation of the
+    language's documents in doc_id order (U2), and ``file_line``, that in the
+    (source, language) file: the one line table every later step reads,
+    written once per input."""
+    from parapet.sources.cache import materialise_once
+
+    def build():
+        idx = doc_index(spark, sf_dir).select("doc_id", "lang", "source", "first", "file_first")
+        return lines(spark, sf_dir).join(idx, ["doc_id", "lang", "source"]).select(
+            "lang", "source", "doc_id", "line_no", (F.col("first") + F.col("line_no")).alias("idx"),
+            (F.col("file_first") + F.col("line_no")).alias("file_line"), "line")
+
+    return materialise_once(spark, "indexed-lines", [documents_key(spark, sf_dir)], build)
 
 
 def target_langs(spark: SparkSession, sf_dir: str) -> list[str]:
@@ -73,13 +83,10 @@ def zip_pairs(spark: SparkSession, sf_dir: str, how: str = "inner", with_sizes:
     if not with_sizes:
         return z
     totals = doc_index(spark, sf_dir).groupBy("lang").agg(F.sum("n").alias("total"))
-    # one row per language: a window over the whole (tiny) table brings the
-    # English total to every row
-    n_en = F.max(F.when(F.col("lang") == SOURCE_LANG, F.col("total"))).over(Window.partitionBy())
-    other = totals.withColumn("n_en", n_en).filter(F.col("lang") != SOURCE_LANG)
-    n = F.least("n_en", "total") if how == "inner" else F.col("n_en")
-    sizes = other.select(F.concat(F.lit(SOURCE_LANG + "__"), F.col("lang")).alias("direction"), n.alias("n"))
-    return z, sizes
+    lengths = dict(bounded_rows(totals, corpus.MAX_DIRECTIONS))
+    n_en = lengths.get(SOURCE_LANG, 0)
+    rows = [(f"{SOURCE_LANG}__{t}", min(n_en, lengths[t]) if how == "inner" else n_en) for t in tgts]
+    return z, spark.createDataFrame(rows, "direction string, n bigint")
 
 
 def prepared_table(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFrame:
@@ -198,10 +205,8 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def eval_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(path, line_no, line): one virtual file per (source, lang): that
     source's documents in that language, concatenated in doc_id order."""
-    from parapet.operators import corpus as c
-    il = c.concat_files(lines(spark, sf_dir), by=["source", "lang"], file_col="doc_id", name="pos")
-    return il.select(F.concat(F.col("source"), F.lit("/"), F.col("lang")).alias("path"),
-                     F.col("pos").alias("line_no"), "line")
+    return indexed_lines(spark, sf_dir).select(F.concat_ws("/", "source", "lang").alias("path"),
+                                               F.col("file_line").alias("line_no"), "line")
 
 
 def scorer_table(spark: SparkSession, sf_dir: str) -> DataFrame:

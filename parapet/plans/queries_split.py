@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from parapet.functions import text as T
 from parapet.operators import corpus, sampling
+from parapet.operators.sizing import bounded_rows, lookup
 from parapet.plans import fixtures as fx
 from parapet.plans.catalog import query
 from parapet.plans.oracle import with_
@@ -59,7 +59,7 @@ def zip_left(spark, sf):
 
 @query("tag_language", with_("tagged") + "SELECT * FROM tagged")
 def tag_language(spark, sf):
-    return corpus.tag_language(fx.zip_pairs(spark, sf, "inner"))
+    return corpus.tag_language(fx.zip_pairs(spark, sf, "inner"), multi=len(fx.target_langs(spark, sf)) > 1)
 
 
 @query("union_directions", with_("tagged") + """
@@ -149,13 +149,12 @@ WHERE z.idx = 0 OR z.idx = m.n - 1
 GROUP BY z.direction, m.n
 """)
 def line_at(spark, sf):
-    """Length of each direction and its first and last pair: point lookups on
-    the position column (filters on ``idx``, not a re-read of the corpus)."""
-    z = fx.zip_pairs(spark, sf, "inner")
-    n = z.groupBy("direction").agg(F.count(F.lit(1)).alias("n_lines"))
-    hit = z.join(n, "direction").filter((F.col("idx") == 0) | (F.col("idx") == F.col("n_lines") - 1))
-    first = F.col("idx") == 0
-    last = F.col("idx") == F.col("n_lines") - 1
+    """Length of each direction (from the index) and its first and last pair:
+    filters on the position, which reach the lines before they are zipped."""
+    z, sizes = fx.zip_pairs(spark, sf, "inner", with_sizes=True)
+    length = lookup(dict(bounded_rows(sizes, corpus.MAX_DIRECTIONS)))
+    first, last = F.col("idx") == 0, F.col("idx") == F.col("n_lines") - 1
+    hit = z.withColumn("n_lines", length(F.col("direction"))).filter(first | last)
     return hit.groupBy("direction", "n_lines").agg(
         F.max(F.when(first, F.col("sl"))).alias("first_sl"), F.max(F.when(first, F.col("tl"))).alias("first_tl"),
         F.max(F.when(last, F.col("sl"))).alias("last_sl"), F.max(F.when(last, F.col("tl"))).alias("last_tl"))

@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # iterative jobs checkpoint every few rounds: copies no longer referenced go
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -80,7 +82,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = sc.getConf().get("spark.checkpoint.dir")
     if not configured:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         configured = tempfile.mkdtemp(prefix="parapet-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)

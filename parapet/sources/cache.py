@@ -1,10 +1,10 @@
 """Materialise an artefact once.
 
 The artefact lives under the shared checkpoint folder at
-``<root>/<name>-<key>``, where the key hashes the parameters and a
+``<root>/<name>-<key>``, where the key hashes the code, the parameters and a
 fingerprint of the input files (path, size, modification time): a changed
-input or parameter builds a new artefact instead of reusing a stale one, and
-another application over the same input finds it.
+input, parameter or version builds a new artefact instead of reusing a stale
+one, and another application over the same input finds it.
 
 A build is written to a fresh folder and named by a small pointer written
 after it; without the pointer and the writer's own success marker nothing is
@@ -14,9 +14,12 @@ either pointer is right.
 
 from __future__ import annotations
 
+import glob
 import hashlib
+import os
 import uuid
 from collections.abc import Callable, Sequence
+from functools import lru_cache
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -44,8 +47,21 @@ def input_fingerprint(df: DataFrame) -> str:
     return hashlib.md5("|".join(map(str, meta)).encode()).hexdigest()
 
 
+@lru_cache(maxsize=1)
+def code_version() -> str:
+    """Digest of the package's modules that build artefacts: another version
+    of the code does not read what this one wrote."""
+    h = hashlib.md5()
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for part in ("functions", "operators", "plans", "sources"):
+        for path in sorted(glob.glob(os.path.join(here, part, "*.py"))):
+            with open(path, "rb") as f:
+                h.update(f.read())
+    return h.hexdigest()
+
+
 def key_of(parts: Sequence[object]) -> str:
-    return hashlib.md5("\x1f".join(map(str, parts)).encode()).hexdigest()[:16]
+    return hashlib.md5("\x1f".join(map(str, [code_version(), *parts])).encode()).hexdigest()[:16]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -1,9 +1,10 @@
 """Evaluation sets (S5, J4): manifest rows joined to the lines they name.
 
-Every distinct path is read once (one scan of the line table), joined to
-the manifest on the path, and the reference is aligned to the source by
-line number with a left join: a missing reference line is ``''``; an eval
-set without a reference file keeps ``ref`` null.
+The manifest is a configuration: its roles (which path is whose source or
+reference) are fetched, checked and broadcast, so lines are never shuffled
+on the few paths. One scan of the lines serves sources and references; they
+meet by line number in one aggregation. A missing reference line is ``''``;
+an eval set without a reference file keeps ``ref`` null.
 """
 
 from __future__ import annotations
@@ -11,17 +12,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parapet.operators.sizing import checked_broadcast
+
+MAX_MANIFEST_ROWS = 100_000
+
 
 def read_eval_sets(manifest: DataFrame, files: DataFrame, direction: str | None = None) -> DataFrame:
     """(direction, dataset, line_no, src, ref). ``files``: (path, line_no, line)."""
     m = manifest if direction is None else manifest.filter(F.col("direction") == direction)
-    m = m.select("direction", "dataset", "src", "ref")
-    src = files.join(m.withColumnRenamed("src", "path"), "path") \
-               .select("direction", "dataset", "line_no", F.col("line").alias("src"),
-                       F.col("ref").alias("ref_path"))
-    ref = files.join(m.select("direction", "dataset", F.col("ref").alias("path")), "path") \
-               .select("direction", "dataset", "line_no", F.col("line").alias("ref_line"))
-    out = src.join(ref, ["direction", "dataset", "line_no"], "left")
-    return out.select("direction", "dataset", "line_no", "src",
-                      F.when(F.col("ref_path").isNull(), F.lit(None).cast("string"))
-                       .otherwise(F.coalesce("ref_line", F.lit(""))).alias("ref"))
+    roles = m.select("direction", "dataset", F.explode(F.array(
+        F.struct(F.col("src").alias("path"), F.lit(True).alias("is_src"), F.col("ref").isNotNull().alias("has_ref")),
+        F.struct(F.col("ref").alias("path"), F.lit(False).alias("is_src"), F.lit(True).alias("has_ref")))).alias("r")) \
+        .select("direction", "dataset", "r.*").filter("path is not null")
+    lines = files.join(checked_broadcast(roles, 2 * MAX_MANIFEST_ROWS), "path")
+    both = lines.groupBy("direction", "dataset", "line_no").agg(
+        F.max(F.when(F.col("is_src"), F.col("line"))).alias("src"),
+        F.max(F.when(~F.col("is_src"), F.col("line"))).alias("ref"),
+        F.bool_or(F.col("is_src") & F.col("has_ref")).alias("has_ref"))
+    return both.filter(F.col("src").isNotNull()).select(
+        "direction", "dataset", "line_no", "src", F.when(F.col("has_ref"), F.coalesce("ref", F.lit(""))).alias("ref"))

@@ -18,7 +18,7 @@ from parapet.operators.ordinal import ordinal
 
 
 def read_lines(spark: SparkSession, path: str | list[str], prefix: str | None = None,
-               name_glob: str | None = None, line_sep: str | None = None) -> DataFrame:
+               name_glob: str | None = None, line_sep: str | None = None, recursive: bool = False) -> DataFrame:
     """(file, line_no, line) for a file, a directory of files, or a list.
 
     ``prefix`` keeps only files whose name starts with it; ``name_glob``
@@ -36,6 +36,8 @@ def read_lines(spark: SparkSession, path: str | list[str], prefix: str | None =
         reader = reader.option("pathGlobFilter", pattern)
     if line_sep is not None:
         reader = reader.option("lineSep", line_sep)
+    if recursive:       # all folders below, their names not taken as columns
+        reader = reader.option("recursiveFileLookup", "true")
     raw = reader.load(path)
     scan = raw.select(F.col("_metadata.file_path").alias("file"),
                       F.col("_metadata.file_block_start").alias("__split"),

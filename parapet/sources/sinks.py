@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parapet.session import cut_lineage
+
 ROWS_PER_FILE = 1_000_000
 
 
@@ -25,6 +27,7 @@ def write_aligned(df: DataFrame, out_dir: str, pos: str, columns: Sequence[str],
     chunk = F.floor(F.col(pos) / rows_per_file).cast("bigint").alias("chunk")
     d = df.select(*group, chunk, pos, *columns)
     d = d.repartition(*[F.col(g) for g in group], F.col("chunk")).sortWithinPartitions(*group, "chunk", pos)
+    d = cut_lineage(d)      # numbered, shuffled and sorted once for all columns
     for c in columns:
         (d.select(*group, "chunk", F.col(c).alias("value"))
           .write.mode("overwrite").partitionBy(*group, "chunk").text(f"{out_dir.rstrip('/')}/{c}"))
@@ -47,24 +50,32 @@ def write_eval(df: DataFrame, out_dir: str, rows_per_file: int = ROWS_PER_FILE)
                   ["direction", "dataset"], rows_per_file)
 
 
+MAX_COPIES = 100_000
+
+
+def _plain(path):
+    """A file's address in one spelling: one slash after the scheme, nothing escaped."""
+    decoded = F.url_decode(F.regexp_replace(path, "\\+", "%2B"))
+    return F.regexp_replace(F.regexp_replace(decoded, "^(?:file:)?/+", "file:/"), "^([a-z0-9]+):/+", "$1:/")
+
+
 def copy_files(spark, pairs: DataFrame, out_dir: str) -> None:
     """Copy the sampled file pairs (S8): every selected file's lines are
     written under ``out_dir/gold=<target name>/`` in line order. ``pairs``:
-    (l_path, r_path, l_gold, r_gold) - at most the sample size."""
+    (l_path, r_path, l_gold, r_gold), at most ``MAX_COPIES`` of them: the
+    reader needs their list. Lines meet their target by the whole path."""
+    from parapet.operators.sizing import checked_broadcast
     from parapet.sources.lines import read_lines
-    rows = pairs.select("l_path", "r_path", "l_gold", "r_gold").collect()
-    target = {}
-    for r in rows:
-        target[r["l_path"]] = r["l_gold"].rsplit("/", 1)[-1]
-        target[r["r_path"]] = r["r_gold"].rsplit("/", 1)[-1]
-    if not target:
+    sides = pairs.select(F.explode(F.array(F.struct(F.col("l_path").alias("path"), F.col("l_gold").alias("gold")),
+                                           F.struct(F.col("r_path").alias("path"), F.col("r_gold").alias("gold")))).alias("s"))
+    targets = sides.select("s.path", F.regexp_extract("s.gold", "([^/]*)$", 1).alias("gold")).distinct()
+    paths = [r["path"] for r in targets.select("path").limit(2 * MAX_COPIES + 1).collect()]
+    if len(paths) > 2 * MAX_COPIES:
+        raise ValueError(f"more than {MAX_COPIES} file pairs to copy")
+    if not paths:
         return
-    from parapet.operators.files import file_name
-    lines = read_lines(spark, sorted(target)).withColumn("name", file_name("file"))
-    names = spark.createDataFrame([(k.rsplit("/", 1)[-1], v) for k, v in sorted(target.items())],
-                                  "name string, gold string")
-    # the sample holds at most n pairs: a bounded broadcast
-    (lines.join(F.broadcast(names), "name")
-          .repartition("gold").sortWithinPartitions("gold", "line_no")
-          .select("gold", F.col("line").alias("value"))
-          .write.mode("overwrite").partitionBy("gold").text(out_dir))
+    named = checked_broadcast(targets.select(_plain(F.col("path")).alias("plain"), "gold"), 2 * MAX_COPIES)
+    (read_lines(spark, sorted(paths)).withColumn("plain", _plain(F.col("file"))).join(named, "plain")
+        .repartition("gold").sortWithinPartitions("gold", "line_no")
+        .select("gold", F.col("line").alias("value"))
+        .write.mode("overwrite").partitionBy("gold").text(out_dir))

@@ -77,7 +77,6 @@ def test_read_archives(spark, tmp):
     assert got == [("en__de.tar.gz", "en__de/d.en", 0, ""), ("en__de.tar.gz", "en__de/d.en", 1, ""),
                    ("en__de.tar.gz", "en__de/d.en", 2, "z"),
                    ("en__it.tar.gz", "en__it/c1.en", 0, "a"), ("en__it.tar.gz", "en__it/c1.en", 1, "b")]
-    assert archives.split_lines("a\rb\r\nc\n") == _python_lines(b"a\rb\r\nc\n")
 
 
 def test_manifest_from_yaml_resolves_anchors(spark, tmp):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -24,12 +24,19 @@ def spaced(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, "[ \\t-\\r]+", " "))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def shingles(words: Column, n: int) -> Column:
     """All runs of ``n`` words of a single-spaced text, repeats included; a
     shorter text is one shingle, an empty one has none."""
     ahead = " ".join(["[^ ]++"] * n)
-    every = F.regexp_extract_all(words, F.lit(f"(?=({ahead}))[^ ]++"), F.lit(1))
-    return F.when(F.size(every) > 0, every).when(words != "", F.array(words)).otherwise(F.array().cast("array<string>"))
+    enough = "^" + "[^ ]++ " * (n - 1) + "[^ ]"
+    return let(words, lambda w: F.when(
+        F.rlike(w, F.lit(enough)), F.regexp_extract_all(w, F.lit(f"(?=({ahead}))[^ ]++"), F.lit(1)))
+        .when(w != "", F.array(w)).otherwise(F.array().cast("array<string>")))
 
 
 def vote(terms: DataFrame, keys: Sequence[str], term: str = "term", weight: Column | None = None) -> DataFrame:

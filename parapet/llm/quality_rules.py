@@ -53,11 +53,6 @@ class Estimate:
         return self.selectivity / max(self.seconds, 1e-3)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def n_words(text: Column) -> Column:
     return F.size(F.array_remove(F.split(text, "[ \\t-\\r]+"), "")).cast("bigint")
 
@@ -75,7 +70,7 @@ def lines(text: Column) -> Column:
 
 
 def n_dup_lines(text: Column) -> Column:
-    return _let(lines(text), lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("bigint"))
+    return bits.let(lines(text), lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("bigint"))
 
 
 def n_repeat_words(text: Column, n: int = REPEAT_WORDS) -> Column:
@@ -91,9 +86,9 @@ def n_repeat_words(text: Column, n: int = REPEAT_WORDS) -> Column:
         return covered(F.sort_array(F.array_compact(F.transform(z, lambda x, i: F.when(
             (F.get(z, i - 1)["g"] == x["g"]) | (F.get(z, i + 1)["g"] == x["g"]), x["p"])))))
 
-    return _let(bits.shingles(bits.spaced(text), n), lambda t: F.when(
+    return bits.let(bits.shingles(bits.spaced(text), n), lambda t: F.when(
         F.size(F.array_distinct(t)) == F.size(t), F.lit(0).cast("bigint")).otherwise(
-        _let(F.sort_array(F.transform(t, lambda g, i: F.struct(g.alias("g"), i.alias("p")))), repeats)))
+        bits.let(F.sort_array(F.transform(t, lambda g, i: F.struct(g.alias("g"), i.alias("p")))), repeats)))
 
 
 def _upper_share(text: Column) -> Column:
@@ -127,8 +122,8 @@ def estimate(docs: DataFrame, rules: Sequence[Rule], id_col: str = "doc_id", tex
         return [Estimate(r, 0.0, 0.0) for r in rules]
     share = min(1.0, sample_rows / rows)
     drawn = F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) < int(share * (1 << 30))
-    sample = write_shared(docs.filter(drawn).select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).coalesce(1),
-                          "rule-sample")
+    sample = write_shared(docs.filter(drawn).select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).repartition(1),
+                          "rule-sample")      # a bounded sample: one file, so that times compare
 
     def timed(rejects: Column) -> tuple[float, float]:
         began = time.monotonic()

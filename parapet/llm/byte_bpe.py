@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 from functools import lru_cache
 
@@ -10,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 from parapet.llm.units import UnitEncoder, flat, table
+from parapet.operators.bpe import byte_order
 
 # A space that starts a unit must be followed by a byte that cannot begin
 # white space: not ASCII control or space, and not a lead byte of U+0085,
@@ -52,6 +54,8 @@ class ByteBpe:
     add_special_tokens=False)`` gives them."""
 
     def __init__(self, path: str):
+        # a task has one core: the library's own threads would only contend
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -65,11 +69,28 @@ class ByteBpe:
         self.widths = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
             self.widths[i] = len(token.encode()) if token in self.added else len(token)
+        order = byte_order()
+        plain = sum(b < 256 and chr(b).isprintable() and b not in (0x20, 0xAD) for b in range(256))
+        self.shown = {b: chr(b) for b in order[:plain]} | {b: chr(256 + i) for i, b in enumerate(order[plain:])}
         self.units = UnitEncoder(_cuts, self._many)
 
     def _many(self, units: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch_fast([u.decode("utf-8") for u in units],
-                                                         add_special_tokens=False)]
+        """Ids of units. A word of letters, with or without a space before it,
+        is one match of the pattern: it goes straight to the library's model,
+        written in the byte-level alphabet. Anything else is encoded whole."""
+        out: list = [None] * len(units)
+        model, rest = self.tok.model, []
+        for i, u in enumerate(units):
+            s = u.decode("utf-8")
+            if (s[1:] if s[:1] == " " else s).isalpha():
+                out[i] = [t.id for t in model.tokenize(u.decode("latin-1").translate(self.shown))]
+            else:
+                rest.append(i)
+        if rest:
+            got = self.tok.encode_batch_fast([units[i].decode("utf-8") for i in rest], add_special_tokens=False)
+            for i, e in zip(rest, got):
+                out[i] = e.ids
+        return out
 
     def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, offsets). Texts that hold an

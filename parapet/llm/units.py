@@ -13,6 +13,7 @@ batch) whatever the length of a document.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -90,7 +91,7 @@ class UnitEncoder:
         for k in range(0, len(new), ASKED):
             some = new[k:k + ASKED]
             for i, ids in zip(some, self.encode_many([units[i] for i in some])):
-                got[i] = np.asarray(ids, np.uint32).tobytes()
+                got[i] = array("I", ids).tobytes()
                 self._keep(units[i], got[i])
         return got
 

@@ -156,14 +156,16 @@ def _known(value: Column, what: Column, unknown: str) -> Column:
 
 # ---- a word-level vocabulary (SQL-checkable stand-in for J5 and F3-F6) ------
 
+VOCAB_PREFIX = 5
 WORD_SPECIALS = [T.BOS, T.EOS, T.PAD]
 
 
 def word_vocab(words: DataFrame) -> DataFrame:
     """(id, word, cnt): specials first, then words by count desc, word. Ids come
-    from the two-level scan (blocks by count and first letters, whose totals
-    are scanned per count)."""
-    block = F.struct((-F.col("cnt")).alias("nc"), F.substring("word", 1, 2).alias("p"))
+    from the two-level scan (blocks by count and the first ``VOCAB_PREFIX``
+    letters, whose totals are scanned per count): words that occur once are
+    the largest class, and it is spread over as many blocks as prefixes."""
+    block = F.struct((-F.col("cnt")).alias("nc"), F.substring("word", 1, VOCAB_PREFIX).alias("p"))
     # block totals are summed per count first, so no step is one task over all blocks
     ranked = running_offset(words, [], [(-F.col("cnt")), F.col("word")], block, None, "__o",
                             coarse=lambda b: b.getField("nc"))

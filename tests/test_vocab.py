@@ -87,6 +87,15 @@ def test_select_batch_stops_at_overlapping_pairs():
     assert bpe.select_batch(top, True, m, 10) == [(1, 2)]
 
 
+def test_short_candidate_lists_learn_the_same_merges(spark):
+    # many ties at the cutoff of the candidate list: only safe ones are taken
+    words = [(a + b + c, 2 + (a == "a")) for a in "abcd" for b in "efgh" for c in "ijkl"]
+    df = spark.createDataFrame(words, "word string, cnt long")
+    want = bpe.train_bpe(df, 256 + 24, [], top_k=1000)
+    got = bpe.train_bpe(df, 256 + 24, [], top_k=5)
+    assert got.merges == want.merges and len(got.merges) == 24
+
+
 def test_encode_salts_hot_words_exactly(spark, trained, monkeypatch):
     model, tok, lines = trained
     from parapet.operators import skew

@@ -51,7 +51,8 @@ def running_offset(df: DataFrame, by: Sequence[str], order: Sequence[str | Colum
         Window.unboundedPreceding, -1)
     d = d.withColumn("__local", F.coalesce(F.sum(_W).over(in_block), F.lit(0)))
 
-    # block totals from the window's output: same partitioning, no new shuffle
+    # block totals from the window's rows; other columns are pruned there, so
+    # the plan computes them in a second, thin pass
     per_block = d.groupBy(*keys).agg(F.sum(_W).alias("__tot"))
     if coarse is None:
         across = Window.partitionBy(*by).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1) \

@@ -15,6 +15,8 @@ SEED = 42
 N_VALID = 3000          # validation pairs (the reference's CLI value)
 N_SAMPLE = 100          # exact sample drawn from the conversation pairs
 BATCH = 32              # loader batch size
+MAP_BATCH = 512         # rows encoded together
+CORPUS_BATCH = 10_000   # corpus lines read together
 
 
 @query("read_lines", with_("lines") + "SELECT * FROM lines")
@@ -209,27 +211,40 @@ def shuffle_order(spark, sf):
     return sampling.shuffle_positions(fx.pairs(spark, sf).select("pair_id"), SEED, ["pair_id"])
 
 
-@query("batch_rows", with_("ilines") + f"""
-SELECT lang, CAST(floor(idx / {BATCH}) AS BIGINT) AS batch_id, CAST(count(*) AS BIGINT) AS n_rows,
+def _batch_sql(size: int, drop: bool) -> str:
+    full = f"WHERE idx < (SELECT floor(count(*) / {size}) * {size} FROM ilines j WHERE j.lang = i.lang)" if drop else ""
+    return with_("ilines") + f"""
+SELECT lang, CAST(floor(idx / {size}) AS BIGINT) AS batch_id, CAST(count(*) AS BIGINT) AS n_rows,
        min(idx) AS first_idx, max(idx) AS last_idx
-FROM ilines GROUP BY lang, floor(idx / {BATCH})
-""")
-def batch_rows(spark, sf):
+FROM ilines i {full} GROUP BY lang, floor(idx / {size})
+"""
+
+
+def _batches(spark, sf, size: int, drop: bool):
     il = fx.indexed_lines(spark, sf)
-    return il.groupBy("lang", sampling.batch_ids(F.col("idx"), BATCH).alias("batch_id")).agg(
+    il = sampling.drop_last(il, "idx", size, by=["lang"]) if drop else il
+    return il.groupBy("lang", sampling.batch_ids(F.col("idx"), size).alias("batch_id")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"))
 
 
-@query("batch_rows_drop_last", with_("ilines") + f"""
-SELECT lang, CAST(floor(idx / {BATCH}) AS BIGINT) AS batch_id, CAST(count(*) AS BIGINT) AS n_rows
-FROM ilines i
-WHERE idx < (SELECT floor(count(*) / {BATCH}) * {BATCH} FROM ilines j WHERE j.lang = i.lang)
-GROUP BY lang, floor(idx / {BATCH})
-""")
+@query("batch_rows", _batch_sql(BATCH, False))
+def batch_rows(spark, sf):
+    return _batches(spark, sf, BATCH, False)
+
+
+@query("batch_rows_drop_last", _batch_sql(BATCH, True))
 def batch_rows_drop_last(spark, sf):
-    il = sampling.drop_last(fx.indexed_lines(spark, sf), "idx", BATCH, by=["lang"])
-    return il.groupBy("lang", sampling.batch_ids(F.col("idx"), BATCH).alias("batch_id")).agg(
-        F.count(F.lit(1)).alias("n_rows"))
+    return _batches(spark, sf, BATCH, True)
+
+
+@query("batch_rows_map", _batch_sql(MAP_BATCH, False))
+def batch_rows_map(spark, sf):
+    return _batches(spark, sf, MAP_BATCH, False)
+
+
+@query("batch_rows_corpus", _batch_sql(CORPUS_BATCH, False))
+def batch_rows_corpus(spark, sf):
+    return _batches(spark, sf, CORPUS_BATCH, False)
 
 
 @query("split_by_ids", with_("pairs") + f"""

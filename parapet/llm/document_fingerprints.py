@@ -76,7 +76,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
     d = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NO_ID).cast("bigint")).alias("k"),
                     F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n = blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    marks = d.agg(F.percentile_approx("k", [i / n for i in range(1, n)] or [0.5], 20 * n).alias("m")).first()["m"] or []
+    marks = d.agg(F.percentile_approx("k", [i / n for i in range(1, n)] or [0.5], max(10_000, 4 * n)).alias("m")).first()["m"] or []
     # blocks in descending order of id: 0 holds the largest
     marks = sorted(set(marks), reverse=True)
     block = (F.size(F.filter(F.lit(marks).cast("array<bigint>"), lambda b: b >= F.col("k"))) if marks else F.lit(0)).cast("int")

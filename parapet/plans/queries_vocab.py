@@ -134,10 +134,13 @@ def bpe_vocab(spark, sf):
 
 
 def _encoded_pairs(spark, sf, model):
-    p = fx.pairs(spark, sf)
-    src = ft.encode(p, ["pair_id"], "sl", model, name="src_ids")
-    tgt = ft.encode(p, ["pair_id"], "tl", model, name="tgt_ids")
-    return src.join(tgt, "pair_id")
+    """Both sides as one column with a side tag: one dictionary, one job."""
+    sides = fx.pairs(spark, sf).select("pair_id", F.explode(F.array(
+        F.struct(F.lit("sl").alias("side"), F.col("sl").alias("text")),
+        F.struct(F.lit("tl").alias("side"), F.col("tl").alias("text")))).alias("e")).select("pair_id", "e.side", "e.text")
+    enc = ft.encode(sides, ["pair_id", "side"], "text", model)
+    return enc.groupBy("pair_id").agg(F.max(F.when(F.col("side") == "sl", F.col("ids"))).alias("src_ids"),
+                                      F.max(F.when(F.col("side") == "tl", F.col("ids"))).alias("tgt_ids"))
 
 
 @query("encode_pairs")

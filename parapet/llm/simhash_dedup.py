@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parapet.llm import bits
@@ -184,11 +184,17 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                radius: int = MAX_DISTANCE) -> DataFrame:
     """The rows of ``docs`` (all columns) that are the first of their class;
     of rows equal in id and text one stays."""
+    # one 64-bit key of id and text joins and partitions; what it stands for is
+    # compared in a form that adds no join key, so the text is shuffled once
+    def row(i: Column, k: Column) -> Column:
+        return F.xxhash64(i.isNull(), i, k)
+
     first = classes(docs, id_col, text_col, words, radius).filter("first") \
-        .select(F.col("id").alias("__id"), F.col("text_key").alias("__key"))
-    keyed = docs.withColumn("__key", text_key(text_col))
-    kept = keyed.alias("d").join(first.alias("f"), F.col(f"d.{id_col}").eqNullSafe(F.col("f.__id"))
-                                 & (F.col("d.__key") == F.col("f.__key"))).select("d.*")
+        .select(F.col("id").alias("__id"), F.col("text_key").alias("__first"), row(F.col("id"), F.col("text_key")).alias("__row"))
+    keyed = docs.withColumn("__key", text_key(text_col)).withColumn("__row", row(F.col(id_col), F.col("__key")))
+    same = (F.col("__key").bitwiseXOR(F.col("__first")) == 0) & F.coalesce(
+        F.col(id_col) == F.col("__id"), F.col(id_col).isNull() & F.col("__id").isNull())
     others = [c for c in docs.columns if c not in (id_col, text_col)]
-    one = Window.partitionBy("__key", id_col).orderBy(F.to_json(F.struct(*others)) if others else F.lit(0))
-    return kept.withColumn("__rn", F.row_number().over(one)).filter("__rn = 1").select(*docs.columns)
+    one = Window.partitionBy("__row", "__key", id_col).orderBy(F.to_json(F.struct(*others)) if others else F.lit(0))
+    return keyed.join(first, "__row").filter(same).withColumn("__rn", F.row_number().over(one)) \
+                .filter("__rn = 1").select(*docs.columns)

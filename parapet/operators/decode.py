@@ -175,3 +175,36 @@ def greedy_decode_batch(df: DataFrame, members: Sequence[Scorer], eos_id: int,
     cols = [*keys, "src"] + ([context] if context else [])
     kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     return df.select(*cols).mapInPandas(run, f"{kinds}, ids array<bigint>")
+
+
+def opaque_best_next(counts: DataFrame, names: Sequence[str], make: Callable[[int], Sequence[Scorer]],
+                     digits: int = DIGITS) -> DataFrame:
+    """(prev, next): the continuation the opaque members score highest on
+    average (probability space), ties to the smaller token, for every context
+    of ``counts`` (member, prev, next, c) and over the whole vocabulary.
+
+    ``make(n)`` gives one callable per name for a vocabulary of ``n`` ids (all
+    words and the end): (count of the successor, count of the context) ->
+    log-probabilities. A batch holds the table rows it scores and no others.
+    A member must not score an unseen successor above a seen one: then the
+    best one has been seen, and only the seen cells are scored."""
+    n = counts.select("prev").distinct().count() + 1      # every word is a context: the last one precedes the end
+    members = list(make(n))
+    if not members or len(members) != len(names):
+        raise ValueError("one scorer a member is needed")
+    of = lambda k, name: F.sum(F.when(F.col("member") == name, F.col("c")).otherwise(0)).alias(f"{k}{names.index(name)}")
+    cells = counts.groupBy("prev", "next").agg(*[of("c", m) for m in names])
+    totals = counts.groupBy("prev").agg(*[of("t", m) for m in names])
+
+    def score(batches):
+        for pdf in batches:
+            lp = np.stack([m(pdf[f"c{i}"].to_numpy(np.float64), pdf[f"t{i}"].to_numpy(np.float64))
+                           for i, m in enumerate(members)])
+            top = lp.max(axis=0)
+            avg = top + np.log(np.exp(lp - top).sum(axis=0)) - np.log(len(members))
+            yield pd.DataFrame({"prev": pdf["prev"], "next": pdf["next"], "a": avg.round(digits)})
+
+    # a frequent word has many successors: its cells are salted
+    scored = salted_join(cells, totals, "prev").mapInPandas(score, "prev string, next string, a double")
+    return scored.groupBy("prev").agg(F.min(F.struct((-F.col("a")).alias("na"), F.col("next"))).alias("b")) \
+                 .select("prev", F.col("b.next").alias("next"))

@@ -10,6 +10,7 @@ from parapet.operators import decode, ensemble as ens
 from parapet.plans import fixtures as fx
 from parapet.plans.catalog import query
 from parapet.plans.oracle import with_
+from parapet.sources.cache import materialise_once
 
 K = 10                                    # vocabulary cut of F8
 DECLARED = ["0", "1", "2", "3", "4"]      # configured members; one never scores
@@ -187,3 +188,64 @@ def opaque_decode(spark, sf):
     out = decode.greedy_decode_batch(starts, [_bigram_member(tables[m]) for m in sorted(tables)], OPAQUE_EOS, OPAQUE_STEPS,
                                      context="ctx", digits=OPAQUE_DIGITS, keys=("doc_id", "line_no"))
     return out.select("doc_id", "line_no", F.size("ids").cast("bigint").alias("n_ids"), F.array_join("ids", " ").alias("ids"))
+
+
+WHOLE_MEMBERS = [f"m{k}" for k in range(fx.N_MEMBERS)]
+
+
+def _whole_members(n: int):
+    """The same opaque scorers over all ``n`` ids: softmax of log(1 + count)."""
+    def score(count, total):
+        return np.log1p(count) - np.log(n + total)
+    return [score] * len(WHOLE_MEMBERS)
+
+
+def _whole_paths(spark, sf):
+    """(prev, path, stop) after every word, materialised once per input."""
+    def build():
+        counts = decode.bigram_counts(fx.member_lines(spark, sf), "member", "line")
+        return decode.greedy_paths(decode.opaque_best_next(counts, WHOLE_MEMBERS, _whole_members, OPAQUE_DIGITS))
+    key = [fx.documents_key(spark, sf), fx.N_MEMBERS, "opaque", OPAQUE_DIGITS, decode.MAX_STEPS]
+    return materialise_once(spark, "opaque-paths", key, build)
+
+
+_WHOLE_SQL = f""",
+wn AS (SELECT count(DISTINCT prev) + 1 AS n FROM bigram_counts),
+wt AS (SELECT member, prev, sum(c) AS t FROM bigram_counts GROUP BY member, prev),
+wm AS (SELECT DISTINCT member FROM bigram_counts),
+wa AS (
+  SELECT s.prev, s.next, round(ln(sum((1 + coalesce(b.c, 0)) / (n + coalesce(t.t, 0)))) - ln(count(*)), {OPAQUE_DIGITS}) AS a
+  FROM (SELECT DISTINCT prev, next FROM bigram_counts) s CROSS JOIN wm CROSS JOIN wn
+  LEFT JOIN bigram_counts b ON b.member = wm.member AND b.prev = s.prev AND b.next = s.next
+  LEFT JOIN wt t ON t.member = wm.member AND t.prev = s.prev
+  GROUP BY s.prev, s.next
+), wb AS (
+  SELECT prev, next FROM (SELECT *, row_number() OVER (PARTITION BY prev ORDER BY a DESC, next) AS r FROM wa) WHERE r = 1
+), ww AS (
+  SELECT prev AS start, prev AS token, 0 AS step, [prev] AS seen FROM wb
+  UNION ALL
+  SELECT d.start, b.next, d.step + 1, list_append(d.seen, b.next)
+  FROM ww d JOIN wb b ON b.prev = d.token
+  WHERE d.step < {decode.MAX_STEPS} AND (d.step = 0 OR d.token <> '</s>') AND NOT list_contains(d.seen, b.next)
+), wp AS (
+  SELECT w.start, w.seen[2:] AS path,
+         CASE WHEN w.token = '</s>' THEN 'eos' WHEN w.step = {decode.MAX_STEPS} THEN 'length'
+              WHEN b.prev IS NULL THEN 'dead_end' ELSE 'repeat' END AS stop
+  FROM (SELECT start, max(step) AS step, arg_max(token, step) AS token, arg_max(seen, step) AS seen
+        FROM ww GROUP BY start) w
+  LEFT JOIN wb b ON b.prev = w.token
+)
+SELECT s.sid, s.line_no, coalesce(array_to_string(list_filter(p.path, lambda t: t <> '</s>'), ' '), '') AS hypothesis,
+       CAST(coalesce(len(p.path), 0) AS BIGINT) AS n_steps,
+       CASE WHEN s.token IS NULL THEN 'empty' ELSE coalesce(p.stop, 'dead_end') END AS stop
+FROM starts s LEFT JOIN wp p ON p.start = s.token
+"""
+
+
+@query("opaque_decode_whole", with_("bigram_counts", "starts", recursive=True) + _WHOLE_SQL)
+def opaque_decode_whole(spark, sf):
+    """E1/E4 with opaque scorers (X3) over the whole vocabulary: each line is
+    decoded from its own first word to the end, a repeated word or the model's
+    limit, and says which."""
+    keys = ["sid", "line_no"]
+    return decode.decoded_text(decode.greedy_decode(fx.decode_starts(spark, sf), _whole_paths(spark, sf), keys), keys=keys)

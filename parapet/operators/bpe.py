@@ -25,11 +25,14 @@ The state is checkpointed to the shared folder every few rounds.
 from __future__ import annotations
 
 from collections.abc import Sequence
+import heapq
 import logging
 import re
 import time
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -245,3 +248,148 @@ def encode_word(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -
                 i += 1
         ids = out
     return ids
+
+
+# ---- incremental training ---------------------------------------------------
+
+LOCAL_BYTES = 256 << 20      # bytes of distinct words one task indexes (about 12 bytes of memory each)
+CHUNK = 1 << 22
+
+
+def _grouped(keys: np.ndarray, weights: np.ndarray, pos: np.ndarray | None = None):
+    """(key, weight sum[, positions]) of each distinct key."""
+    order = np.argsort(keys, kind="stable")
+    k = keys[order]
+    cut = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+    sums = np.add.reduceat(weights[order], cut)
+    parts = [None] * len(cut) if pos is None else np.split(pos[order], cut[1:])
+    return zip(k[cut].tolist(), sums.tolist(), parts)
+
+
+def merge_incrementally(data: np.ndarray, lens: np.ndarray, cnt: np.ndarray, vocab_size: int,
+                        specials: Sequence[str]) -> BpeModel:
+    """The sequential trainer with an index from pairs to their places: each
+    merge reads and updates only the places where its pair stands.
+
+    ``data``: the bytes of all distinct words one after another, ``lens`` and
+    ``cnt`` their lengths and counts. ``first`` and ``last`` hold a symbol's
+    id at its first and last byte, so both neighbours are found by length."""
+    model = new_model(specials)
+    kind = np.uint16 if vocab_size + 300 < 1 << 16 else np.int32
+    sep, dead = np.iinfo(kind).max, np.iinfo(kind).max - 1
+    id_of = np.zeros(256, dtype=kind)
+    id_of[byte_order()] = np.arange(len(specials), len(specials) + 256)
+    n = int(len(data) + len(lens) + 1)
+    starts = np.cumsum(lens + 1) - lens              # a separator before each word
+    first = np.full(n, sep, dtype=kind)
+    for w0 in range(0, len(lens), CHUNK):
+        ls = lens[w0:w0 + CHUNK]
+        lo = int(starts[w0]) - w0 - 1                # bytes of the words before
+        size = int(ls.sum())
+        first[np.arange(lo, lo + size) + np.repeat(np.arange(w0 + 1, w0 + 1 + len(ls)), ls)] = id_of[data[lo:lo + size]]
+    last = first.copy()
+    width = np.ones(max(vocab_size, len(model.token_bytes)) + 1, dtype=np.int64)
+    known = {tb: i for i, tb in enumerate(model.token_bytes) if tb}
+    base = 1 << 32
+    weight = lambda p: cnt[np.searchsorted(starts, p, "right") - 1]
+    counts: dict[int, int] = {}
+    places: dict[int, list[np.ndarray]] = {}
+    at = np.int32 if n < (1 << 31) else np.int64
+
+    def add(groups):
+        for key, c, pos in groups:
+            counts[key] = counts.get(key, 0) + c
+            places.setdefault(key, []).append(pos)
+            yield key
+
+    for i in range(0, n - 1, CHUNK):
+        x, y = first[i:min(i + CHUNK, n - 1)], first[i + 1:min(i + CHUNK, n - 1) + 1]
+        p = np.flatnonzero((x != sep) & (y != sep))
+        if len(p):
+            for _ in add(_grouped(x[p].astype(np.int64) * base + y[p], weight(p + i), (p + i).astype(at))):
+                pass
+    heap = [(-c, k) for k, c in counts.items()]
+    heapq.heapify(heap)
+    while heap and len(model.token_bytes) < vocab_size:
+        c, key = heapq.heappop(heap)
+        now = counts.get(key, 0)
+        if now != -c:                                # changed since it was noted
+            if 0 < now < -c:
+                heapq.heappush(heap, (-now, key))
+            continue
+        a, b = divmod(key, base)
+        la, lb = int(width[a]), int(width[b])
+        p = np.sort(np.concatenate(places.pop(key))).astype(np.int64)
+        del counts[key]
+        p = p[first[p] == a]
+        p = p[first[p + la] == b]
+        if a == b:                                   # left to right in runs of the same symbol
+            new = np.r_[True, p[1:] != p[:-1] + la]
+            run = np.flatnonzero(new)[np.cumsum(new) - 1]
+            p = p[(np.arange(len(p)) - run) % 2 == 0]
+        product = model.token_bytes[a] + model.token_bytes[b]
+        made = known.setdefault(product, len(model.token_bytes))
+        if made == len(model.token_bytes):
+            model.token_bytes.append(product)
+            width[made] = la + lb
+        model.merges.append((a, b, made))
+        w = weight(p)
+        after_prev = np.r_[False, p[1:] == p[:-1] + la + lb]      # stands right behind another place of the pair
+        before_next = np.r_[after_prev[1:], False]
+        left, right = last[p - 1].astype(np.int64), first[p + la + lb].astype(np.int64)
+        dl, dr = left != sep, (right != sep) & ~before_next
+        gone = np.r_[left[dl] * base + a, b * base + right[dr]]
+        if len(gone):
+            for k, d, _ in _grouped(gone, np.r_[w[dl], w[dr]]):
+                if k in counts:
+                    counts[k] -= d
+                    if counts[k] <= 0:
+                        del counts[k], places[k]
+        first[p], first[p + la], last[p + la + lb - 1] = made, dead, made
+        left, right = last[p - 1].astype(np.int64), first[p + la + lb].astype(np.int64)
+        dl, dr = (left != sep) & ~after_prev, right != sep
+        come = np.r_[left[dl] * base + made, made * base + right[dr]]
+        if len(come):
+            where = np.r_[p[dl] - width[left[dl]], p[dr]].astype(at)
+            for k in add(_grouped(come, np.r_[w[dl], w[dr]], where)):
+                heapq.heappush(heap, (-counts[k], k))
+    model.rounds = 1
+    return model
+
+
+def learn_bpe(words: DataFrame, vocab_size: int, specials: Sequence[str], local_bytes: int = LOCAL_BYTES) -> BpeModel:
+    """Learn merges until the vocabulary holds ``vocab_size`` entries or no
+    pair is left (A4). Merges depend on each other, so distinct words of up
+    to ``local_bytes`` are indexed in one executor task; more of them are
+    trained in rounds over the cluster (:func:`train_bpe`). Both learn the
+    same merges."""
+    words = words.select(F.encode("word", "UTF-8").alias("w"), F.col("cnt").cast("bigint").alias("cnt")) \
+                 .filter(F.length("w") > 1)
+    words = cut_lineage(words)
+    if (words.agg(F.sum(F.length("w") + 1)).first()[0] or 0) > local_bytes:
+        back = words.select(F.decode("w", "UTF-8").alias("word"), "cnt")
+        return train_bpe(back, vocab_size, specials)
+    names = list(specials)
+
+    def run(batches):
+        data, lens, cnt = [], [], []
+        for batch in batches:
+            col = batch.column(0).cast(pa.large_binary())
+            offs = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
+            if len(col):
+                data.append(np.frombuffer(col.buffers()[2], np.uint8)[offs[0]:offs[-1]].copy())
+                lens.append(np.diff(offs))
+                cnt.append(batch.column(1).to_numpy())
+        if data:
+            m = merge_incrementally(np.concatenate(data), np.concatenate(lens), np.concatenate(cnt), vocab_size, names)
+            yield pa.RecordBatch.from_pydict({
+                "rank": pa.array(range(len(m.merges)), pa.int32()),
+                **{k: pa.array([x[i] for x in m.merges], pa.int32()) for i, k in enumerate(("a", "b", "id"))}})
+
+    model = new_model(names)
+    for r in words.repartition(1).mapInArrow(run, "rank int, a int, b int, id int").orderBy("rank").collect():
+        if r["id"] == len(model.token_bytes):
+            model.token_bytes.append(model.token_bytes[r["a"]] + model.token_bytes[r["b"]])
+        model.merges.append((r["a"], r["b"], r["id"]))
+    model.rounds = 1
+    return model

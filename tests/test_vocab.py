@@ -105,3 +105,34 @@ def test_encode_salts_hot_words_exactly(spark, trained, monkeypatch):
     got = {(r["doc_id"], r["line_no"]): list(r["ids"]) for r in enc.collect()}
     for r in sample.collect():
         assert got[(r["doc_id"], r["line_no"])] == tok.encode(r["line"]).ids
+
+
+def test_incremental_training_equals_library_to_the_end(spark, trained):
+    model, _, lines = trained
+    from tokenizers import Tokenizer, models, pre_tokenizers, trainers
+    odd = [("aaaa aaaaaa aaa abab ababab aab",), ("aaaaaaa baab abba bb bbb bbbb",)]
+    df = lines.filter(F.col("doc_id") < 40).select("line").unionByName(spark.createDataFrame(odd, "line string"))
+    texts = [r[0] for r in df.collect()]
+    tok = Tokenizer(models.BPE())
+    tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    tok.train_from_iterator(texts, trainers.BpeTrainer(
+        vocab_size=32_000, special_tokens=SPECIALS, show_progress=False,
+        initial_alphabet=pre_tokenizers.ByteLevel.alphabet()))
+    lib = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in json.loads(tok.to_str())["model"]["merges"]]
+    shown = _shown()
+    disp = lambda bs: "".join(shown[b] for b in bs)
+    got = bpe.learn_bpe(bpe.word_counts(df, "line"), 32_000, SPECIALS)
+    ours = [(disp(got.token_bytes[a]), disp(got.token_bytes[b])) for a, b, _ in got.merges]
+    assert len(ours) > 1000 and ours == lib
+
+
+def test_rounds_and_index_learn_the_same_merges(spark, trained):
+    model, _, lines = trained
+    words = bpe.word_counts(lines, "line")
+    assert bpe.learn_bpe(words, VOCAB, SPECIALS).merges == model.merges
+    assert bpe.learn_bpe(words, 270, SPECIALS, local_bytes=1).merges == model.merges[:270 - 256 - len(SPECIALS)]
+
+
+def test_registered_vocabulary_is_the_references():
+    from parapet.plans import queries_vocab
+    assert queries_vocab.VOCAB_SIZE == 32_000

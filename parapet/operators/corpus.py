@@ -131,19 +131,21 @@ def union_directions(df: DataFrame, order: Sequence[str] | None = None,
 
     Adds ``pair_id``: the line's position in the concatenation (lines of
     earlier directions + ``idx``). Direction order defaults to the sorted
-    names; a list fixes it explicitly. ``sizes`` (direction, n) can be given
-    when known more cheaply than by counting ``df``."""
+    names; a list fixes it explicitly, and directions it does not name follow
+    in sorted order (a null direction comes last). ``sizes`` (direction, n)
+    can be given when known more cheaply than by counting ``df``."""
     if sizes is None:
         sizes = df.groupBy("direction").agg((F.max("idx") + 1).alias("n"))
     rows = bounded_rows(sizes.select("direction", "n"), MAX_DIRECTIONS)
     if order is not None:
-        rows = sorted((r for r in rows if r[0] in order), key=lambda r: order.index(r[0]))
+        rows = sorted(rows, key=lambda r: order.index(r[0]) if r[0] in order else len(order))
     starts, total = {}, 0
     for direction, n in rows:
         starts[direction], total = total, total + n
     # a literal per direction: corpus rows are never shuffled on three or four values
-    start = lookup(starts)(F.col("direction"))
-    return df.filter(F.col("direction").isin(list(starts))).withColumn("pair_id", (start + F.col("idx")).cast("bigint"))
+    none = starts.pop(None, None)       # no key of a map
+    start = F.when(F.col("direction").isNull(), F.lit(none)).otherwise(lookup(starts)(F.col("direction")))
+    return df.withColumn("pair_id", (start + F.col("idx")).cast("bigint"))
 
 
 def conversation_pairs(turns: DataFrame) -> DataFrame:

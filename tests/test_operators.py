@@ -277,3 +277,14 @@ def test_salted_join_equals_plain_join(spark):
     assert sorted(tuple(r) for r in got_df.select("i", "k", "v").collect()) == want
     freq = facts.groupBy("k").agg(F.count(F.lit(1)).alias("__n"))
     assert skew.hot_keys(freq, "k", hot_min=100) == ["hot"]
+
+
+def test_union_keeps_directions_an_order_does_not_name(spark):
+    from parapet.operators import corpus
+    rows = [("en__fr", 0), ("en__fr", 1), ("en__de", 0), ("en__it", 0), (None, 0)]
+    df = spark.createDataFrame(rows, "direction string, idx long")
+    ids = lambda out: {(r["direction"], r["idx"]): r["pair_id"] for r in out.collect()}
+    assert ids(corpus.union_directions(df, order=["en__it", "en__xx"])) == {
+        ("en__it", 0): 0, ("en__de", 0): 1, ("en__fr", 0): 2, ("en__fr", 1): 3, (None, 0): 4}
+    assert ids(corpus.union_directions(df)) == {
+        ("en__de", 0): 0, ("en__fr", 0): 1, ("en__fr", 1): 2, ("en__it", 0): 3, (None, 0): 4}

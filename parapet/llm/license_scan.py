@@ -98,6 +98,19 @@ def windows(joined: bytes, notice: Notice) -> list[tuple[int, int]]:
     return out
 
 
+def matches(pattern, joined: bytes, begin: int, end: int) -> list:
+    """The best match of a stretch, then those of the parts before and behind
+    it, in order: a better notice further on hides no earlier one."""
+    out, todo = [], [(begin, end)]
+    while todo:
+        a, b = todo.pop()
+        m = pattern.search(joined, a, b)
+        if m:
+            out.append(m)
+            todo += [(a, m.start()), (m.end(), b)]
+    return sorted(out, key=lambda m: m.start())
+
+
 class Scanner:
     def __init__(self, base: dict[str, str], notices: dict[str, str]):
         self.base = [(f" {p} ".encode(), label) for p, label in base.items()]
@@ -119,7 +132,7 @@ class Scanner:
         out = []
         for n in self.notices:
             for a, b in windows(joined, n):
-                for m in n.pattern.finditer(joined, a, b):
+                for m in matches(n.pattern, joined, a, b):
                     out.append((m.start(), m.end(), n.label, 1 - sum(m.fuzzy_counts) / len(n.text)))
         return out
 

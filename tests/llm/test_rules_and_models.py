@@ -221,3 +221,39 @@ def test_spans_name_the_original_characters(spark):
     m = lic.scan(df).first()["matches"]
     assert {("é! ALL -- rights\tReserved. x"[x["begin"]:x["end"]], x["kind"]) for x in m} == {
         ("ALL -- rights\tReserved", "exact"), ("ALL -- rights\tReserved", "fuzzy")}
+
+
+def _best_spans(text, notice, errors):
+    """(begin, errors) of the best whole-word span by edit distance, then of
+    the parts before and behind it: no regular expression, no window."""
+    def parts(a, b):
+        begins = [i + 1 for i in range(a - 1 if a else 0, b) if text[i] == 32]
+        best = None
+        for i in begins:
+            row = list(range(len(notice) + 1))      # distances of the notice's prefixes to text[i:j]
+            for j in range(i, min(b, i + len(notice) + errors) + 1):
+                if j < b and text[j] == 32 and row[-1] <= errors and (best is None or (row[-1], i) < best[:2]):
+                    best = (row[-1], i, j)
+                if j < b:
+                    new = [row[0] + 1]
+                    for k, c in enumerate(notice):
+                        new.append(min(new[-1] + 1, row[k + 1] + 1, row[k] + (c != text[j])))
+                    row = new
+        if best is None:
+            return []
+        e, i, j = best
+        return parts(a, i) + [(i, e)] + parts(j, b)
+    return parts(0, len(text))
+
+
+def test_close_notices_are_all_found():
+    scanner = lic.Scanner(lic.BASE, {"all rights reserved": "reserved"})
+    spans = lambda t: [(a, b) for a, b, _, _ in scanner.fuzzy(t)]
+    assert spans(b" all rights reservd x all rights reserved ") == [(1, 19), (22, 41)]
+    rnd = random.Random(4)
+    forms = ["all rights reserved", "all rights reservd", "all rihts reserved", "al rights reserved", "all rights served"]
+    notice, n = b"all rights reserved", scanner.notices[0]
+    for _ in range(60):
+        t = (" " + " ".join(rnd.choice([*forms, "x", "so it is"]) for _ in range(rnd.randint(2, 6))) + " ").encode()
+        got = [(a, round((1 - s) * len(n.text))) for a, _, _, s in scanner.fuzzy(t)]
+        assert got == _best_spans(t, notice, n.errors), t

@@ -25,6 +25,7 @@ from parapet.llm import bits
 from parapet.llm.shared import write_shared
 
 SAMPLE_ROWS = 1000      # expected size of the sample on which rules are measured
+SAMPLE_SEED = 42
 SYMBOLS = "#*$%&|<>"
 REPEAT_WORDS = 3
 
@@ -113,16 +114,21 @@ RULES = [
 ]
 
 
+def drawn(docs: DataFrame, rows: int, id_col: str, sample_rows: int) -> DataFrame:
+    """About ``sample_rows`` of the ``rows`` rows, by a hash of the id and a
+    random number of the row: rows with equal or null ids are drawn one by one."""
+    share = min(1.0, sample_rows / rows)
+    return docs.filter(F.pmod(F.xxhash64(id_col, F.rand(SAMPLE_SEED)), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
 def estimate(docs: DataFrame, rules: Sequence[Rule], id_col: str = "doc_id", text_col: str = "text",
              sample_rows: int = SAMPLE_ROWS) -> list[Estimate]:
-    """Selectivity and time of each rule on rows drawn by a hash of the id,
-    about ``sample_rows`` of them whatever the table's size."""
+    """Selectivity and time of each rule on about ``sample_rows`` rows,
+    whatever the table's size."""
     rows = docs.count()
     if not rows:
         return [Estimate(r, 0.0, 0.0) for r in rules]
-    share = min(1.0, sample_rows / rows)
-    drawn = F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) < int(share * (1 << 30))
-    sample = write_shared(docs.filter(drawn).select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).repartition(1),
+    sample = write_shared(drawn(docs, rows, id_col, sample_rows).select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).repartition(1),
                           "rule-sample")      # a bounded sample: one file, so that times compare
 
     def timed(rejects: Column) -> tuple[float, float]:

@@ -257,3 +257,12 @@ def test_close_notices_are_all_found():
         t = (" " + " ".join(rnd.choice([*forms, "x", "so it is"]) for _ in range(rnd.randint(2, 6))) + " ").encode()
         got = [(a, round((1 - s) * len(n.text))) for a, _, _, s in scanner.fuzzy(t)]
         assert got == _best_spans(t, notice, n.errors), t
+
+
+def test_rule_sample_is_drawn_row_by_row(spark):
+    rows = 8_000
+    null = spark.range(rows).select(F.lit(None).cast("long").alias("doc_id"), F.lit("y").alias("text"))
+    same = spark.range(rows).select(F.lit(7).cast("long").alias("doc_id"), F.lit("y").alias("text"))
+    for docs in (null, same):
+        assert 250 < rules.drawn(docs, rows, "doc_id", 400).count() < 550
+    assert rules.drawn(null, rows, "doc_id", rows).count() == rows

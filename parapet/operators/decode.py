@@ -188,13 +188,13 @@ def opaque_best_next(counts: DataFrame, names: Sequence[str], make: Callable[[in
     log-probabilities. A batch holds the table rows it scores and no others.
     A member must not score an unseen successor above a seen one: then the
     best one has been seen, and only the seen cells are scored."""
-    n = counts.select("prev").distinct().count() + 1      # every word is a context: the last one precedes the end
-    members = list(make(n))
+    of = lambda k, name: F.sum(F.when(F.col("member") == name, F.col("c")).otherwise(0)).alias(f"{k}{names.index(name)}")
+    cells = cut_lineage(counts.groupBy("prev", "next").agg(*[of("c", m) for m in names]))     # counted once
+    totals = cut_lineage(cells.groupBy("prev").agg(*[F.sum(f"c{i}").alias(f"t{i}") for i in range(len(names))],
+                                                   F.count(F.lit(1)).alias("__n")))
+    members = list(make(totals.count() + 1))      # every word is a context: the last one precedes the end
     if not members or len(members) != len(names):
         raise ValueError("one scorer a member is needed")
-    of = lambda k, name: F.sum(F.when(F.col("member") == name, F.col("c")).otherwise(0)).alias(f"{k}{names.index(name)}")
-    cells = counts.groupBy("prev", "next").agg(*[of("c", m) for m in names])
-    totals = counts.groupBy("prev").agg(*[of("t", m) for m in names])
 
     def score(batches):
         for pdf in batches:
@@ -205,6 +205,6 @@ def opaque_best_next(counts: DataFrame, names: Sequence[str], make: Callable[[in
             yield pd.DataFrame({"prev": pdf["prev"], "next": pdf["next"], "a": avg.round(digits)})
 
     # a frequent word has many successors: its cells are salted
-    scored = salted_join(cells, totals, "prev").mapInPandas(score, "prev string, next string, a double")
+    scored = salted_join(cells, totals.drop("__n"), "prev", totals.select("prev", "__n")).mapInPandas(score, "prev string, next string, a double")
     return scored.groupBy("prev").agg(F.min(F.struct((-F.col("a")).alias("na"), F.col("next"))).alias("b")) \
                  .select("prev", F.col("b.next").alias("next"))

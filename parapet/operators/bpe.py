@@ -252,7 +252,7 @@ def encode_word(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -
 
 # ---- incremental training ---------------------------------------------------
 
-LOCAL_BYTES = 256 << 20      # bytes of distinct words one task indexes (about 12 bytes of memory each)
+LOCAL_BYTES = 256 << 20      # bytes of distinct words one task indexes
 CHUNK = 1 << 22
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parapet.llm import best_fit_packing, bits, document_fingerprints, language_id, license_scan, quality_classifier, quality_rules, sentencepiece_codec, simhash_dedup, token_attribution, warc
+from parapet.llm import best_fit_packing, bits, document_fingerprints, language_id, license_scan, quality_classifier, quality_rules, sentencepiece_codec, simhash_dedup, source_divergence, token_attribution, warc
 from parapet.llm.catalog import query
 from parapet.llm.shared import write_shared
 
@@ -134,3 +134,38 @@ def op4(spark, sf_dir):
     found = warc.summary(warc.read_chunks(spark, manifest, with_bytes=False))
     return found.select(warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest",
                         "record_type", warc.page_of(F.col("refers_to")).alias("refers_to"))
+
+
+_SHARE = "1 + (1000000000 * CAST({c} + 2 AS HUGEINT)) // ({n} + 2 * v)"
+_GAP = "((p - q) * (p - q)) // (p + q)"
+_OP11_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(coalesce(text, ''), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, translate(unnest(w), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= {source_divergence.MIN_DOCS}),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+gn AS (SELECT lang, source, coalesce(sum(c), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+ln AS (SELECT lang, sum(n) AS n FROM gn GROUP BY lang),
+lc AS (SELECT lang, term, sum(c) AS c FROM c GROUP BY lang, term),
+full_ AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, {_SHARE.format(c="coalesce(c.c, 0)", n="gn.n")} AS p
+          FROM g JOIN kept k USING (lang) JOIN v USING (lang) JOIN gn USING (lang, source)
+          LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pair AS (SELECT a.lang, a.source, b.source AS item,
+                coalesce((SELECT sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) FROM full_ x JOIN full_ y USING (lang, term)
+                          WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+         FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+term AS (SELECT lang, source, item, {_GAP} AS value FROM (
+           SELECT f.lang, f.source, f.term AS item, f.c, f.p, {_SHARE.format(c="lc.c", n="ln.n")} AS q
+           FROM full_ f JOIN lc USING (lang, term) JOIN ln USING (lang) JOIN v USING (lang)) WHERE c > 0 AND p > q),
+both_ AS (SELECT lang, source, 'pair' AS part, item, value FROM pair UNION ALL SELECT lang, source, 'term', item, value FROM term)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM both_)
+WHERE part = 'pair' OR rank <= {source_divergence.TOP_TERMS}
+"""
+
+
+@query("op11_source_divergence", _OP11_SQL)
+def op11(spark, sf_dir):
+    return source_divergence.audit(documents(spark, sf_dir))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parapet.llm import best_fit_packing, bits, document_fingerprints, language_id, license_scan, quality_classifier, quality_rules, sentencepiece_codec, simhash_dedup, source_divergence, token_attribution, warc
+from parapet.llm import best_fit_packing, bits, document_fingerprints, hard_negatives, language_id, license_scan, quality_classifier, quality_rules, sentencepiece_codec, simhash_dedup, source_divergence, token_attribution, warc
 from parapet.llm.catalog import query
 from parapet.llm.shared import write_shared
 
@@ -169,3 +169,26 @@ WHERE part = 'pair' OR rank <= {source_divergence.TOP_TERMS}
 @query("op11_source_divergence", _OP11_SQL)
 def op11(spark, sf_dir):
     return source_divergence.audit(documents(spark, sf_dir))
+
+
+_OP12_SQL = f"""
+WITH e AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(CAST({hard_negatives.SCALE} AS DOUBLE) * x)) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor_id, e.id, e.label = a.label AS same, CAST(list_inner_product(a.v, e.v) AS BIGINT) AS score
+      FROM e a JOIN e ON a.id <> e.id WHERE a.id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= {hard_negatives.POSITIVES}),
+n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+             CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+       AND {hard_negatives.LOW} * positive_score <= 100 * score AND 100 * score <= {hard_negatives.HIGH} * positive_score)
+SELECT * FROM n WHERE rank <= {hard_negatives.NEGATIVES}
+"""
+
+
+@query("op12_hard_negatives", _OP12_SQL)
+def op12(spark, sf_dir):
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0, label=shifted)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parapet.llm import best_fit_packing, bits, document_fingerprints, hard_negatives, language_id, license_scan, quality_classifier, quality_rules, sentencepiece_codec, simhash_dedup, source_divergence, token_attribution, warc
+from parapet.llm import best_fit_packing, bits, document_fingerprints, hard_negatives, language_id, license_scan, quality_classifier, quality_rules, sentencepiece_codec, simhash_dedup, source_divergence, token_attribution, toxicity, warc
 from parapet.llm.catalog import query
 from parapet.llm.shared import write_shared
 
@@ -192,3 +192,12 @@ SELECT * FROM n WHERE rank <= {hard_negatives.NEGATIVES}
 def op12(spark, sf_dir):
     shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0, label=shifted)
+
+
+@query("op13_toxicity")
+def op13(spark, sf_dir):
+    docs, fold = documents(spark, sf_dir).select("doc_id", "text"), language_id.fold("doc_id", 3)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.train(docs, labels.filter(fold != 1))
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(fold == 1, F.lit(True)).alias("held_out"), "score", "predicted")

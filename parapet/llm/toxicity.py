@@ -67,6 +67,7 @@ _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _INNER = re.compile(r"[^\W\d_][\d@$!|*._+\-]+[^\W\d_]")
 _DRAWN = re.compile(r"([^\W\d_])\1\1")
 _RUN = re.compile(r"[!?*#%&$@]{2}")
+_TAIL, _FILL = re.compile(r"""[!?.,;:'")\]]+$"""), re.compile(r"[*._+\-]")
 _CLASSES = np.zeros((256, 6))       # of bytes: upper, lower, digits, exclamation, question, other signs
 for _i, _set in enumerate((range(65, 91), range(97, 123), range(48, 58), b"!", b"?", b"\"#$%&'()*+,-./:;<=>@[\\]^_`{|}~")):
     _CLASSES[list(_set), _i] = 1
@@ -99,7 +100,7 @@ class Words:
     def look(self, word: bytes) -> tuple:
         text = word.decode("utf-8", "replace")
         plain = core(text)
-        undone = _DRAWN.sub(r"\1", re.sub(r"[*._+\-]", "", text.lower().translate(_UNDO)))
+        undone = _DRAWN.sub(r"\1", _FILL.sub("", _TAIL.sub("", text.lower()).translate(_UNDO)))
         weight = max((self.stems.get(x, 0.0) for x in beginnings(plain)), default=0.0)
         insult = plain in INSULTS
         return (insult, weight, weight > 0, plain in SECOND_PERSON, len(plain) > 2 and text.isupper(),

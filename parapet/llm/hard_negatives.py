@@ -255,12 +255,12 @@ def positives_of(width: int, k: int, kind: pa.Schema):
     return run
 
 
-def negatives_of(width: int, k: int, kind: pa.Schema):
+def negatives_of(width: int, k: int, windows: int, kind: pa.Schema):
     """Of one cell: the best ``k`` rows of other labels in each window."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, anchor_ids = left["id"].to_numpy(), right["id"].to_numpy()
         mine, of = _codes(left["label"], right["label"])
-        low, high = (np.array(right[c].to_pylist(), np.int64).reshape(right.num_rows, -1) for c in ("low", "high"))
+        low, high = (np.array(right[c].to_pylist(), np.int64).reshape(right.num_rows, windows) for c in ("low", "high"))
         a, w, r, s = search(_matrix(right["vec"], width), anchor_ids, low, high, _matrix(left["vec"], width), ids,
                             lambda x, y: of[x] != mine[y], k)
         return pa.table([right["anchor"].take(pa.array(a)), pa.array(w, pa.int32()), left["id"].take(pa.array(r)),
@@ -295,6 +295,7 @@ def mine(rows: DataFrame, anchor: Column, id_col: str = "vec_id", vector_col: st
     n_groups = max(1, -(-asked.count() // group_anchors))
     asked = asked.withColumn("grp", F.pmod(F.xxhash64("id", "anchor.h"), F.lit(n_groups)).cast("int"))
     has = write_shared(parts.select("part", "label").distinct(), "part-labels")
+    last_part = has.agg(F.max("part")).first()[0] or 0
     numbers = F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))).alias("grp")
     dealt = parts.select("part", "id", "label", "vec", numbers)
 
@@ -322,9 +323,9 @@ def mine(rows: DataFrame, anchor: Column, id_col: str = "vec_id", vector_col: st
     # an empty window stands for a positive that is not there
     windows = asked.join(bounds, "anchor").select("grp", "anchor", "id", "label", "vec", padded("low", int(MOST)).alias("low"),
                                                   padded("high", int(LEAST)).alias("high"))
-    everywhere = windows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
+    everywhere = windows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(last_part))))
     schema = f"anchor {key_type}, window int, negative_id {id_type}, negative_score long"
-    hard = cells(everywhere, negatives_of(width, negatives, arrow(schema)), schema)
+    hard = cells(everywhere, negatives_of(width, negatives, positives, arrow(schema)), schema)
     order = Window.partitionBy("anchor", "window").orderBy(F.col("negative_score").desc(), "negative_id")
     ranked = hard.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= negatives)
     return ranked.join(chosen.withColumn("window", F.col("place") - 1), ["anchor", "window"]).select(

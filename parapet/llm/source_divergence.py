@@ -40,7 +40,7 @@ TOP_TERMS = 10
 TALLY_ENTRIES = 400_000     # terms a task holds before it passes its tallies on
 PIECE = 1 << 20             # bytes of text split at a time
 BLOCK_SOURCES = 64          # sources of one side of a cell, on average
-CELL_ROWS = 400_000         # rows of one cell, on average
+CELL_ROWS = 32_768          # rows of one cell, on average
 CELL_PAIRS = 1 << 20        # (term, source, source) values computed at a time
 
 _TABLE = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))

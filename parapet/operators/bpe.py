@@ -1,49 +1,51 @@
-"""Byte-level BPE vocabulary training as an iterative DataFrame job (A3, A4).
-
-State is the table of distinct pre-tokens with their counts and current
-segmentation, a space-padded string of symbols (``" 48 65+6C "``; a
-symbol is its ``+``-joined hex bytes, so equal text is the same token), so
-a whole batch of merges is two ``regexp_replace`` passes and pair counting
-is an ``explode`` plus a partial/final hash aggregation. Each round brings only the top-K pairs to
-the driver and accepts several merges at once when that provably equals
-merging one at a time:
-
-* the top pair is always next;
-* a following pair (c, d) is next too while its count is unchanged by the
-  accepted merges (an occurrence of (c, d) overlaps one of (a, b) only when
-  c == b or d == a), it creates a new symbol, and its count is strictly
-  greater than any pair a merge in the batch can create: such a pair
-  (x, ab) or (ab, y) is bounded by the count of a pair ending in a or
-  starting with b (pairs outside the top K are bounded by the K-th count).
+"""Byte-level BPE vocabulary training and encoding (A3, A4, F2).
+
+Merges depend on each other, so they are learned in *phases*, each of which
+needs only a bounded extract of the corpus. The state is the table of
+distinct pre-tokens with their counts, as arrays of symbol ids. A phase
+
+1. counts all adjacent pairs (partial and final aggregation);
+2. takes the first pairs in the trainer's order, as many as
+   ``phase_symbols`` and ``phase_pairs`` allow: its live pairs. The last one
+   is the ``floor``;
+3. cuts every pre-token where a pair is not live. A pair's count only falls
+   while merges are made, and a pair that a merge creates stands behind the
+   one it grows out of (it is not more frequent, and its ids are larger), so
+   no merge before the floor ever reaches over such a cut. The remaining
+   stretches, most of them shared by many pre-tokens, are aggregated: this is
+   all that merges before the floor can depend on;
+4. makes these merges one after another in one task, with an index from each
+   pair to its places: a merge reads and updates only those;
+5. applies them to the pre-tokens, spread over the cluster.
+
+The merges are those of the sequential trainer, whatever the bounds; a
+smaller bound takes more phases. There is one exception to falling counts: a
+merge that spells an existing token again. A phase that has cut anything
+ends behind such a merge.
 
 Ties are broken as the public byte-level trainer does: larger count first,
 then smaller (left id, right id), ids being specials, then the 256 byte
 symbols in the order of their printable stand-ins, then merges in order.
-The state is checkpointed to the shared folder every few rounds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 import heapq
-import logging
-import re
-import time
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parapet.functions.text import GPT2_PATTERN, pretokenize
 from parapet.session import cut_lineage
 
-log = logging.getLogger(__name__)
-
-TOP_K = 1000
-CHECKPOINT_EVERY = 4
+PHASE_SYMBOLS = 4 << 20     # places of live pairs one phase indexes, at most (one task's memory)
+PHASE_PAIRS = 500_000       # live pairs of a phase, at most (broadcast, eight bytes each)
 WORDS_PER_PARTITION = 200_000
+_PAIR = 1 << 32             # a pair (a, b) as one key: a * _PAIR + b
 
 
 def _printable(b: int) -> bool:
@@ -81,19 +83,6 @@ def pair_counts(state: DataFrame) -> DataFrame:
                  .agg(F.sum("cnt").alias("c")))
 
 
-def merge_batch(syms: Column, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Apply a batch of merges in two regex passes, whatever its size.
-
-    A symbol is written as its ``+``-joined hex bytes, so merging (A, B)
-    turns ``A B`` into ``A+B``. Pass one marks every occurrence of a batch
-    pair (left to right, non-overlapping); pass two joins each marked pair.
-    Pairs of one batch never overlap each other, so this equals merging
-    them one after another."""
-    alts = "|".join(f"{re.escape(a)} {re.escape(b)}" for a, b in pairs)
-    marked = F.regexp_replace(syms, f"(?<= )(?:{alts})(?= )", "\u0001$0")
-    return F.regexp_replace(marked, "\u0001([^ ]+) ", "$1+")
-
-
 @dataclass
 class BpeModel:
     specials: list[str]
@@ -123,138 +112,7 @@ def new_model(specials: Sequence[str]) -> BpeModel:
     return BpeModel(list(specials), [b""] * len(specials) + [bytes([b]) for b in byte_order()])
 
 
-def select_batch(top: list[tuple[int, int, int]], complete: bool, model: BpeModel,
-                 room: int) -> list[tuple[int, int]]:
-    """Merges that equal the next ones of the sequential trainer.
-
-    ``top``: pairs sorted by (count desc, left, right); ``complete`` says
-    whether it holds every pair with a positive count."""
-    if not top or room <= 0 or top[0][2] <= 0:
-        return []
-    known = {tb: i for i, tb in enumerate(model.token_bytes)}
-    floor_ = 0 if complete else top[-1][2]
-    accepted: list[tuple[int, int]] = []
-    lefts, rights = set(), set()
-    for a, b, c in top:
-        if len(accepted) >= room or c <= 0:
-            break
-        product = model.token_bytes[a] + model.token_bytes[b]
-        if accepted:
-            # an occurrence of (a, b) overlaps one of an accepted (x, y) only
-            # when a == y or b == x; otherwise its count is unchanged
-            if product in known or any(a == y or b == x for x, y in accepted):
-                break
-            bound = floor_
-            for x, y, cc in top:
-                if y in lefts or x in rights:
-                    bound = max(bound, cc)
-                    break   # sorted by count: the first hit is the largest
-            if c <= bound:
-                break
-        accepted.append((a, b))
-        lefts.add(a)
-        rights.add(b)
-        if product in known:
-            break   # an existing symbol grows: its pairs change, so it runs alone
-        known[product] = -1
-    return accepted
-
-
-def train_bpe(words: DataFrame, vocab_size: int, specials: Sequence[str], top_k: int = TOP_K,
-              checkpoint_every: int = CHECKPOINT_EVERY, max_rounds: int | None = None,
-              partitions: int | None = None) -> BpeModel:
-    """Learn merges until the vocabulary holds ``vocab_size`` entries or no
-    pair is left (A4). ``words``: (word, cnt)."""
-    model = new_model(specials)
-    spark = words.sparkSession
-    # symbol text <-> id; a base symbol is written as its byte in hex
-    sym_id = {f"{b:02X}": len(specials) + i for i, b in enumerate(byte_order())}
-    id_sym = {i: t for t, i in sym_id.items()}
-    # spread the distinct words over the cluster first (an explicit count, so
-    # AQE keeps it): the byte mapping and every round then run in parallel
-    n_parts = partitions or max(spark.sparkContext.defaultParallelism, -(-words.count() // WORDS_PER_PARTITION))
-    init = initial_symbols(words.repartition(n_parts, "word")).filter(F.size(F.split(F.trim("syms"), " ")) > 1)
-    t0 = time.time()
-    state = cut_lineage(init)
-    state.persist()
-    log.debug("bpe initial state %.2fs", time.time() - t0)
-    prev, since = None, 0
-    while model.vocab_size < vocab_size and (max_rounds is None or model.rounds < max_rounds):
-        t0 = time.time()
-        # order ties by symbol ids: join the (vocabulary-sized) id table
-        ids = spark.createDataFrame(list(sym_id.items()), "s string, i int")
-        pc = pair_counts(state)
-        ranked = (pc.join(F.broadcast(ids.withColumnRenamed("s", "a").withColumnRenamed("i", "ia")), "a")
-                    .join(F.broadcast(ids.withColumnRenamed("s", "b").withColumnRenamed("i", "ib")), "b"))
-        rows = ranked.orderBy(F.col("c").desc(), "ia", "ib").limit(top_k).select("ia", "ib", "c").collect()
-        log.debug("bpe round %d: pair counts %.2fs", model.rounds, time.time() - t0)
-        if prev is not None:          # ``state`` is cached now; its parent can go
-            prev.unpersist()
-            prev = None
-        top = [(r["ia"], r["ib"], r["c"]) for r in rows]
-        t0 = time.time()
-        batch = select_batch(top, len(top) < top_k, model, vocab_size - model.vocab_size)
-        log.debug("bpe round %d: %d merges selected in %.2fs", model.rounds, len(batch), time.time() - t0)
-        if not batch:
-            break
-        index = {tb: i for i, tb in enumerate(model.token_bytes)}
-        for a, b in batch:
-            product = model.token_bytes[a] + model.token_bytes[b]
-            new_id = index.get(product)
-            if new_id is None:
-                new_id = len(model.token_bytes)
-                model.token_bytes.append(product)
-                index[product] = new_id
-                text = id_sym[a] + "+" + id_sym[b]
-                sym_id[text] = new_id
-                id_sym[new_id] = text
-            model.merges.append((a, b, new_id))
-        model.rounds += 1
-        syms = merge_batch(F.col("syms"), [(id_sym[a], id_sym[b]) for a, b in batch])
-        # words that became one symbol have no pairs left: drop them
-        nxt = state.withColumn("syms", syms).filter(F.size(F.split(F.trim("syms"), " ")) > 1)
-        since += 1
-        if since >= checkpoint_every:
-            t0 = time.time()
-            nxt, since = cut_lineage(nxt), 0
-            log.debug("bpe checkpoint %.2fs", time.time() - t0)
-        nxt.persist()
-        prev, state = state, nxt
-    if prev is not None:
-        prev.unpersist()
-    state.unpersist()
-    return model
-
-
-def encode_word(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Apply merges by rank: repeatedly merge every occurrence (left to
-    right, non-overlapping) of the lowest-ranked adjacent pair."""
-    while len(ids) > 1:
-        best = None
-        for i in range(len(ids) - 1):
-            r = ranks.get((ids[i], ids[i + 1]))
-            if r is not None and (best is None or r[0] < best[0]):
-                best = r
-                pair = (ids[i], ids[i + 1])
-        if best is None:
-            break
-        out, i = [], 0
-        while i < len(ids):
-            if i + 1 < len(ids) and (ids[i], ids[i + 1]) == pair:
-                out.append(best[1])
-                i += 2
-            else:
-                out.append(ids[i])
-                i += 1
-        ids = out
-    return ids
-
-
-# ---- incremental training ---------------------------------------------------
-
-LOCAL_BYTES = 256 << 20      # bytes of distinct words one task indexes
-CHUNK = 1 << 22
-
+# ---- training -----------------------------------------------------------------
 
 def _grouped(keys: np.ndarray, weights: np.ndarray, pos: np.ndarray | None = None):
     """(key, weight sum[, positions]) of each distinct key."""
@@ -266,130 +124,279 @@ def _grouped(keys: np.ndarray, weights: np.ndarray, pos: np.ndarray | None = Non
     return zip(k[cut].tolist(), sums.tolist(), parts)
 
 
-def merge_incrementally(data: np.ndarray, lens: np.ndarray, cnt: np.ndarray, vocab_size: int,
-                        specials: Sequence[str]) -> BpeModel:
-    """The sequential trainer with an index from pairs to their places: each
-    merge reads and updates only the places where its pair stands.
-
-    ``data``: the bytes of all distinct words one after another, ``lens`` and
-    ``cnt`` their lengths and counts. ``first`` and ``last`` hold a symbol's
-    id at its first and last byte, so both neighbours are found by length."""
-    model = new_model(specials)
-    kind = np.uint16 if vocab_size + 300 < 1 << 16 else np.int32
+def merge_in_turn(ids: np.ndarray, lens: np.ndarray, cnt: np.ndarray, token_bytes: Sequence[bytes], vocab_size: int,
+                  floor: tuple[int, int] | None = None) -> list[tuple[int, int, int]]:
+    """(left, right, made) of each merge of the sequential trainer, until the
+    vocabulary holds ``vocab_size`` entries or the next pair is behind the
+    ``floor`` (count, pair); without a floor, until no pair is left.
+
+    ``ids``: the symbols of all stretches one after another, ``lens`` and
+    ``cnt`` their lengths and counts; ``token_bytes`` the vocabulary so far.
+    A symbol takes as many cells as it has bytes; ``first`` and ``last`` hold
+    its id at its first and last cell, so both neighbours are found by
+    length. With a floor, a merge that spells an existing token is the last."""
+    names = list(token_bytes)
+    n_merges: list[tuple[int, int, int]] = []
+    kind = np.uint16 if max(vocab_size, len(names)) + 300 < 1 << 16 else np.int32
     sep, dead = np.iinfo(kind).max, np.iinfo(kind).max - 1
-    id_of = np.zeros(256, dtype=kind)
-    id_of[byte_order()] = np.arange(len(specials), len(specials) + 256)
-    n = int(len(data) + len(lens) + 1)
-    starts = np.cumsum(lens + 1) - lens              # a separator before each word
-    first = np.full(n, sep, dtype=kind)
-    for w0 in range(0, len(lens), CHUNK):
-        ls = lens[w0:w0 + CHUNK]
-        lo = int(starts[w0]) - w0 - 1                # bytes of the words before
-        size = int(ls.sum())
-        first[np.arange(lo, lo + size) + np.repeat(np.arange(w0 + 1, w0 + 1 + len(ls)), ls)] = id_of[data[lo:lo + size]]
+    width = np.ones(max(vocab_size, len(names)) + 1, dtype=np.int64)
+    width[:len(names)] = [max(1, len(t)) for t in names]
+    if not len(ids):
+        return n_merges
+    size = width[ids]
+    stretch = np.repeat(np.arange(len(lens)), lens)
+    at = np.cumsum(size) - size + stretch + 1            # a separator before each stretch, and one behind the last
+    n = int(size.sum() + len(lens) + 1)
+    place = np.int32 if n < (1 << 31) else np.int64
+    heads = np.cumsum(lens) - lens
+    starts = at[heads]                                   # where each stretch begins
+    first = np.full(n, dead, dtype=kind)
+    first[starts - 1], first[-1] = sep, sep
     last = first.copy()
-    width = np.ones(max(vocab_size, len(model.token_bytes)) + 1, dtype=np.int64)
-    known = {tb: i for i, tb in enumerate(model.token_bytes) if tb}
-    base = 1 << 32
+    first[at], last[at + size - 1] = ids, ids
+    known = {t: i for i, t in enumerate(names) if t}
+    least = floor[0] if floor else 1
     weight = lambda p: cnt[np.searchsorted(starts, p, "right") - 1]
     counts: dict[int, int] = {}
     places: dict[int, list[np.ndarray]] = {}
-    at = np.int32 if n < (1 << 31) else np.int64
 
     def add(groups):
         for key, c, pos in groups:
-            counts[key] = counts.get(key, 0) + c
-            places.setdefault(key, []).append(pos)
-            yield key
-
-    for i in range(0, n - 1, CHUNK):
-        x, y = first[i:min(i + CHUNK, n - 1)], first[i + 1:min(i + CHUNK, n - 1) + 1]
-        p = np.flatnonzero((x != sep) & (y != sep))
-        if len(p):
-            for _ in add(_grouped(x[p].astype(np.int64) * base + y[p], weight(p + i), (p + i).astype(at))):
-                pass
+            c += counts.get(key, 0)
+            if c >= least:                               # a rarer pair is never merged here
+                counts[key] = c
+                places.setdefault(key, []).append(pos)
+                yield key
+
+    inside = np.flatnonzero(stretch[1:] == stretch[:-1])
+    keys = ids[inside].astype(np.int64) * _PAIR + ids[inside + 1]
+    for _ in add(_grouped(keys, cnt[stretch[inside]], at[inside].astype(place)) if len(inside) else ()):
+        pass
+    del keys, inside, stretch, at, size
     heap = [(-c, k) for k, c in counts.items()]
     heapq.heapify(heap)
-    while heap and len(model.token_bytes) < vocab_size:
+    while heap and len(names) < vocab_size:
         c, key = heapq.heappop(heap)
         now = counts.get(key, 0)
-        if now != -c:                                # changed since it was noted
+        if now != -c:                                    # changed since it was noted
             if 0 < now < -c:
                 heapq.heappush(heap, (-now, key))
             continue
-        a, b = divmod(key, base)
+        if floor and (c, key) > (-floor[0], floor[1]):
+            break
+        a, b = divmod(key, _PAIR)
         la, lb = int(width[a]), int(width[b])
-        p = np.sort(np.concatenate(places.pop(key))).astype(np.int64)
+        p = np.unique(np.concatenate(places.pop(key))).astype(np.int64)
         del counts[key]
         p = p[first[p] == a]
         p = p[first[p + la] == b]
-        if a == b:                                   # left to right in runs of the same symbol
+        if a == b:                                       # left to right in runs of the same symbol
             new = np.r_[True, p[1:] != p[:-1] + la]
             run = np.flatnonzero(new)[np.cumsum(new) - 1]
             p = p[(np.arange(len(p)) - run) % 2 == 0]
-        product = model.token_bytes[a] + model.token_bytes[b]
-        made = known.setdefault(product, len(model.token_bytes))
-        if made == len(model.token_bytes):
-            model.token_bytes.append(product)
+        product = names[a] + names[b]
+        again = product in known
+        made = known.setdefault(product, len(names))
+        if not again:
+            names.append(product)
             width[made] = la + lb
-        model.merges.append((a, b, made))
+        n_merges.append((a, b, made))
+        if again and floor:
+            break
         w = weight(p)
         after_prev = np.r_[False, p[1:] == p[:-1] + la + lb]      # stands right behind another place of the pair
         before_next = np.r_[after_prev[1:], False]
         left, right = last[p - 1].astype(np.int64), first[p + la + lb].astype(np.int64)
         dl, dr = left != sep, (right != sep) & ~before_next
-        gone = np.r_[left[dl] * base + a, b * base + right[dr]]
+        gone = np.r_[left[dl] * _PAIR + a, b * _PAIR + right[dr]]
         if len(gone):
             for k, d, _ in _grouped(gone, np.r_[w[dl], w[dr]]):
                 if k in counts:
                     counts[k] -= d
-                    if counts[k] <= 0:
+                    if counts[k] < least:
                         del counts[k], places[k]
         first[p], first[p + la], last[p + la + lb - 1] = made, dead, made
         left, right = last[p - 1].astype(np.int64), first[p + la + lb].astype(np.int64)
         dl, dr = (left != sep) & ~after_prev, right != sep
-        come = np.r_[left[dl] * base + made, made * base + right[dr]]
+        come = np.r_[left[dl] * _PAIR + made, made * _PAIR + right[dr]]
         if len(come):
-            where = np.r_[p[dl] - width[left[dl]], p[dr]].astype(at)
+            where = np.r_[p[dl] - width[left[dl]], p[dr]].astype(place)
             for k in add(_grouped(come, np.r_[w[dl], w[dr]], where)):
                 heapq.heappush(heap, (-counts[k], k))
-    model.rounds = 1
-    return model
+    return n_merges
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(values, lengths) of an array<int> column."""
+    offs = column.offsets.to_numpy().astype(np.int64)
+    return column.values.to_numpy()[offs[0]:offs[-1]], np.diff(offs)
+
 
+def _as_lists(values: np.ndarray, lens: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lens)], pa.int32()), pa.array(values, pa.int32()))
 
-def learn_bpe(words: DataFrame, vocab_size: int, specials: Sequence[str], local_bytes: int = LOCAL_BYTES) -> BpeModel:
+
+def initial_ids(words: DataFrame, specials: Sequence[str]) -> DataFrame:
+    """(ids, cnt) of the pre-tokens (word, cnt) of two bytes or more."""
+    id_of = np.zeros(256, np.int32)
+    id_of[byte_order()] = np.arange(len(specials), len(specials) + 256)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            col = rb.column(0).cast(pa.large_binary())
+            offs = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1] if len(col) else np.zeros(1, np.int64)
+            data = np.frombuffer(col.buffers()[2], np.uint8)[offs[0]:offs[-1]] if len(col) else np.zeros(0, np.uint8)
+            yield pa.RecordBatch.from_arrays([_as_lists(id_of[data], np.diff(offs)), rb.column(1)], ["ids", "cnt"])
+
+    raw = words.select(F.encode("word", "UTF-8").alias("w"), F.col("cnt").cast("bigint").alias("cnt")).filter(F.length("w") > 1)
+    return raw.mapInArrow(run, "ids array<int>, cnt long")
+
+
+def id_pairs(state: DataFrame) -> DataFrame:
+    """(key, c, n): count of each adjacent pair, and the places it stands at."""
+    a, b = F.slice("ids", 1, F.size("ids") - 1), F.slice("ids", 2, F.size("ids") - 1)
+    both = F.arrays_zip(a.alias("a"), b.alias("b"))
+    return state.select("cnt", F.explode(both).alias("p")) \
+        .groupBy((F.col("p.a").cast("bigint") * _PAIR + F.col("p.b")).alias("key")) \
+        .agg(F.sum("cnt").alias("c"), F.count(F.lit(1)).alias("n"))
+
+
+def live_pairs(pairs: DataFrame, symbols: int, most: int) -> tuple[np.ndarray, tuple[int, int] | None]:
+    """(sorted keys of the live pairs, the last one in the trainer's order as
+    (count, key), or None if all pairs are live)."""
+    first = pairs.orderBy(F.col("c").desc(), "key").limit(most + 1).toPandas()
+    fits = int(np.searchsorted(np.cumsum(first["n"].to_numpy(np.int64)), symbols, "right"))
+    keys = first["key"].to_numpy(np.int64)
+    if len(keys) <= most and fits >= len(keys):
+        return np.sort(keys), None
+    k = max(1, min(fits, most))
+    return np.sort(keys[:k]), (int(first["c"].iloc[k - 1]), int(keys[k - 1]))
+
+
+def stretches(state: DataFrame, live: np.ndarray | None) -> DataFrame:
+    """(s, cnt): the stretches of live pairs, as the bytes of their ids, with
+    their counts over all pre-tokens. ``live``: sorted keys; None: all are."""
+    keys = None if live is None else state.sparkSession.sparkContext.broadcast(live)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            ids, lens = _lists(rb.column(0))
+            word = np.repeat(np.arange(len(lens)), lens)
+            joined = word[1:] == word[:-1]
+            if keys is not None and len(keys.value):
+                pair = ids[:-1].astype(np.int64) * _PAIR + ids[1:]
+                spot = np.minimum(np.searchsorted(keys.value, pair), len(keys.value) - 1)
+                joined &= keys.value[spot] == pair
+            begins = np.flatnonzero(np.r_[True, ~joined]) if len(ids) else np.zeros(0, np.int64)
+            size = np.diff(np.r_[begins, len(ids)])
+            keep = size > 1
+            of = np.repeat(keep, size)
+            offs = np.r_[0, np.cumsum(size[keep] * 4)]
+            data = np.ascontiguousarray(ids[of], "<i4")
+            out = pa.Array.from_buffers(pa.binary(), int(keep.sum()), [None, pa.py_buffer(offs.astype(np.int32)), pa.py_buffer(data)])
+            yield pa.RecordBatch.from_arrays([out, rb.column(1).take(pa.array(word[begins[keep]]))], ["s", "cnt"])
+
+    return state.mapInArrow(run, "s binary, cnt long").groupBy("s").agg(F.sum("cnt").alias("cnt"))
+
+
+def phase_merges(parts: DataFrame, model: BpeModel, vocab_size: int,
+                 floor: tuple[int, int] | None) -> list[tuple[int, int, int]]:
+    """:func:`merge_in_turn` over all stretches, in one executor task."""
+    names = parts.sparkSession.sparkContext.broadcast(model.token_bytes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, lens, cnt = [], [], []
+        for rb in batches:
+            col = rb.column(0).cast(pa.large_binary())
+            offs = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1] if len(col) else np.zeros(1, np.int64)
+            ids.append(np.frombuffer(col.buffers()[2], np.uint8)[offs[0]:offs[-1]].view("<i4").copy() if len(col) else np.zeros(0, np.int32))
+            lens.append(np.diff(offs) // 4)
+            cnt.append(rb.column(1).to_numpy())
+        if ids:
+            got = merge_in_turn(np.concatenate(ids), np.concatenate(lens), np.concatenate(cnt), names.value, vocab_size, floor)
+            yield pa.RecordBatch.from_pydict({"rank": pa.array(range(len(got)), pa.int32()), **{
+                k: pa.array([x[i] for x in got], pa.int32()) for i, k in enumerate(("a", "b", "id"))}})
+
+    rows = parts.repartition(1).mapInArrow(run, "rank int, a int, b int, id int").orderBy("rank").collect()
+    return [(r["a"], r["b"], r["id"]) for r in rows]
+
+
+def apply_merges(state: DataFrame, merges: Sequence[tuple[int, int, int]]) -> DataFrame:
+    """The pre-tokens after a phase; those that are one symbol now have no
+    pair left and go. The last merge may spell an existing token and goes by
+    itself: earlier ones do not see what it made."""
+    steps = state.sparkSession.sparkContext.broadcast([
+        {(a, b): (r, made) for r, (a, b, made) in enumerate(part)} for part in (merges[:-1], merges[-1:])])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            out = rb.column(0).to_pylist()
+            for ranks in steps.value:
+                out = [encode_word(ids, ranks) for ids in out]
+            rb = pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int32())), rb.column(1)], ["ids", "cnt"])
+            yield rb.filter(pa.array([len(ids) > 1 for ids in out], pa.bool_()))
+
+    return state.mapInArrow(run, "ids array<int>, cnt long")
+
+
+def learn_bpe(words: DataFrame, vocab_size: int, specials: Sequence[str], phase_symbols: int = PHASE_SYMBOLS,
+              phase_pairs: int = PHASE_PAIRS) -> BpeModel:
     """Learn merges until the vocabulary holds ``vocab_size`` entries or no
-    pair is left (A4). Merges depend on each other, so distinct words of up
-    to ``local_bytes`` are indexed in one executor task; more of them are
-    trained in rounds over the cluster (:func:`train_bpe`). Both learn the
-    same merges."""
-    words = words.select(F.encode("word", "UTF-8").alias("w"), F.col("cnt").cast("bigint").alias("cnt")) \
-                 .filter(F.length("w") > 1)
-    words = cut_lineage(words)
-    if (words.agg(F.sum(F.length("w") + 1)).first()[0] or 0) > local_bytes:
-        back = words.select(F.decode("w", "UTF-8").alias("word"), "cnt")
-        return train_bpe(back, vocab_size, specials)
-    names = list(specials)
-
-    def run(batches):
-        data, lens, cnt = [], [], []
-        for batch in batches:
-            col = batch.column(0).cast(pa.large_binary())
-            offs = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
-            if len(col):
-                data.append(np.frombuffer(col.buffers()[2], np.uint8)[offs[0]:offs[-1]].copy())
-                lens.append(np.diff(offs))
-                cnt.append(batch.column(1).to_numpy())
-        if data:
-            m = merge_incrementally(np.concatenate(data), np.concatenate(lens), np.concatenate(cnt), vocab_size, names)
-            yield pa.RecordBatch.from_pydict({
-                "rank": pa.array(range(len(m.merges)), pa.int32()),
-                **{k: pa.array([x[i] for x in m.merges], pa.int32()) for i, k in enumerate(("a", "b", "id"))}})
-
-    model = new_model(names)
-    for r in words.repartition(1).mapInArrow(run, "rank int, a int, b int, id int").orderBy("rank").collect():
-        if r["id"] == len(model.token_bytes):
-            model.token_bytes.append(model.token_bytes[r["a"]] + model.token_bytes[r["b"]])
-        model.merges.append((r["a"], r["b"], r["id"]))
-    model.rounds = 1
+    pair is left (A4), in phases over ``words`` (word, cnt)."""
+    model = new_model(specials)
+    spark = words.sparkSession
+    # an explicit count, so that AQE keeps it: the distinct words of a large corpus are few bytes
+    n_parts = max(spark.sparkContext.defaultParallelism, -(-words.count() // WORDS_PER_PARTITION))
+    state = cut_lineage(initial_ids(words.repartition(n_parts, "word"), specials))
+    while model.vocab_size < vocab_size:
+        live, floor = live_pairs(id_pairs(state), phase_symbols, phase_pairs)
+        if not len(live):
+            break
+        merges = phase_merges(stretches(state, live if floor else None), model, vocab_size, floor)
+        for a, b, made in merges:
+            if made == len(model.token_bytes):
+                model.token_bytes.append(model.token_bytes[a] + model.token_bytes[b])
+            model.merges.append((a, b, made))
+        model.rounds += 1
+        if not floor:
+            break
+        if model.vocab_size < vocab_size:
+            state = cut_lineage(apply_merges(state, merges))
     return model
+
+
+# ---- encoding -----------------------------------------------------------------
+
+def encode_word(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+    """Apply merges by rank (F2): the pair of the lowest rank first, from left
+    to right. Symbols are linked and waiting pairs stand in a heap, so a word
+    of n symbols takes O(n log n) steps however long it is."""
+    n = len(ids)
+    get = ranks.get
+    heap = [(r[0], i) for i in range(n - 1) if (r := get((ids[i], ids[i + 1]))) is not None]
+    if not heap:
+        return ids
+    heapq.heapify(heap)
+    sym: list[int] = list(ids)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    while heap:
+        rank, i = heapq.heappop(heap)
+        j = after[i]
+        if sym[i] < 0 or j >= n:
+            continue
+        r = get((sym[i], sym[j]))
+        if r is None or r[0] != rank:                    # one of them has been merged since
+            continue
+        sym[i], sym[j] = r[1], -1
+        k = after[i] = after[j]
+        if k < n:
+            before[k] = i
+            r = get((sym[i], sym[k]))
+            if r is not None:
+                heapq.heappush(heap, (r[0], i))
+        h = before[i]
+        if h >= 0:
+            r = get((sym[h], sym[i]))
+            if r is not None:
+                heapq.heappush(heap, (r[0], h))
+    return [x for x in sym if x >= 0]

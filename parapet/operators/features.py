@@ -39,8 +39,22 @@ def pretokens(text: Column, specials: Sequence[str], pattern: str = T.GPT2_PATTE
     return F.when(F.rlike(text, F.lit(either)), cut).otherwise(T.pretokenize(text, pattern))
 
 
-def _positions(df: DataFrame, keys: Sequence[str], text: str, pattern: str, specials: Sequence[str]) -> DataFrame:
-    return df.select(*keys, F.posexplode(pretokens(F.col(text), specials, pattern)).alias("pos", "word"))
+# Rows are told apart by their keys and the hash of what is looked up, and rows
+# equal in both have the same result: it is made once and given as often as
+# they stand. Keys may repeat, and no row needs a number of its own.
+
+def _exploded(df: DataFrame, keys: Sequence[str], value: Column, items: Column, name: str) -> DataFrame:
+    """(keys..., __h, pos, name): a row for each item."""
+    return df.select(*keys, F.xxhash64(value).alias("__h"), F.posexplode(items).alias("pos", name))
+
+
+def _gathered(items: DataFrame, keys: Sequence[str], item: str) -> DataFrame:
+    """(keys..., __s) with a row for each row that was exploded: its items in order."""
+    groups = items.groupBy(*keys, "__h").agg(F.array_sort(F.collect_set(F.struct("pos", item))).alias("__s"),
+                                             F.sum(F.when(F.col("pos") == 0, 1)).alias("__n"))
+    return groups.select(*keys, F.transform("__s", lambda x: x[item]).alias("__s"),
+                         F.explode(F.when(F.col("__n") > 1, F.sequence(F.lit(1).cast("bigint"), "__n"))
+                                   .otherwise(F.array(F.lit(1).cast("bigint")))).alias("__i")).drop("__i")
 
 
 def encode_words(words: DataFrame, model: BpeModel) -> DataFrame:
@@ -64,22 +78,21 @@ def encode_words(words: DataFrame, model: BpeModel) -> DataFrame:
 
 def encode(df: DataFrame, keys: Sequence[str], text: str, model: BpeModel,
            pattern: str = T.GPT2_PATTERN, name: str = "ids", salts: int | None = None) -> DataFrame:
-    """(keys..., ids): BPE ids of ``text`` (F2). Texts without pre-tokens
-    get an empty array.
+    """(keys..., ids): BPE ids of ``text`` (F2), a row for each row of ``df``;
+    keys may repeat. Texts without pre-tokens get an empty array.
 
     Distinct words are encoded once, with their frequencies, and joined
     back with hot words salted (``operators.skew``): one word holding a
     third of the corpus does not land in one task."""
-    pos = _positions(df, keys, text, pattern, model.specials)
+    words = pretokens(F.col(text), model.specials, pattern)
+    pos = _exploded(df, keys, F.col(text), words, "word")
     freq = pos.groupBy("word").agg(F.count(F.lit(1)).alias("__n"))
     enc = cut_lineage(encode_words(freq.select("word"), model).join(freq, "word"))
     joined = skew.salted_join(pos, enc.select("word", "ids"), "word", freq=enc.select("word", "__n"),
                               salts=salts)
-    parts = joined.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("__s"))
-    ids = F.flatten(F.transform("__s", lambda x: x["ids"]))
-    got = parts.select(*keys, ids.alias(name))
-    return df.select(*keys).join(got, list(keys), "left") \
-             .withColumn(name, F.coalesce(F.col(name), F.array().cast("array<int>")))
+    got = _gathered(joined, keys, "ids").select(*keys, F.flatten("__s").alias(name))
+    none = df.filter(F.coalesce(F.size(words) <= 0, F.lit(True))).select(*keys, F.array().cast("array<int>").alias(name))
+    return got.unionByName(none)
 
 
 def decode(df: DataFrame, keys: Sequence[str], ids: str, vocab: DataFrame,
@@ -91,18 +104,15 @@ def decode(df: DataFrame, keys: Sequence[str], ids: str, vocab: DataFrame,
     if n > MAX_VOCAB_BROADCAST:
         raise ValueError("vocabulary too large to broadcast")
     v = vocab.select("id", "token_hex", "is_special", F.lit(True).alias("__in"))
-    exploded = df.select(*keys, F.posexplode(ids).alias("pos", "id"))
+    exploded = _exploded(df, keys, F.col(ids), F.col(ids), "id")
     joined = exploded.join(F.broadcast(v), "id", "left")
     token = F.when(F.col("is_special") & F.lit(skip_special), F.lit("")).otherwise(F.col("token_hex"))
     token = F.when(F.col("__in"), token)
-    joined = joined.withColumn("token_hex", _known(token, F.col("id"), unknown))
-    parts = joined.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "token_hex"))).alias("__s"),
-                                      F.bool_or(F.col("token_hex").isNull()).alias("__lost"))
-    hexes = F.array_join(F.transform("__s", lambda x: x["token_hex"]), "")
-    got = parts.select(*keys, F.when(~F.col("__lost"), F.decode(F.unhex(hexes), "UTF-8")).alias(name),
-                       F.lit(True).alias("__some"))
-    return df.select(*keys).join(got, list(keys), "left") \
-             .withColumn(name, F.when(F.col("__some"), F.col(name)).otherwise(F.lit(""))).drop("__some")
+    parts = _gathered(joined.withColumn("token_hex", _known(token, F.col("id"), unknown)), keys, "token_hex")
+    whole = F.decode(F.unhex(F.array_join("__s", "")), "UTF-8")
+    got = parts.select(*keys, F.when(~F.exists("__s", lambda x: x.isNull()), whole).alias(name))
+    none = df.filter(F.coalesce(F.size(ids) <= 0, F.lit(True))).select(*keys, F.lit("").alias(name))
+    return got.unionByName(none)
 
 
 def model_features(df: DataFrame, src_ids: str, tgt_ids: str, bos: int, eos: int, pad: int,
@@ -177,13 +187,13 @@ def word_ids(df: DataFrame, keys: Sequence[str], text: str, vocab: DataFrame,
     """(keys..., ids): words of ``text`` mapped through ``vocab`` (J5). A word
     the vocabulary lacks fails, or with ``unknown="null"`` has a null id.
     Hot words are those of the texts being mapped."""
-    pos = df.select(*keys, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(pattern), 0)).alias("pos", "word"))
+    words = F.regexp_extract_all(F.col(text), F.lit(pattern), 0)
+    pos = _exploded(df, keys, F.col(text), words, "word")
     joined = skew.salted_join(pos, vocab.select("word", "id"), "word", how="left")
-    parts = joined.withColumn("id", _known(F.col("id"), F.col("word"), unknown)) \
-        .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("__s"))
-    got = parts.select(*keys, F.transform("__s", lambda x: x["id"]).alias("ids"))
-    return df.select(*keys).join(got, list(keys), "left") \
-             .withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
+    got = _gathered(joined.withColumn("id", _known(F.col("id"), F.col("word"), unknown)), keys, "id") \
+        .select(*keys, F.col("__s").alias("ids"))
+    none = df.filter(F.coalesce(F.size(words) <= 0, F.lit(True))).select(*keys, F.array().cast("array<int>").alias("ids"))
+    return got.unionByName(none)
 
 
 def ids_digest(ids: Column) -> Column:

@@ -35,8 +35,7 @@ def trained_model(spark, sf, vocab_size: int = VOCAB_SIZE) -> bpe.BpeModel:
     """Train once per input and parameters; later calls load the artefact."""
     docs = fx.table(spark, sf, "documents")
     specials = _specials(spark, sf)
-    key = [input_fingerprint(docs), vocab_size, specials, SEED, N_VALID,
-           bpe.TOP_K]
+    key = [input_fingerprint(docs), vocab_size, specials, SEED, N_VALID]
 
     def build_merges():
         m = bpe.learn_bpe(bpe.word_counts(_train_lines(spark, sf), "line"), vocab_size, specials)
@@ -171,7 +170,7 @@ def _encoded_corpus(spark, sf):
     sides and both splits."""
     model = trained_model(spark, sf)
     keys = ["split", "pair_id", "direction", "side"]
-    key = [fx.documents_key(spark, sf), VOCAB_SIZE, SEED, N_VALID, bpe.TOP_K]
+    key = [fx.documents_key(spark, sf), VOCAB_SIZE, SEED, N_VALID]
     return model, keys, materialise_once(spark, "encoded-corpus", key, lambda: ft.encode(
         _prepared_sides(spark, sf), keys, "text", model))
 

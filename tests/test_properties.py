@@ -1,40 +1,13 @@
-"""Property tests: batch merges, positional zip, partition independence."""
+"""Property tests: positional zip, partition independence."""
 
 import random
 
-from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from check_oracle import digest
 from conftest import SF01
-from parapet.operators import bpe, corpus
-
-
-def _seq_merge(tokens, a, b):
-    out, i = [], 0
-    while i < len(tokens):
-        if i + 1 < len(tokens) and tokens[i] == a and tokens[i + 1] == b:
-            out.append(a + "+" + b)
-            i += 2
-        else:
-            out.append(tokens[i])
-            i += 1
-    return out
-
-
-@settings(max_examples=25, deadline=None)
-@given(st.lists(st.lists(st.sampled_from(["1", "2", "3", "4+5"]), min_size=0, max_size=12), min_size=1, max_size=6))
-def test_merge_batch_equals_sequential_merges(spark, words):
-    # a batch the trainer could accept: no occurrence of one pair can overlap another's
-    batch = [("1", "2"), ("1", "3"), ("4+5", "4+5")]
-    df = spark.createDataFrame([(" " + " ".join(w) + " ",) for w in words], "syms string")
-    got = [r[0] for r in df.select(bpe.merge_batch(F.col("syms"), batch)).collect()]
-    for w, g in zip(words, got):
-        want = list(w)
-        for a, b in batch:
-            want = _seq_merge(want, a, b)
-        assert g.split() == want
+from parapet.operators import corpus
 
 
 def test_zip_by_position_matches_python(spark):

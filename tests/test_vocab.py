@@ -2,7 +2,10 @@
 library (test-only dependency), on the driver's smallest tables."""
 
 import json
+import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,7 +27,7 @@ def _shown():
 @pytest.fixture(scope="module")
 def trained(spark):
     lines = fx.lines(spark, SF001)
-    model = bpe.train_bpe(bpe.word_counts(lines, "line"), VOCAB, SPECIALS)
+    model = bpe.learn_bpe(bpe.word_counts(lines, "line"), VOCAB, SPECIALS, phase_symbols=8000)
     texts = [r[0] for r in lines.select("line").collect()]
     from tokenizers import Tokenizer, models, pre_tokenizers, trainers
     tok = Tokenizer(models.BPE())
@@ -45,7 +48,7 @@ def test_merges_and_vocab_equal_library(trained):
     assert ours == lib
     vocab = {(SPECIALS[i] if i < len(SPECIALS) else disp(tb)): i for i, tb in enumerate(model.token_bytes)}
     assert vocab == js["model"]["vocab"]
-    assert model.rounds < len(model.merges)      # several merges per round
+    assert 1 < model.rounds < len(model.merges)      # several merges a phase
 
 
 def test_encode_equals_library_and_round_trips(spark, trained):
@@ -71,29 +74,78 @@ def test_special_strings_in_texts_are_their_own_ids(spark, trained):
         assert got[k] == tok.encode(t).ids, t
 
 
-def test_select_batch_stops_at_overlapping_pairs():
-    m = bpe.new_model([])
-    top = [(1, 2, 50), (3, 4, 40), (2, 5, 39), (6, 7, 10)]
-    # (3,4) is free and beats every neighbour of (1,2); (2,5) can overlap (1,2)
-    assert bpe.select_batch(top, True, m, 10) == [(1, 2), (3, 4)]
-    # (1,5) shares the left symbol only: no occurrence can overlap (1,2);
-    # (6,7) has no neighbour of an accepted pair in a complete list
-    top = [(1, 2, 50), (1, 5, 40), (6, 7, 10)]
-    assert bpe.select_batch(top, True, m, 10) == [(1, 2), (1, 5), (6, 7)]
-    # from a truncated list, a count tied with the last one is never safe
-    assert bpe.select_batch(top, False, m, 10) == [(1, 2), (1, 5)]
-    # a neighbour of an accepted pair with a larger count blocks the next one
-    top = [(1, 2, 50), (9, 1, 45), (3, 4, 40)]
-    assert bpe.select_batch(top, True, m, 10) == [(1, 2)]
-
-
-def test_short_candidate_lists_learn_the_same_merges(spark):
-    # many ties at the cutoff of the candidate list: only safe ones are taken
-    words = [(a + b + c, 2 + (a == "a")) for a in "abcd" for b in "efgh" for c in "ijkl"]
+def test_phases_of_any_size_learn_the_same_merges(spark, trained):
+    # many ties: the live pairs end inside a run of equal counts
+    words = [(a + b + c, 2 + (a == "a")) for a in "abcd" for b in "efgh" for c in "ijkl"] + [("aaaaaaa", 5), ("ababab", 5), ("é日本", 5)]
     df = spark.createDataFrame(words, "word string, cnt long")
-    want = bpe.train_bpe(df, 256 + 24, [], top_k=1000)
-    got = bpe.train_bpe(df, 256 + 24, [], top_k=5)
-    assert got.merges == want.merges and len(got.merges) == 24
+    want = bpe.learn_bpe(df, 256 + 90, [])
+    assert want.rounds == 1 and len(want.merges) > 60
+    for symbols, pairs in ((1, 1), (40, 1000), (1000, 3)):
+        got = bpe.learn_bpe(df, 256 + 90, [], symbols, pairs)
+        assert got.merges == want.merges and got.rounds > 3
+    empty = bpe.learn_bpe(df.limit(0), 300, SPECIALS)
+    assert empty.merges == [] and empty.vocab_size == 256 + len(SPECIALS)
+
+
+def test_a_merge_that_spells_a_token_again_ends_a_phase(spark):
+    # "abc" grows once from (ab, c) and once from (a, bc)
+    words = [("ab", 100), ("abc", 50), ("xbc", 300), ("bc", 40), ("yabc", 45), ("zabcq", 44), ("cq", 43)]
+    ids = {b: i for i, b in enumerate(bpe.byte_order())}
+    flat = np.array([ids[b] for w, _ in words for b in w.encode()], np.int32)
+    lens, cnt = np.array([len(w) for w, _ in words]), np.array([c for _, c in words])
+    names = bpe.new_model([]).token_bytes
+    got = bpe.merge_in_turn(flat, lens, cnt, names, 400)
+    model = bpe.learn_bpe(spark.createDataFrame(words, "word string, cnt long"), 400, [], 1, 1)
+    assert model.merges == got
+    names = names + [b"abc"]                 # known before: the merge that spells it is the phase's last
+    twice = bpe.merge_in_turn(flat, lens, cnt, names, 400, floor=(1, 1 << 62))
+    assert twice[-1][2] == 256 and [m[2] for m in twice].count(256) == 1
+    assert len(bpe.merge_in_turn(flat, lens, cnt, names, 400)) > len(twice)
+
+
+def plain_encode(ids, ranks):
+    """Every occurrence of the lowest-ranked pair, again and again."""
+    while True:
+        found = [(ranks[p], p) for p in zip(ids, ids[1:]) if p in ranks]
+        if not found:
+            return ids
+        (_, new), pair = min(found)
+        out, i = [], 0
+        while i < len(ids):
+            hit = tuple(ids[i:i + 2]) == pair
+            out.append(new if hit else ids[i])
+            i += 2 if hit else 1
+        ids = out
+
+
+def test_long_words_are_encoded_in_order(spark, trained):
+    model, tok, _ = trained
+    rnd = random.Random(3)
+    ranks, base = model.ranks(), {b: len(SPECIALS) + i for i, b in enumerate(bpe.byte_order())}
+    for n in (0, 1, 2, 3, 50, 400):
+        for letters in ("a", "ab", "thein", "the and ing"):
+            w = "".join(rnd.choice(letters) for _ in range(n))
+            ids = [base[b] for b in w.encode()]
+            assert bpe.encode_word(ids, ranks) == plain_encode(ids, ranks)
+    long = "".join(rnd.choice("theainx") for _ in range(1_000_000))
+    t0 = time.time()
+    got = bpe.encode_word([base[b] for b in long.encode()], ranks)
+    assert time.time() - t0 < 30 and got == tok.encode(long).ids
+
+
+def test_rows_of_equal_keys_keep_their_own_ids(spark, trained):
+    model, tok, _ = trained
+    texts = ["ab cd", "xyz", "ab cd", "", None, "the the"]
+    df = spark.createDataFrame([(1, t) for t in texts] + [(None, "ab cd"), (None, "xyz")], "k int, t string").repartition(3)
+    enc = ft.encode(df, ["k"], "t", model)
+    got = sorted((r["k"] or 0, list(r["ids"])) for r in enc.collect())
+    assert got == sorted([(1, tok.encode(t or "").ids) for t in texts] + [(0, tok.encode(t).ids) for t in ("ab cd", "xyz")])
+    back = ft.decode(enc, ["k"], "ids", model.vocab_df(spark)).collect()
+    assert sorted((r["k"] or 0, r["text"]) for r in back) == sorted([(1, t or "") for t in texts] + [(0, "ab cd"), (0, "xyz")])
+    vocab = spark.createDataFrame([("ab", 3), ("cd", 4), ("xyz", 5), ("the", 6)], "word string, id int")
+    ids = ft.word_ids(df, ["k"], "t", vocab)
+    assert sorted((r["k"] or 0, list(r["ids"])) for r in ids.collect()) == sorted(
+        [(1, [3, 4]), (1, [3, 4]), (1, [5]), (1, []), (1, []), (1, [6, 6]), (0, [3, 4]), (0, [5])])
 
 
 def test_encode_salts_hot_words_exactly(spark, trained, monkeypatch):
@@ -121,18 +173,12 @@ def test_incremental_training_equals_library_to_the_end(spark, trained):
     lib = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in json.loads(tok.to_str())["model"]["merges"]]
     shown = _shown()
     disp = lambda bs: "".join(shown[b] for b in bs)
-    got = bpe.learn_bpe(bpe.word_counts(df, "line"), 32_000, SPECIALS)
+    got = bpe.learn_bpe(bpe.word_counts(df, "line"), 32_000, SPECIALS, phase_symbols=30_000)
+    assert got.rounds > 1
     ours = [(disp(got.token_bytes[a]), disp(got.token_bytes[b])) for a, b, _ in got.merges]
     assert len(ours) > 1000 and ours == lib
 
 
-def test_rounds_and_index_learn_the_same_merges(spark, trained):
-    model, _, lines = trained
-    words = bpe.word_counts(lines, "line")
-    assert bpe.learn_bpe(words, VOCAB, SPECIALS).merges == model.merges
-    assert bpe.learn_bpe(words, 270, SPECIALS, local_bytes=1).merges == model.merges[:270 - 256 - len(SPECIALS)]
-
-
 def test_registered_vocabulary_is_the_references():
     from parapet.plans import queries_vocab
     assert queries_vocab.VOCAB_SIZE == 32_000

@@ -6,10 +6,12 @@ lacks the context contributing no mass) and taking the arg-max (W5) gives
 one best continuation per context. The state of a bigram decoder is its last
 token, so that table is a function from token to token, and a path ends at
 ``</s>``, at a token without continuation, or where it would come back to a
-token it has visited (it would go round for ever). Whole paths come from
-composing the table with itself: paths double in each round, so a limit of
-512 tokens takes nine joins over the contexts, whatever the sentences are.
-Sentences are then joined once to the path of their first token.
+token it has visited (it would go round for ever). Composing the table with
+itself gives the 2nd, 4th, 8th ... successor of each context, one token a
+context and power; the paths of the distinct first tokens double in length
+by them, so a limit of 512 tokens takes at most nine joins, and fewer if all
+paths have ended. Sentences are then joined once to the path of their first
+token.
 
 Opaque scorers (any Python callable over a batch) decode inside
 ``mapInPandas``: each executor runs the loop for its own batch of sentences.
@@ -67,33 +69,45 @@ def best_next(scores: DataFrame, n_members: int) -> DataFrame:
     return best.select("prev", F.col("b.next").alias("next"), (-F.col("b.np")).alias("p"))
 
 
-def greedy_paths(best: DataFrame, max_steps: int = MAX_STEPS, eos: str = EOS) -> DataFrame:
-    """(prev, path, stop) for every context of ``best`` (prev, next): the
-    tokens after ``prev``, and why they end: ``eos``, ``dead_end`` (no
-    continuation), ``repeat`` (the next token has been visited) or
-    ``length`` (``max_steps``).
+def greedy_paths(best: DataFrame, max_steps: int = MAX_STEPS, eos: str = EOS, starts: DataFrame | None = None) -> DataFrame:
+    """(prev, path, stop) for every distinct token of ``starts`` (token), or
+    every context of ``best`` (prev, next): the tokens after ``prev``, and why
+    they end: ``eos``, ``dead_end`` (no continuation), ``repeat`` (the next
+    token has been visited) or ``length`` (``max_steps``).
 
     Once a path repeats a token it only revisits tokens, so dropping repeats
-    of a composed path leaves exactly its part before the first repeat."""
-    live, ended, size = F.lit(None).cast("string"), [], 1
-    first = F.when(F.col("next") == eos, "eos").when(F.col("next") == F.col("prev"), "repeat").otherwise(live)
-    own = F.when(F.col("next") == F.col("prev"), F.array().cast("array<string>")).otherwise(F.array("next"))
-    paths = cut_lineage(best.select("prev", own.alias("path"), first.alias("stop")))
-    while size < max_steps and paths.filter("stop is null").take(1):
-        more = paths.select(F.col("prev").alias("last"), F.col("path").alias("more"), F.col("stop").alias("then"))
-        going = paths.filter("stop is null").withColumn("last", F.element_at("path", -1))
-        # many contexts lead to the same token: frequent ones are salted
-        joined = salted_join(going, more, "last", how="left")
-        long = F.concat(F.array("prev"), "path", F.coalesce("more", F.array().cast("array<string>")))
-        unique = F.array_distinct(long)
-        stop = F.when(F.size(unique) < F.size(long), "repeat") \
-                .when(F.col("more").isNull(), "dead_end").otherwise(F.col("then"))
-        grown = joined.select("prev", F.slice(unique, 2, F.size(unique)).alias("path"), stop.alias("stop"))
-        paths = cut_lineage(paths.filter("stop is not null").unionByName(grown))
-        size *= 2
-    cut = F.size("path") > max_steps
-    return paths.select("prev", F.slice("path", 1, max_steps).alias("path"),
-                        F.when(cut | F.col("stop").isNull(), "length").otherwise(F.col("stop")).alias("stop"))
+    leaves exactly its part before the first repeat. Only paths that have not
+    ended are lengthened, and only tokens that a path can reach are composed."""
+    step = best.filter((F.col("prev") != eos) & F.col("next").isNotNull()).select(F.col("prev").alias("token"), F.col("next").alias("to"))
+    first = (best.select(F.col("prev").alias("token")) if starts is None else starts.select("token")).filter("token is not null").distinct()
+    if starts is not None:
+        reached = first.unionByName(step.select(F.col("to").alias("token"))).distinct()
+        step = step.join(reached, "token", "left_semi")
+    step = cut_lineage(step)
+    ended: list[DataFrame] = []
+    live = first.select(F.col("token").alias("prev"), F.array("token").alias("chain"))
+    while True:
+        # many paths lead to the same tokens: frequent ones are salted
+        items = live.select("prev", F.posexplode("chain").alias("pos", "token"))
+        ahead = salted_join(items, step, "token", how="left").groupBy("prev").agg(
+            F.transform(F.array_sort(F.collect_list(F.struct("pos", "token", "to"))), lambda x: F.struct(x["token"], x["to"])).alias("s"))
+        chain = F.concat(F.transform("s", lambda x: x["token"]), F.filter(F.transform("s", lambda x: x["to"]), lambda x: x.isNotNull()))
+        size, unique = F.size("chain"), F.array_distinct("chain")
+        stop = F.when(F.size(unique) < size, "repeat").when(F.element_at("chain", -1) == eos, "eos") \
+                .when(size < 2 * F.size("s"), "dead_end").when(size > max_steps, "length")
+        grown = cut_lineage(ahead.select("prev", chain.alias("chain"), "s").select("prev", unique.alias("chain"), stop.alias("stop")))
+        ended.append(grown.filter("stop is not null"))
+        live = grown.filter("stop is null").select("prev", "chain")
+        if not live.take(1):
+            break
+        # the successor after twice as many steps
+        twice = step.select(F.col("token").alias("to"), F.col("to").alias("then"))
+        step = cut_lineage(salted_join(step, twice, "to").select("token", F.col("then").alias("to")))
+    paths = ended[0]
+    for more in ended[1:]:
+        paths = paths.unionByName(more)
+    cut = F.size("chain") - 1 > max_steps
+    return paths.select("prev", F.slice("chain", 2, max_steps).alias("path"), F.when(cut, "length").otherwise(F.col("stop")).alias("stop"))
 
 
 def greedy_decode(starts: DataFrame, paths: DataFrame, keys: Sequence[str] = ("sid",)) -> DataFrame:
@@ -177,23 +191,33 @@ def greedy_decode_batch(df: DataFrame, members: Sequence[Scorer], eos_id: int,
     return df.select(*cols).mapInPandas(run, f"{kinds}, ids array<bigint>")
 
 
-def opaque_best_next(counts: DataFrame, names: Sequence[str], make: Callable[[int], Sequence[Scorer]],
-                     digits: int = DIGITS) -> DataFrame:
+def bigram_cells(df: DataFrame, member: str, line: str, names: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """((prev, next, c0, c1 ...), (prev, t0, t1 ...)): how often each member
+    saw a successor, and a context; the last word of a line is followed by
+    ``</s>``. One row a successor whatever the number of members."""
+    t = df.select(F.col(member).alias("member"), tokens(line).alias("t")).filter(F.size("t") > 0)
+    of = [F.sum(F.when(F.col("member") == m, 1).otherwise(0)).cast("bigint") for m in names]
+    succ = F.concat(F.slice("t", 2, F.size("t") - 1), F.array(F.lit(EOS)))
+    cells = t.select("member", F.explode(F.arrays_zip(F.col("t").alias("prev"), succ.alias("next"))).alias("b")) \
+        .groupBy(F.col("b.prev").alias("prev"), F.col("b.next").alias("next")).agg(*[c.alias(f"c{i}") for i, c in enumerate(of)])
+    # every occurrence of a word has one successor
+    totals = t.select("member", F.explode("t").alias("prev")).groupBy("prev").agg(*[c.alias(f"t{i}") for i, c in enumerate(of)])
+    return cells, totals
+
+
+def opaque_best_next(cells: DataFrame, totals: DataFrame, make: Callable[[int], Sequence[Scorer]], digits: int = DIGITS) -> DataFrame:
     """(prev, next): the continuation the opaque members score highest on
     average (probability space), ties to the smaller token, for every context
-    of ``counts`` (member, prev, next, c) and over the whole vocabulary.
+    of :func:`bigram_cells` and over the whole vocabulary.
 
-    ``make(n)`` gives one callable per name for a vocabulary of ``n`` ids (all
-    words and the end): (count of the successor, count of the context) ->
+    ``make(n)`` gives one callable per member for a vocabulary of ``n`` ids
+    (all words and the end): (count of the successor, count of the context) ->
     log-probabilities. A batch holds the table rows it scores and no others.
     A member must not score an unseen successor above a seen one: then the
     best one has been seen, and only the seen cells are scored."""
-    of = lambda k, name: F.sum(F.when(F.col("member") == name, F.col("c")).otherwise(0)).alias(f"{k}{names.index(name)}")
-    cells = cut_lineage(counts.groupBy("prev", "next").agg(*[of("c", m) for m in names]))     # counted once
-    totals = cut_lineage(cells.groupBy("prev").agg(*[F.sum(f"c{i}").alias(f"t{i}") for i in range(len(names))],
-                                                   F.count(F.lit(1)).alias("__n")))
+    totals = cut_lineage(totals)
     members = list(make(totals.count() + 1))      # every word is a context: the last one precedes the end
-    if not members or len(members) != len(names):
+    if not members or len(members) != len(totals.columns) - 1:
         raise ValueError("one scorer a member is needed")
 
     def score(batches):
@@ -204,7 +228,8 @@ def opaque_best_next(counts: DataFrame, names: Sequence[str], make: Callable[[in
             avg = top + np.log(np.exp(lp - top).sum(axis=0)) - np.log(len(members))
             yield pd.DataFrame({"prev": pdf["prev"], "next": pdf["next"], "a": avg.round(digits)})
 
-    # a frequent word has many successors: its cells are salted
-    scored = salted_join(cells, totals.drop("__n"), "prev", totals.select("prev", "__n")).mapInPandas(score, "prev string, next string, a double")
+    # a frequent word has many successors: its cells are salted (a context has at most as many as it occurs)
+    often = totals.select("prev", sum(F.col(f"t{i}") for i in range(len(members))).alias("__n"))
+    scored = salted_join(cells, totals, "prev", often).mapInPandas(score, "prev string, next string, a double")
     return scored.groupBy("prev").agg(F.min(F.struct((-F.col("a")).alias("na"), F.col("next"))).alias("b")) \
                  .select("prev", F.col("b.next").alias("next"))

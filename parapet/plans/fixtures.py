@@ -223,10 +223,11 @@ def scorer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scorer_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(prev, path, stop): the scorer's greedy path from every context,
-    materialised once per input (part of the scorer artefact)."""
+    """(prev, path, stop): the scorer's greedy path from the first word of
+    every line, materialised once per input (part of the scorer artefact)."""
     from parapet.operators import decode
     from parapet.sources.cache import materialise_once
     key = [documents_key(spark, sf_dir), N_MEMBERS, "paths", decode.MAX_STEPS]
     return materialise_once(spark, "bigram-paths", key,
-                            lambda: decode.greedy_paths(scorer_table(spark, sf_dir).select("prev", "next")))
+                            lambda: decode.greedy_paths(
+                                scorer_table(spark, sf_dir).select("prev", "next"), starts=decode_starts(spark, sf_dir)))

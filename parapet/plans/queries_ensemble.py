@@ -116,100 +116,28 @@ def ensemble_step(spark, sf):
     return out.select("sid", "token_id", F.round("logprob", 6).alias("logprob"))
 
 
-OPAQUE_WORDS = 63          # the scorers' vocabulary: the end id 0 and the most frequent words
-OPAQUE_EOS = 0
-OPAQUE_STEPS = 16          # a bigram path over 64 ids is in its cycle, if it has one, long before the model's limit
 OPAQUE_DIGITS = 9
+OPAQUE_MEMBERS = [f"m{k}" for k in range(fx.N_MEMBERS)]
 
 
-def _bigram_member(counts: np.ndarray):
-    """An opaque scorer: a bigram model held as an array. It computes the
-    logits of each sentence from its last id (or its first word's)."""
-    logits = np.log1p(counts)
-
-    def score(srcs, prefixes, ctxs):
-        return logits[[p[-1] if p else c for p, c in zip(prefixes, ctxs)]]
-    return score
-
-
-_OPAQUE_SQL = f"""
-, tw AS (
-  SELECT member, list_filter(string_split(line, ' '), lambda w: w <> '') AS toks, doc_id, line_no
-  FROM (SELECT 'm' || CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) % 4 AS member, line, doc_id, line_no FROM lines)
-), vocab AS (
-  SELECT w, CAST(row_number() OVER (ORDER BY count(*) DESC, w) AS BIGINT) AS id
-  FROM (SELECT unnest(toks) AS w FROM tw) GROUP BY w ORDER BY id LIMIT {OPAQUE_WORDS}
-), ids AS (SELECT id FROM vocab UNION ALL SELECT 0),
-cells AS (
-  SELECT m.member, p.id AS prev, n.id AS next, 1 + coalesce(c.c, 0) AS e
-  FROM (SELECT DISTINCT member FROM tw) m CROSS JOIN ids p CROSS JOIN ids n
-  LEFT JOIN (SELECT member, p.id AS prev, coalesce(n.id, 0) AS next, sum(c) AS c
-             FROM bigram_counts b JOIN vocab p ON p.w = b.prev LEFT JOIN vocab n ON n.w = b.next
-             WHERE n.id IS NOT NULL OR b.next = '</s>' GROUP BY ALL) c
-    ON c.member = m.member AND c.prev = p.id AND c.next = n.id
-), avg AS (
-  SELECT prev, next, round(ln(sum(e / t)) - ln(count(*)), {OPAQUE_DIGITS}) AS a
-  FROM (SELECT *, sum(e) OVER (PARTITION BY member, prev) AS t FROM cells) GROUP BY prev, next
-), best AS (
-  SELECT prev, next FROM (SELECT *, row_number() OVER (PARTITION BY prev ORDER BY a DESC, next) AS r FROM avg) WHERE r = 1
-), walk AS (
-  SELECT id AS start, id AS last, CAST([] AS BIGINT[]) AS path FROM ids
-  UNION ALL
-  SELECT w.start, b.next, list_append(w.path, b.next) FROM walk w JOIN best b ON b.prev = w.last
-  WHERE len(w.path) < {OPAQUE_STEPS} AND (len(w.path) = 0 OR w.last <> {OPAQUE_EOS})
-), done AS (SELECT start, arg_max(path, len(path)) AS path FROM walk GROUP BY start)
-SELECT t.doc_id, t.line_no, CAST(len(d.path) AS BIGINT) AS n_ids, array_to_string(d.path, ' ') AS ids
-FROM tw t LEFT JOIN vocab v ON v.w = t.toks[1] JOIN done d ON d.start = coalesce(v.id, 0)
-"""
-
-
-@query("opaque_decode", with_("bigram_counts", recursive=True) + _OPAQUE_SQL)
-def opaque_decode(spark, sf):
-    """E1/E4 with opaque scorers (X3): greedy ensemble decoding of every line
-    inside ``mapInPandas``. Each member is a bigram array over a fixed number
-    of frequent words (their counts, 64 x 64 a member, are collected); a line
-    starts from its first word's id, or the end id for any other word."""
-    lines = fx.member_lines(spark, sf)
-    words = lines.select(F.explode(decode.tokens("line")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    top = [r["w"] for r in words.orderBy(F.col("n").desc(), "w").limit(OPAQUE_WORDS).collect()]
-    vocab = spark.createDataFrame([(w, i + 1) for i, w in enumerate(top)], "w string, id long")
-    small = F.broadcast(vocab)      # OPAQUE_WORDS rows
-    counts = decode.bigram_counts(lines, "member", "line") \
-        .join(small.select(F.col("w").alias("prev"), F.col("id").alias("p")), "prev") \
-        .join(small.select(F.col("w").alias("next"), F.col("id").alias("n")), "next", "left") \
-        .filter(F.col("n").isNotNull() | (F.col("next") == decode.EOS)) \
-        .groupBy("member", "p", F.coalesce("n", F.lit(OPAQUE_EOS)).alias("n")).agg(F.sum("c").alias("c"))
-    tables = {f"m{k}": np.zeros((OPAQUE_WORDS + 1, OPAQUE_WORDS + 1)) for k in range(fx.N_MEMBERS)}
-    for r in counts.collect():
-        tables[r["member"]][r["p"], r["n"]] = r["c"]
-    starts = fx.decode_starts(spark, sf).join(small.withColumnRenamed("w", "token"), "token", "left") \
-        .select(F.col("sid").alias("doc_id"), "line_no", F.col("token").alias("src"),
-                F.coalesce("id", F.lit(OPAQUE_EOS)).alias("ctx"))
-    out = decode.greedy_decode_batch(starts, [_bigram_member(tables[m]) for m in sorted(tables)], OPAQUE_EOS, OPAQUE_STEPS,
-                                     context="ctx", digits=OPAQUE_DIGITS, keys=("doc_id", "line_no"))
-    return out.select("doc_id", "line_no", F.size("ids").cast("bigint").alias("n_ids"), F.array_join("ids", " ").alias("ids"))
-
-
-WHOLE_MEMBERS = [f"m{k}" for k in range(fx.N_MEMBERS)]
-
-
-def _whole_members(n: int):
-    """The same opaque scorers over all ``n`` ids: softmax of log(1 + count)."""
+def _opaque_members(n: int):
+    """Opaque scorers over all ``n`` ids: softmax of log(1 + count)."""
     def score(count, total):
         return np.log1p(count) - np.log(n + total)
-    return [score] * len(WHOLE_MEMBERS)
+    return [score] * len(OPAQUE_MEMBERS)
 
 
-def _whole_paths(spark, sf):
-    """(prev, path, stop) after every word, materialised once per input."""
+def _opaque_paths(spark, sf):
+    """(prev, path, stop) after the first word of every line, materialised once per input."""
     def build():
-        counts = decode.bigram_counts(fx.member_lines(spark, sf), "member", "line")
-        return decode.greedy_paths(decode.opaque_best_next(counts, WHOLE_MEMBERS, _whole_members, OPAQUE_DIGITS))
+        cells, totals = decode.bigram_cells(fx.member_lines(spark, sf), "member", "line", OPAQUE_MEMBERS)
+        best = decode.opaque_best_next(cells, totals, _opaque_members, OPAQUE_DIGITS)
+        return decode.greedy_paths(best, starts=fx.decode_starts(spark, sf))
     key = [fx.documents_key(spark, sf), fx.N_MEMBERS, "opaque", OPAQUE_DIGITS, decode.MAX_STEPS]
     return materialise_once(spark, "opaque-paths", key, build)
 
 
-_WHOLE_SQL = f""",
+_OPAQUE_SQL = f""",
 wn AS (SELECT count(DISTINCT prev) + 1 AS n FROM bigram_counts),
 wt AS (SELECT member, prev, sum(c) AS t FROM bigram_counts GROUP BY member, prev),
 wm AS (SELECT DISTINCT member FROM bigram_counts),
@@ -242,10 +170,10 @@ FROM starts s LEFT JOIN wp p ON p.start = s.token
 """
 
 
-@query("opaque_decode_whole", with_("bigram_counts", "starts", recursive=True) + _WHOLE_SQL)
-def opaque_decode_whole(spark, sf):
+@query("opaque_decode", with_("bigram_counts", "starts", recursive=True) + _OPAQUE_SQL)
+def opaque_decode(spark, sf):
     """E1/E4 with opaque scorers (X3) over the whole vocabulary: each line is
     decoded from its own first word to the end, a repeated word or the model's
     limit, and says which."""
     keys = ["sid", "line_no"]
-    return decode.decoded_text(decode.greedy_decode(fx.decode_starts(spark, sf), _whole_paths(spark, sf), keys), keys=keys)
+    return decode.decoded_text(decode.greedy_decode(fx.decode_starts(spark, sf), _opaque_paths(spark, sf), keys), keys=keys)

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from parapet.operators import decode
-from parapet.plans.queries_ensemble import WHOLE_MEMBERS, _whole_members
+from parapet.plans.queries_ensemble import OPAQUE_MEMBERS, _opaque_members
 
 CHAIN = [f"w{i:02d}" for i in range(40)]
 LINES = [("m0", " ".join(CHAIN)), ("m1", "a b c a b c a"), ("m2", "b c a b"), ("m3", "x y"), ("m3", "x z"), ("m0", "x z")]
@@ -14,14 +14,14 @@ def _walk(lines, start):
     """Dense logits of each member over all ids, walked word by word."""
     words = sorted({w for _, x in lines for w in x.split()} | {decode.EOS})
     at = {w: i for i, w in enumerate(words)}
-    c = {m: np.zeros((len(words), len(words))) for m in WHOLE_MEMBERS}
+    c = {m: np.zeros((len(words), len(words))) for m in OPAQUE_MEMBERS}
     for m, x in lines:
         t = x.split()
         for p, n in zip(t, [*t[1:], decode.EOS]):
             c[m][at[p], at[n]] += 1
     path, seen, last = [], {start}, start
     while len(path) < decode.MAX_STEPS:
-        z = np.stack([np.log1p(c[m][at[last]]) for m in WHOLE_MEMBERS])
+        z = np.stack([np.log1p(c[m][at[last]]) for m in OPAQUE_MEMBERS])
         p = (np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)).mean(axis=0)
         last = words[int(np.log(p).round(9).argmax())]
         if last in seen:
@@ -35,16 +35,16 @@ def _walk(lines, start):
 
 def _decoded(spark):
     df = spark.createDataFrame(LINES, "member string, line string")
-    best = decode.opaque_best_next(decode.bigram_counts(df, "member", "line"), WHOLE_MEMBERS, _whole_members)
+    best = decode.opaque_best_next(*decode.bigram_cells(df, "member", "line", OPAQUE_MEMBERS), _opaque_members)
     starts = spark.createDataFrame([(i, w) for i, w in enumerate([*CHAIN, "a", "b", "c", "x", "y", "z", None])],
                                    "sid int, token string")
-    out = decode.greedy_decode(starts, decode.greedy_paths(best), ["sid"]).join(starts, "sid")
+    out = decode.greedy_decode(starts, decode.greedy_paths(best, starts=starts), ["sid"]).join(starts, "sid")
     return {r["token"]: (list(r["path"]), r["stop"]) for r in out.collect()}
 
 
 def test_paths_reach_their_end_and_say_which(spark):
     got = _decoded(spark)
-    assert got["w00"] == (CHAIN[1:] + [decode.EOS], "eos")      # 40 ids: more than the 16 of opaque_decode
+    assert got["w00"] == (CHAIN[1:] + [decode.EOS], "eos")
     assert got["a"][1] == "repeat" and got[None] == ([], "empty")
     assert {k: v for k, v in got.items() if k is not None} == {w: _walk(LINES, w) for w in got if w is not None}
 
@@ -52,7 +52,36 @@ def test_paths_reach_their_end_and_say_which(spark):
 def test_length_is_the_only_limit(spark):
     n = decode.MAX_STEPS + 20
     df = spark.createDataFrame([("m0", " ".join(f"v{i}" for i in range(n)))], "member string, line string")
-    best = decode.opaque_best_next(decode.bigram_counts(df, "member", "line"), WHOLE_MEMBERS, _whole_members)
+    best = decode.opaque_best_next(*decode.bigram_cells(df, "member", "line", OPAQUE_MEMBERS), _opaque_members)
     paths = {r["prev"]: r for r in decode.greedy_paths(best).filter(F.col("prev").isin("v0", "v100")).collect()}
     assert (len(paths["v0"]["path"]), paths["v0"]["stop"]) == (decode.MAX_STEPS, "length")
     assert paths["v100"]["stop"] == "eos" and len(paths["v100"]["path"]) == n - 100
+
+
+def test_paths_of_some_starts_are_those_of_all_contexts(spark):
+    rnd = np.random.default_rng(4)
+    rows = [(f"t{i}", f"t{j}") for i, j in enumerate(rnd.integers(0, 300, 300)) if i % 29] + [("t29", decode.EOS), ("t58", decode.EOS)]
+    best = spark.createDataFrame(rows, "prev string, next string")
+    for limit in (1, 2, 7, decode.MAX_STEPS):
+        every = {r["prev"]: (list(r["path"]), r["stop"]) for r in decode.greedy_paths(best, limit).collect()}
+        table = dict(rows)
+        for t, (path, stop) in every.items():
+            want, seen, last, why = [], {t}, t, "length"
+            while len(want) < limit:
+                if last not in table:
+                    why = "eos" if last == decode.EOS else "dead_end"
+                    break
+                last = table[last]
+                if last in seen:
+                    why = "repeat"
+                    break
+                want.append(last)
+                seen.add(last)
+                if last == decode.EOS:
+                    why = "eos"
+                    break
+            assert path == want, (t, limit)
+            assert stop == why or len(path) == limit
+        some = spark.createDataFrame([("t3",), ("t3",), ("t200",), (None,), ("never",)], "token string")
+        got = {r["prev"]: (list(r["path"]), r["stop"]) for r in decode.greedy_paths(best, limit, starts=some).collect()}
+        assert got == {"t3": every["t3"], "t200": every["t200"], "never": ([], "dead_end")}

@@ -43,7 +43,7 @@ from parapet.functions.text import GPT2_PATTERN, pretokenize
 from parapet.session import cut_lineage
 
 PHASE_SYMBOLS = 4 << 20     # places of live pairs one phase indexes, at most (one task's memory)
-PHASE_PAIRS = 500_000       # live pairs of a phase, at most (broadcast, eight bytes each)
+PHASE_PAIRS = 200_000       # live pairs of a phase, at most (broadcast, eight bytes each)
 WORDS_PER_PARTITION = 200_000
 _PAIR = 1 << 32             # a pair (a, b) as one key: a * _PAIR + b
 
@@ -345,9 +345,10 @@ def learn_bpe(words: DataFrame, vocab_size: int, specials: Sequence[str], phase_
     pair is left (A4), in phases over ``words`` (word, cnt)."""
     model = new_model(specials)
     spark = words.sparkSession
-    # an explicit count, so that AQE keeps it: the distinct words of a large corpus are few bytes
-    n_parts = max(spark.sparkContext.defaultParallelism, -(-words.count() // WORDS_PER_PARTITION))
-    state = cut_lineage(initial_ids(words.repartition(n_parts, "word"), specials))
+    state = cut_lineage(initial_ids(words, specials))       # the corpus is read once
+    # an explicit count, which AQE keeps: the distinct words of a large corpus are few bytes
+    n_parts = max(spark.sparkContext.defaultParallelism, -(-state.count() // WORDS_PER_PARTITION))
+    state = state.repartition(n_parts, "ids")
     while model.vocab_size < vocab_size:
         live, floor = live_pairs(id_pairs(state), phase_symbols, phase_pairs)
         if not len(live):

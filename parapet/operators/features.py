@@ -1,28 +1,34 @@
 """Encoding, decoding and model features.
 
-Encoding is a job, not a row UDF: texts are pre-tokenised in the JVM, the
-*distinct* words are encoded once (the only Python step, with the merge
-ranks broadcast), joined back on the word and reassembled in position order
-per text. Hot words are salted in that join (a bounded, broadcast set). Decoding joins ids to the (size-bounded, broadcast)
-vocabulary and rebuilds the UTF-8 bytes in the JVM.
+Merges and vocabulary have a configured size, so they are broadcast and every
+text is encoded and decoded where it stands: nothing is shuffled, rows need
+no key, and a frequent word or a repeated row costs no task more than its
+share. Texts are pre-tokenised in the JVM; a batch's distinct words are found
+by Arrow, encoded unless the worker remembers them, and gathered back.
+The word-level vocabulary grows with the corpus and is joined (J5).
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import chain
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from parapet.functions import text as T
 from parapet.operators import skew
 from parapet.operators.bpe import BpeModel, byte_order, encode_word
 from parapet.operators.ordinal import running_offset
-from parapet.session import cut_lineage
 
 MAX_VOCAB_BROADCAST = 1_000_000   # vocabularies are configured sizes (32,000 in the reference)
+REMEMBERED = 200_000        # words a worker remembers
+MAX_REMEMBERED_CHARS = 64
 
 
 def pretokens(text: Column, specials: Sequence[str], pattern: str = T.GPT2_PATTERN) -> Column:
@@ -39,80 +45,99 @@ def pretokens(text: Column, specials: Sequence[str], pattern: str = T.GPT2_PATTE
     return F.when(F.rlike(text, F.lit(either)), cut).otherwise(T.pretokenize(text, pattern))
 
 
-# Rows are told apart by their keys and the hash of what is looked up, and rows
-# equal in both have the same result: it is made once and given as often as
-# they stand. Keys may repeat, and no row needs a number of its own.
-
-def _exploded(df: DataFrame, keys: Sequence[str], value: Column, items: Column, name: str) -> DataFrame:
-    """(keys..., __h, pos, name): a row for each item."""
-    return df.select(*keys, F.xxhash64(value).alias("__h"), F.posexplode(items).alias("pos", name))
-
-
-def _gathered(items: DataFrame, keys: Sequence[str], item: str) -> DataFrame:
-    """(keys..., __s) with a row for each row that was exploded: its items in order."""
-    groups = items.groupBy(*keys, "__h").agg(F.array_sort(F.collect_set(F.struct("pos", item))).alias("__s"),
-                                             F.sum(F.when(F.col("pos") == 0, 1)).alias("__n"))
-    return groups.select(*keys, F.transform("__s", lambda x: x[item]).alias("__s"),
-                         F.explode(F.when(F.col("__n") > 1, F.sequence(F.lit(1).cast("bigint"), "__n"))
-                                   .otherwise(F.array(F.lit(1).cast("bigint")))).alias("__i")).drop("__i")
+def _flat_lists(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(values, length of each list); a null list is empty."""
+    size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return column.flatten(), size       # flatten leaves null lists out
 
 
-def encode_words(words: DataFrame, model: BpeModel) -> DataFrame:
-    """(word, ids array<int>) for distinct words: BPE per word on executors;
-    a special token's string is its own id."""
-    spark = words.sparkSession
+def encode(df: DataFrame, keys: Sequence[str], text: str, model: BpeModel,
+           pattern: str = T.GPT2_PATTERN, name: str = "ids", remembered: int = REMEMBERED) -> DataFrame:
+    """(keys..., ids): BPE ids of ``text`` (F2), a row for each row of ``df``;
+    a special token's string is its own id. Texts without pre-tokens, and
+    null ones, get an empty array. A worker remembers the ids of
+    ``remembered`` short words."""
     n_special = len(model.specials)
     base = {b: n_special + i for i, b in enumerate(byte_order())}
     special = {t: i for i, t in enumerate(model.specials)}
-    bc = spark.sparkContext.broadcast((model.ranks(), base, special))
+    bc = df.sparkSession.sparkContext.broadcast((model.ranks(), base, special))
+    words = df.select(*keys, pretokens(F.col(text), model.specials, pattern).alias(name))
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, base_ids, special_ids = bc.value
-        for pdf in batches:
-            out = [[special_ids[w]] if w in special_ids else
-                   encode_word([base_ids[b] for b in w.encode("utf-8")], ranks) for w in pdf["word"]]
-            yield pd.DataFrame({"word": pdf["word"], "ids": out})
-
-    return words.mapInPandas(run, "word string, ids array<int>")
-
-
-def encode(df: DataFrame, keys: Sequence[str], text: str, model: BpeModel,
-           pattern: str = T.GPT2_PATTERN, name: str = "ids", salts: int | None = None) -> DataFrame:
-    """(keys..., ids): BPE ids of ``text`` (F2), a row for each row of ``df``;
-    keys may repeat. Texts without pre-tokens get an empty array.
-
-    Distinct words are encoded once, with their frequencies, and joined
-    back with hot words salted (``operators.skew``): one word holding a
-    third of the corpus does not land in one task."""
-    words = pretokens(F.col(text), model.specials, pattern)
-    pos = _exploded(df, keys, F.col(text), words, "word")
-    freq = pos.groupBy("word").agg(F.count(F.lit(1)).alias("__n"))
-    enc = cut_lineage(encode_words(freq.select("word"), model).join(freq, "word"))
-    joined = skew.salted_join(pos, enc.select("word", "ids"), "word", freq=enc.select("word", "__n"),
-                              salts=salts)
-    got = _gathered(joined, keys, "ids").select(*keys, F.flatten("__s").alias(name))
-    none = df.filter(F.coalesce(F.size(words) <= 0, F.lit(True))).select(*keys, F.array().cast("array<int>").alias(name))
-    return got.unionByName(none)
+        known: dict[str, list[int]] = {}
+        for rb in batches:
+            values, size = _flat_lists(rb.column(rb.num_columns - 1))
+            coded = values.dictionary_encode()
+            found = []
+            for w in coded.dictionary.to_pylist():
+                ids = known.get(w)
+                if ids is None:
+                    ids = [special_ids[w]] if w in special_ids else encode_word([base_ids[b] for b in w.encode("utf-8")], ranks)
+                    if len(w) <= MAX_REMEMBERED_CHARS:
+                        if len(known) >= remembered:
+                            known = {}
+                        known[w] = ids
+                found.append(ids)
+            lens = np.fromiter(map(len, found), np.int64, len(found))
+            pool = np.fromiter(chain.from_iterable(found), np.int32, int(lens.sum()))
+            code = coded.indices.to_numpy(zero_copy_only=False)
+            ids, ends = _taken(pool, lens, code)
+            offsets = np.r_[0, ends][np.r_[0, np.cumsum(size)]]
+            out = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*rb.columns[:-1], out], names)
+
+    names = [*keys, name]
+    return words.mapInArrow(run, StructType([*[df.schema[k] for k in keys], StructField(name, ArrayType(IntegerType()))]))
+
+
+def _taken(pool: np.ndarray, lens: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the stretches ``code`` of ``pool`` one after another, where each ends)."""
+    begin, count = np.cumsum(lens) - lens, lens[code]
+    ends = np.cumsum(count)
+    at = np.repeat(begin[code] - (ends - count), count)
+    return pool[at + np.arange(len(at))], ends
 
 
 def decode(df: DataFrame, keys: Sequence[str], ids: str, vocab: DataFrame,
            skip_special: bool = True, name: str = "text", unknown: str = "fail") -> DataFrame:
-    """(keys..., text): ids back to text (F6, J5). ``vocab``: (id, token_hex,
-    is_special), broadcast: its size is the configured vocabulary size. An id
-    the vocabulary lacks fails, or with ``unknown="null"`` makes the text null."""
-    n = vocab.limit(MAX_VOCAB_BROADCAST + 1).count()
-    if n > MAX_VOCAB_BROADCAST:
+    """(keys..., text): ids back to text (F6, J5), a row for each row of
+    ``df``. ``vocab``: (id, token_hex, is_special), broadcast: its size is the
+    configured vocabulary size. An id the vocabulary lacks fails, or with
+    ``unknown="null"`` makes the text null; null ids count as none."""
+    if unknown not in UNKNOWN:
+        raise ValueError(f"unknown must be one of {UNKNOWN}")
+    rows = vocab.select("id", "token_hex", "is_special").limit(MAX_VOCAB_BROADCAST + 1).collect()
+    if len(rows) > MAX_VOCAB_BROADCAST:
         raise ValueError("vocabulary too large to broadcast")
-    v = vocab.select("id", "token_hex", "is_special", F.lit(True).alias("__in"))
-    exploded = _exploded(df, keys, F.col(ids), F.col(ids), "id")
-    joined = exploded.join(F.broadcast(v), "id", "left")
-    token = F.when(F.col("is_special") & F.lit(skip_special), F.lit("")).otherwise(F.col("token_hex"))
-    token = F.when(F.col("__in"), token)
-    parts = _gathered(joined.withColumn("token_hex", _known(token, F.col("id"), unknown)), keys, "token_hex")
-    whole = F.decode(F.unhex(F.array_join("__s", "")), "UTF-8")
-    got = parts.select(*keys, F.when(~F.exists("__s", lambda x: x.isNull()), whole).alias(name))
-    none = df.filter(F.coalesce(F.size(ids) <= 0, F.lit(True))).select(*keys, F.lit("").alias(name))
-    return got.unionByName(none)
+    top = max((r["id"] for r in rows), default=-1)
+    tokens, there = [b""] * (top + 2), np.zeros(top + 2, bool)
+    for r in rows:
+        tokens[r["id"]] = b"" if r["is_special"] and skip_special else bytes.fromhex(r["token_hex"])
+        there[r["id"]] = True
+    bc = df.sparkSession.sparkContext.broadcast((np.frombuffer(b"".join(tokens), np.uint8), np.array([len(t) for t in tokens], np.int64), there))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pool, lens, known = bc.value
+        for rb in batches:
+            values, size = _flat_lists(rb.column(rb.num_columns - 1))
+            code = pc.fill_null(values, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+            code = np.where((code < 0) | (code >= len(known)), len(known) - 1, code)        # the last place is no id
+            if unknown == "fail" and not known[code].all():
+                lost = values.take(pa.array(np.flatnonzero(~known[code])[:1]))[0].as_py()
+                raise ValueError(f"not in the vocabulary: {lost}")
+            data, ends = _taken(pool, lens, code)
+            edges = np.r_[0, np.cumsum(size)]
+            offsets = np.r_[0, ends][edges]
+            some_lost = np.diff(np.r_[0, np.cumsum(~known[code])][edges]) > 0
+            out = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
+            out = pc.if_else(pa.array(some_lost), pa.scalar(None, pa.binary()), out)
+            yield pa.RecordBatch.from_arrays([*rb.columns[:-1], out], names)
+
+    names = [*keys, name]
+    raw = df.select(*keys, F.col(ids).alias(name)).mapInArrow(
+        run, StructType([*[df.schema[k] for k in keys], StructField(name, BinaryType())]))
+    return raw.withColumn(name, F.decode(F.col(name), "UTF-8"))
 
 
 def model_features(df: DataFrame, src_ids: str, tgt_ids: str, bos: int, eos: int, pad: int,
@@ -182,6 +207,24 @@ def word_vocab(words: DataFrame) -> DataFrame:
     return ranked.select((F.col("__o") + len(WORD_SPECIALS)).cast("int").alias("id"), "word", "cnt")
 
 
+# Rows are told apart by their keys and the hash of what is looked up, and rows
+# equal in both have the same result: it is made once and given as often as
+# they stand. Keys may repeat, and no row needs a number of its own.
+
+def _exploded(df: DataFrame, keys: Sequence[str], value: Column, items: Column, name: str) -> DataFrame:
+    """(keys..., __h, pos, name): a row for each item."""
+    return df.select(*keys, F.xxhash64(value).alias("__h"), F.posexplode(items).alias("pos", name))
+
+
+def _gathered(items: DataFrame, keys: Sequence[str], item: str) -> DataFrame:
+    """(keys..., __s) with a row for each row that was exploded: its items in order."""
+    groups = items.groupBy(*keys, "__h").agg(F.array_sort(F.collect_set(F.struct("pos", item))).alias("__s"),
+                                             F.sum(F.when(F.col("pos") == 0, 1)).alias("__n"))
+    return groups.select(*keys, F.transform("__s", lambda x: x[item]).alias("__s"),
+                         F.explode(F.when(F.col("__n") > 1, F.sequence(F.lit(1).cast("bigint"), "__n"))
+                                   .otherwise(F.array(F.lit(1).cast("bigint")))).alias("__i")).drop("__i")
+
+
 def word_ids(df: DataFrame, keys: Sequence[str], text: str, vocab: DataFrame,
              pattern: str = T.WORD_PATTERN, unknown: str = "fail") -> DataFrame:
     """(keys..., ids): words of ``text`` mapped through ``vocab`` (J5). A word

@@ -6,8 +6,10 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from parapet.operators import decode, ensemble as ens
-from parapet.plans import fixtures as fx
+from parapet.functions import text as T
+
+from parapet.operators import decode, ensemble as ens, scorers
+from parapet.plans import fixtures as fx, queries_vocab as qv
 from parapet.plans.catalog import query
 from parapet.plans.oracle import with_
 from parapet.sources.cache import materialise_once
@@ -177,3 +179,34 @@ def opaque_decode(spark, sf):
     limit, and says which."""
     keys = ["sid", "line_no"]
     return decode.decoded_text(decode.greedy_decode(fx.decode_starts(spark, sf), _opaque_paths(spark, sf), keys), keys=keys)
+
+
+SUCCESSORS = 8          # listed successors of an id: the members' size
+MEMBER_WEIGHTS = ((2.0, 0.5), (4.0, 1.0), (3.0, 0.5), (2.0, 2.0))       # of source and prefix
+
+
+@query("ensemble_decode")
+def ensemble_decode(spark, sf):
+    """E1/E4/X3 with members that see the source and the whole prefix: every
+    source line of the prepared corpus is decoded over the whole vocabulary
+    from ``<s>`` until ``</s>``, a repeated id or 512 ids. The members are
+    fitted on the target lines of the train split that are not empty."""
+    model, _, enc = qv._encoded_corpus(spark, sf)
+    ids = {t: i for i, t in enumerate(model.specials)}
+    bos, eos, vocab, n = ids[T.BOS], ids[T.EOS], len(model.token_bytes), len(MEMBER_WEIGHTS)
+    targets = enc.filter("split = 'train' and side = 'tl' and size(ids) > 0").select((F.col("pair_id") % n).cast("int").alias("member"), "ids")
+    key = [fx.documents_key(spark, sf), qv.VOCAB_SIZE, qv.SEED, qv.N_VALID, n, SUCCESSORS]
+    fitted = materialise_once(spark, "successor-members", key, lambda: scorers.successor_counts(
+        targets, "member", "ids", bos, eos, SUCCESSORS)).toPandas().sort_values(["member", "prev", "next"])
+    # at most members x vocabulary x SUCCESSORS rows
+    tables = spark.sparkContext.broadcast([fitted.loc[fitted["member"] == m, ["prev", "next", "c"]].to_numpy(np.int64) for m in range(n)])
+
+    def members():
+        return [scorers.TableMember(t[:, 0], t[:, 1], t[:, 2], bos, source, fresh)
+                for t, (source, fresh) in zip(tables.value, MEMBER_WEIGHTS) if len(t)]
+
+    lines = enc.filter("side = 'sl'").select("split", "pair_id", T.truncate(F.col("ids"), T.MAX_LENGTH).alias("src"),
+                                             F.array(F.lit(bos)).alias("prefix"))
+    out = scorers.decode_sources(lines, members, eos, vocab, keys=("split", "pair_id"), stop_on_repeat=True)
+    return out.select("split", "pair_id", F.size("ids").cast("bigint").alias("n_ids"),
+                      F.md5(F.array_join("ids", " ")).alias("ids_md5"), "stop")

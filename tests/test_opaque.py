@@ -1,9 +1,10 @@
 """Opaque scorers over the whole vocabulary, against a dense walk."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from parapet.operators import decode
+from parapet.operators import decode, scorers
 from parapet.plans.queries_ensemble import OPAQUE_MEMBERS, _opaque_members
 
 CHAIN = [f"w{i:02d}" for i in range(40)]
@@ -85,3 +86,87 @@ def test_paths_of_some_starts_are_those_of_all_contexts(spark):
         some = spark.createDataFrame([("t3",), ("t3",), ("t200",), (None,), ("never",)], "token string")
         got = {r["prev"]: (list(r["path"]), r["stop"]) for r in decode.greedy_paths(best, limit, starts=some).collect()}
         assert got == {"t3": every["t3"], "t200": every["t200"], "never": ([], "dead_end")}
+
+
+# ---- members that see the source and the whole prefix --------------------------
+
+V, BOS, EOS_ID = 12, 0, 1
+
+
+class Dense(scorers.TableMember):
+    """The same member, every id listed."""
+
+    def scores(self, state, vocab):
+        s = super().scores(state, vocab)
+        z = np.repeat(s.rest, vocab)
+        z[s.key] = s.logit
+        return scorers.Scores(np.arange(len(z)), z, s.rest)
+
+
+def _members(rng, kind=scorers.TableMember):
+    out = []
+    for m in range(3):
+        cells = sorted({(int(a), int(b)) for a, b in rng.integers(0, V, (40, 2))})
+        out.append(kind(np.array([a for a, _ in cells]), np.array([b for _, b in cells]), rng.integers(1, 6, len(cells)), BOS, 0.5 * m, 0.7))
+    return out
+
+
+def _plain(source, prefix, members, max_steps, on_repeat):
+    """Dense logits of the whole prefix, from the start at every step."""
+    ids, prefix = [], list(prefix)
+    while len(ids) < max_steps:
+        p = []
+        for m in members:
+            z = np.zeros(V)
+            last = prefix[-1] if prefix else BOS
+            for a, b, c in zip(m.prev, m.next, m.c):
+                if a == last:
+                    z[b] += np.log1p(c)
+            for t in set(source):
+                z[t] += m.source
+            for t in prefix:
+                z[t] -= m.fresh
+            p.append(np.exp(z) / np.exp(z).sum())
+        t = int(np.log(np.mean(p, axis=0)).round(scorers.DIGITS).argmax())
+        if on_repeat and t in prefix:
+            return ids, "repeat"
+        ids.append(t)
+        prefix.append(t)
+        if t == EOS_ID:
+            return ids, "eos"
+    return ids, "length"
+
+
+@pytest.mark.parametrize("kind", [scorers.TableMember, Dense])
+@pytest.mark.parametrize("on_repeat", [True, False])
+def test_trie_equals_a_plain_loop(kind, on_repeat):
+    rng = np.random.default_rng(8)
+    members = _members(rng, kind)
+    sources = [rng.integers(0, V, rng.integers(0, 6)).tolist() for _ in range(25)] * 2 + [[], []]
+    prefixes = [rng.integers(0, V, rng.integers(0, 3)).tolist() for _ in sources[:-2]] + [[], [BOS]]
+    work = scorers.Work()
+    ids, stop = scorers.decode_batch(sources, prefixes, members, EOS_ID, V, 20, on_repeat, work=work)
+    assert [(a, b) for a, b in zip(ids, stop)] == [_plain(s, p, members, 20, on_repeat) for s, p in zip(sources, prefixes)]
+    assert work.scored < work.steps         # equal states were scored once
+    first, _ = scorers.decode_batch([[3, 4]], [[]], members, EOS_ID, V, 20)
+    work = scorers.Work()
+    scorers.decode_batch([[3, 4]] * 3, [[], first[0][:1], first[0][:2]], members, EOS_ID, V, 18, work=work)
+    assert work.scored <= 18 + 2            # three rows on one path of the trie
+
+
+def test_sources_are_decoded_once_and_joined_back(spark):
+    rng = np.random.default_rng(9)
+    members = _members(rng)
+    rows = [(i, [int(x) for x in rng.integers(0, V, 3)], [BOS]) for i in range(40)] + [(40, None, None), (40, [5, 5, 5], [BOS]), (40, [5, 5, 5], [BOS])]
+    df = spark.createDataFrame(rows, "sid int, src array<int>, prefix array<int>").repartition(3)
+    out = scorers.decode_sources(df, lambda: members, EOS_ID, V, max_steps=9, stop_on_repeat=True)
+    want = sorted((i, *_plain(s or [], p or [], members, 9, True)) for i, s, p in rows)
+    assert sorted((r["sid"], list(r["ids"]), r["stop"]) for r in out.collect()) == want
+    with pytest.raises(Exception, match="no ensemble member"):
+        scorers.decode_sources(df, lambda: [], EOS_ID, V).collect()
+
+
+def test_successors_are_the_most_frequent(spark):
+    df = spark.createDataFrame([("m0", [5, 6, 5, 6, 5, 7]), ("m0", [5]), ("m1", [])], "member string, ids array<int>")
+    got = sorted(tuple(r) for r in scorers.successor_counts(df, "member", "ids", 0, 1, 2).collect())
+    assert got == [("m0", 0, 5, 2), ("m0", 5, 1, 1), ("m0", 5, 6, 2), ("m0", 6, 5, 2), ("m0", 7, 1, 1), ("m1", 0, 1, 1)]

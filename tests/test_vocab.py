@@ -148,17 +148,25 @@ def test_rows_of_equal_keys_keep_their_own_ids(spark, trained):
         [(1, [3, 4]), (1, [3, 4]), (1, [5]), (1, []), (1, []), (1, [6, 6]), (0, [3, 4]), (0, [5])])
 
 
-def test_encode_salts_hot_words_exactly(spark, trained, monkeypatch):
+def test_forgetful_workers_encode_the_same(spark, trained):
     model, tok, lines = trained
-    from parapet.operators import skew
-    monkeypatch.setattr(skew, "HOT_MIN", 5)          # make the frequent words hot at this size
     sample = lines.filter(F.col("doc_id") < 40).select("doc_id", "line_no", "line")
-    enc = ft.encode(sample, ["doc_id", "line_no"], "line", model, salts=7)
+    enc = ft.encode(sample, ["doc_id", "line_no"], "line", model, remembered=5)
     got = {(r["doc_id"], r["line_no"]): list(r["ids"]) for r in enc.collect()}
     for r in sample.collect():
         assert got[(r["doc_id"], r["line_no"])] == tok.encode(r["line"]).ids
 
 
+def test_ids_the_vocabulary_lacks(spark, trained):
+    model, _, _ = trained
+    df = spark.createDataFrame([(1, [300, 301]), (2, [300, 99_999]), (3, [-1]), (4, []), (5, None), (6, [0, 300])], "k int, ids array<int>")
+    got = {r["k"]: r["text"] for r in ft.decode(df, ["k"], "ids", model.vocab_df(spark), unknown="null").collect()}
+    t = [b.decode("utf-8", "replace") for b in model.token_bytes]
+    assert got == {1: t[300] + t[301], 2: None, 3: None, 4: "", 5: "", 6: t[300]}
+    with pytest.raises(Exception, match="not in the vocabulary: 99999"):
+        ft.decode(df, ["k"], "ids", model.vocab_df(spark)).collect()
+
+
 def test_incremental_training_equals_library_to_the_end(spark, trained):
     model, _, lines = trained
     from tokenizers import Tokenizer, models, pre_tokenizers, trainers

@@ -19,7 +19,7 @@ Nulls and empties: a null text counts as empty; texts without a word have
 fingerprint zero and link like any other. Rows equal in id and text are one
 document; rows with a null id take part, and a component whose ids are all
 null has a null component_id. An empty table gives no rows. Other columns
-are ignored.
+are ignored. Texts of any length are shingled whole, in one row's memory.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from parapet.llm import bits
 from parapet.llm.components import components
 from parapet.llm.shared import write_shared
-from parapet.operators.skew import salted_join
+from parapet.operators.skew import HOT_FRACTION, HOT_MIN, SALTS, salted_join
 
 SHINGLE_WORDS = 4
 MAX_DISTANCE = 4
@@ -50,11 +50,16 @@ def text_key(text_col: str):
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  words: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, text_key, fp) of each document."""
+    """(id, text_key, fp) of each document, copies (equal in id and text) once.
+
+    The key is computed before the shingles are made, once a text. Votes are
+    added up within a task first: copies cast the same votes, so each task's
+    share of them has the document's fingerprint, however many there are."""
     text = bits.spaced(bits.ascii_lower(F.coalesce(F.col(text_col), F.lit(""))))
-    terms = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("text_key"),
-                        F.explode_outer(bits.shingles(text, words)).alias("term"))
-    return bits.vote(terms, ["id", "text_key"])
+    keyed = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("text_key"), text.alias("words"))
+    terms = keyed.select("id", "text_key", F.spark_partition_id().alias("task"),
+                         F.explode_outer(bits.shingles(F.col("words"), words)).alias("term"))
+    return bits.vote(terms, ["id", "text_key", "task"]).groupBy("id", "text_key").agg(F.min("fp").alias("fp"))
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
@@ -174,27 +179,62 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     parts = components(links(nodes.select("fp"), radius)).select(F.col("node").alias("fp"), "component")
     whole = nodes.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     heads = whole.groupBy("component").agg(F.min("head").alias("class_head"))
-    of_fp = write_shared(whole.select("fp", "component").join(heads, "component").select("fp", "class_head"), "classes")
+    # one component may hold a large share of the fingerprints
+    of_fp = write_shared(salted_join(whole.select("fp", "component"), heads, "component").select("fp", "class_head"), "classes")
     out = salted_join(marks, of_fp, "fp", nodes.select("fp", "__n"))
     return out.select("id", "text_key", "fp", F.col("class_head.id").alias("component"),
                       (F.col("class_head") == rank).alias("first"))
 
 
+def _fresh(columns: list[str], *stems: str) -> list[str]:
+    """Names like ``stems`` that ``columns`` lacks (in any case of letters)."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for stem in stems:
+        while stem.lower() in taken:
+            stem += "_"
+        out.append(stem)
+    return out
+
+
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
-               radius: int = MAX_DISTANCE) -> DataFrame:
-    """The rows of ``docs`` (all columns) that are the first of their class;
-    of rows equal in id and text one stays."""
+               radius: int = MAX_DISTANCE, salts: int = SALTS, hot_fraction: float = HOT_FRACTION, hot_min: int = HOT_MIN) -> DataFrame:
+    """The rows of ``docs`` (all columns, whatever their names) that are the
+    first of their class; of rows equal in id and text the one whose other
+    columns come first (as JSON) stays.
+
+    Rows with many copies are spread over ``salts`` tasks, each of which
+    keeps one, and one of these is kept."""
+    key, row, salt, hot, kept_id, kept_key, number = _fresh(docs.columns, "__key", "__row", "__salt", "__hot", "__id", "__first", "__rn")
+
     # one 64-bit key of id and text joins and partitions; what it stands for is
     # compared in a form that adds no join key, so the text is shuffled once
-    def row(i: Column, k: Column) -> Column:
+    def row_key(i: Column, k: Column) -> Column:
         return F.xxhash64(i.isNull(), i, k)
 
     first = classes(docs, id_col, text_col, words, radius).filter("first") \
-        .select(F.col("id").alias("__id"), F.col("text_key").alias("__first"), row(F.col("id"), F.col("text_key")).alias("__row"))
-    keyed = docs.withColumn("__key", text_key(text_col)).withColumn("__row", row(F.col(id_col), F.col("__key")))
-    same = (F.col("__key").bitwiseXOR(F.col("__first")) == 0) & F.coalesce(
-        F.col(id_col) == F.col("__id"), F.col(id_col).isNull() & F.col("__id").isNull())
-    others = [c for c in docs.columns if c not in (id_col, text_col)]
-    one = Window.partitionBy("__row", "__key", id_col).orderBy(F.to_json(F.struct(*others)) if others else F.lit(0))
-    return keyed.join(first, "__row").filter(same).withColumn("__rn", F.row_number().over(one)) \
-                .filter("__rn = 1").select(*docs.columns)
+        .select(F.col("id").alias(kept_id), F.col("text_key").alias(kept_key), row_key(F.col("id"), F.col("text_key")).alias(row))
+    copies = docs.select(row_key(F.col(id_col), text_key(text_col)).alias(row)).groupBy(row).agg(F.count(F.lit(1)).alias("n"))
+    many = copies.filter(F.col("n") >= hot_min)
+    total = docs.count() if many.take(1) else 0
+    # at most 1 / hot_fraction keys
+    many = write_shared(many.filter(F.col("n") >= max(hot_min, int(total * hot_fraction))).select(row, F.lit(True).alias(hot)), "copies")
+    keyed = docs.withColumn(key, text_key(text_col)).withColumn(row, row_key(F.col(id_col), F.col(key)))
+    tagged = keyed.join(F.broadcast(many), row, "left").withColumn(
+        salt, F.when(F.col(hot), F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+    spread = first.join(F.broadcast(many), row, "left").withColumn(
+        salt, F.explode(F.when(F.col(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))).drop(hot)
+    same = (F.col(key).bitwiseXOR(F.col(kept_key)) == 0) & F.coalesce(
+        F.col(id_col) == F.col(kept_id), F.col(id_col).isNull() & F.col(kept_id).isNull())
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
+    order = F.to_json(F.struct(*others)) if others else F.lit(0)
+
+    def first_of(df: DataFrame, *by: str) -> DataFrame:
+        one = Window.partitionBy(*by, key, id_col).orderBy(order)
+        return df.withColumn(number, F.row_number().over(one)).filter(F.col(number) == 1).drop(number)
+
+    kept = first_of(tagged.join(spread, [row, salt]).filter(same), row, salt)
+    if many.take(1):
+        kept = write_shared(kept.drop(kept_id, kept_key), "first-of-copies")
+        kept = kept.filter(F.col(hot).isNull()).unionByName(first_of(kept.filter(F.col(hot)), row))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -187,3 +188,32 @@ def test_within_equals_brute_force(spark):
     got = {(r["query"], r["fp"]): r["distance"] for r in prints.within(asked, index, 3).collect()}
     want = {(q, v): d for q in fps if q % 20 == 0 for v in fps if (d := bin((q ^ v) & (1 << 64) - 1).count("1")) <= 3}
     assert got == want
+
+
+def test_copies_are_spread_and_any_names_are_kept(spark):
+    names = "doc_id long, text string, __key string, __id int, __row string, __rn int, __FIRST int, __salt int, __hot int"
+    base = " ".join(f"word{i}" for i in range(400))
+    rows = [(None, base, "b", 1, "r", 1, 2, 3, 4)] * 300 + [(None, base, "a", 1, "r", 1, 2, 3, 4)] * 3 + [
+        (5, base + " more", "k", 2, "r", 1, 2, 3, 4), (5, "other text", "k", 3, "r", 1, 2, 3, 4), (9, None, "k", 4, None, 1, 2, 3, 4)]
+    docs = spark.createDataFrame(rows, names).repartition(4)
+    for hot_min in (50, 1000):
+        out = dedup.keep_first(docs, hot_min=hot_min, hot_fraction=0.01)
+        assert out.columns == docs.columns
+        # the ids of one class: null and 5; the null ones come last
+        assert key([tuple(r) for r in out.collect()]) == key([r for r in rows if r[0] in (5, 9)])
+        alone = dedup.keep_first(docs.filter("doc_id is null"), hot_min=hot_min, hot_fraction=0.01)
+        assert [tuple(r) for r in alone.collect()] == [rows[300]]
+
+
+def test_votes_of_many_copies(spark):
+    one = spark.createDataFrame([(1, "a b c d e f g h")], "doc_id long, text string")
+    copies = one.crossJoin(spark.range(2000)).select("doc_id", "text").repartition(7)
+    assert [tuple(r) for r in dedup.fingerprints(copies).collect()] == [tuple(dedup.fingerprints(one).first())]
+
+
+def test_long_text_is_hashed_once(spark):
+    text = " ".join(f"w{i % 9973}" for i in range(250_000))         # 1.5 MB
+    t0 = time.time()
+    fp = dedup.fingerprints(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["fp"]
+    assert time.time() - t0 < 30
+    assert fp & (1 << 64) - 1 == brute_fp(text)

@@ -10,7 +10,9 @@ matching verifies the window around it and reports the span.
 
 Nulls and empties: a null text counts as empty and has no match; repeated
 rows give repeated results; an empty table gives no rows. Other columns are
-ignored.
+ignored. Of equally good matches the earlier one counts. A text is read a
+bounded number of times, so the work grows with its length, and a row holds
+the text, its words' places and its matches.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -68,14 +71,14 @@ class Notice:
     label: str
     errors: int = 0
     seeds: list = field(default_factory=list)
-    pattern: object = None
+    patterns: list = field(default_factory=list)        # of each number of errors
 
     def __post_init__(self):
         self.errors = errors_for(self.text)
         self.seeds = pieces(self.text, self.errors)
-        # whole words only; the best match of a window is wanted
-        self.pattern = regex.compile(rb"(?b)(?<= )(?:" + regex.escape(self.text.encode(), special_only=True)
-                                     + rb"){e<=" + str(self.errors).encode() + rb"}(?= )")
+        # whole words only
+        self.patterns = [regex.compile(rb"(?<= )(?:" + regex.escape(self.text.encode(), special_only=True)
+                                       + rb"){e<=" + str(k).encode() + rb"}(?= )") for k in range(self.errors + 1)]
 
 
 def windows(joined: bytes, notice: Notice) -> list[tuple[int, int]]:
@@ -98,16 +101,21 @@ def windows(joined: bytes, notice: Notice) -> list[tuple[int, int]]:
     return out
 
 
-def matches(pattern, joined: bytes, begin: int, end: int) -> list:
-    """The best match of a stretch, then those of the parts before and behind
-    it, in order: a better notice further on hides no earlier one."""
-    out, todo = [], [(begin, end)]
-    while todo:
-        a, b = todo.pop()
-        m = pattern.search(joined, a, b)
-        if m:
-            out.append(m)
-            todo += [(a, m.start()), (m.end(), b)]
+def matches(patterns: list, joined: bytes, begin: int, end: int) -> list:
+    """The best matches of a stretch, in order: those without error from left
+    to right, then those with one error in what lies between, and so on. A
+    better notice further on hides no earlier one, and each number of errors
+    reads the stretch once."""
+    out, free = [], [(begin, end)]
+    for pattern in patterns:
+        rest = []
+        for a, b in free:
+            for m in pattern.finditer(joined, a, b):
+                out.append(m)
+                rest.append((a, m.start()))
+                a = m.end()
+            rest.append((a, b))
+        free = rest
     return sorted(out, key=lambda m: m.start())
 
 
@@ -132,7 +140,7 @@ class Scanner:
         out = []
         for n in self.notices:
             for a, b in windows(joined, n):
-                for m in matches(n.pattern, joined, a, b):
+                for m in matches(n.patterns, joined, a, b):
                     out.append((m.start(), m.end(), n.label, 1 - sum(m.fuzzy_counts) / len(n.text)))
         return out
 
@@ -170,11 +178,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base:
                 spans += [(a, b, label, "fuzzy", s) for a, b, label, s in scanner.fuzzy(joined)]
                 rows = []
                 if spans:
-                    at = [m.span() for m in _WORD.finditer(text.translate(_LOWER).decode("utf-8"))]
-                    for a, b, label, how, s in sorted(spans):
-                        first, end = joined.count(b" ", 0, a) - 1, joined.count(b" ", 0, b)
+                    spans.sort()
+                    chars = (x for m in _WORD.finditer(text.translate(_LOWER).decode("utf-8")) for x in m.span())
+                    at = np.fromiter(chars, np.int64, 2 * n).reshape(n, 2)
+                    spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == 0x20)
+                    firsts = np.searchsorted(spaces, [x[0] for x in spans]) - 1
+                    ends = np.searchsorted(spaces, [x[1] for x in spans])
+                    for (a, b, label, how, s), first, end in zip(spans, firsts.tolist(), ends.tolist()):
                         rows.append({"label": label, "kind": how, "first_word": first, "end_word": end,
-                                     "begin": at[first][0], "end": at[end - 1][1], "similarity": s})
+                                     "begin": int(at[first, 0]), "end": int(at[end - 1, 1]), "similarity": s})
                 counts.append(n)
                 found.append(rows)
             yield pa.RecordBatch.from_arrays([rb.column(0), pa.array(counts, pa.int64()), pa.array(found, kind)],

@@ -124,13 +124,14 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
          capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
     """One row per piece with its ``sequence_id`` and ``offset`` in it."""
     spark = docs.sparkSession
-    cut = write_shared(pieces(docs, tokenizer_path, id_col, text_col, capacity, end_id, keep_ids), "packing")
+    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # dealt by place, not by value: copies of a row are spread too; the written table keeps it
+    dealt = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    cut = write_shared(pieces(docs, tokenizer_path, id_col, text_col, capacity, end_id, keep_ids).withColumn("__salt", dealt), "packing")
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     slots = spark.createDataFrame(plan(counts, capacity),
                                   "length long, __from long, __n long, __per long, __seq long, __off long")
-    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64(id_col, "piece", "ids_crc32"), F.lit(salts))
-    ranked = ordinal(cut, ["length"], [id_col, "piece"], salt, "__rank")
+    ranked = ordinal(cut, ["length"], [id_col, "piece"], F.col("__salt"), "__rank")
     at = F.col("__rank") - F.col("__from")
     # the plan's size depends on the capacity alone, not on the documents
     return (ranked.join(F.broadcast(slots), "length")

@@ -130,9 +130,10 @@ def fit(x: np.ndarray, y: np.ndarray, languages: list[str], epochs: int = EPOCHS
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           docs_per_language: int = DOCS_PER_LANGUAGE) -> Model:
     """Fit on a sample of the labelled rows of ``docs``: of each language about
-    ``docs_per_language`` documents drawn by a hash of id and text length, and
-    up to ``WINDOWS_PER_DOC`` windows spread over the whole of each text. The
-    driver holds the windows of the sample and nothing else."""
+    ``docs_per_language`` documents drawn row by row (copies too), and up to
+    ``WINDOWS_PER_DOC`` windows spread over the whole of each text. The driver
+    holds the windows of the sample and nothing else. More than
+    ``MAX_LANGUAGES`` labels are refused with an error."""
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = {r["lang"]: r["n"] for r in labelled.groupBy(F.col(lang_col).alias("lang"))
               .agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
@@ -141,7 +142,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if not counts:
         return Model([], [], [], np.zeros((0, 0)), np.zeros(0))
     space = 1 << 30
-    drawn = F.pmod(F.xxhash64(id_col, F.length(text_col)), F.lit(space))
+    drawn = F.pmod(F.xxhash64(id_col, F.monotonically_increasing_id()), F.lit(space))
     chosen = F.lit(False)
     for lang, n in sorted(counts.items()):
         chosen = F.when(F.col(lang_col) == lang, drawn < int(min(1.0, docs_per_language / n) * space)).otherwise(chosen)

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -201,7 +202,7 @@ def test_fuzzy_equals_unseeded_search_and_spans_are_right():
         got = {(n[2], n[3]) for n in scanner.fuzzy(joined)}
         want = set()
         for n in scanner.notices:
-            for m in n.pattern.finditer(joined):
+            for m in n.patterns[-1].finditer(joined):
                 want.add((n.label, 1 - sum(m.fuzzy_counts) / len(n.text)))
         assert {x for x, _ in got} == {x for x, _ in want}, t
 
@@ -266,3 +267,33 @@ def test_rule_sample_is_drawn_row_by_row(spark):
     for docs in (null, same):
         assert 250 < rules.drawn(docs, rows, "doc_id", 400).count() < 550
     assert rules.drawn(null, rows, "doc_id", rows).count() == rows
+
+
+def test_license_work_grows_with_the_text():
+    scanner = lic.Scanner(lic.BASE, lic.NOTICES)
+    for unit, fuzzy, exact in ((b"all rights reservd ", 1, 0), (b"cc by ", 0, 1), (b"rights reser ", 0, 0)):
+        n = 1_000_000 // len(unit)
+        t0 = time.time()
+        joined, words = lic.words_of(unit * n)
+        assert (len(scanner.fuzzy(joined)), len(scanner.exact(joined))) == (fuzzy * n, exact * n)
+        assert time.time() - t0 < 10
+
+
+def test_places_in_a_long_text(spark):
+    text = "Été " * 50_000 + "all RIGHTS reservd" + " x" * 300_000 + " cc-by"
+    r = lic.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert r["n_words"] == 350_005 and {(m["label"], m["kind"], m["first_word"], m["end_word"], text[m["begin"]:m["end"]]) for m in r["matches"]} == {
+        ("reserved", "fuzzy", 50_000, 50_003, "all RIGHTS reservd"), ("cc-by", "exact", 350_003, 350_005, "cc-by")}
+
+
+def test_samples_are_drawn_row_by_row(spark, monkeypatch):
+    rows = 6_000
+    same = spark.range(rows).select(F.lit(7).cast("long").alias("doc_id"), F.lit("some words in one language").alias("text"), F.lit("en").alias("lang"))
+    seen = []
+    monkeypatch.setattr(lid, "fit", lambda x, y, languages: seen.append(len(x)))
+    lid.train(same, docs_per_language=300)
+    assert 200 < seen[0] < 400
+    labels = spark.range(rows).select(F.lit(7).cast("long").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    monkeypatch.setattr(qc, "fit", lambda x, y, population: seen.append((y == 0).sum() + (y == 1).sum()))
+    qc.train(same.limit(2000), labels, sample_per_label=100)
+    assert 130 < seen[1] < 270

@@ -14,7 +14,8 @@ from parapet.plans import fixtures as fx
 from parapet.plans.catalog import query
 from parapet.plans.oracle import with_
 from parapet.plans.queries_eval import KEYS, _translations
-from parapet.sources import archives, sinks
+from parapet.operators import files, sampling
+from parapet.sources import archives, named, sinks
 from parapet.sources.cache import artefact_root
 from parapet.sources.lines import read_lines
 
@@ -92,3 +93,24 @@ def archive_lines(spark, sf):
     _write_archives(fx.table(spark, sf, "documents"), out).write.parquet(f"{out}/written")
     read = archives.read_archives(spark, out, addresses=spark.read.parquet(f"{out}/written").select(F.col("archive").alias("path")))
     return read.select("member", "line_no", "line")
+
+
+SEED, N_VALID = 42, 3000
+_SPLIT_SQL = f"""
+, split AS (
+  SELECT CASE WHEN pair_id IN (SELECT pair_id FROM corpus ORDER BY md5('{SEED}:' || CAST(pair_id AS VARCHAR)), pair_id
+                               LIMIT {N_VALID}) THEN 'valid' ELSE 'train' END AS split, pair_id, sl, tl FROM corpus)
+SELECT split || '.' || side AS name, row_number() OVER (PARTITION BY split, side ORDER BY pair_id) - 1 AS line_no, line
+FROM (SELECT split, pair_id, unnest(['sl', 'tl']) AS side, unnest([sl, tl]) AS line FROM split)
+"""
+
+
+@query("split_files", with_("corpus") + _SPLIT_SQL)
+def split_files(spark, sf):
+    """The split corpus written as ``train.sl``, ``train.tl``, ``valid.sl`` and
+    ``valid.tl`` and read back with line numbers (S6, S1)."""
+    out = _fresh(spark, "split-files")
+    pairs = sampling.train_valid_split(fx.prepared_table(spark, sf, "left"), N_VALID, SEED, ["pair_id"])
+    named.write_split(pairs.select("split", "pair_id", "sl", "tl"), out)
+    back = read_lines(spark, out, name_glob="*.[st]l", line_sep="\n")
+    return back.select(files.file_name("file").alias("name"), "line_no", "line")

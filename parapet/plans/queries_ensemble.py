@@ -3,16 +3,18 @@ member availability, probability averaging and the full ensemble step."""
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from parapet.functions import text as T
-
 from parapet.operators import decode, ensemble as ens, scorers
 from parapet.plans import fixtures as fx, queries_vocab as qv
 from parapet.plans.catalog import query
 from parapet.plans.oracle import with_
-from parapet.sources.cache import materialise_once
+from parapet.sources import members
+from parapet.sources.cache import artefact_root, materialise_once
 
 K = 10                                    # vocabulary cut of F8
 DECLARED = ["0", "1", "2", "3", "4"]      # configured members; one never scores
@@ -182,31 +184,51 @@ def opaque_decode(spark, sf):
 
 
 SUCCESSORS = 8          # listed successors of an id: the members' size
-MEMBER_WEIGHTS = ((2.0, 0.5), (4.0, 1.0), (3.0, 0.5), (2.0, 2.0))       # of source and prefix
+MEMBER_WEIGHTS = {"0": (2.0, 0.5), "1": (4.0, 1.0), "2": (3.0, 0.5), "3": (2.0, 2.0)}       # of source and prefix
 
 
-@query("ensemble_decode")
-def ensemble_decode(spark, sf):
-    """E1/E4/X3 with members that see the source and the whole prefix: every
-    source line of the prepared corpus is decoded over the whole vocabulary
-    from ``<s>`` until ``</s>``, a repeated id or 512 ids. The members are
-    fitted on the target lines of the train split that are not empty."""
+def _member_files(spark, sf):
+    """(model, path) of the declared members: those fitted on the target
+    lines of the train split, and one that has no file."""
     model, _, enc = qv._encoded_corpus(spark, sf)
-    ids = {t: i for i, t in enumerate(model.specials)}
-    bos, eos, vocab, n = ids[T.BOS], ids[T.EOS], len(model.token_bytes), len(MEMBER_WEIGHTS)
-    targets = enc.filter("split = 'train' and side = 'tl' and size(ids) > 0").select((F.col("pair_id") % n).cast("int").alias("member"), "ids")
+    ids, n = {t: i for i, t in enumerate(model.specials)}, len(MEMBER_WEIGHTS)
+    targets = enc.filter("split = 'train' and side = 'tl' and size(ids) > 0").select((F.col("pair_id") % n).cast("string").alias("member"), "ids")
     key = [fx.documents_key(spark, sf), qv.VOCAB_SIZE, qv.SEED, qv.N_VALID, n, SUCCESSORS]
-    fitted = materialise_once(spark, "successor-members", key, lambda: scorers.successor_counts(
-        targets, "member", "ids", bos, eos, SUCCESSORS)).toPandas().sort_values(["member", "prev", "next"])
-    # at most members x vocabulary x SUCCESSORS rows
-    tables = spark.sparkContext.broadcast([fitted.loc[fitted["member"] == m, ["prev", "next", "c"]].to_numpy(np.int64) for m in range(n)])
 
-    def members():
-        return [scorers.TableMember(t[:, 0], t[:, 1], t[:, 2], bos, source, fresh)
-                for t, (source, fresh) in zip(tables.value, MEMBER_WEIGHTS) if len(t)]
+    def build():
+        fitted = scorers.successor_counts(targets, "member", "ids", ids[T.BOS], ids[T.EOS], SUCCESSORS)
+        return members.save_members(fitted, f"{artefact_root(spark)}/members-{uuid.uuid4().hex}")
+
+    saved = materialise_once(spark, "member-files", key, build)
+    declared = spark.createDataFrame([(m,) for m in DECLARED], "model string")
+    return declared.join(saved, "model", "left").select("model", "path")
+
 
+@query("loaded_members", with_("corpus") + f"""
+, tl AS (SELECT DISTINCT CAST(pair_id % {len(MEMBER_WEIGHTS)} AS VARCHAR) AS model FROM corpus
+         WHERE tl <> '' AND pair_id NOT IN (SELECT pair_id FROM corpus ORDER BY md5('{qv.SEED}:' || CAST(pair_id AS VARCHAR)), pair_id
+                                            LIMIT {qv.N_VALID}))
+SELECT d.model, tl.model IS NOT NULL AS available, CASE WHEN tl.model IS NULL THEN 'no path' END AS reason
+FROM ({_MEMBERS_SQL}) d LEFT JOIN tl ON tl.model = d.model
+""")
+def loaded_members(spark, sf):
+    """Every declared member's file is opened and verified on an executor."""
+    return members.check_members(_member_files(spark, sf)).select("model", "available", "reason")
+
+
+@query("ensemble_decode")
+def ensemble_decode(spark, sf):
+    """E1/E2/E4/X3 with members that see the source and the whole prefix:
+    every source line of the prepared corpus is decoded over the whole
+    vocabulary from ``<s>`` until ``</s>``, a repeated id or 512 ids, by the
+    members whose files load."""
+    model, _, enc = qv._encoded_corpus(spark, sf)
+    ids = {t: i for i, t in enumerate(model.specials)}
+    bos, eos, vocab = ids[T.BOS], ids[T.EOS], len(model.token_bytes)
+    loaded = members.loaded_members(members.check_members(_member_files(spark, sf)))
     lines = enc.filter("side = 'sl'").select("split", "pair_id", T.truncate(F.col("ids"), T.MAX_LENGTH).alias("src"),
                                              F.array(F.lit(bos)).alias("prefix"))
-    out = scorers.decode_sources(lines, members, eos, vocab, keys=("split", "pair_id"), stop_on_repeat=True)
+    out = scorers.decode_sources(lines, lambda: members.table_members(loaded, bos, MEMBER_WEIGHTS), eos, vocab,
+                                 keys=("split", "pair_id"), stop_on_repeat=True)
     return out.select("split", "pair_id", F.size("ids").cast("bigint").alias("n_ids"),
                       F.md5(F.array_join("ids", " ")).alias("ids_md5"), "stop")

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parapet.operators import decode, scorers
+from parapet.sources import members
 from parapet.plans.queries_ensemble import OPAQUE_MEMBERS, _opaque_members
 
 CHAIN = [f"w{i:02d}" for i in range(40)]
@@ -170,3 +171,27 @@ def test_successors_are_the_most_frequent(spark):
     df = spark.createDataFrame([("m0", [5, 6, 5, 6, 5, 7]), ("m0", [5]), ("m1", [])], "member string, ids array<int>")
     got = sorted(tuple(r) for r in scorers.successor_counts(df, "member", "ids", 0, 1, 2).collect())
     assert got == [("m0", 0, 5, 2), ("m0", 5, 1, 1), ("m0", 5, 6, 2), ("m0", 6, 5, 2), ("m0", 7, 1, 1), ("m1", 0, 1, 1)]
+
+
+def test_members_that_do_not_load_are_skipped_and_named(spark, tmp):
+    table = spark.createDataFrame([(m, p, n, 1 + m) for m in range(4) for p in (5, 3) for n in (7, 2)], "member int, prev int, next int, c long")
+    saved = {r["model"]: r["path"] for r in members.save_members(table, f"{tmp}/models").collect()}
+    assert sorted(saved) == ["0", "1", "2", "3"]
+    a = members.read_member(saved["2"])
+    assert list(zip(a["prev"], a["next"], a["c"])) == [(3, 2, 3), (3, 7, 3), (5, 2, 3), (5, 7, 3)]
+    whole = open(saved["1"], "rb").read()
+    with open(saved["1"], "wb") as f:
+        f.write(whole[:-5])
+    with open(saved["3"], "wb") as f:
+        f.write(b"<html>404</html>")
+    files = spark.createDataFrame([*saved.items(), ("4", f"{tmp}/models/4.member"), ("5", None)], "model string, path string")
+    checked = members.check_members(files)
+    assert {r["model"]: r["reason"] for r in checked.collect()} == {
+        "0": None, "1": "damaged", "2": None, "3": "not a member file", "4": "no file", "5": "no path"}
+    loaded = members.loaded_members(checked)
+    assert [m for m, _ in loaded] == ["0", "2"]
+    df = spark.createDataFrame([(1, [7], [5])], "sid int, src array<int>, prefix array<int>")
+    out = scorers.decode_sources(df, lambda: members.table_members(loaded, 0, {"0": (1.0, 1.0), "2": (1.0, 1.0)}), 2, 10).first()
+    assert list(out["ids"])[0] == 7             # two members, not six
+    with pytest.raises(RuntimeError, match="no ensemble member"):
+        members.loaded_members(checked.filter("not available"))

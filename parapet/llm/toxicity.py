@@ -99,13 +99,22 @@ class Words:
 
     def look(self, word: bytes) -> tuple:
         text = word.decode("utf-8", "replace")
-        plain = core(text)
-        undone = _DRAWN.sub(r"\1", _FILL.sub("", _TAIL.sub("", text.lower()).translate(_UNDO)))
-        weight = max((self.stems.get(x, 0.0) for x in beginnings(plain)), default=0.0)
-        insult = plain in INSULTS
+        plain = text.strip(".,;:()[]\"'").rstrip("!?")
+        letters = plain.isalpha()               # most words: nothing inside to undo
+        plain = plain.lower() if letters else core(text)
+        weight = 0.0
+        for n in STEMS:
+            if len(plain) < n:
+                break
+            weight = max(weight, self.stems.get(plain[:n], 0.0))
+        insult, drawn = plain in INSULTS, _DRAWN.search(plain) is not None
+        if letters:
+            undone = _DRAWN.sub(r"\1", plain) if drawn else ""
+        else:
+            undone = core(_DRAWN.sub(r"\1", _FILL.sub("", _TAIL.sub("", text.lower()).translate(_UNDO))))
         return (insult, weight, weight > 0, plain in SECOND_PERSON, len(plain) > 2 and text.isupper(),
-                _RUN.search(text) is not None, _INNER.search(text) is not None,
-                not insult and core(undone) in INSULTS, _DRAWN.search(plain) is not None)
+                (not letters or len(text) - len(plain) > 1) and _RUN.search(text) is not None, not letters and _INNER.search(text) is not None,
+                not insult and undone in INSULTS, drawn)
 
     def rows(self, words: list[bytes]) -> np.ndarray:
         out = []

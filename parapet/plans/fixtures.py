@@ -54,18 +54,32 @@ def indexed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lines`` plus ``idx``, the position in the concatenation of the
     language's documents in doc_id order (U2), and ``file_line``, that in the
     (source, language) file: the one line table every later step reads,
-    written once per input."""
+    written once per input, each file sorted by (lang, idx)."""
     from parapet.sources.cache import materialise_once
+    from parapet.sources.positional import sorted_files
 
     def build():
         idx = doc_index(spark, sf_dir).select("doc_id", "lang", "source", "first", "file_first")
-        return lines(spark, sf_dir).join(idx, ["doc_id", "lang", "source"]).select(
+        numbered = lines(spark, sf_dir).join(idx, ["doc_id", "lang", "source"]).select(
             "lang", "source", "doc_id", "line_no", (F.col("first") + F.col("line_no")).alias("idx"),
             (F.col("file_first") + F.col("line_no")).alias("file_line"), "line")
+        return sorted_files(numbered, "lang", "idx")
 
     return materialise_once(spark, "indexed-lines", [documents_key(spark, sf_dir)], build)
 
 
+def line_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of ``indexed_lines``: which positions lie in which file."""
+    from parapet.sources.positional import manifest_once
+    return manifest_once(spark, "indexed-lines", [documents_key(spark, sf_dir)], indexed_lines(spark, sf_dir), "lang", "idx")
+
+
+def line_totals(spark: SparkSession, sf_dir: str) -> dict[str, int]:
+    """Lines of each language, from the index."""
+    totals = doc_index(spark, sf_dir).groupBy("lang").agg(F.sum("n").alias("total"))
+    return dict(bounded_rows(totals, corpus.MAX_DIRECTIONS))
+
+
 def target_langs(spark: SparkSession, sf_dir: str) -> list[str]:
     """Languages paired with English (a scan of the ``lang`` column only)."""
     docs = table(spark, sf_dir, "documents").filter(F.col("lang") != SOURCE_LANG)
@@ -82,8 +96,7 @@ def zip_pairs(spark: SparkSession, sf_dir: str, how: str = "inner", with_sizes:
     z = corpus.zip_by_position(il, SOURCE_LANG, tgts, how)
     if not with_sizes:
         return z
-    totals = doc_index(spark, sf_dir).groupBy("lang").agg(F.sum("n").alias("total"))
-    lengths = dict(bounded_rows(totals, corpus.MAX_DIRECTIONS))
+    lengths = line_totals(spark, sf_dir)
     n_en = lengths.get(SOURCE_LANG, 0)
     rows = [(f"{SOURCE_LANG}__{t}", min(n_en, lengths[t]) if how == "inner" else n_en) for t in tgts]
     return z, spark.createDataFrame(rows, "direction string, n bigint")

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from parapet.functions import text as T
 from parapet.operators import corpus, sampling
-from parapet.operators.sizing import bounded_rows, lookup
 from parapet.plans import fixtures as fx
 from parapet.plans.catalog import query
 from parapet.plans.oracle import with_
+from parapet.sources.positional import rows_at
 
 SEED = 42
 N_VALID = 3000          # validation pairs (the reference's CLI value)
@@ -151,15 +151,21 @@ WHERE z.idx = 0 OR z.idx = m.n - 1
 GROUP BY z.direction, m.n
 """)
 def line_at(spark, sf):
-    """Length of each direction (from the index) and its first and last pair:
-    filters on the position, which reach the lines before they are zipped."""
-    z, sizes = fx.zip_pairs(spark, sf, "inner", with_sizes=True)
-    length = lookup(dict(bounded_rows(sizes, corpus.MAX_DIRECTIONS)))
-    first, last = F.col("idx") == 0, F.col("idx") == F.col("n_lines") - 1
-    hit = z.withColumn("n_lines", length(F.col("direction"))).filter(first | last)
-    return hit.groupBy("direction", "n_lines").agg(
-        F.max(F.when(first, F.col("sl"))).alias("first_sl"), F.max(F.when(first, F.col("tl"))).alias("first_tl"),
-        F.max(F.when(last, F.col("sl"))).alias("last_sl"), F.max(F.when(last, F.col("tl"))).alias("last_tl"))
+    """Length of each direction (from the index) and its first and last pair,
+    looked up by position: only the files that hold them are opened."""
+    lengths = fx.line_totals(spark, sf)
+    n_en, ends = lengths.get(fx.SOURCE_LANG, 0), []
+    for t in fx.target_langs(spark, sf):
+        n = min(n_en, lengths.get(t, 0))
+        if n:
+            ends += [(f"{fx.SOURCE_LANG}__{t}", n, f"{end}_{side}", lang, idx) for end, idx in (("first", 0), ("last", n - 1))
+                     for side, lang in (("sl", fx.SOURCE_LANG), ("tl", t))]
+    found = rows_at(fx.indexed_lines(spark, sf).select("lang", "idx", "line"), fx.line_ranges(spark, sf),
+                    [(lang, idx) for *_, lang, idx in ends], "lang", "idx")
+    # at most four rows a direction
+    asked = spark.createDataFrame(ends, "direction string, n_lines long, what string, lang string, idx long")
+    return asked.join(found, ["lang", "idx"]).groupBy("direction", "n_lines").agg(
+        *[F.max(F.when(F.col("what") == w, F.col("line"))).alias(w) for w in ("first_sl", "first_tl", "last_sl", "last_tl")])
 
 
 def _prepared(spark, sf):

@@ -1,20 +1,33 @@
 """Line files (S1): one row per line with its exact 0-based line number.
 
 Spark packs file splits into partitions by size, so partition order is not
-file order. The number is rebuilt from values only: the file, the split's
-start offset and ``monotonically_increasing_id()`` taken in the first
-projection over the scan (increasing in read order within a split); then
-the two-level scan turns (file, split, id) into a dense position per file.
+file order. ``monotonically_increasing_id()``, taken in the first projection
+over the scan, counts the lines of a split in read order. A first scan, which
+reads no line, gives each split's lines and its first such id; summed in file
+order they are a thin side index (a row a split). The lines then find their
+split's start in it and stay where they were read: nothing is shuffled. A
+line outside its split's ids - the files were split otherwise the second
+time - fails the job.
 """
 
 from __future__ import annotations
 
 import glob as _glob
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parapet.operators.ordinal import ordinal
+from parapet.session import cut_lineage
+
+MAX_SPLITS_BROADCAST = 200_000      # splits of 128 MB: 25 TB of text; more are joined by shuffling
+
+
+def split_index(scan: DataFrame) -> DataFrame:
+    """(file, split, low, n, first) of a scan (file, split, mid): the lines of
+    each split, their first id, and where they start in the file."""
+    totals = scan.groupBy("file", "split").agg(F.count(F.lit(1)).alias("n"), F.min("mid").alias("low"))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
 
 
 def read_lines(spark: SparkSession, path: str | list[str], prefix: str | None = None,
@@ -39,9 +52,12 @@ def read_lines(spark: SparkSession, path: str | list[str], prefix: str | None =
     if recursive:       # all folders below, their names not taken as columns
         reader = reader.option("recursiveFileLookup", "true")
     raw = reader.load(path)
-    scan = raw.select(F.col("_metadata.file_path").alias("file"),
-                      F.col("_metadata.file_block_start").alias("__split"),
-                      F.monotonically_increasing_id().alias("__mid"),
-                      F.col("value").alias("line"))
-    numbered = ordinal(scan, ["file"], ["__mid"], F.col("__split"), "line_no")
-    return numbered.select("file", "line_no", "line")
+    scan = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+                      F.monotonically_increasing_id().alias("mid"), F.col("value").alias("line"))
+    index = cut_lineage(split_index(scan.drop("line")))
+    if index.limit(MAX_SPLITS_BROADCAST + 1).count() <= MAX_SPLITS_BROADCAST:
+        index = F.broadcast(index)
+    place = F.col("mid") - F.col("low")
+    inside = F.coalesce((place >= 0) & (place < F.col("n")), F.lit(False))
+    numbered = F.when(inside, F.col("first") + place).otherwise(F.raise_error(F.lit("the files were split otherwise when counted")))
+    return scan.join(index, ["file", "split"], "left").select("file", numbered.cast("bigint").alias("line_no"), "line")

@@ -205,3 +205,26 @@ def test_zip_two_line_files(spark, tmp):
     shared = sl.drop("direction")
     padded = sorted(tuple(r) for r in zip_join(shared, tl, "left").collect())
     assert padded == left
+
+
+def test_lines_are_numbered_where_they_are_read(spark, tmp):
+    from parapet.sources import lines
+    want = {}
+    for k in range(3):
+        rows = [f"{k}-{i} " + "x" * (i * 7 % 400) for i in range(3000)]
+        want |= {(f"f{k}.txt", i): r for i, r in enumerate(rows)}
+        with open(f"{tmp}/f{k}.txt", "w", newline="") as f:
+            f.write("".join(r + ("\r\n" if i % 3 else "\n") for i, r in enumerate(rows)))      # ends at split edges differ
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "30000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = lines.read_lines(spark, tmp)
+        got = {(r["file"].rsplit("/", 1)[1], r["line_no"]): r["line"] for r in df.collect()}
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert df.select("file").distinct().count() == 3
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == want
+    assert "hashpartitioning" not in plan and "rangepartitioning" not in plan     # no line is shuffled

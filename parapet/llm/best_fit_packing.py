@@ -8,14 +8,14 @@
    entry, so the plan has a bounded number of segments however many
    documents there are.
 3. Each piece takes its planned slot by joining on its rank within its
-   length. Ranks are counted in two levels, (length, hash salt) and a prefix
+   length. Ranks are counted in two levels, (length, salt) and a prefix
    sum over the salts, so a length that holds a third of all pieces is
    spread over as many tasks as there are shuffle partitions.
 
 Nulls and empties: a null text counts as empty (one piece: the end id); a
 null id is kept as null. Repeated rows are packed as often as they occur.
 An empty table gives no pieces. Other columns are ignored, whatever their
-names.
+names. A long text is encoded in windows of 4 MB and cut into full pieces.
 """
 
 from __future__ import annotations

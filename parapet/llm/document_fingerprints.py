@@ -15,7 +15,8 @@ the look at the next fingerprint reuse that partitioning.
 Nulls and empties: a null text counts as empty; an empty text has
 fingerprint zero. Null ids come last in the order; documents with equal ids
 follow each other in the order of their texts. A single document follows
-itself. An empty table gives no rows. Other columns are ignored.
+itself. An empty table gives no rows. Other columns are ignored. A text of
+any length is shingled whole, in one row's memory.
 """
 
 from __future__ import annotations

@@ -13,7 +13,9 @@ filter position, so inference gathers rows of tables indexed by byte pairs.
 Nulls and empties: a null text and one without a letter are ``und`` with
 score 0; rows without a label are never learned from. Without any labelled
 row every prediction is ``und``. Repeated rows give repeated results; an
-empty table gives no rows. Other columns are ignored.
+empty table gives no rows. Other columns are ignored. A long text is cut
+into windows like any other, a few thousand at a time. Of equally probable
+languages the first in alphabetical order is taken.
 """
 
 from __future__ import annotations

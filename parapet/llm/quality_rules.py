@@ -10,6 +10,7 @@ found, which may differ from run to run.
 
 Nulls and empties: a null text counts as empty. Every row is judged on its
 own, repeated rows alike. An empty table gives no rows (and the given order).
+A text of any length is judged whole, in one row's memory.
 """
 
 from __future__ import annotations

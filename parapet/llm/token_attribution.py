@@ -16,7 +16,8 @@ When the sections tile the text, their counts add up to the document's.
 
 Nulls and empties: a null or empty text has no tokens and, by lines, one
 empty section; a null sections array gives no rows; a null section bound
-gives a null count. Repeated rows give repeated results.
+gives a null count. Repeated rows give repeated results. A long text is
+encoded in windows of 4 MB; its tokens' places are held at once.
 """
 
 from __future__ import annotations

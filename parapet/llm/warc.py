@@ -17,6 +17,7 @@ Nulls and empties: a null payload counts as empty; a null url gives no
 target address; a null id never leads and revisits a record with an id if
 there is one. Rows with the same id and payload keep the same type. An
 empty table gives an archive table without rows. Other columns are ignored.
+A payload of any length is written and read in chunks.
 """
 
 from __future__ import annotations

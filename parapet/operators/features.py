@@ -25,6 +25,7 @@ from parapet.functions import text as T
 from parapet.operators import skew
 from parapet.operators.bpe import BpeModel, byte_order, encode_word
 from parapet.operators.ordinal import running_offset
+from parapet.session import cut_lineage
 
 MAX_VOCAB_BROADCAST = 1_000_000   # vocabularies are configured sizes (32,000 in the reference)
 REMEMBERED = 200_000        # words a worker remembers
@@ -191,18 +192,38 @@ def _known(value: Column, what: Column, unknown: str) -> Column:
 
 # ---- a word-level vocabulary (SQL-checkable stand-in for J5 and F3-F6) ------
 
-VOCAB_PREFIX = 5
+VOCAB_PREFIX = 5            # letters by which words of one count are parted, and parted again
+VOCAB_BLOCK = 100_000       # words of a block from which it is parted again
 WORD_SPECIALS = [T.BOS, T.EOS, T.PAD]
 
 
-def word_vocab(words: DataFrame) -> DataFrame:
+def _prefixes(words: DataFrame, block: int) -> DataFrame:
+    """(word, cnt, __p): ``__p`` begins the word, so that (count descending,
+    ``__p``) is in the order of the words and at most ``block`` words share
+    one. Blocks that are too large take ``VOCAB_PREFIX`` letters more, until
+    none is: words are distinct, so the whole word parts them in the end."""
+    letters = VOCAB_PREFIX
+    out = words.withColumn("__p", F.substring("word", 1, letters))
+    while True:
+        # at most (number of words) / block of them
+        large = cut_lineage(out.groupBy("cnt", "__p").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > block)
+                            .select("cnt", "__p", F.lit(True).alias("__large")))
+        if not large.take(1):
+            return out
+        letters += VOCAB_PREFIX
+        out = out.join(F.broadcast(large), ["cnt", "__p"], "left").select(
+            "word", "cnt", F.when(F.col("__large"), F.substring("word", 1, letters)).otherwise(F.col("__p")).alias("__p"))
+
+
+def word_vocab(words: DataFrame, block: int = VOCAB_BLOCK) -> DataFrame:
     """(id, word, cnt): specials first, then words by count desc, word. Ids come
-    from the two-level scan (blocks by count and the first ``VOCAB_PREFIX``
-    letters, whose totals are scanned per count): words that occur once are
-    the largest class, and it is spread over as many blocks as prefixes."""
-    block = F.struct((-F.col("cnt")).alias("nc"), F.substring("word", 1, VOCAB_PREFIX).alias("p"))
+    from the two-level scan over blocks of a count and a word beginning that
+    hold at most ``block`` words; their totals are scanned per count. Words
+    that occur once are the largest class and are spread like the others."""
+    parted = _prefixes(cut_lineage(words.select("word", "cnt")), block)
+    key = F.struct((-F.col("cnt")).alias("nc"), F.col("__p").alias("p"))
     # block totals are summed per count first, so no step is one task over all blocks
-    ranked = running_offset(words, [], [(-F.col("cnt")), F.col("word")], block, None, "__o",
+    ranked = running_offset(parted, [], [(-F.col("cnt")), F.col("word")], key, None, "__o",
                             coarse=lambda b: b.getField("nc"))
     return ranked.select((F.col("__o") + len(WORD_SPECIALS)).cast("int").alias("id"), "word", "cnt")
 

@@ -190,3 +190,15 @@ def test_incremental_training_equals_library_to_the_end(spark, trained):
 def test_registered_vocabulary_is_the_references():
     from parapet.plans import queries_vocab
     assert queries_vocab.VOCAB_SIZE == 32_000
+
+
+def test_word_ids_in_blocks_of_any_size(spark):
+    rnd = random.Random(5)
+    words = {"".join(rnd.choice("aab") for _ in range(rnd.randint(1, 14))) for _ in range(400)} | {"aaaaa", "aaaaab", "aaaaa" * 4, "éa"}
+    rows = [(w, rnd.choice([1, 1, 1, 2, 9])) for w in sorted(words)]
+    df = spark.createDataFrame(rows, "word string, cnt long").repartition(3)
+    want = [w for w, _ in sorted(rows, key=lambda r: (-r[1], r[0].encode()))]
+    for block in (1, 7, 100_000):
+        got = sorted(tuple(r)[:2] for r in ft.word_vocab(df, block).collect())
+        assert got == [(i + 3, w) for i, w in enumerate(want)]
+    assert ft._prefixes(df, 7).groupBy("cnt", "__p").count().agg(F.max("count")).first()[0] <= 7

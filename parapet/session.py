@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows hold whole documents: a batch is bounded by its bytes, on both sides of the pipe
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # iterative jobs checkpoint every few rounds: copies no longer referenced go
@@ -45,12 +47,20 @@ def get_session(master: str | None = None, app: str = "parapet",
     return ship_package(spark)
 
 
+def _bound_batches(spark: SparkSession) -> None:
+    """Sessions made elsewhere take this package's bound unless they set one."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext.getConf().get(key) is None and spark.conf.get(key) == "67108864b":
+        spark.conf.set(key, DEFAULT_CONF[key])
+
+
 def ship_package(spark: SparkSession) -> SparkSession:
     """Send the package's modules to the executors, once per application.
 
     Python workers import functions by module name; on a cluster, or from
     another working folder, only shipped files are on their path. Spark
     serves the archive itself, so the driver's copy may be machine-local."""
+    _bound_batches(spark)
     sc = spark.sparkContext
     if getattr(sc, "_parapet_shipped", False):
         return spark

@@ -288,3 +288,28 @@ def test_union_keeps_directions_an_order_does_not_name(spark):
         ("en__it", 0): 0, ("en__de", 0): 1, ("en__fr", 0): 2, ("en__fr", 1): 3, (None, 0): 4}
     assert ids(corpus.union_directions(df)) == {
         ("en__de", 0): 0, ("en__fr", 0): 1, ("en__fr", 1): 2, ("en__it", 0): 3, (None, 0): 4}
+
+
+def test_bleu_counts_sentences_in_place_and_pools_rows_of_one_sentence(spark, monkeypatch):
+    rnd = random.Random(9)
+    words = ["a", "b", "c", ""]
+    rows = [("x", rnd.choice([None, *range(150)]), [rnd.choice(words) for _ in range(rnd.randint(0, 9))],
+             [rnd.choice(words) for _ in range(rnd.randint(0, 9))]) for _ in range(200)]
+    rows += [("x", 7, [*"abcab"] * 5, [*"abcbb"] * 5)] * 3 + [("x", 200, None, ["a"])]
+    df = spark.createDataFrame(rows, "g string, sid int, hyp array<string>, ref array<string>")
+    c, t = Counter(), Counter()
+    for sid in {r[1] for r in rows}:
+        for n in range(1, 5):
+            hc, rc = (Counter(tuple(r[k][i:i + n]) for r in rows if r[1] == sid and r[k] is not None
+                              for i in range(len(r[k]) - n + 1)) for k in (2, 3))
+            c[n] += sum(min(v, rc[g]) for g, v in hc.items())
+            t[n] += sum(hc.values())
+    for limit in (1 << 20, 40, 0):      # gathered, some gathered, none
+        monkeypatch.setattr(bleu, "GATHER_TOKENS", limit)
+        monkeypatch.setattr(bleu, "SLICE_TOKENS", 50)
+        got = bleu.corpus_bleu(df, ["g"], ["sid"], F.col("hyp"), F.col("ref")).first()
+        assert [got[f"p{n}"] for n in range(1, 5)] == [pytest.approx(100 * c[n] / t[n], abs=1e-6) for n in range(1, 5)]
+        assert (got["hyp_len"], got["ref_len"]) == tuple(sum(len(r[k]) for r in rows if r[k] is not None) for k in (2, 3))
+    alone = bleu.sentence_stats(df.filter("sid >= 200"), ["g"], ["sid"], F.col("hyp"), F.col("ref"))
+    plan = alone._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan        # no text and no n-gram is shuffled

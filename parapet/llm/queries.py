@@ -116,8 +116,9 @@ def op6(spark, sf_dir):
 def op7(spark, sf_dir):
     docs, fold = documents(spark, sf_dir).select("doc_id", "text"), language_id.fold("doc_id", 4)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    model = quality_classifier.train(docs, labels.filter(fold != 2))
-    return quality_classifier.score(docs, model).select(
+    table = quality_classifier.feature_table(docs)      # the texts are read once
+    model = quality_classifier.train_table(table, labels.filter(fold != 2))
+    return quality_classifier.score_table(table, model).select(
         "doc_id", F.coalesce(fold == 2, F.lit(True)).alias("held_out"), "score", "predicted")
 
 

@@ -297,3 +297,21 @@ def test_samples_are_drawn_row_by_row(spark, monkeypatch):
     monkeypatch.setattr(qc, "fit", lambda x, y, population: seen.append((y == 0).sum() + (y == 1).sum()))
     qc.train(same.limit(2000), labels, sample_per_label=100)
     assert 130 < seen[1] < 270
+
+
+def test_quality_is_learned_from_every_labelled_row(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    n = 3_000
+    y = (np.arange(n) < 60).astype(int)         # dealt so that blocks of one kind exist
+    x = rng.normal(0, 1, (n, len(qc.FEATURES)))
+    x[:, 2] += 2 * y
+    table = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "doc_id long, x array<double>")
+    labels = spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)], "doc_id long, quality int")
+    monkeypatch.setattr(qc, "BLOCK", 16)
+    model = qc.train_table(table, labels)
+    assert np.allclose(model.centre, x.mean(axis=0)) and np.allclose(model.scale, x.std(axis=0))     # of all rows, not of 1,000
+    z = np.sort(model.strength(x))
+    assert model.threshold == pytest.approx((z[n - 61] + z[n - 60]) / 2, abs=1e-12)
+    assert (model.strength(x)[y == 1][:, None] > model.strength(x)[y == 0][None, :]).mean() > 0.85
+    # a single kind, and labels without documents
+    assert qc.train_table(table, labels.filter("quality = 0")) is None and qc.train_table(table.limit(0), labels) is None

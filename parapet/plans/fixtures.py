@@ -169,6 +169,7 @@ def step_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 N_MEMBERS = 4
+BIGRAM_MEMBERS = [f"m{k}" for k in range(N_MEMBERS)]
 
 
 def member_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,6 +179,12 @@ def member_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines(spark, sf_dir).select(F.concat(F.lit("m"), number).alias("member"), "line")
 
 
+def bigram_cells(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The bigram members' successor counts with their contexts' totals, and those totals."""
+    from parapet.operators import decode
+    return decode.bigram_cells(member_lines(spark, sf_dir), "member", "line", BIGRAM_MEMBERS)
+
+
 def decode_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sid, line_no, token): the first word of every line, null without one."""
     from parapet.operators.decode import tokens
@@ -229,8 +236,7 @@ def scorer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     from parapet.sources.cache import materialise_once
 
     def build():
-        counts = decode.bigram_counts(member_lines(spark, sf_dir), "member", "line")
-        return decode.best_next(decode.bigram_scores(counts), N_MEMBERS)
+        return decode.best_next(bigram_cells(spark, sf_dir)[0], N_MEMBERS)
 
     return materialise_once(spark, "bigram-best-next", [documents_key(spark, sf_dir), N_MEMBERS], build)
 

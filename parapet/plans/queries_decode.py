@@ -14,16 +14,13 @@ from parapet.plans.oracle import with_
 SELECT member, prev, next, c, round(c / sum(c) OVER (PARTITION BY member, prev), 9) AS p FROM bigram_counts
 """)
 def bigram_scores(spark, sf):
-    counts = decode.bigram_counts(fx.member_lines(spark, sf), "member", "line")
-    s = decode.bigram_scores(counts)
-    return counts.join(s, ["member", "prev", "next"]).select(
-        "member", "prev", "next", F.col("c").cast("bigint"), F.round("p", 9).alias("p"))
+    s = decode.bigram_scores(fx.bigram_cells(spark, sf)[0], fx.BIGRAM_MEMBERS)
+    return s.select("member", "prev", "next", "c", F.round("p", 9).alias("p"))
 
 
 @query("best_next", with_("best_next") + "SELECT * FROM best_next")
 def best_next(spark, sf):
-    counts = decode.bigram_counts(fx.member_lines(spark, sf), "member", "line")
-    return decode.best_next(decode.bigram_scores(counts), fx.N_MEMBERS)
+    return decode.best_next(fx.bigram_cells(spark, sf)[0], fx.N_MEMBERS)
 
 
 KEYS = ["sid", "line_no"]

@@ -121,7 +121,7 @@ def ensemble_step(spark, sf):
 
 
 OPAQUE_DIGITS = 9
-OPAQUE_MEMBERS = [f"m{k}" for k in range(fx.N_MEMBERS)]
+OPAQUE_MEMBERS = fx.BIGRAM_MEMBERS
 
 
 def _opaque_members(n: int):
@@ -134,7 +134,7 @@ def _opaque_members(n: int):
 def _opaque_paths(spark, sf):
     """(prev, path, stop) after the first word of every line, materialised once per input."""
     def build():
-        cells, totals = decode.bigram_cells(fx.member_lines(spark, sf), "member", "line", OPAQUE_MEMBERS)
+        cells, totals = fx.bigram_cells(spark, sf)
         best = decode.opaque_best_next(cells, totals, _opaque_members, OPAQUE_DIGITS)
         return decode.greedy_paths(best, starts=fx.decode_starts(spark, sf))
     key = [fx.documents_key(spark, sf), fx.N_MEMBERS, "opaque", OPAQUE_DIGITS, decode.MAX_STEPS]

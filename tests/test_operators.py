@@ -313,3 +313,22 @@ def test_bleu_counts_sentences_in_place_and_pools_rows_of_one_sentence(spark, mo
     alone = bleu.sentence_stats(df.filter("sid >= 200"), ["g"], ["sid"], F.col("hyp"), F.col("ref"))
     plan = alone._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Generate" not in plan        # no text and no n-gram is shuffled
+
+
+def test_bigram_cells_shuffle_word_pairs_once_and_spread_frequent_words(spark, monkeypatch):
+    from parapet.operators import skew
+    monkeypatch.setattr(skew, "HOT_MIN", 20)
+    rnd = random.Random(3)
+    rows = [(rnd.choice("mn"), " ".join(rnd.choice("aaaabcd") for _ in range(rnd.randint(0, 9)))) for _ in range(120)]
+    df = spark.createDataFrame(rows, "member string, line string")
+    c, t = Counter(), Counter()
+    for m, line in rows:
+        w = [*line.split(), "</s>"]
+        c.update((m, *p) for p in zip(w, w[1:]))
+        t.update((m, x) for x in w[:-1])
+    cells, totals = decode.bigram_cells(df, "member", "line", ["m", "n"])
+    got = {(r["member"], r["prev"], r["next"]): (r["c"], r["p"]) for r in decode.bigram_scores(cells, ["m", "n"]).collect()}
+    assert got == {k: (n, n / t[k[:2]]) for k, n in c.items()}
+    assert {(r["prev"], r["t0"], r["t1"]) for r in totals.collect()} == {(w, t["m", w], t["n", w]) for _, w in t}
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2      # the pairs, and the few totals

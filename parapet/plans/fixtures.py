@@ -187,9 +187,8 @@ def bigram_cells(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 def decode_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sid, line_no, token): the first word of every line, null without one."""
-    from parapet.operators.decode import tokens
-    return lines(spark, sf_dir).select(F.col("doc_id").alias("sid"), "line_no",
-                                       F.get(tokens("line"), F.lit(0)).alias("token"))
+    from parapet.operators.decode import first_token
+    return lines(spark, sf_dir).select(F.col("doc_id").alias("sid"), "line_no", first_token("line").alias("token"))
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

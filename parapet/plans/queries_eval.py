@@ -40,7 +40,7 @@ def _translations(spark, sf):
     """E5: decode every source line of every eval set with the n-gram
     ensemble, one row per line; lines without words get an empty hypothesis."""
     e = read_eval_sets(fx.manifest(spark, sf), fx.eval_files(spark, sf))
-    starts = e.select(*KEYS, "src", "ref", F.get(decode.tokens("src"), F.lit(0)).alias("token"))
+    starts = e.select(*KEYS, "src", "ref", decode.first_token("src").alias("token"))
     kept = [*KEYS, "src", "ref"]
     return decode.decoded_text(decode.greedy_decode(starts, fx.scorer_paths(spark, sf), kept), keys=kept)
 

@@ -332,3 +332,48 @@ def test_bigram_cells_shuffle_word_pairs_once_and_spread_frequent_words(spark, m
     assert {(r["prev"], r["t0"], r["t1"]) for r in totals.collect()} == {(w, t["m", w], t["n", w]) for _, w in t}
     plan = cells._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2      # the pairs, and the few totals
+
+
+def test_bigram_cells_shuffle_a_row_a_context_and_only_near_ties_are_ranked(spark, monkeypatch):
+    from parapet.operators import skew
+    monkeypatch.setattr(skew, "HOT_MIN", 50)
+    rnd = random.Random(5)
+    words = ["a", "b", "é", "日本", "</s>", "x\ty"]
+    rows = [(rnd.choice(["m", "n", "other", None]), "  ".join(rnd.choice(words) for _ in range(rnd.randint(0, 12)))) for _ in range(300)]
+    df = spark.createDataFrame([*rows, ("m", None), ("m", "   ")], "member string, line string")
+    c, t = Counter(), Counter()
+    for m, line in rows:
+        w = [x for x in line.split(" ") if x]
+        c.update((p, q, m) for p, q in zip(w, [*w[1:], "</s>"]))
+        t.update((p, m) for p in w)
+    cells, totals = decode.bigram_cells(df, "member", "line", ["m", "n"])
+    want = {(p, q): (c[p, q, "m"], c[p, q, "n"], t[p, "m"], t[p, "n"]) for p, q, _ in c}
+    got = [tuple(r) for r in cells.collect()]
+    assert len(got) == len(want) and {r[:2]: r[2:] for r in got} == want
+    assert {r["prev"] for r in totals.collect()} == {p for p, _ in t}
+    plan = cells.select("prev")._jdf.queryExecution().executedPlan().toString()
+    assert "arrays_zip" not in plan and plan.count("MapInArrow") == 2       # a row a context and batch is shuffled, not a row a word pair
+    share = lambda k, i: want[k][i] / want[k][2 + i] if want[k][2 + i] else 0.0
+    p = {k: round((share(k, 0) + share(k, 1)) / 2, 9) for k in want}
+    best = {x: min((-p[k], k[1].encode()) for k in want if k[0] == x) for x in {k[0] for k in want}}
+    assert {r["prev"]: (-r["p"], r["next"].encode()) for r in decode.best_next(cells, 2).collect()} == best
+
+
+def test_decoding_reads_its_lines_once_for_the_starts(spark, tmp):
+    from parapet.operators.decode import first_token, tokens
+    lines = [" a  b", "", None, "   ", "x", "\n y z", "b\n c"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    assert all(r[0] == r[1] for r in df.select(first_token("line"), F.get(tokens("line"), F.lit(0))).collect())
+    acc = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for rb in batches:
+            acc.add(len(rb))
+            yield rb
+
+    best = spark.createDataFrame([("a", "b"), ("b", "</s>")], "prev string, next string")
+    starts = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(20)], "sid int, token string").mapInArrow(seen, "sid int, token string")
+    paths = decode.greedy_paths(best, starts=starts)
+    assert acc.value == 20
+    out = decode.greedy_decode(starts, paths).collect()
+    assert len(out) == 20 and acc.value <= 80       # the frequencies, the join and the rows without a token

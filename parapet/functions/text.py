@@ -14,8 +14,9 @@ BOS, EOS, PAD = "<s>", "</s>", "<pad>"
 IGNORE_INDEX = -100
 MAX_LENGTH = 512
 DIRECTION_SEP = "__"
-# GPT-2 byte-level pre-tokenisation pattern (public), with Unicode classes.
-GPT2_PATTERN = r"""(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# GPT-2 byte-level pre-tokenisation pattern (public), with Unicode classes; the
+# contractions are tried once a place, behind their apostrophe.
+GPT2_PATTERN = r"""(?U)'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Look-ahead-free word pattern (letters, digits, other runs).
 WORD_PATTERN = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
 # -----------------------------------------------------------------------------

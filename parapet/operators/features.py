@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from itertools import chain
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +40,11 @@ def pretokens(text: Column, specials: Sequence[str], pattern: str = T.GPT2_PATTE
     if not specials:
         return T.pretokenize(text, pattern)
     # longer strings first: one may begin another
-    either = "|".join(re.escape(x) for x in sorted(specials, key=len, reverse=True))
-    stretches = F.regexp_extract_all(text, F.lit(f"(?s)(?:{either})|(?:(?!{either}).)+"), F.lit(0))
-    cut = F.flatten(F.transform(stretches, lambda x: F.when(x.isin(list(specials)), F.array(x))
-                                .otherwise(T.pretokenize(x, pattern))))
+    begin = commonprefix(list(specials))        # tried first at each place
+    either = re.escape(begin) + "(?:" + "|".join(re.escape(x[len(begin):]) for x in sorted(specials, key=len, reverse=True)) + ")"
+    found, between = F.regexp_extract_all(text, F.lit(either), F.lit(0)), F.split(text, either, -1)
+    cut = F.flatten(F.zip_with(between, found, lambda x, s: F.concat(
+        T.pretokenize(x, pattern), F.when(s.isNotNull(), F.array(s)).otherwise(F.array().cast("array<string>")))))
     return F.when(F.rlike(text, F.lit(either)), cut).otherwise(T.pretokenize(text, pattern))
 
 

@@ -202,3 +202,23 @@ def test_word_ids_in_blocks_of_any_size(spark):
         got = sorted(tuple(r)[:2] for r in ft.word_vocab(df, block).collect())
         assert got == [(i + 3, w) for i, w in enumerate(want)]
     assert ft._prefixes(df, 7).groupBy("cnt", "__p").count().agg(F.max("count")).first()[0] <= 7
+
+
+def test_pretokens_around_specials_equal_the_plain_cut(spark):
+    import re
+    specials = ["<fr>", "<f", "</s>", "<s>", "<pad>"]
+    texts = ["<fr> it's a <s>b</s>", "", None, "a<b <<s>> <fr><fr>", "<fr>", "x <pad>\n\n y!<s", "no specials, we'll see", "<f<fr>\n", "''s 'll 're've"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    gpt2 = r"""(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+    got = {r["i"]: r for r in df.select("i", ft.pretokens(F.col("t"), specials).alias("p"),
+                                        F.regexp_extract_all("t", F.lit(gpt2), 0).alias("plain")).collect()}
+    assert "(?:(?!" not in str(ft.pretokens(F.col("t"), specials))      # no look-ahead at every character
+    either = "|".join(re.escape(x) for x in sorted(specials, key=len, reverse=True))
+    flat = spark.createDataFrame([(i, k, x) for i, t in enumerate(texts) if t for k, x in enumerate(re.split(f"({either})", t)) if x], "i int, k int, x string")
+    cut = {(r["i"], r["k"]): ([r["x"]] if r["x"] in specials else list(r["p"]))
+           for r in flat.select("i", "k", "x", F.regexp_extract_all("x", F.lit(gpt2), 0).alias("p")).collect()}
+    for i, t in enumerate(texts):
+        want = None if t is None else [w for k in sorted(k for j, k in cut if j == i) for w in cut[i, k]]
+        assert got[i]["p"] == want
+        if t and not re.search(either, t):
+            assert got[i]["p"] == got[i]["plain"]

@@ -179,10 +179,10 @@ def member_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines(spark, sf_dir).select(F.concat(F.lit("m"), number).alias("member"), "line")
 
 
-def bigram_cells(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def bigram_cells(spark: SparkSession, sf_dir: str, keep=None) -> tuple[DataFrame, DataFrame]:
     """The bigram members' successor counts with their contexts' totals, and those totals."""
     from parapet.operators import decode
-    return decode.bigram_cells(member_lines(spark, sf_dir), "member", "line", BIGRAM_MEMBERS)
+    return decode.bigram_cells(member_lines(spark, sf_dir), "member", "line", BIGRAM_MEMBERS, keep)
 
 
 def decode_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,7 +235,7 @@ def scorer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     from parapet.sources.cache import materialise_once
 
     def build():
-        return decode.best_next(bigram_cells(spark, sf_dir)[0], N_MEMBERS)
+        return decode.best_next(bigram_cells(spark, sf_dir, decode.near_best)[0], N_MEMBERS)
 
     return materialise_once(spark, "bigram-best-next", [documents_key(spark, sf_dir), N_MEMBERS], build)
 

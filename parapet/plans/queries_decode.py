@@ -20,7 +20,7 @@ def bigram_scores(spark, sf):
 
 @query("best_next", with_("best_next") + "SELECT * FROM best_next")
 def best_next(spark, sf):
-    return decode.best_next(fx.bigram_cells(spark, sf)[0], fx.N_MEMBERS)
+    return decode.best_next(fx.bigram_cells(spark, sf, decode.near_best)[0], fx.N_MEMBERS)
 
 
 KEYS = ["sid", "line_no"]

@@ -134,7 +134,7 @@ def _opaque_members(n: int):
 def _opaque_paths(spark, sf):
     """(prev, path, stop) after the first word of every line, materialised once per input."""
     def build():
-        cells, totals = fx.bigram_cells(spark, sf)
+        cells, totals = fx.bigram_cells(spark, sf, decode.opaque_near_best(_opaque_members, OPAQUE_DIGITS))
         best = decode.opaque_best_next(cells, totals, _opaque_members, OPAQUE_DIGITS)
         return decode.greedy_paths(best, starts=fx.decode_starts(spark, sf))
     key = [fx.documents_key(spark, sf), fx.N_MEMBERS, "opaque", OPAQUE_DIGITS, decode.MAX_STEPS]

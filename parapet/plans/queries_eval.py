@@ -42,7 +42,9 @@ def _translations(spark, sf):
     e = read_eval_sets(fx.manifest(spark, sf), fx.eval_files(spark, sf))
     starts = e.select(*KEYS, "src", "ref", decode.first_token("src").alias("token"))
     kept = [*KEYS, "src", "ref"]
-    return decode.decoded_text(decode.greedy_decode(starts, fx.scorer_paths(spark, sf), kept), keys=kept)
+    # the sets' lines are some of all lines, which tell their frequent first words without being shuffled
+    freq = decode.start_counts(fx.decode_starts(spark, sf))
+    return decode.decoded_text(decode.greedy_decode(starts, fx.scorer_paths(spark, sf), kept, freq), keys=kept)
 
 
 @query("translate_eval_sets", with_("translations", recursive=True) + """

@@ -73,12 +73,15 @@ def initial_symbols(words: DataFrame) -> DataFrame:
 
 
 def pair_counts(state: DataFrame) -> DataFrame:
-    """(a, b, c): weighted counts of adjacent symbols (as written in ``syms``)."""
+    """(a, b, c): weighted counts of adjacent symbols (as written in ``syms``).
+
+    Words of one symbol are dropped behind the explode: a filter on ``syms``
+    (or the one Spark infers from a plain explode) would move below the
+    aggregation of the words and cut up every occurrence of each."""
     s = F.split(F.trim(F.col("syms")), " ")
     n = F.size(s)
     z = F.arrays_zip(F.slice(s, 1, n - 1).alias("a"), F.slice(s, 2, n - 1).alias("b"))
-    return (state.filter(F.size(s) > 1)
-                 .select("cnt", F.explode(z).alias("p"))
+    return (state.select("cnt", F.explode_outer(z).alias("p")).filter("p is not null")
                  .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
                  .agg(F.sum("cnt").alias("c")))
 

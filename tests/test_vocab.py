@@ -222,3 +222,17 @@ def test_pretokens_around_specials_equal_the_plain_cut(spark):
         assert got[i]["p"] == want
         if t and not re.search(either, t):
             assert got[i]["p"] == got[i]["plain"]
+
+
+def test_words_are_cut_into_symbols_once_a_distinct_word(spark):
+    from collections import Counter
+    lines = ["ab a abc", "é ab", "", None, "x  yz"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    pairs = bpe.pair_counts(bpe.initial_symbols(bpe.word_counts(df, "line")))
+    want = Counter()
+    for word in ["ab", " a", " abc", "é", " ab", "x", " ", " yz"]:
+        b = word.encode()
+        want.update((f"{x:02X}", f"{y:02X}") for x, y in zip(b, b[1:]))
+    assert {(r["a"], r["b"]): r["c"] for r in pairs.collect()} == want
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "hex" in plan and "hex" not in plan[plan.index("Aggregate [word"):]      # neither in nor below the counting of words

@@ -37,12 +37,14 @@ def doc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     (source, language) file. Thin (one row per document) and materialised
     once per input in the shared checkpoint folder (SURVEY 7.4)."""
     from parapet.operators.ordinal import running_offset
+    from parapet.session import cut_lineage
     from parapet.sources.cache import materialise_once
 
     def build():
         docs = table(spark, sf_dir, "documents")
-        n = F.length("text") - F.length(F.regexp_replace("text", "\n", "")) + 1
-        counts = docs.select("lang", "source", "doc_id", n.cast("bigint").alias("n"))
+        n = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+        # the scans below read their input several times: the texts are read once
+        counts = cut_lineage(docs.select("lang", "source", "doc_id", n.cast("bigint").alias("n")))
         block = F.floor(F.col("doc_id") / corpus.DEFAULT_FILES_PER_BLOCK)
         by_lang = running_offset(counts, ["lang"], ["doc_id"], block, F.col("n"), "first")
         return running_offset(by_lang, ["source", "lang"], ["doc_id"], block, F.col("n"), "file_first")

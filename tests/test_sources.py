@@ -228,3 +228,18 @@ def test_lines_are_numbered_where_they_are_read(spark, tmp):
             spark.conf.set(k, v)
     assert got == want
     assert "hashpartitioning" not in plan and "rangepartitioning" not in plan     # no line is shuffled
+
+
+def test_a_source_line_is_sent_once_for_all_its_sets(spark):
+    from parapet.sources.evalsets import read_eval_sets
+    sets = [("en__de", "a", "a/en", "a/de"), ("en__fr", "a", "a/en", "a/fr"), ("en__it", "a", "a/en", None), ("fr__en", "b", "a/fr", "a/en")]
+    manifest = spark.createDataFrame([("test", *r) for r in sets] + [("valid", *sets[0])],
+                                     "split string, direction string, dataset string, src string, ref string")
+    lines = {"a/en": ["e0", "e1", ""], "a/de": ["d0"], "a/fr": ["f0", "f1", "f2", "f3"], "x": ["no"]}
+    files = spark.createDataFrame([(p, i, x) for p, xs in lines.items() for i, x in enumerate(xs)], "path string, line_no long, line string")
+    out = read_eval_sets(manifest, files)
+    want = [(d, s, i, x, None if ref is None else dict(enumerate(lines[ref])).get(i, "")) for d, s, src, ref in sets for i, x in enumerate(lines[src])]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)
+    assert {r["direction"] for r in read_eval_sets(manifest, files, "en__de").collect()} == {"en__de"}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(src_path" in plan and "hashpartitioning(direction" not in plan

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -115,8 +116,8 @@ def cell_sums(key: tuple, table: pa.Table) -> pa.Table:
     terms, less what they would add if neither source used them; the cell of
     share 0 adds that amount for every kept term."""
     lang, left, right, part = (k.as_py() for k in key)
-    head = table.filter(pa.compute.is_null(table["term"]))
-    body = table.filter(pa.compute.is_valid(table["term"]))
+    head = table.filter(pc.is_null(table["term"]))
+    body = table.filter(pc.is_valid(table["term"]))
     names = head["source"].to_pylist()
     at = {s: i for i, s in enumerate(names)}
     z = head["p"].fill_null(0).to_numpy()

@@ -1,7 +1,10 @@
 """Source divergence against plain Python arithmetic."""
 
+import os
 import random
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import pyarrow as pa
@@ -98,3 +101,22 @@ def test_shares_are_exact_for_large_counts(spark):
     n, v, c = 9_000_000_000_000_007, 50_000, 8_999_999_999_999_999
     row = spark.createDataFrame([(c, n, v)], "c long, n long, v long").select(sd.share(F.col("c")).alias("p")).first()
     assert row["p"] == 1 + 1_000_000_000 * (c + 2) // (n + 2 * v)
+
+
+def test_a_cell_is_summed_in_a_process_that_has_loaded_nothing_else():
+    # a worker is handed its cell: what makes Arrow arrays of lists loads more of Arrow
+    cell = pa.table({"lang": ["en"] * 3, "left": pa.array([0] * 3, pa.int32()), "right": pa.array([0] * 3, pa.int32()), "share": pa.array([0] * 3, pa.int32()),
+                     "own": pa.array([0] * 3, pa.int32()), "source": ["a", "b", "a"], "term": [None, None, "x"], "p": [5, 3, 9], "v": [1] * 3})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, cell.schema) as out:
+        out.write_table(cell)
+    run = """
+import sys
+import pyarrow as pa
+from parapet.llm import source_divergence as sd
+cell = pa.ipc.open_stream(sys.stdin.buffer.read()).read_all()
+print(sorted(tuple(r.values()) for r in sd.cell_sums(tuple(cell.column(i)[0] for i in range(4)), cell).to_pylist()))
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", run], cwd=root, input=sink.getvalue().to_pybytes(), capture_output=True, timeout=120)
+    assert done.stdout.decode().strip() == "[('en', 'a', 'b', 3), ('en', 'b', 'a', 3)]", done.stderr.decode()

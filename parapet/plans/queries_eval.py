@@ -9,7 +9,7 @@ from parapet.operators import bleu, decode
 from parapet.plans import fixtures as fx
 from parapet.plans.catalog import query
 from parapet.plans.oracle import bleu_sql, with_
-from parapet.sources.evalsets import read_eval_sets
+from parapet.sources.evalsets import read_eval_sets, source_lines
 
 KEYS = ["direction", "dataset", "line_no"]
 
@@ -36,15 +36,18 @@ def optional_reference(spark, sf):
         F.sum(F.when(F.col("ref") == "", 1).otherwise(0)).cast("bigint").alias("n_blank_ref"))
 
 
-def _translations(spark, sf):
+def _translations(spark, sf, chunk_rows=None):
     """E5: decode every source line of every eval set with the n-gram
-    ensemble, one row per line; lines without words get an empty hypothesis."""
-    e = read_eval_sets(fx.manifest(spark, sf), fx.eval_files(spark, sf))
-    starts = e.select(*KEYS, "src", "ref", decode.first_token("src").alias("token"))
-    kept = [*KEYS, "src", "ref"]
+    ensemble, one row per line; lines without words get an empty hypothesis.
+    A source line is decoded once for the sets that share its file, and only
+    its first word is sent for it."""
+    m, files = fx.manifest(spark, sf), fx.eval_files(spark, sf)
+    lines = ["file", "line_no"]       # a decoder's path is another thing
+    starts = source_lines(m, files).select(F.col("path").alias("file"), "line_no", decode.first_token("line").alias("token"))
     # the sets' lines are some of all lines, which tell their frequent first words without being shuffled
     freq = decode.start_counts(fx.decode_starts(spark, sf))
-    return decode.decoded_text(decode.greedy_decode(starts, fx.scorer_paths(spark, sf), kept, freq), keys=kept)
+    decoded = decode.decoded_text(decode.greedy_decode(starts, fx.scorer_paths(spark, sf), lines, freq), keys=lines)
+    return read_eval_sets(m, files, beside=decoded.withColumnRenamed("file", "path"), chunk_rows=chunk_rows)
 
 
 @query("translate_eval_sets", with_("translations", recursive=True) + """

@@ -17,7 +17,7 @@ from parapet.plans.queries_eval import KEYS, _translations
 from parapet.operators import files, sampling
 from parapet.sources import archives, named, sinks
 from parapet.sources.cache import artefact_root
-from parapet.sources.lines import read_lines
+from parapet.sources.lines import lines_beside, read_lines
 
 ROWS_PER_FILE = 1000
 
@@ -48,15 +48,13 @@ def translation_files(spark, sf):
     """Eval sets read, translated and written as source, reference and
     hypothesis files, then read back side by side (S5, E4, S7)."""
     out = _fresh(spark, "eval-files")
-    t = _translations(spark, sf).select(*KEYS, F.col("src").alias("source"), F.coalesce("ref", F.lit("")).alias("reference"),
-                                        "hypothesis")
-    sinks.write_eval(t, out, ROWS_PER_FILE)
-    back = read_lines(spark, out, name_glob="part-*", line_sep="\n", recursive=True)
+    t = _translations(spark, sf, ROWS_PER_FILE).select(*KEYS, F.col("src").alias("source"), F.coalesce("ref", F.lit("")).alias("reference"),
+                                                       "hypothesis")
+    sinks.write_eval(t, out, ROWS_PER_FILE, placed=True)
+    back = read_lines(spark, f"{out}/source", name_glob="part-*", line_sep="\n", recursive=True)
     part = lambda name: F.regexp_extract("file", f"/{name}=([^/]*)/", 1).alias(name)
-    kind = F.regexp_extract("file", "/(source|reference|hypothesis)/direction=", 1)
-    rows = back.select(part("direction"), part("dataset"), _position(ROWS_PER_FILE).alias("line_no"), kind.alias("kind"), "line")
-    return rows.groupBy(*KEYS).agg(*[F.max(F.when(F.col("kind") == k, F.col("line"))).alias(k)
-                                     for k in ("source", "reference", "hypothesis")])
+    return lines_beside(back, "source", ["reference", "hypothesis"]).select(
+        part("direction"), part("dataset"), _position(ROWS_PER_FILE).alias("line_no"), F.col("line").alias("source"), "reference", "hypothesis")
 
 
 def _write_archives(docs, folder: str):

@@ -21,13 +21,15 @@ ROWS_PER_FILE = 1_000_000
 
 
 def write_aligned(df: DataFrame, out_dir: str, pos: str, columns: Sequence[str],
-                  group: Sequence[str] = (), rows_per_file: int = ROWS_PER_FILE) -> None:
+                  group: Sequence[str] = (), rows_per_file: int = ROWS_PER_FILE, placed: bool = False) -> None:
     """Write each of ``columns`` as text under ``out_dir/<column>/<group
-    dirs>/chunk=<k>/``, in ``pos`` order, aligned across columns."""
+    dirs>/chunk=<k>/``, in ``pos`` order, aligned across columns. ``placed``:
+    the rows of a chunk are in one partition already, and stay there."""
     chunk = F.floor(F.col(pos) / rows_per_file).cast("bigint").alias("chunk")
     d = df.select(*group, chunk, pos, *columns)
-    d = d.repartition(*[F.col(g) for g in group], F.col("chunk")).sortWithinPartitions(*group, "chunk", pos)
-    d = cut_lineage(d)      # numbered, shuffled and sorted once for all columns
+    if not placed:
+        d = d.repartition(*[F.col(g) for g in group], F.col("chunk"))
+    d = cut_lineage(d.sortWithinPartitions(*group, "chunk", pos))      # numbered, shuffled and sorted once for all columns
     for c in columns:
         (d.select(*group, "chunk", F.col(c).alias("value"))
           .write.mode("overwrite").partitionBy(*group, "chunk").text(f"{out_dir.rstrip('/')}/{c}"))
@@ -43,11 +45,12 @@ def write_parallel(pairs: DataFrame, out_dir: str, rows_per_file: int = ROWS_PER
     write_aligned(ranked, out_dir, "pos", ["sl", "tl"], ["split"], rows_per_file)
 
 
-def write_eval(df: DataFrame, out_dir: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+def write_eval(df: DataFrame, out_dir: str, rows_per_file: int = ROWS_PER_FILE, placed: bool = False) -> None:
     """source / reference / hypothesis text per (direction, dataset).
-    ``df``: (direction, dataset, line_no, source, reference, hypothesis)."""
+    ``df``: (direction, dataset, line_no, source, reference, hypothesis);
+    ``placed`` as for :func:`write_aligned`."""
     write_aligned(df, out_dir, "line_no", ["source", "reference", "hypothesis"],
-                  ["direction", "dataset"], rows_per_file)
+                  ["direction", "dataset"], rows_per_file, placed)
 
 
 MAX_COPIES = 100_000

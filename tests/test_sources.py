@@ -5,12 +5,14 @@ import glob
 import os
 import tarfile
 
+import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF001
 from parapet.operators import files as fl
 from parapet.sources import archives, sinks
 from parapet.sources.cache import materialise_once
-from parapet.sources.lines import read_lines
+from parapet.sources.lines import lines_beside, read_lines
 from parapet.sources.manifest import manifest_from_yaml
 
 
@@ -243,3 +245,54 @@ def test_a_source_line_is_sent_once_for_all_its_sets(spark):
     assert {r["direction"] for r in read_eval_sets(manifest, files, "en__de").collect()} == {"en__de"}
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(src_path" in plan and "hashpartitioning(direction" not in plan
+
+
+def test_what_is_known_of_a_source_line_meets_its_sets_where_their_chunk_is_written(spark, tmp):
+    from parapet.sources.evalsets import read_eval_sets, source_lines
+    manifest = spark.createDataFrame([("en__de", "x", "x/en", "x/de"), ("en__fr", "x", "x/en", None), ("en__de", "y", "y/en", "y/de")],
+                                     "direction string, dataset string, src string, ref string")
+    files = spark.createDataFrame([(p, i, f"{p} {i}") for p, n in [("x/en", 25), ("x/de", 23), ("y/en", 12), ("y/de", 30)] for i in range(n)],
+                                  "path string, line_no long, line string").repartition(5)
+    starts = source_lines(manifest, files)
+    assert {r["path"] for r in starts.collect()} == {"x/en", "y/en"} and starts.count() == 37
+    beside = starts.filter("path <> 'x/en' or line_no <> 7").select("path", "line_no", F.upper("line").alias("hypothesis"))
+    out = read_eval_sets(manifest, files, beside=beside, chunk_rows=10)
+    got = {(r["direction"], r["dataset"], r["line_no"]): (r["src"], r["ref"], r["hypothesis"]) for r in out.collect()}
+    want = {("en__de", "x", i): (f"x/en {i}", f"x/de {i}" if i < 23 else "", None if i == 7 else f"X/EN {i}") for i in range(25)}
+    want |= {("en__fr", "x", i): (f"x/en {i}", None, None if i == 7 else f"X/EN {i}") for i in range(25)}
+    want |= {("en__de", "y", i): (f"y/en {i}", f"y/de {i}", f"Y/EN {i}") for i in range(12)}
+    assert got == want
+    spread = out.select("direction", "dataset", F.floor(F.col("line_no") / 10).alias("chunk"), F.spark_partition_id().alias("p")) \
+                .groupBy("direction", "dataset", "chunk").agg(F.count_distinct("p").alias("n"))
+    assert {r["n"] for r in spread.collect()} == {1}
+    # the text of a source line is sent once, and not at all to write it
+    ready = out.select("direction", "dataset", "line_no", F.col("src").alias("source"), F.coalesce("ref", F.lit("")).alias("reference"),
+                       F.coalesce("hypothesis", F.lit("")).alias("hypothesis"))
+    assert ready._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    sinks.write_eval(ready, f"{tmp}/ev", 10, placed=True)
+    back = read_lines(spark, f"{tmp}/ev/source", name_glob="part-*", line_sep="\n", recursive=True)
+    rows = lines_beside(back, "source", ["reference", "hypothesis"]).collect()
+    assert sorted((r["line"], r["reference"], r["hypothesis"]) for r in rows) == sorted((s, t or "", h or "") for s, t, h in want.values())
+    assert len({r["file"] for r in rows}) == 3 + 3 + 2
+
+
+def test_lines_stand_beside_each_other_in_any_order_or_fail(spark, tmp):
+    from pathlib import Path
+    texts = {"own": "a\n\nc c\n", "other": "1\r\n\n  3\n"}
+    for kind, text in texts.items():
+        at = Path(tmp, "with space %3A", kind, "k=a%3Ab")
+        at.mkdir(parents=True)
+        (at / f"part-{kind}.txt").write_bytes(text.encode())
+    back = read_lines(spark, f"{tmp}/with space %3A/own", name_glob="part-*", line_sep="\n", recursive=True)
+    for rows in (back, back.repartition(1).sort(F.desc("line_no"))):
+        got = lines_beside(rows, "own", ["other"]).collect()
+        assert sorted((r["line_no"], r["line"], r["other"]) for r in got) == [(0, "a", "1\r"), (1, "", ""), (2, "c c", "  3")]
+    (at / "part-other.txt").write_bytes(b"1\n")
+    with pytest.raises(Exception, match="no line 1 in other"):
+        lines_beside(back, "own", ["other"]).collect()
+
+
+def test_translated_files_are_read_side_by_side_without_a_shuffle(spark):
+    from parapet.plans.queries_sources import translation_files
+    plan = translation_files(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan

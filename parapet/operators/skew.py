@@ -26,9 +26,11 @@ def salted_join(facts: DataFrame, dim: DataFrame, key: str, freq: DataFrame | No
     """``facts.join(dim, key, how)`` with hot keys salted. ``freq``: (key,
     __n) fact rows per key, if already known (else one aggregation)."""
     salts = SALTS if salts is None else salts
+    total = None
     if freq is None:
-        freq = facts.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    hot = frequent(freq, key, hot_fraction, hot_min)
+        # the keys are shuffled once: their number is that of the rows
+        freq, total = facts.groupBy(key).agg(F.count(F.lit(1)).alias("__n")), facts.count()
+    hot = frequent(freq, key, hot_fraction, hot_min, total)
     row_hash = F.xxhash64(*[F.col(c) for c in facts.columns])
     tagged = facts.join(F.broadcast(hot), key, "left").withColumn(
         "__salt", F.when(F.col("__hot"), F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(F.lit(0)))
@@ -38,11 +40,13 @@ def salted_join(facts: DataFrame, dim: DataFrame, key: str, freq: DataFrame | No
     return tagged.drop("__hot").join(d.drop("__hot"), [key, "__salt"], how).drop("__salt")
 
 
-def frequent(freq: DataFrame, key: str, hot_fraction: float | None = None, hot_min: int | None = None) -> DataFrame:
-    """(key, __hot): the hot keys of ``freq`` (key, __n)."""
+def frequent(freq: DataFrame, key: str, hot_fraction: float | None = None, hot_min: int | None = None,
+             total: int | None = None) -> DataFrame:
+    """(key, __hot): the hot keys of ``freq`` (key, __n), whose ``__n`` sum up to ``total``."""
     hot_fraction = HOT_FRACTION if hot_fraction is None else hot_fraction
     hot_min = HOT_MIN if hot_min is None else hot_min
-    total = freq.agg(F.sum("__n")).first()[0] or 0
+    if total is None:
+        total = freq.agg(F.sum("__n")).first()[0] or 0
     threshold = max(hot_min, int(total * hot_fraction))
     return freq.filter(F.col("__n") >= threshold).select(key, F.lit(True).alias("__hot"))
 

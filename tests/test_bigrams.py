@@ -60,3 +60,21 @@ def test_starts_without_a_word_share_the_join(spark):
         assert "Union" not in out._jdf.queryExecution().optimizedPlan().toString()      # the starts are computed once
         got = {r["sid"]: (list(r["path"]), r["stop"]) for r in out.collect()}
         assert got == {i: [([], "empty"), (["b", "</s>"], "eos"), ([], "dead_end"), ([], "dead_end")][i % 4] for i in range(40)}
+
+
+def test_the_keys_of_a_salted_join_are_shuffled_once(spark):
+    facts = spark.createDataFrame([("a" if i % 3 else None, i) for i in range(90)], "k string, i int")
+    acc = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for rb in batches:
+            acc.add(len(rb))
+            yield rb
+
+    freq = facts.groupBy("k").agg(F.count(F.lit(1)).alias("__n")).mapInArrow(seen, "k string, __n bigint")
+    hot = skew.frequent(freq, "k", hot_fraction=0.5, hot_min=1, total=facts.count())
+    assert acc.value == 0       # they are not added up to learn how many rows there are
+    assert [tuple(r) for r in hot.collect()] == [("a", True)] == [tuple(r) for r in skew.frequent(freq, "k", 0.5, 1).collect()]
+    dim = spark.createDataFrame([("a", 7)], "k string, x int")
+    got = sorted(tuple(r) for r in skew.salted_join(facts, dim, "k", hot_min=10, how="left").select("i", "x").collect())
+    assert got == [(i, 7 if i % 3 else None) for i in range(90)]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parapet.operators import corpus
-from parapet.operators.sizing import bounded_rows
+from parapet.operators.sizing import bounded_rows, partitions_for
 
 SOURCE_LANG = "en"
 
@@ -62,7 +62,9 @@ def indexed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build():
         idx = doc_index(spark, sf_dir).select("doc_id", "lang", "source", "first", "file_first")
-        numbered = lines(spark, sf_dir).join(idx, ["doc_id", "lang", "source"]).select(
+        # texts meet the index whole, and are cut into lines behind it
+        placed = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text").join(idx, ["doc_id", "lang", "source"])
+        numbered = corpus.lines_from_text(placed, "text", keep=["doc_id", "lang", "source", "first", "file_first"]).select(
             "lang", "source", "doc_id", "line_no", (F.col("first") + F.col("line_no")).alias("idx"),
             (F.col("file_first") + F.col("line_no")).alias("file_line"), "line")
         return sorted_files(numbered, "lang", "idx")
@@ -88,14 +90,22 @@ def target_langs(spark: SparkSession, sf_dir: str) -> list[str]:
     return corpus.distinct_values(docs, "lang")
 
 
-def zip_pairs(spark: SparkSession, sf_dir: str, how: str = "inner", with_sizes: bool = False):
+RANGE_BYTES = 16 << 20      # of the line table, compressed, for a range of positions
+
+
+def zip_pairs(spark: SparkSession, sf_dir: str, how: str = "inner", with_sizes: bool = False, in_ranges: bool = False):
     """(direction, idx, sl, tl): English lines against each other language.
     With ``with_sizes`` also (direction, n): pairs per direction, from the
     per-language line totals of the index (inner: the shorter side; left:
-    English)."""
+    English). With ``in_ranges`` each partition holds a range of positions,
+    in order: the zip's one shuffle is dealt by range."""
     tgts = target_langs(spark, sf_dir)
     il = indexed_lines(spark, sf_dir).select("lang", "idx", "line")
+    if in_ranges:
+        il = il.repartitionByRange(partitions_for(il, RANGE_BYTES), "idx")
     z = corpus.zip_by_position(il, SOURCE_LANG, tgts, how)
+    if in_ranges:
+        z = z.sortWithinPartitions("idx", "direction")
     if not with_sizes:
         return z
     lengths = line_totals(spark, sf_dir)
@@ -106,17 +116,18 @@ def zip_pairs(spark: SparkSession, sf_dir: str, how: str = "inner", with_sizes:
 
 def prepared_table(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFrame:
     """``prepared``, written once per input as Parquet: multi-pass consumers
-    (the exact split) then read only the columns they need."""
+    (the exact split) then read only the columns they need. A file holds a
+    range of ``idx``, in order, of every direction."""
     from parapet.sources.cache import materialise_once
     key = [documents_key(spark, sf_dir), how]
-    return materialise_once(spark, "prepared-corpus", key, lambda: prepared(spark, sf_dir, how))
+    return materialise_once(spark, "prepared-corpus", key, lambda: prepared(spark, sf_dir, how, in_ranges=True))
 
 
-def prepared(spark: SparkSession, sf_dir: str, how: str = "left") -> DataFrame:
+def prepared(spark: SparkSession, sf_dir: str, how: str = "left", in_ranges: bool = False) -> DataFrame:
     """Zip -> tag -> union: (direction, idx, pair_id, sl, tl), the corpus the
     split draws from. The tag decision and the direction sizes come from
     cheap side tables, so the zip itself is computed once."""
-    z, sizes = zip_pairs(spark, sf_dir, how, with_sizes=True)
+    z, sizes = zip_pairs(spark, sf_dir, how, with_sizes=True, in_ranges=in_ranges)
     tagged = corpus.tag_language(z, multi=len(target_langs(spark, sf_dir)) > 1)
     return corpus.union_directions(tagged, sizes=sizes)
 

@@ -108,7 +108,8 @@ def split_files(spark, sf):
     """The split corpus written as ``train.sl``, ``train.tl``, ``valid.sl`` and
     ``valid.tl`` and read back with line numbers (S6, S1)."""
     out = _fresh(spark, "split-files")
-    pairs = sampling.train_valid_split(fx.prepared_table(spark, sf, "left"), N_VALID, SEED, ["pair_id"])
-    named.write_split(pairs.select("split", "pair_id", "sl", "tl"), out)
+    corpus = fx.prepared_table(spark, sf, "left").withColumn("file", F.col("_metadata.file_path"))
+    pairs = sampling.train_valid_split(corpus, N_VALID, SEED, ["pair_id"])
+    named.write_split(pairs.select("split", "pair_id", "sl", "tl", "file", "direction"), out, run=["file", "direction"])
     back = read_lines(spark, out, name_glob="*.[st]l", line_sep="\n")
     return back.select(files.file_name("file").alias("name"), "line_no", "line")

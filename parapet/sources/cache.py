@@ -91,6 +91,6 @@ def materialise_once(spark: SparkSession, name: str, key_parts: Sequence[object]
     if found is not None:
         return found
     fresh = f"build-{uuid.uuid4().hex}"
-    build().write.parquet(f"{path}/{fresh}")
+    build().write.option("compression", "zstd").parquet(f"{path}/{fresh}")
     spark.createDataFrame([(fresh,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/current")
     return spark.read.parquet(f"{path}/{fresh}")

@@ -10,21 +10,26 @@ others, so a vocabulary of 32,000 costs what is listed; a member that lists
 every id is a dense one. The members' probabilities are averaged over the
 whole vocabulary (log-sum-exp - ln M) and the arg-max is appended, ties to
 the lowest id.
+
+Members that are tables (:class:`TableMember`) are scored together: the ids of
+a source that nothing else is known of share one logit, as do all ids outside
+it, so a step looks at the successors of the last id and at the prefix, and
+not at the source. The sums over the vocabulary are the same.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any, NamedTuple, Protocol
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from parapet.functions.text import MAX_LENGTH
-from parapet.operators.skew import salted_join
 
 DIGITS = 9
 STOPS = ("eos", "repeat", "length")
@@ -92,6 +97,22 @@ def best_tokens(scores: Sequence[Scores], n: int, vocab: int, digits: int | None
     return token
 
 
+class Ensemble:
+    """Any members, each with states of its own."""
+
+    def __init__(self, members: Sequence[Member]):
+        self.members = members
+
+    def start(self, sources: Sequence[np.ndarray]) -> list:
+        return [m.start(sources) for m in self.members]
+
+    def extend(self, states: list, parent: np.ndarray, token: np.ndarray) -> list:
+        return [m.extend(s, parent, token) for m, s in zip(self.members, states)]
+
+    def best(self, states: list, n: int, vocab: int, digits: int | None) -> np.ndarray:
+        return best_tokens([m.scores(s, vocab) for m, s in zip(self.members, states)], n, vocab, digits)
+
+
 # ---- decoding ---------------------------------------------------------------------
 
 class Work:
@@ -107,9 +128,10 @@ def decode_batch(sources: Sequence[Sequence[int]], prefixes: Sequence[Sequence[i
     """(ids after the prefix, why they end) of each row: ``eos``, ``repeat``
     (the next id stands in the prefix; if asked for) or ``length``."""
     n = len(sources)
-    numbers: dict[tuple, int] = {}
-    node = np.array([numbers.setdefault(tuple(s), len(numbers)) for s in sources], np.int64)
-    states = [m.start([np.array(s, np.int64) for s in numbers]) for m in members]
+    ensemble = together(members)
+    numbers: dict[bytes, int] = {}
+    node = np.array([numbers.setdefault(np.asarray(s, np.int64).tobytes(), len(numbers)) for s in sources], np.int64)
+    states = ensemble.start([np.frombuffer(s, np.int64) for s in numbers])
     n_nodes = len(numbers)
     forced = [list(p) for p in prefixes]
     seen = [set(p) for p in forced]
@@ -123,8 +145,8 @@ def decode_batch(sources: Sequence[Sequence[int]], prefixes: Sequence[Sequence[i
         token[~free] = [forced[i][level] for i in live[~free]]
         if free.any():
             asked, of = np.unique(node[live[free]], return_inverse=True)
-            some = [m.extend(s, asked, np.full(len(asked), -1)) for m, s in zip(members, states)] if len(asked) < n_nodes else states
-            token[free] = best_tokens([m.scores(s, vocab) for m, s in zip(members, some)], len(asked), vocab, digits)[of]
+            some = ensemble.extend(states, asked, np.full(len(asked), -1)) if len(asked) < n_nodes else states
+            token[free] = ensemble.best(some, len(asked), vocab, digits)[of]
             if work:
                 work.scored += len(asked)
                 work.steps += int(free.sum())
@@ -143,7 +165,7 @@ def decode_batch(sources: Sequence[Sequence[int]], prefixes: Sequence[Sequence[i
         live, token = live[go], token[go]
         # equal (node, token) are one node of the next level
         keys, of = np.unique(node[live] * vocab + token, return_inverse=True)
-        states = [m.extend(s, keys // vocab, keys % vocab) for m, s in zip(members, states)] if len(keys) else states
+        states = ensemble.extend(states, keys // vocab, keys % vocab) if len(keys) else states
         node[live], n_nodes = of, len(keys)
         level += 1
     return out, stop
@@ -154,24 +176,36 @@ def decode_sources(df: DataFrame, make: Callable[[], Sequence[Member]], eos: int
                    digits: int | None = DIGITS) -> DataFrame:
     """(keys..., ids, stop), a row for each row of ``df`` (keys..., src
     array<int>, prefix array<int>). ``make`` gives the members, on the
-    executor. Rows equal in source and prefix are decoded once in the whole
-    table and joined back; a frequent source is salted. A null source or
-    prefix counts as empty."""
+    executor. Every row is decoded where it stands, rows of a batch that are
+    equal in source and prefix once: nothing is shuffled, and a frequent
+    source costs no task more than its share. A null source or prefix counts
+    as empty."""
     none = F.array().cast("array<int>")
-    rows = df.select(*keys, F.struct(F.coalesce(F.col(src), none).alias("src"), F.coalesce(F.col(prefix), none).alias("prefix")).alias("__q"))
+    rows = df.select(*keys, F.coalesce(F.col(src), none).alias("src"), F.coalesce(F.col(prefix), none).alias("prefix"))
+    n_keys = len(rows.columns) - 2
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         members = list(make())
         if not members:
             raise ValueError("no ensemble member is available")
-        for pdf in batches:
-            ids, stop = decode_batch(pdf["src"].tolist(), pdf["prefix"].tolist(), members, eos, vocab, max_steps, stop_on_repeat, digits)
-            yield pd.DataFrame({"src": pdf["src"], "prefix": pdf["prefix"], "ids": ids, "stop": stop})
+        for rb in batches:
+            asked: dict[tuple[bytes, bytes], int] = {}
+            of = [asked.setdefault(q, len(asked)) for q in zip(_row_bytes(rb.column(n_keys)), _row_bytes(rb.column(n_keys + 1)))]
+            sources, prefixes = zip(*asked) if asked else ((), ())
+            ids, stop = decode_batch([np.frombuffer(x, np.int32) for x in sources], [np.frombuffer(x, np.int32).tolist() for x in prefixes],
+                                     members, eos, vocab, max_steps, stop_on_repeat, digits)
+            done = pa.array(of, pa.int64())
+            yield pa.RecordBatch.from_arrays([*rb.columns[:n_keys], pa.array(ids, pa.list_(pa.int32())).take(done), pa.array(stop, pa.string()).take(done)],
+                                             [*rb.schema.names[:n_keys], "ids", "stop"])
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields[:n_keys], StructField("ids", ArrayType(IntegerType())), StructField("stop", StringType())]))
+
 
-    asked = rows.groupBy("__q").agg(F.count(F.lit(1)).alias("__n"))
-    done = asked.select("__q.src", "__q.prefix").mapInPandas(run, "src array<int>, prefix array<int>, ids array<int>, stop string") \
-        .select(F.struct("src", "prefix").alias("__q"), "ids", "stop")
-    return salted_join(rows, done, "__q", asked).select(*keys, "ids", "stop")
+def _row_bytes(column: pa.ListArray) -> Iterator[bytes]:
+    """Each list of an array<int> column as bytes."""
+    at = column.offsets.to_numpy().astype(np.int64) * 4
+    data = np.ascontiguousarray(column.values.to_numpy(), np.int32).tobytes()
+    return (data[i:j] for i, j in zip(at[:-1].tolist(), at[1:].tolist()))
 
 
 # ---- members fitted on a corpus ------------------------------------------------------
@@ -238,3 +272,78 @@ class TableMember:
         value = np.concatenate([np.log1p(self.c[at]), np.full(len(at2), self.source), np.full(n * depth, -self.fresh)])
         keys, of = np.unique(key, return_inverse=True)
         return Scores(keys, np.bincount(of, value, len(keys)), np.zeros(n))
+
+
+MAX_WEIGHT = 300.0          # of a source: its exponential is far from the largest number
+
+
+def together(members: Sequence[Member]) -> Ensemble:
+    """The members as one: tables are scored together, others one by one."""
+    tables = all(type(m) is TableMember and m.bos == members[0].bos and m.fresh >= 0 and abs(m.source) <= MAX_WEIGHT for m in members)
+    return TableEnsemble(members) if tables and members else Ensemble(members)
+
+
+class TableEnsemble(Ensemble):
+    """:class:`TableMember` s with one state. exp(logit) of an id is
+    (1 + count) * exp(source) * exp(-fresh * times in the prefix), so of each
+    node a member's sum over the vocabulary is that of two groups, the ids in
+    the source and those outside, corrected for the prefix and the successors."""
+
+    def start(self, sources: Sequence[np.ndarray]) -> _State:
+        size = np.array([len(s) for s in sources], np.int64)
+        ids = np.concatenate([*sources, np.zeros(0, np.int64)])
+        key = np.unique(np.repeat(np.arange(len(size)), size) << 32 | ids)
+        return _State(np.arange(len(size)), np.full(len(size), self.members[0].bos), np.zeros((len(size), 0), np.int64), key,
+                      np.searchsorted(key, np.arange(len(size) + 1) << 32))
+
+    extend = TableMember.extend
+
+    def best(self, state: _State, n: int, vocab: int, digits: int | None) -> np.ndarray:
+        nodes, begin, end = np.arange(n), state.begin[state.source], state.begin[state.source + 1]
+        # the prefix and the members' successors: (node, id) once each, in order
+        prefix = (nodes[:, None] << 32 | state.prefix).ravel()
+        spans = [_spans(np.searchsorted(m.prev, state.last, "left"), np.searchsorted(m.prev, state.last, "right")) for m in self.members]
+        known = [row << 32 | m.next[at] for m, (row, at) in zip(self.members, spans)]
+        keys, of = np.unique(np.concatenate([prefix, *known]), return_inverse=True)
+        row, ids = keys >> 32, keys & 0xFFFFFFFF
+        times = np.bincount(of[:len(prefix)], minlength=len(keys))
+        wanted = state.source[row] << 32 | ids
+        place = np.searchsorted(state.ids, wanted)
+        inside = place < end[row]
+        inside[inside] = state.ids[place[inside]] == wanted[inside]
+        # one more for each node: the lowest id of the source that is not among them
+        within = np.flatnonzero(inside)
+        turn = np.arange(len(within)) - np.searchsorted(row[within], row[within])
+        taken = begin + np.bincount(row[within][place[within] - begin[row[within]] == turn], minlength=n)
+        more = np.flatnonzero(taken < end)
+        total, other = np.zeros(len(keys) + len(more)), np.zeros(n)
+        spot = len(prefix)
+        for m, (_, at) in zip(self.members, spans):
+            up, c = np.exp(m.source), np.zeros(len(keys))
+            np.add.at(c, of[spot:spot + len(at)], m.c[at])
+            spot += len(at)
+            plain = np.where(inside, up, 1.0)
+            value = (1.0 + c) * plain * np.exp(-m.fresh * times)
+            whole = vocab + (end - begin) * (up - 1.0) + np.bincount(row, value - plain, n)
+            total[:len(keys)] += value / whole[row]
+            total[len(keys):] += up / whole[more]
+            other += 1.0 / whole
+        row = np.concatenate([row, more])
+        ids = np.concatenate([ids, state.ids[taken[more]] & 0xFFFFFFFF])
+
+        def mean(x: np.ndarray) -> np.ndarray:
+            out = np.log(x) - np.log(len(self.members))
+            return out if digits is None else out.round(digits)
+
+        avg, other = mean(total), mean(other)
+        best, token = np.full(n, -np.inf), np.full(n, vocab)
+        np.maximum.at(best, row, avg)
+        hit = avg == best[row]
+        np.minimum.at(token, row[hit], ids[hit])
+        for i in np.flatnonzero(other >= best):             # an id of which nothing is known may be the best
+            listed = np.union1d(keys[slice(*np.searchsorted(keys, [i << 32, i + 1 << 32]))], state.ids[begin[i]:end[i]] & 0xFFFFFFFF | i << 32) & 0xFFFFFFFF
+            gaps = np.flatnonzero(listed != np.arange(len(listed)))
+            free = int(gaps[0]) if len(gaps) else len(listed)
+            if free < vocab and (other[i] > best[i] or free < token[i]):
+                token[i] = free
+        return token

@@ -195,3 +195,37 @@ def test_members_that_do_not_load_are_skipped_and_named(spark, tmp):
     assert list(out["ids"])[0] == 7             # two members, not six
     with pytest.raises(RuntimeError, match="no ensemble member"):
         members.loaded_members(checked.filter("not available"))
+
+
+class OneByOne(scorers.TableMember):
+    """Not scored together with the others."""
+
+
+def test_tables_together_equal_tables_one_by_one():
+    rng = np.random.default_rng(11)
+    for trial in range(20):
+        vocab, seed = int(rng.integers(3, 30)), int(rng.integers(1 << 30))
+
+        def members(kind):
+            r, out = np.random.default_rng(seed), []
+            for _ in range(3):
+                cells = sorted({(int(a), int(b)) for a, b in r.integers(0, vocab, (50, 2))})
+                out.append(kind(np.array([a for a, _ in cells]), np.array([b for _, b in cells]), r.integers(1, 6, len(cells)), BOS,
+                                float(r.choice([-1.0, 0.0, 2.0, 4.0])), float(r.choice([0.0, 0.5, 2.0]))))
+            return out
+
+        sources = [rng.integers(0, vocab, rng.integers(0, 2 * vocab)).tolist() for _ in range(20)]
+        prefixes = [rng.integers(0, vocab, rng.integers(0, 4)).tolist() for _ in sources]
+        assert type(scorers.together(members(scorers.TableMember))) is scorers.TableEnsemble
+        assert type(scorers.together(members(OneByOne))) is scorers.Ensemble
+        got, want = (scorers.decode_batch(sources, prefixes, members(kind), EOS_ID, vocab, 25, bool(trial % 2)) for kind in (scorers.TableMember, OneByOne))
+        assert got == want
+
+
+def test_rows_are_decoded_where_they_stand(spark):
+    df = spark.createDataFrame([(i, [3, 4], [BOS]) for i in range(50)], "sid int, src array<int>, prefix array<int>").repartition(3)
+    df = df.checkpoint()
+    members = _members(np.random.default_rng(9))
+    out = scorers.decode_sources(df, lambda: members, EOS_ID, V, max_steps=9)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r["ids"]) for r in out.collect()} == {tuple(_plain([3, 4], [BOS], members, 9, False)[0])} and out.count() == 50

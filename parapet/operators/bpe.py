@@ -45,6 +45,7 @@ from parapet.session import cut_lineage
 PHASE_SYMBOLS = 4 << 20     # places of live pairs one phase indexes, at most (one task's memory)
 PHASE_PAIRS = 200_000       # live pairs of a phase, at most (broadcast, eight bytes each)
 WORDS_PER_PARTITION = 200_000
+SHORT = 24                  # symbols of a word that is merged beside others
 _PAIR = 1 << 32             # a pair (a, b) as one key: a * _PAIR + b
 
 
@@ -329,15 +330,14 @@ def apply_merges(state: DataFrame, merges: Sequence[tuple[int, int, int]]) -> Da
     pair left and go. The last merge may spell an existing token and goes by
     itself: earlier ones do not see what it made."""
     steps = state.sparkSession.sparkContext.broadcast([
-        {(a, b): (r, made) for r, (a, b, made) in enumerate(part)} for part in (merges[:-1], merges[-1:])])
+        MergeTable({(a, b): (r, made) for r, (a, b, made) in enumerate(part)}) for part in (merges[:-1], merges[-1:])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
-            out = rb.column(0).to_pylist()
-            for ranks in steps.value:
-                out = [encode_word(ids, ranks) for ids in out]
-            rb = pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int32())), rb.column(1)], ["ids", "cnt"])
-            yield rb.filter(pa.array([len(ids) > 1 for ids in out], pa.bool_()))
+            ids, lens = _lists(rb.column(0))
+            for table in steps.value:
+                ids, lens = table.encode(ids, lens)
+            yield pa.RecordBatch.from_arrays([_as_lists(ids, lens), rb.column(1)], ["ids", "cnt"]).filter(pa.array(lens > 1))
 
     return state.mapInArrow(run, "ids array<int>, cnt long")
 
@@ -404,3 +404,53 @@ def encode_word(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -
             if r is not None:
                 heapq.heappush(heap, (r[0], h))
     return [x for x in sym if x >= 0]
+
+
+class MergeTable:
+    """Merges by pair, for many words at a time."""
+
+    def __init__(self, ranks: dict[tuple[int, int], tuple[int, int]]):
+        self.ranks = ranks
+        key = np.array([a * _PAIR + b for a, b in ranks], np.int64)
+        order = np.argsort(key)
+        self.key, self.rank, self.made = key[order], *np.array(list(ranks.values()), np.int64).reshape(-1, 2)[order].T
+
+    def encode(self, ids: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """:func:`encode_word` of words one after another: (ids, lengths).
+        Short words of one length stand in a table; each makes its first merge
+        (the lowest rank, the leftmost place) and goes on among those that are
+        one symbol shorter."""
+        ids, lens = ids.astype(np.int64), np.asarray(lens, np.int64)
+        starts, after = np.cumsum(lens) - lens, lens.copy()
+        done: list[tuple[np.ndarray, np.ndarray]] = []          # (words, their symbols)
+        none = len(self.key) and int(self.rank.max()) + 1
+        order = np.argsort(lens, kind="stable")
+        edge = np.searchsorted(lens[order], np.arange(SHORT + 2))
+        rest, table = np.zeros(0, np.int64), np.zeros((0, SHORT), np.int64)
+        for n in range(SHORT, 0, -1):
+            own = order[edge[n]:edge[n + 1]]
+            rest, table = np.r_[rest, own], np.concatenate([table, ids[starts[own][:, None] + np.arange(n)]])
+            if n == 1 or not none:
+                done.append((rest, table))
+                rest, table = rest[:0], np.zeros((0, n - 1), np.int64)
+                continue
+            pair = table[:, :-1] * _PAIR + table[:, 1:]
+            spot = np.minimum(np.searchsorted(self.key, pair), len(self.key) - 1)
+            rank = np.where(self.key[spot] == pair, self.rank[spot], none)
+            first = rank.argmin(axis=1)
+            go = rank[np.arange(len(rest)), first] < none
+            done.append((rest[~go], table[~go]))
+            rest, first = rest[go], first[go]
+            made = self.made[spot[go, first]]
+            keep = np.arange(n - 1) + (np.arange(n - 1) > first[:, None])
+            table = np.take_along_axis(table[go], keep, axis=1)
+            table[np.arange(len(rest)), first] = made
+        for i in order[edge[SHORT + 1]:].tolist():
+            word = encode_word(ids[starts[i]:starts[i] + lens[i]].tolist(), self.ranks)
+            done.append((np.array([i]), np.array([word], np.int64)))
+        for words, found in done:
+            after[words] = found.shape[1]
+        out, begin = np.empty(int(after.sum()), np.int32), np.cumsum(after) - after
+        for words, found in done:
+            out[begin[words][:, None] + np.arange(found.shape[1])] = found
+        return out, after

@@ -4,7 +4,8 @@ Merges and vocabulary have a configured size, so they are broadcast and every
 text is encoded and decoded where it stands: nothing is shuffled, rows need
 no key, and a frequent word or a repeated row costs no task more than its
 share. Texts are pre-tokenised in the JVM; a batch's distinct words are found
-by Arrow, encoded unless the worker remembers them, and gathered back.
+by Arrow, encoded side by side unless the worker remembers them, and gathered
+back.
 The word-level vocabulary grows with the corpus and is joined (J5).
 """
 
@@ -12,7 +13,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from itertools import chain
 from os.path import commonprefix
 
 import numpy as np
@@ -24,7 +24,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 
 from parapet.functions import text as T
 from parapet.operators import skew
-from parapet.operators.bpe import BpeModel, byte_order, encode_word
+from parapet.operators.bpe import BpeModel, MergeTable, byte_order
 from parapet.operators.ordinal import running_offset
 from parapet.session import cut_lineage
 
@@ -61,29 +61,31 @@ def encode(df: DataFrame, keys: Sequence[str], text: str, model: BpeModel,
     null ones, get an empty array. A worker remembers the ids of
     ``remembered`` short words."""
     n_special = len(model.specials)
-    base = {b: n_special + i for i, b in enumerate(byte_order())}
-    special = {t: i for i, t in enumerate(model.specials)}
-    bc = df.sparkSession.sparkContext.broadcast((model.ranks(), base, special))
+    base = np.zeros(256, np.int32)
+    base[byte_order()] = np.arange(n_special, n_special + 256)
+    special = {t: np.array([i], np.int32) for i, t in enumerate(model.specials)}
+    bc = df.sparkSession.sparkContext.broadcast((MergeTable(model.ranks()), base, special))
     words = df.select(*keys, pretokens(F.col(text), model.specials, pattern).alias(name))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, base_ids, special_ids = bc.value
-        known: dict[str, list[int]] = {}
+        table, base_ids, special_ids = bc.value
+        known: dict[str, np.ndarray] = dict(special_ids)
         for rb in batches:
             values, size = _flat_lists(rb.column(rb.num_columns - 1))
             coded = values.dictionary_encode()
-            found = []
-            for w in coded.dictionary.to_pylist():
-                ids = known.get(w)
-                if ids is None:
-                    ids = [special_ids[w]] if w in special_ids else encode_word([base_ids[b] for b in w.encode("utf-8")], ranks)
-                    if len(w) <= MAX_REMEMBERED_CHARS:
-                        if len(known) >= remembered:
-                            known = {}
-                        known[w] = ids
-                found.append(ids)
+            words = coded.dictionary.to_pylist()
+            new = [w for w in words if w not in known]
+            data = [w.encode("utf-8") for w in new]
+            ids, lens = table.encode(base_ids[np.frombuffer(b"".join(data), np.uint8)], np.array([len(x) for x in data], np.int64))
+            known.update(zip(new, np.split(ids, np.cumsum(lens)[:-1])))
+            found = [known[w] for w in words]
+            for w in new:
+                if len(w) > MAX_REMEMBERED_CHARS:
+                    del known[w]
+            if len(known) > remembered:
+                known = dict(special_ids)
             lens = np.fromiter(map(len, found), np.int64, len(found))
-            pool = np.fromiter(chain.from_iterable(found), np.int32, int(lens.sum()))
+            pool = np.concatenate([*found, np.zeros(0, np.int32)])
             code = coded.indices.to_numpy(zero_copy_only=False)
             ids, ends = _taken(pool, lens, code)
             offsets = np.r_[0, ends][np.r_[0, np.cumsum(size)]]

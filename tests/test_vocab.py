@@ -236,3 +236,20 @@ def test_words_are_cut_into_symbols_once_a_distinct_word(spark):
     assert {(r["a"], r["b"]): r["c"] for r in pairs.collect()} == want
     plan = pairs._jdf.queryExecution().optimizedPlan().toString()
     assert "hex" in plan and "hex" not in plan[plan.index("\n", plan.index("Aggregate [word")):]      # not below the counting of words
+
+
+def test_words_merged_side_by_side_equal_words_by_themselves():
+    rnd = random.Random(2)
+    ranks, made = {}, 6
+    for r in range(200):
+        pair = (rnd.randrange(made), rnd.randrange(made))
+        if pair not in ranks:
+            again = rnd.random() < 0.1      # spells a token that exists
+            ranks[pair] = (r, rnd.randrange(6, made) if again and made > 6 else made)
+            made += not again
+    words = [[rnd.randrange(6) for _ in range(rnd.randrange(0, 60))] for _ in range(3000)]
+    flat, lens = np.array([x for w in words for x in w], np.int32), np.array([len(w) for w in words])
+    ids, after = bpe.MergeTable(ranks).encode(flat, lens)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(after)[:-1])] == [bpe.encode_word(list(w), ranks) for w in words]
+    ids, after = bpe.MergeTable({}).encode(flat, lens)
+    assert ids.tolist() == flat.tolist() and after.tolist() == lens.tolist()
